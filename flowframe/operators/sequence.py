@@ -41,6 +41,7 @@ class _Spec:
     firsts: list[str]
     sums: dict[str, str]  # output name -> input column
     rn: str
+    gap: tuple[str, float] | None = None  # (timestamp column, gap seconds)
     key_types: list[T.DataType] = field(default_factory=list)
 
 
@@ -105,6 +106,31 @@ def _scan_batch(pdf: pd.DataFrame, spec: _Spec, state: dict | None):
         if n and state is not None and not change[0]:
             lagged[0] = state["lag"][c]
         out["prev_" + c] = pd.Series(lagged, dtype=object)
+    if spec.gap is not None:
+        tcol, gap_s = spec.gap
+        tvals = pd.to_datetime(pdf[tcol]).to_numpy()
+        prev_t = np.empty(n, dtype="datetime64[ns]")
+        if n:
+            prev_t[1:] = tvals[:-1]
+            carried_t = None if state is None else state.get("gap_t")
+            prev_t[0] = np.datetime64("NaT") if carried_t is None else np.datetime64(pd.Timestamp(carried_t), "ns")
+        gap_ns = np.timedelta64(int(gap_s * 1e9), "ns")
+        with np.errstate(invalid="ignore"):
+            new_sess = change | np.isnat(prev_t) | ((tvals - prev_t) > gap_ns)
+        if n and state is not None and not change[0]:
+            new_sess[0] = bool(np.isnat(prev_t[0]) or (tvals[0] - prev_t[0]) > gap_ns)
+        sess_local = pd.Series(new_sess.astype(np.int64)).groupby(run_id).cumsum().to_numpy()
+        if state is not None:
+            sess_no = sess_local + np.where(carried, state["session_no"], 0)
+        else:
+            sess_no = sess_local
+        # row number inside (run, session)
+        sess_key = run_id * (n + 1) + sess_local
+        srn = pd.Series(np.ones(n, dtype=np.int64)).groupby(sess_key).cumsum().to_numpy()
+        if state is not None:
+            srn = srn + np.where(carried & (sess_local == 0), state["session_rn"], 0)
+        out["session_no"] = sess_no.astype(np.int64)
+        out["session_rn"] = srn.astype(np.int64)
     for c in spec.firsts:
         cur = pd.Series(pdf[c].to_numpy(dtype=object))
         firsts = cur.where(pd.Series(change)).groupby(run_id).transform("first").to_numpy(dtype=object)
@@ -121,9 +147,19 @@ def _scan_batch(pdf: pd.DataFrame, spec: _Spec, state: dict | None):
         "lag": {c: pdf[c].iloc[last] for c in spec.lags},
         "first": {c: out["first_" + c].iloc[last] for c in spec.firsts},
     }
+    if spec.gap is not None:
+        new_state["gap_t"] = pdf[spec.gap[0]].iloc[last]
+        new_state["session_no"] = int(out["session_no"].iloc[last])
+        new_state["session_rn"] = int(out["session_rn"].iloc[last])
     return out, new_state
 
 
+def _continues_session(prev_t, first_t, gap_s: float) -> bool:
+    if prev_t is None or first_t is None:
+        return False
+    return (pd.Timestamp(first_t) - pd.Timestamp(prev_t)).total_seconds() <= gap_s
+
+
 def _py(v):
     """numpy scalar -> python scalar so keys compare across passes."""
     if isinstance(v, np.generic):
@@ -142,16 +178,20 @@ def keyed_scan(
     lags: list[str] | tuple = (),
     firsts: list[str] | tuple = (),
     sums: dict[str, str] | None = None,
+    gap: tuple[str, float] | None = None,
     num_partitions: int | None = None,
 ) -> DataFrame:
     """Add per-key ``rn`` (1-based), ``prev_<c>``, ``first_<c>`` and running sums.
 
     ``order`` must be a total order inside each key (add tie-breakers);
     otherwise numbers among ties are arbitrary, as with ``row_number``.
+    With ``gap=(ts_col, seconds)`` it also adds ``session_no`` (1-based per
+    key; a new session starts when the time since the previous row of the
+    key exceeds the gap) and ``session_rn`` (1-based inside the session).
     The result keeps every input row and column.
     """
     keys = list(keys)
-    spec = _Spec(keys=keys, lags=list(lags), firsts=list(firsts), sums=dict(sums or {}), rn=rn)
+    spec = _Spec(keys=keys, lags=list(lags), firsts=list(firsts), sums=dict(sums or {}), rn=rn, gap=gap)
     spark = df.sparkSession
     n = num_partitions or shuffle_partitions(spark)
     sort_cols = [F.col(k) for k in keys] + [F.col(o) if isinstance(o, str) else o for o in order]
@@ -172,9 +212,15 @@ def keyed_scan(
         + [T.StructField("sum_" + s, T.DoubleType()) for s in spec.sums]
         + [T.StructField("lag_" + f.name, f.dataType) for f in lag_fields]
         + [T.StructField("first_" + f.name, f.dataType) for f in first_fields]
+        + (
+            [T.StructField("gap_t", in_schema[gap[0]].dataType), T.StructField("first_gap_t", in_schema[gap[0]].dataType),
+             T.StructField("session_no", T.LongType()),
+             T.StructField("session_rn", T.LongType())]
+            if gap else []
+        )
     )
 
-    needed = list(dict.fromkeys(keys + spec.lags + spec.firsts + list(spec.sums.values())))
+    needed = list(dict.fromkeys(keys + spec.lags + spec.firsts + list(spec.sums.values()) + ([gap[0]] if gap else [])))
 
     def summarise(batches):
         pid = TaskContext.get().partitionId()
@@ -187,6 +233,7 @@ def keyed_scan(
                 continue
             if first_key is None:
                 first_key = tuple(pdf[k].iloc[0] for k in keys)
+                first_gap_t = pdf[gap[0]].iloc[0] if gap else None
             # local numbering only (no carry-in): state is the last run's tail
             change = _key_change(pdf, keys, state["key"] if state else None)
             if total > 0 and change.any():
@@ -210,6 +257,11 @@ def keyed_scan(
             row["lag_" + c] = state["lag"][c]
         for c in spec.firsts:
             row["first_" + c] = state["first"][c]
+        if gap:
+            row["gap_t"] = state["gap_t"]
+            row["first_gap_t"] = first_gap_t
+            row["session_no"] = state["session_no"]
+            row["session_rn"] = state["session_rn"]
         yield pd.DataFrame([row], columns=summary_schema.fieldNames())
 
     summaries = sorted(ordered.mapInPandas(summarise, summary_schema).collect(), key=lambda r: r["pid"])
@@ -229,6 +281,8 @@ def keyed_scan(
             "lag": {c: r["lag_" + c] for c in spec.lags},
             "first": {c: r["first_" + c] for c in spec.firsts},
         }
+        if gap:
+            local_tail.update(gap_t=r["gap_t"], session_no=r["session_no"], session_rn=r["session_rn"])
         if r["single"] and tail is not None and tail["key"] == lk:
             # whole partition continues the carried run
             local_tail = {
@@ -238,6 +292,15 @@ def keyed_scan(
                 "lag": local_tail["lag"],
                 "first": tail["first"],
             }
+            if gap:
+                # the partition continues the carried run: its sessions are
+                # counted after the carried ones; the first local session may
+                # itself continue the carried session
+                cont = _continues_session(tail["gap_t"], r["first_gap_t"], gap[1])
+                local_tail["gap_t"] = r["gap_t"]
+                local_tail["session_no"] = tail["session_no"] + r["session_no"] - (1 if cont else 0)
+                one_local = r["session_no"] == 1
+                local_tail["session_rn"] = r["session_rn"] + (tail["session_rn"] if (cont and one_local) else 0)
         tail = local_tail
 
     # ---- pass 2: number rows with the carry-in --------------------------
@@ -245,6 +308,8 @@ def keyed_scan(
     out_fields += [T.StructField(name, T.DoubleType()) for name in spec.sums]
     out_fields += [T.StructField("prev_" + f.name, f.dataType) for f in lag_fields]
     out_fields += [T.StructField("first_" + f.name, f.dataType) for f in first_fields]
+    if gap:
+        out_fields += [T.StructField("session_no", T.LongType()), T.StructField("session_rn", T.LongType())]
     out_schema = T.StructType(out_fields)
     names = out_schema.fieldNames()
 

@@ -41,3 +41,15 @@ def test_keyed_scan_null_keys(spark):
     df = spark.createDataFrame([(None, 1), (None, 2), ("a", 3), ("a", 4), (None, 5)], "k string, o int")
     got = {r["o"]: r["rn"] for r in keyed_scan(df, ["k"], ["o"], num_partitions=3).collect()}
     assert got == {1: 1, 2: 2, 5: 3, 3: 1, 4: 2}
+
+
+def test_keyed_scan_gap_sessions(spark, sf_dir):
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet")
+    gap = 6 * 3600
+    for keys, parts in ((["user_id"], 5), (["event_type"], 13)):
+        got = keyed_scan(ev, keys, ["ts", "event_id"], gap=("ts", gap), num_partitions=parts)
+        w = W.partitionBy(*keys).orderBy("ts", "event_id")
+        flag = (F.lag("ts").over(w).isNull() | (F.col("ts") > F.lag("ts").over(w) + F.expr(f"interval {gap} seconds"))).cast("int")
+        want = ev.withColumn("f", flag).withColumn("session_no", F.sum("f").over(w.rowsBetween(W.unboundedPreceding, 0)))
+        want = want.withColumn("session_rn", F.row_number().over(W.partitionBy(*keys, "session_no").orderBy("ts", "event_id")))
+        _cmp(got, want, ["event_id", "session_no", "session_rn"])
