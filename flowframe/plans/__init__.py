@@ -1,4 +1,4 @@
 """Query plans bound to the test tables.  Importing this package registers them."""
 
-from flowframe.plans import groups, tables, url_flow  # noqa: F401
+from flowframe.plans import groups, metrics, tables, url_flow  # noqa: F401
 from flowframe.plans.registry import ORACLE, QUERIES  # noqa: F401
