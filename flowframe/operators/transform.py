@@ -53,11 +53,12 @@ def typed_transform(df: DataFrame, value: str, out: str = "payload") -> DataFram
 
 
 def record_build(df: DataFrame, count_col: str, names: Sequence[str], out: str = "value") -> DataFrame:
-    """int -> ``struct(count, fullName)``; the name is chosen by a hash of the
-    count instead of at random, so a rerun gives the same record."""
-    arr = F.array(*[F.lit(n) for n in names])
-    idx = (F.pmod(F.xxhash64(F.col(count_col)), F.lit(len(names))) + 1).cast("int")
-    return df.withColumn(out, F.struct(F.col(count_col).cast("int").alias("count"), F.element_at(arr, idx).alias("fullName")))
+    """int -> ``struct(count, fullName)``; the name is a seeded pick from the
+    count instead of a random one, so a rerun gives the same record."""
+    from flowframe.functions.scalar import seeded_pick
+
+    return df.withColumn(out, F.struct(F.col(count_col).cast("int").alias("count"),
+                                       seeded_pick(count_col, names).alias("fullName")))
 
 
 # ---------------------------------------------------------------- P5 / P6
