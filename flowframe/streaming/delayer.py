@@ -1,65 +1,61 @@
 """Streaming delayer (M4): hold each message until its release time.
 
-Messages are held per key in list state; an event-time timer is
-registered at each distinct release time.  Two messages of one key due
-at the same instant share a timer, so on expiry every held message that
-is due is emitted.  Timers fire when the watermark passes them, i.e. on
-a later micro-batch (a trailing sentinel row closes a finite input).
+Messages are held per key in the key's state (parallel arrays, passed
+in-band with the Arrow batch by ``applyInPandasWithState``); the key's
+event-time timeout is the earliest held release time.  When the
+watermark passes it, every held message that is due is emitted (two
+messages due at the same instant leave together) and the timeout moves
+to the next release.  A message that is already due when it arrives
+leaves in the same micro-batch.  A finite input is closed by a trailing
+sentinel row whose event time lies after every release.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-
-OUTPUT_SCHEMA = "msg_id long, key string, release_ts timestamp_ntz"
-
-
-class DelayProcessor(StatefulProcessor):
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.held = handle.getListState("held", "msg_id long, release_ms long, release_ts timestamp_ntz")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        existing = {int(t) for t in self.handle.listTimers()}
-        for pdf in rows:
-            for rec in pdf.itertuples(index=False):
-                self.held.appendValue((int(rec.msg_id), int(rec.release_ms), rec.release_ts.to_pydatetime()))
-                if int(rec.release_ms) not in existing:
-                    self.handle.registerTimer(int(rec.release_ms))
-                    existing.add(int(rec.release_ms))
-        return iter([])
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        now = expiredTimerInfo.getExpiryTimeInMs()
-        due, keep = [], []
-        for r in self.held.get():
-            (due if int(r[1]) <= now else keep).append(r)
-        self.held.clear()
-        for r in keep:
-            self.held.appendValue(tuple(r))
-        if due:
-            yield pd.DataFrame({"msg_id": [int(r[0]) for r in due], "key": [str(key[0])] * len(due),
-                                "release_ts": [r[2] for r in due]})
-
-    def close(self) -> None:
-        pass
+from pyspark.sql.streaming.state import GroupStateTimeout
+
+OUTPUT_SCHEMA = "msg_id long, key string, release_us long"
+STATE_SCHEMA = "ids array<long>, release_us array<long>"
+
+
+def _delay(key, pdfs, state):
+    k = str(key[0])
+    if state.exists:
+        ids, rel = state.get
+        ids, rel = list(ids or []), list(rel or [])
+    else:
+        ids, rel = [], []
+    if not state.hasTimedOut:
+        for pdf in pdfs:
+            ids += [int(x) for x in pdf["msg_id"]]
+            rel += [int(x) for x in pdf["release_us"]]
+    wm_us = state.getCurrentWatermarkMs() * 1000
+    due = [(i, r) for i, r in zip(ids, rel) if r <= wm_us]
+    keep = [(i, r) for i, r in zip(ids, rel) if r > wm_us]
+    if keep:
+        state.update(([i for i, _ in keep], [r for _, r in keep]))
+        # timeouts are in ms: round the earliest release up
+        state.setTimeoutTimestamp(max(-(-min(r for _, r in keep) // 1000), wm_us // 1000 + 1))
+    else:
+        state.remove()
+    if due:
+        yield pd.DataFrame({"msg_id": [i for i, _ in due], "key": [k] * len(due), "release_us": [r for _, r in due]})
 
 
 def stream_delayer(stream: DataFrame, key: str, msg_id: str, arrival_ts: str, release_ts: str,
                    watermark: str = "0 seconds") -> DataFrame:
+    """Held messages come out as ``(msg_id, key, release_ts)`` once released."""
     from flowframe.streaming.runner import use_rocksdb_state
 
     use_rocksdb_state(stream.sparkSession)
     src = stream.select(
         F.col(key).cast("string").alias("key"), F.col(msg_id).cast("long").alias("msg_id"),
         F.col(arrival_ts).cast("timestamp").alias("event_time"),
-        F.col(release_ts).cast("timestamp_ntz").alias("release_ts"),
-        (F.unix_micros(F.col(release_ts).cast("timestamp")) / 1000).cast("long").alias("release_ms"),
+        F.unix_micros(F.col(release_ts).cast("timestamp")).alias("release_us"),
     ).withWatermark("event_time", watermark)
-    return src.groupBy("key").transformWithStateInPandas(
-        statefulProcessor=DelayProcessor(), outputStructType=OUTPUT_SCHEMA, outputMode="Append", timeMode="EventTime")
+    out = src.groupBy("key").applyInPandasWithState(_delay, OUTPUT_SCHEMA, STATE_SCHEMA, "append",
+                                                    GroupStateTimeout.EventTimeTimeout)
+    return out.select("msg_id", "key", F.timestamp_micros("release_us").cast("timestamp_ntz").alias("release_ts"))

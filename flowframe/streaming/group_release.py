@@ -1,19 +1,22 @@
 """Streaming message-group release (M3): release at size, late discard, timeout.
 
-Per correlation id the processor keeps the pending messages (list state)
-and the group's meta (value state: declared size of the first message,
-count, completed flag, last arrival).  Rows of a key inside one
-micro-batch are taken in the given arrival order.
-
-* a message joining a group is held until the group holds its size
-  (size of the **first** message); the group is then released as one
-  list and marked completed;
+Per correlation id the state holds the pending payloads, the declared size
+(of the **first** message), the count, the last arrival and a completed
+flag.  ``applyInPandasWithState`` hands each key its state in-band with
+its Arrow batch, so state costs one read and one write per key and
+micro-batch.  Rows of a key inside one micro-batch are taken in the given
+arrival order.
+
+* a message joining a group is held until the group holds its size; the
+  group is then released as one list and marked completed;
 * a message for a completed group is discarded as ``late``; completed
-  groups are remembered for ``done_ttl_ms`` of event time (a timer), after
-  which the id opens a new group, so state does not grow for ever;
-* with ``timeout_ms`` an event-time timer at last arrival + timeout
-  discards a still-pending group (every held message is emitted as
-  ``discarded``); each message re-arms the timer, completion cancels it.
+  groups are remembered for ``done_ttl_ms`` of event time (the key's
+  event-time timeout), after which the id opens a new group, so state
+  does not grow for ever;
+* with ``timeout_ms`` a pending group whose last message is older than
+  ``timeout_ms`` when the watermark passes is discarded: every held
+  message is emitted as ``discarded``.  Each message re-arms the timeout,
+  completion replaces it.
 
 Output rows: ``(corr_id, outcome, seq, payloads)`` where ``payloads`` is the
 released list joined by spaces, or the single late/discarded payload.
@@ -21,89 +24,73 @@ released list joined by spaces, or the single late/discarded payload.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupStateTimeout
 
 OUTPUT_SCHEMA = "corr_id string, outcome string, seq long, payloads string"
+STATE_SCHEMA = "size long, n long, last_ms long, done boolean, pending array<string>"
+_COLS = ["corr_id", "outcome", "seq", "payloads"]
 
 
-class GroupReleaseProcessor(StatefulProcessor):
-    def __init__(self, order: Sequence[str], timeout_ms: int | None = None, done_ttl_ms: int = 24 * 3600 * 1000):
-        self.order = list(order)
-        self.timeout_ms = timeout_ms
-        self.done_ttl_ms = done_ttl_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.pending = handle.getListState("pending", "payload string, arrival_ms long")
-        self.meta = handle.getValueState("meta", "size long, n long, last_ms long")
-        # the processor runs in event-time mode (state TTL is processing-time
-        # only): a timer at completion + done_ttl_ms forgets the completed group
-        self.done = handle.getValueState("done", "flag boolean")
+def make_group_release(order: Sequence[str], timeout_ms: int | None, done_ttl_ms: int):
+    order = list(order)
 
-    def _emit(self, key, rows):
-        if rows:
-            return [pd.DataFrame(rows, columns=["corr_id", "outcome", "seq", "payloads"])]
-        return []
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+    def fn(key, pdfs, state):
         corr = str(key[0])
-        batch = pd.concat(list(rows), ignore_index=True).sort_values(self.order, kind="mergesort")
         out = []
-        done = self.done.exists() and bool(self.done.get()[0])
-        size, n, last_ms = (self.meta.get() if self.meta.exists() else (None, 0, None))
-        for rec in batch.itertuples(index=False):
-            payload = str(rec.payload)
-            arrival_ms = int(rec.arrival_ms)
+        if state.hasTimedOut:
+            size, n, last_ms, done, pending = state.get
+            if not done:
+                out += [(corr, "discarded", None, p) for p in (pending or [])]
+            state.remove()
+            if out:
+                yield pd.DataFrame(out, columns=_COLS)
+            return
+        if state.exists:
+            size, n, last_ms, done, pending = state.get
+            pending = list(pending or [])
+        else:
+            size, n, last_ms, done, pending = None, 0, None, False, []
+        batch = pd.concat(list(pdfs), ignore_index=True).sort_values(order, kind="mergesort")
+        wm = state.getCurrentWatermarkMs()
+        done_at = None
+        for payload, seq_size, arrival_ms in zip(batch["payload"], batch["seq_size"], batch["arrival_ms"]):
+            arrival_ms = int(arrival_ms)
+            if not done and timeout_ms is not None and n and last_ms is not None and arrival_ms > last_ms + timeout_ms:
+                # the pending group timed out before this message came
+                out += [(corr, "discarded", None, p) for p in pending]
+                size, n, last_ms, pending = None, 0, None, []
             if done:
-                out.append((corr, "late", None, payload))
+                out.append((corr, "late", None, str(payload)))
                 continue
             if size is None:
-                size = int(rec.seq_size)
-            self.pending.appendValue((payload, arrival_ms))
+                size = int(seq_size)
+            pending.append(str(payload))
             n += 1
             last_ms = arrival_ms
             if n >= size:
-                held = [p for p, _ in self.pending.get()]
-                out.append((corr, "released", int(size), " ".join(held)))
-                self.pending.clear()
-                self.meta.clear()
-                self.done.update((True,))
-                done = True
-                for t in self.handle.listTimers():
-                    self.handle.deleteTimer(t)
-                self.handle.registerTimer(arrival_ms + self.done_ttl_ms)
-                size, n, last_ms = None, 0, None
-        if not done and n > 0:
-            self.meta.update((size, n, last_ms))
-            if self.timeout_ms is not None:
-                for t in self.handle.listTimers():
-                    self.handle.deleteTimer(t)
-                self.handle.registerTimer(last_ms + self.timeout_ms)
-        yield from self._emit(corr, out)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        corr = str(key[0])
-        if self.done.exists():
-            # completed-group memory expired: the id may open a new group
-            self.done.clear()
-            return
-        out = [(corr, "discarded", None, p) for p, _ in self.pending.get()]
-        self.pending.clear()
-        self.meta.clear()
-        yield from self._emit(corr, out)
+                out.append((corr, "released", int(size), " ".join(pending)))
+                done, done_at, pending = True, arrival_ms, []
+        state.update((size, n, last_ms, done, pending))
+        if done:
+            if done_at is not None:
+                state.setTimeoutTimestamp(max(done_at + done_ttl_ms, wm + 1))
+        elif timeout_ms is not None and n:
+            state.setTimeoutTimestamp(max(last_ms + timeout_ms, wm + 1))
+        if out:
+            yield pd.DataFrame(out, columns=_COLS)
 
-    def close(self) -> None:
-        pass
+    return fn
 
 
 def stream_group_release(stream: DataFrame, key: str, order: Sequence[str], size_col: str, payload: str,
-                         arrival_ts: str, timeout_ms: int | None = None, watermark: str = "1 hour") -> DataFrame:
-    """Apply the group-release processor to a stream (or a batch frame)."""
+                         arrival_ts: str, timeout_ms: int | None = None, watermark: str = "1 hour",
+                         done_ttl_ms: int = 24 * 3600 * 1000) -> DataFrame:
+    """Apply the group-release state machine to a stream."""
     from flowframe.streaming.runner import use_rocksdb_state
 
     use_rocksdb_state(stream.sparkSession)
@@ -113,10 +100,7 @@ def stream_group_release(stream: DataFrame, key: str, order: Sequence[str], size
         (F.unix_micros(F.col(arrival_ts).cast("timestamp")) / 1000).cast("long").alias("arrival_ms"),
         F.col(arrival_ts).cast("timestamp").alias("event_time"),
         *[F.col(o).alias("o_" + o) for o in order],
-    )
-    if stream.isStreaming:
-        src = src.withWatermark("event_time", watermark)
-    proc = GroupReleaseProcessor(["o_" + o for o in order], timeout_ms=timeout_ms)
-    return src.groupBy("corr_id").transformWithStateInPandas(
-        statefulProcessor=proc, outputStructType=OUTPUT_SCHEMA, outputMode="Append",
-        timeMode="EventTime")
+    ).withWatermark("event_time", watermark)
+    fn = make_group_release(["o_" + o for o in order], timeout_ms, done_ttl_ms)
+    return src.groupBy("corr_id").applyInPandasWithState(
+        fn, OUTPUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
