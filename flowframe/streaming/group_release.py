@@ -26,6 +26,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -55,10 +56,15 @@ def make_group_release(order: Sequence[str], timeout_ms: int | None, done_ttl_ms
             pending = list(pending or [])
         else:
             size, n, last_ms, done, pending = None, 0, None, False, []
-        batch = pd.concat(list(pdfs), ignore_index=True).sort_values(order, kind="mergesort")
+        chunks = list(pdfs)
+        batch = chunks[0] if len(chunks) == 1 else pd.concat(chunks, ignore_index=True)
+        idx = np.lexsort([batch[c].to_numpy() for c in reversed(order)]) if len(batch) > 1 else np.arange(len(batch))
+        payloads = batch["payload"].to_numpy()[idx]
+        sizes = batch["seq_size"].to_numpy()[idx]
+        arrivals = batch["arrival_ms"].to_numpy()[idx]
         wm = state.getCurrentWatermarkMs()
         done_at = None
-        for payload, seq_size, arrival_ms in zip(batch["payload"], batch["seq_size"], batch["arrival_ms"]):
+        for payload, seq_size, arrival_ms in zip(payloads, sizes, arrivals):
             arrival_ms = int(arrival_ms)
             if not done and timeout_ms is not None and n and last_ms is not None and arrival_ms > last_ms + timeout_ms:
                 # the pending group timed out before this message came
@@ -82,7 +88,7 @@ def make_group_release(order: Sequence[str], timeout_ms: int | None, done_ttl_ms
         elif timeout_ms is not None and n:
             state.setTimeoutTimestamp(max(last_ms + timeout_ms, wm + 1))
         if out:
-            yield pd.DataFrame(out, columns=_COLS)
+            yield pd.DataFrame({c: [r[i] for r in out] for i, c in enumerate(_COLS)})
 
     return fn
 
