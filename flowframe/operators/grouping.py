@@ -52,16 +52,28 @@ def sequence_groups(df: DataFrame, key: str, order: Sequence[str | Column], size
 
 def seq_size_aggregate(df: DataFrame, key: str, order: Sequence[str | Column], size_col: str, payload: str,
                        sep: str | None = None) -> DataFrame:
-    """A1: released groups as ``(key, group_size, payloads)`` in arrival order."""
-    g = sequence_groups(df, key, order, size_col).filter(F.col("state") == "released")
-    lists = ordered_list(g, [key], "rn", payload, sep=sep)
-    sizes = g.filter(F.col("rn") == 1).select(key, "group_size")
-    return lists.join(sizes, key)
+    """A1: released groups as ``(key, group_size, payloads)`` in arrival order.
+
+    One aggregate over the numbered rows: a group is complete when it holds
+    ``group_size`` rows ranked within the size; only those rows enter the
+    list, so every list is bounded by its group's declared size, and the
+    partial (map-side) list of a hot key is bounded the same way."""
+    s = keyed_scan(df, [key], order, firsts=[size_col]).withColumn("group_size", F.col("first_" + size_col).cast("long"))
+    inside = F.col("rn") <= F.col("group_size")
+    agg = s.groupBy(key).agg(
+        F.max("group_size").alias("group_size"),
+        F.sum(inside.cast("long")).alias("_n_in"),
+        F.collect_list(F.when(inside, F.struct(F.col("rn").alias("p"), F.col(payload).alias("v")))).alias("_items"),
+    ).filter(F.col("_n_in") == F.col("group_size"))
+    lst = F.transform(F.array_sort("_items"), lambda x: x["v"])
+    return agg.select(key, "group_size", (F.concat_ws(sep, lst) if sep is not None else lst).alias("payloads"))
 
 
 def late_discard(df: DataFrame, key: str, order: Sequence[str | Column], size_col: str) -> DataFrame:
-    """A5: messages that arrive after their group completed (the discard output)."""
-    return sequence_groups(df, key, order, size_col).filter(F.col("state") == "late")
+    """A5: messages that arrive after their group completed (the discard
+    output): rank beyond the group size implies the group was complete."""
+    s = keyed_scan(df, [key], order, firsts=[size_col]).withColumn("group_size", F.col("first_" + size_col).cast("long"))
+    return s.filter(F.col("rn") > F.col("group_size")).withColumn("state", F.lit("late"))
 
 
 def multi_input_aggregate(inputs: Sequence[DataFrame], key: str, order: Sequence[str | Column], size_col: str,
@@ -89,9 +101,18 @@ def count_groups(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colum
 
 def count_aggregate(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], n: int, payload: str,
                     sep: str | None = None) -> DataFrame:
-    """A2: release every ``n`` messages per key, the group starting again after each release."""
-    g = count_groups(df, keys, order, n).filter("complete")
-    return ordered_list(g, list(keys) + ["group_no"], "group_pos", payload, sep=sep)
+    """A2: release every ``n`` messages per key, the group starting again
+    after each release; the incomplete tail stays pending (not output).
+    One aggregate per (key, group): lists hold at most ``n`` items."""
+    s = keyed_scan(df, list(keys), order)
+    s = s.withColumn("group_no", F.floor((F.col("rn") - 1) / n).cast("long")).withColumn(
+        "group_pos", ((F.col("rn") - 1) % n + 1).cast("long"))
+    agg = s.groupBy(*keys, "group_no").agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.collect_list(F.struct(F.col("group_pos").alias("p"), F.col(payload).alias("v"))).alias("_items"),
+    ).filter(F.col("_n") == n)
+    lst = F.transform(F.array_sort("_items"), lambda x: x["v"])
+    return agg.select(*keys, "group_no", (F.concat_ws(sep, lst) if sep is not None else lst).alias("payloads"))
 
 
 def release_period(spark, predicate: str, limit: int) -> int | None:

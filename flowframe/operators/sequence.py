@@ -180,6 +180,7 @@ def keyed_scan(
     sums: dict[str, str] | None = None,
     gap: tuple[str, float] | None = None,
     num_partitions: int | None = None,
+    materialize: bool = True,
 ) -> DataFrame:
     """Add per-key ``rn`` (1-based), ``prev_<c>``, ``first_<c>`` and running sums.
 
@@ -188,7 +189,9 @@ def keyed_scan(
     With ``gap=(ts_col, seconds)`` it also adds ``session_no`` (1-based per
     key; a new session starts when the time since the previous row of the
     key exceeds the gap) and ``session_rn`` (1-based inside the session).
-    The result keeps every input row and column.
+    The result keeps every input row and column.  With ``materialize`` the
+    numbered frame is persisted and computed once, so callers that use it
+    in several branches do not rerun the numbering pass.
     """
     keys = list(keys)
     spec = _Spec(keys=keys, lags=list(lags), firsts=list(firsts), sums=dict(sums or {}), rn=rn, gap=gap)
@@ -322,4 +325,10 @@ def keyed_scan(
             out, state = _scan_batch(pdf, spec, state)
             yield out[names]
 
-    return ordered.mapInPandas(number, out_schema)
+    out = ordered.mapInPandas(number, out_schema)
+    if not materialize:
+        return out
+    out = out.persist(StorageLevel.MEMORY_AND_DISK)
+    out.count()
+    ordered.unpersist()
+    return out
