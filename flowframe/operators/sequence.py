@@ -34,6 +34,18 @@ from pyspark.sql import types as T
 from flowframe.session import shuffle_partitions
 
 
+_PERSISTED: list[DataFrame] = []
+
+
+def release_cached() -> int:
+    """Unpersist the numbered frames kept by earlier ``keyed_scan`` calls
+    (call when their results have been written).  Returns how many."""
+    n = len(_PERSISTED)
+    while _PERSISTED:
+        _PERSISTED.pop().unpersist()
+    return n
+
+
 @dataclass
 class _Spec:
     keys: list[str]
@@ -331,4 +343,5 @@ def keyed_scan(
     out = out.persist(StorageLevel.MEMORY_AND_DISK)
     out.count()
     ordered.unpersist()
+    _PERSISTED.append(out)
     return out
