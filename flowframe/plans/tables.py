@@ -30,9 +30,17 @@ def q_select_by_id(spark, d):
     return TB.select_by_id(table(spark, d, "customer"), "c_custkey", 7)
 
 
-@register("select_by_id_version", "select * from lineitem where l_orderkey = 7 and l_linenumber = 1")
+@register("select_by_id_version", """
+with k as (select l_orderkey as id from lineitem order by l_orderkey desc limit 1)
+select * from lineitem where l_orderkey = (select id from k)
+  and l_linenumber = (select max(l_linenumber) from lineitem where l_orderkey = (select id from k))
+""")
 def q_select_by_id_version(spark, d):
-    return TB.select_by_id_version(table(spark, d, "lineitem"), "l_orderkey", 7, "l_linenumber", 1)
+    # the (id, version) the caller holds: the last order and its highest line
+    li = table(spark, d, "lineitem")
+    oid = li.agg(F.max("l_orderkey")).first()[0]
+    ver = li.filter(F.col("l_orderkey") == oid).agg(F.max("l_linenumber")).first()[0]
+    return TB.select_by_id_version(li, "l_orderkey", oid, "l_linenumber", ver)
 
 
 @register("status_claim", f"""
