@@ -40,7 +40,7 @@ def sequence_groups(df: DataFrame, key: str, order: Sequence[str | Column], size
     * ``pending``: rank <= size, group not yet complete;
     * ``late``: rank > size (arrived after the group was complete).
     """
-    s = keyed_scan(df, [key], order, firsts=[size_col]).withColumnRenamed("first_" + size_col, "group_size")
+    s = keyed_scan(df, [key], order, firsts=[size_col], materialize=True).withColumnRenamed("first_" + size_col, "group_size")
     s = s.withColumn("group_size", F.col("group_size").cast("long"))
     complete = s.filter(F.col("rn") == F.col("group_size")).select(F.col(key).alias("_ck")).withColumn("_complete", F.lit(True))
     s = s.join(complete, s[key] == complete["_ck"], "left").drop("_ck")
@@ -90,7 +90,7 @@ def count_groups(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colum
     """Rows with ``group_no`` (0-based) cutting each key's stream every ``n``
     messages, and ``complete`` (the group holds ``n``); the tail stays pending.
     With no key, the numbering is the two-phase global numbering."""
-    s = keyed_scan(df, list(keys), order)
+    s = keyed_scan(df, list(keys), order, materialize=True)
     s = s.withColumn("group_no", F.floor((F.col("rn") - 1) / n).cast("long"))
     s = s.withColumn("group_pos", ((F.col("rn") - 1) % n + 1).cast("long"))
     full = s.filter(F.col("group_pos") == n).select(*[F.col(k).alias("_k_" + k) for k in keys], F.col("group_no").alias("_g"))
@@ -151,7 +151,7 @@ def timeout_groups(df: DataFrame, keys: Sequence[str], ts: str, order: Sequence[
     Output: every row with ``session_no``, ``group_no`` and ``outcome``
     (``released`` / ``discarded``).
     """
-    s = keyed_scan(df, list(keys), order, gap=(ts, gap_seconds))
+    s = keyed_scan(df, list(keys), order, gap=(ts, gap_seconds), materialize=True)
     s = s.withColumn("group_no", F.floor((F.col("session_rn") - 1) / size).cast("long"))
     lens = s.groupBy(*[F.col(k).alias("_k_" + k) for k in keys], F.col("session_no").alias("_s")).agg(
         F.max("session_rn").alias("_len"))

@@ -30,7 +30,7 @@ def asof_gate(events: DataFrame, controls: DataFrame, keys: Sequence[str], ts: s
     u = c.unionByName(e, allowMissingColumns=True)
     # controls sort before events at the same instant
     order = [F.col("_ts"), F.col("_is_ctl").desc()] + ([F.col(pre[id_col])] if id_col else []) + [F.col("_flag")]
-    s = keyed_scan(u, keys, order, sums={"_ctl_no": "_is_ctl"})
+    s = keyed_scan(u, keys, order, sums={"_ctl_no": "_is_ctl"}, materialize=True)
     ctl = s.filter(F.col("_is_ctl") == 1.0).select(*[F.col(k).alias("_k_" + k) for k in keys], F.col("_ctl_no").alias("_n"), "_flag")
     ev = s.filter(F.col("_is_ctl") == 0.0).select(*keys, "_ctl_no", *pre.values())
     cond = [ev[k].eqNullSafe(ctl["_k_" + k]) for k in keys] + [ev["_ctl_no"] == ctl["_n"]]

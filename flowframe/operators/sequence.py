@@ -192,7 +192,8 @@ def keyed_scan(
     sums: dict[str, str] | None = None,
     gap: tuple[str, float] | None = None,
     num_partitions: int | None = None,
-    materialize: bool = True,
+    materialize: bool = False,
+    range_prefix: int = 1,
 ) -> DataFrame:
     """Add per-key ``rn`` (1-based), ``prev_<c>``, ``first_<c>`` and running sums.
 
@@ -204,14 +205,21 @@ def keyed_scan(
     The result keeps every input row and column.  With ``materialize`` the
     numbered frame is persisted and computed once, so callers that use it
     in several branches do not rerun the numbering pass.
+
+    Range bounds are sampled on the keys and the first ``range_prefix``
+    order columns only (cheaper to sample and compare); rows with an equal
+    prefix land in one partition, so partitions stay contiguous in the full
+    order, and a hot key still splits on its (usually time) order column.
     """
     keys = list(keys)
     spec = _Spec(keys=keys, lags=list(lags), firsts=list(firsts), sums=dict(sums or {}), rn=rn, gap=gap)
     spark = df.sparkSession
     n = num_partitions or shuffle_partitions(spark)
     sort_cols = [F.col(k) for k in keys] + [F.col(o) if isinstance(o, str) else o for o in order]
-    ordered = df.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
+    range_cols = sort_cols[: len(keys) + max(range_prefix, 0)] or sort_cols[:1]
+    ordered = df.repartitionByRange(n, *range_cols).sortWithinPartitions(*sort_cols)
     ordered = ordered.persist(StorageLevel.MEMORY_AND_DISK)
+    _PERSISTED.append(ordered)
 
     in_schema = ordered.schema
     key_fields = [in_schema[k] for k in keys]
@@ -343,5 +351,6 @@ def keyed_scan(
     out = out.persist(StorageLevel.MEMORY_AND_DISK)
     out.count()
     ordered.unpersist()
+    _PERSISTED.remove(ordered)
     _PERSISTED.append(out)
     return out
