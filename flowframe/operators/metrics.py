@@ -150,6 +150,9 @@ def metric_relabel(df: DataFrame, raw: str, rules: Sequence[RelabelRule] = KAFKA
     ``name``, ``type`` and ``labels`` (map).  Templates use ``$n`` group
     references, applied with ``regexp_replace`` on the anchored pattern, so
     everything stays inside the JVM."""
+    from flowframe.session import spread_if_narrow
+
+    df = spread_if_narrow(df)
     r = F.col(raw)
     anchored = [f"^(?:{x.pattern})$" for x in rules]
     rule_no = F.coalesce(*[F.when(r.rlike(a), F.lit(i + 1)) for i, a in enumerate(anchored)], F.lit(None).cast("int"))

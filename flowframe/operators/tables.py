@@ -173,7 +173,8 @@ def master_detail_load(sheet: DataFrame, users: DataFrame | None, now: _dt.datet
         add_months_ts(now_c, 3).alias("expired_account"),
         add_months_ts(now_c, 1).alias("expired_password"),
     )
-    role_rows = num.select("user_id", F.posexplode(role_list(roles_col)).alias("role_pos", "role"))
+    role_rows = num.select("user_id", F.posexplode_outer(role_list(roles_col)).alias("role_pos", "role")).filter(
+        F.col("role_pos").isNotNull())
     return user_rows, role_rows
 
 

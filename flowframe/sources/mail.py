@@ -60,8 +60,7 @@ def mail_bodies(df: DataFrame, id_col: str = "mail_id", content_col: str = "cont
     """``(mail_id, subject, body)`` per message.  Parsing is CPU-bound, so an
     input with fewer partitions than the cluster has cores (e.g. one big
     file) is spread by mail id first."""
+    from flowframe.session import spread_if_narrow
+
     src = df.select(df[id_col].cast("string").alias("mail_id"), df[content_col].alias("content"))
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if src.rdd.getNumPartitions() < cores:
-        src = src.repartition(cores, "mail_id")
-    return src.mapInPandas(_parse, _OUT)
+    return spread_if_narrow(src).mapInPandas(_parse, _OUT)
