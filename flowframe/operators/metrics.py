@@ -145,14 +145,25 @@ KAFKA_RELABEL_RULES: tuple[RelabelRule, ...] = (
 
 
 def metric_relabel(df: DataFrame, raw: str, rules: Sequence[RelabelRule] = KAFKA_RELABEL_RULES,
-                   lowercase_name: bool = True) -> DataFrame:
+                   lowercase_name: bool = True, distinct_first: bool = True) -> DataFrame:
     """Apply the first matching rule: adds ``rule_no`` (1-based, null if none),
     ``name``, ``type`` and ``labels`` (map).  Templates use ``$n`` group
     references, applied with ``regexp_replace`` on the anchored pattern, so
-    everything stays inside the JVM."""
-    from flowframe.session import spread_if_narrow
+    everything stays inside the JVM.
 
-    df = spread_if_narrow(df)
+    The patterns backtrack heavily, and the distinct raw names are bounded
+    by the metric catalog, not by the number of samples; so by default the
+    rules run once per distinct name and the result is joined back (the
+    planner broadcasts the small name table when its measured size allows)."""
+    if not distinct_first:
+        from flowframe.session import spread_if_narrow
+
+        return _relabel(spread_if_narrow(df), raw, rules, lowercase_name)
+    names = _relabel(df.select(raw).distinct(), raw, rules, lowercase_name)
+    return df.join(names, raw, "left")
+
+
+def _relabel(df: DataFrame, raw: str, rules: Sequence[RelabelRule], lowercase_name: bool) -> DataFrame:
     r = F.col(raw)
     anchored = [f"^(?:{x.pattern})$" for x in rules]
     rule_no = F.coalesce(*[F.when(r.rlike(a), F.lit(i + 1)) for i, a in enumerate(anchored)], F.lit(None).cast("int"))

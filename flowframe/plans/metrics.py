@@ -127,6 +127,8 @@ def q_metric_relabel(spark, d):
         t = F.lit(JMX_NAME_TEMPLATES[i])
         filled = F.replace(F.replace(t, F.lit("{t}"), F.col("event_type")), F.lit("{u}"), F.col("user_id").cast("string"))
         raw = F.when(idx == i, filled).otherwise(raw)
-    out = M.metric_relabel(ev.select("event_id", raw.alias("raw")), "raw")
+    # the sample names here embed the user id, so nearly every sample has its
+    # own name and relabelling distinct names first would not save work
+    out = M.metric_relabel(ev.select("event_id", raw.alias("raw")), "raw", distinct_first=False)
     lab = F.array_join(F.array_sort(F.transform(F.map_entries("labels"), lambda e: F.concat(e["key"], F.lit("="), e["value"]))), ";")
     return out.select("event_id", "raw", "rule_no", "name", "type", lab.alias("labels"))
