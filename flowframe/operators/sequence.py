@@ -193,7 +193,7 @@ def keyed_scan(
     gap: tuple[str, float] | None = None,
     num_partitions: int | None = None,
     materialize: bool = False,
-    range_prefix: int = 1,
+    range_prefix: int = 2,
 ) -> DataFrame:
     """Add per-key ``rn`` (1-based), ``prev_<c>``, ``first_<c>`` and running sums.
 

@@ -53,3 +53,14 @@ def test_keyed_scan_gap_sessions(spark, sf_dir):
         want = ev.withColumn("f", flag).withColumn("session_no", F.sum("f").over(w.rowsBetween(W.unboundedPreceding, 0)))
         want = want.withColumn("session_rn", F.row_number().over(W.partitionBy(*keys, "session_no").orderBy("ts", "event_id")))
         _cmp(got, want, ["event_id", "session_no", "session_rn"])
+
+
+def test_hot_key_is_spread_over_partitions(spark, sf_dir):
+    # one key holding every row must not end up in one task
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet").withColumn("k", F.lit("hot"))
+    got = keyed_scan(ev, ["k"], ["ts", "event_id"], num_partitions=8)
+    used = got.select(F.spark_partition_id().alias("p")).distinct().count()
+    assert used >= 6
+    # low-cardinality first order column: the second order column still splits it
+    got2 = keyed_scan(ev.withColumn("prio", F.lit(1)), ["k"], ["prio", "ts", "event_id"], num_partitions=8)
+    assert got2.select(F.spark_partition_id().alias("p")).distinct().count() >= 6
