@@ -117,3 +117,15 @@ def parent_dir(path: Column | str) -> Column:
 def reroot(path: Column | str, new_dir: str) -> Column:
     """Same file name under another directory."""
     return F.concat(F.lit(new_dir.rstrip("/") + "/"), file_name(path))
+
+
+def ntz_literal(value) -> Column:
+    """A wall-clock timestamp literal (TIMESTAMP_NTZ) that does not depend on
+    the session or machine time zone (``F.lit(datetime)`` would be
+    zone-aware and shift when cast)."""
+    return F.expr(f"TIMESTAMP_NTZ '{value:%Y-%m-%d %H:%M:%S.%f}'")
+
+
+def trunc_minute_ntz(col: Column | str) -> Column:
+    """``date_trunc('minute', ts)`` kept as wall-clock time."""
+    return F.date_trunc("minute", _c(col)).cast("timestamp_ntz")

@@ -71,8 +71,10 @@ def held_at_tick(df: DataFrame, arrival: str, release: str, id_col: str, tick: s
     Each message explodes into the ticks it spans (bounded by its delay),
     so no range join and no tick table are needed; the per-tick count is a
     partial aggregate."""
-    first = F.when(F.date_trunc("minute", F.col(arrival)) == F.col(arrival), F.col(arrival)).otherwise(
-        F.date_trunc("minute", F.col(arrival)) + F.expr(f"INTERVAL {tick}"))
+    from flowframe.functions.scalar import trunc_minute_ntz
+
+    floor = trunc_minute_ntz(arrival)
+    first = F.when(floor == F.col(arrival), F.col(arrival)).otherwise(floor + F.expr(f"INTERVAL {tick}"))
     ticks = df.withColumn("_first", first).filter(F.col("_first") < F.col(release))
     ticks = ticks.withColumn("tick", F.explode(F.sequence(F.col("_first"), F.col(release), F.expr(f"INTERVAL {tick}"))))
     ticks = ticks.filter(F.col("tick") < F.col(release))

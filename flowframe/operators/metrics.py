@@ -46,7 +46,9 @@ def metric_instant(df: DataFrame, series: Sequence[str], ts: str = "ts", value:
     for k, rx in (matches or {}).items():
         cond = cond & F.coalesce(F.col(k).cast("string").rlike(f"^(?:{rx})$"), F.lit(False))
     if at is not None:
-        cond = cond & (F.col(ts) <= F.lit(at))
+        from flowframe.functions.scalar import ntz_literal
+
+        cond = cond & (F.col(ts) <= (ntz_literal(at) if hasattr(at, "strftime") else F.lit(at)))
     sel = df.filter(cond)
     return sel.groupBy(*series).agg(
         F.max(ts).alias(ts),

@@ -165,7 +165,9 @@ def master_detail_load(sheet: DataFrame, users: DataFrame | None, now: _dt.datet
     spark = sheet.sparkSession
     base_target = users if users is not None else spark.createDataFrame([], "user_id bigint")
     num = insert_generated_key(base_target, sheet, "user_id", order)
-    now_c = F.lit(now).cast("timestamp_ntz")
+    from flowframe.functions.scalar import ntz_literal
+
+    now_c = ntz_literal(now)
     user_rows = num.select(
         "user_id", "username", "password", "mail_address",
         F.lit(1).cast("smallint").alias("enabled"),

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from flowframe.functions.scalar import ntz_literal
 from flowframe.operators import delay as D
 from flowframe.operators import retry as R
 from flowframe.operators.joins import asof_gate
@@ -306,5 +307,5 @@ select message_id, outcome, last_error_class, last_error, next_attempt_at,
 from s where outcome <> 'succeeded'
 """)
 def q_dead_letter(spark, d):
-    now = F.lit(REPLAY_NOW).cast("timestamp_ntz")
+    now = ntz_literal(REPLAY_NOW)
     return R.dead_letter(_status(spark, d), "message_id", now, ERRORMAIL_TO, ERRORMAIL_SUBJECT)
