@@ -110,3 +110,111 @@ def stream_group_release(stream: DataFrame, key: str, order: Sequence[str], size
     fn = make_group_release(["o_" + o for o in order], timeout_ms, done_ttl_ms)
     return src.groupBy("corr_id").applyInPandasWithState(
         fn, OUTPUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
+
+
+# ---------------------------------------------------------------- bucketed form
+BUCKET_STATE_SCHEMA = ("corr array<string>, size array<long>, n array<long>, last_ms array<long>, "
+                       "done array<boolean>, done_until array<long>, pending array<array<string>>")
+
+
+def make_bucketed_group_release(order: Sequence[str], timeout_ms: int | None, done_ttl_ms: int):
+    """Same state machine as :func:`make_group_release`, for all correlation
+    ids of one hash bucket at once: the framework's per-group cost is paid
+    per bucket instead of per id.  Each touched bucket rewrites its state,
+    so the bucket count bounds that cost."""
+    order = list(order)
+
+    def fn(key, pdfs, state):
+        out_c, out_o, out_s, out_p = [], [], [], []
+        groups: dict[str, list] = {}
+        if state.exists:
+            c, sz, n, last, done, until, pend = state.get
+            for i in range(len(c or [])):
+                groups[c[i]] = [sz[i], n[i], last[i], bool(done[i]), until[i], list(pend[i] or [])]
+        wm = state.getCurrentWatermarkMs()
+
+        def emit(corr, outcome, seq, payload):
+            out_c.append(corr)
+            out_o.append(outcome)
+            out_s.append(seq)
+            out_p.append(payload)
+
+        # expire by the watermark: forget completed ids, discard timed-out groups
+        for corr in list(groups):
+            g = groups[corr]
+            if g[3]:
+                if g[4] is not None and g[4] <= wm:
+                    del groups[corr]
+            elif timeout_ms is not None and g[1] and g[2] is not None and g[2] + timeout_ms <= wm:
+                for p in g[5]:
+                    emit(corr, "discarded", None, p)
+                del groups[corr]
+        if not state.hasTimedOut:
+            chunks = [p for p in pdfs if len(p)]
+            if chunks:
+                batch = chunks[0] if len(chunks) == 1 else pd.concat(chunks, ignore_index=True)
+                idx = np.lexsort([batch[c].to_numpy() for c in reversed(order)] + [batch["corr_id"].to_numpy()])
+                corrs = batch["corr_id"].to_numpy()[idx].tolist()
+                payloads = batch["payload"].to_numpy()[idx].tolist()
+                sizes = batch["seq_size"].to_numpy()[idx].tolist()
+                arrivals = batch["arrival_ms"].to_numpy()[idx].tolist()
+                for corr, payload, seq_size, arrival_ms in zip(corrs, payloads, sizes, arrivals):
+                    g = groups.get(corr)
+                    if g is None:
+                        g = groups[corr] = [None, 0, None, False, None, []]
+                    if g[3]:
+                        emit(corr, "late", None, str(payload))
+                        continue
+                    if timeout_ms is not None and g[1] and g[2] is not None and arrival_ms > g[2] + timeout_ms:
+                        for p in g[5]:
+                            emit(corr, "discarded", None, p)
+                        g[0], g[1], g[2], g[5] = None, 0, None, []
+                    if g[0] is None:
+                        g[0] = int(seq_size)
+                    g[5].append(str(payload))
+                    g[1] += 1
+                    g[2] = int(arrival_ms)
+                    if g[1] >= g[0]:
+                        emit(corr, "released", int(g[0]), " ".join(g[5]))
+                        g[3], g[4], g[5] = True, int(arrival_ms) + done_ttl_ms, []
+        if groups:
+            items = list(groups.items())
+            state.update((
+                [k for k, _ in items], [g[0] for _, g in items], [g[1] for _, g in items], [g[2] for _, g in items],
+                [g[3] for _, g in items], [g[4] for _, g in items], [g[5] for _, g in items],
+            ))
+            deadlines = [g[4] for _, g in items if g[3] and g[4] is not None]
+            if timeout_ms is not None:
+                deadlines += [g[2] + timeout_ms for _, g in items if not g[3] and g[1] and g[2] is not None]
+            if deadlines:
+                state.setTimeoutTimestamp(max(min(deadlines), wm + 1))
+        else:
+            state.remove()
+        if out_c:
+            yield pd.DataFrame({"corr_id": out_c, "outcome": out_o, "seq": out_s, "payloads": out_p})
+
+    return fn
+
+
+def stream_group_release_bucketed(stream: DataFrame, key: str, order: Sequence[str], size_col: str, payload: str,
+                                  arrival_ts: str, buckets: int | None = None, timeout_ms: int | None = None,
+                                  watermark: str = "1 hour", done_ttl_ms: int = 24 * 3600 * 1000) -> DataFrame:
+    """Group release with the state of ``buckets`` hash buckets of
+    correlation ids (same output as :func:`stream_group_release`).  By
+    default four buckets per shuffle partition, so the stateful stage keeps
+    the cluster's full parallelism."""
+    from flowframe.session import shuffle_partitions
+    from flowframe.streaming.runner import use_rocksdb_state
+
+    buckets = buckets or 4 * shuffle_partitions(stream.sparkSession)
+    use_rocksdb_state(stream.sparkSession)
+    src = stream.select(
+        F.col(key).cast("string").alias("corr_id"), F.col(payload).cast("string").alias("payload"),
+        F.col(size_col).cast("long").alias("seq_size"),
+        (F.unix_micros(F.col(arrival_ts).cast("timestamp")) / 1000).cast("long").alias("arrival_ms"),
+        F.col(arrival_ts).cast("timestamp").alias("event_time"),
+        *[F.col(o).alias("o_" + o) for o in order],
+    ).withColumn("bucket", F.pmod(F.xxhash64("corr_id"), F.lit(int(buckets))).cast("int")).withWatermark("event_time", watermark)
+    fn = make_bucketed_group_release(["o_" + o for o in order], timeout_ms, done_ttl_ms)
+    return src.groupBy("bucket").applyInPandasWithState(
+        fn, OUTPUT_SCHEMA, BUCKET_STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)

@@ -7,7 +7,9 @@ import time
 from pyspark.sql import functions as F
 
 from flowframe.streaming.delayer import stream_delayer
-from flowframe.streaming.group_release import stream_group_release
+import pytest
+
+from flowframe.streaming.group_release import stream_group_release, stream_group_release_bucketed
 from flowframe.streaming.runner import run_available_now
 
 T0 = dt.datetime(2024, 1, 1)
@@ -32,7 +34,8 @@ def _at(s):
     return T0 + dt.timedelta(seconds=s)
 
 
-def test_group_release_over_batches(spark, tmp_path):
+@pytest.mark.parametrize("bucketed", [False, True])
+def test_group_release_over_batches(spark, tmp_path, bucketed):
     base = str(tmp_path / "in")
     _write_batches(spark, base, [
         [("A", 1, 3, "A1", _at(1)), ("B", 1, 1, "B1", _at(2))],
@@ -41,8 +44,12 @@ def test_group_release_over_batches(spark, tmp_path):
         [("Z", 1, 5, "Z1", _at(10000))],  # moves event time on, so C times out
     ], SCHEMA)
     stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(base)
-    out = stream_group_release(stream, "corr_id", ["arrival_ts", "seq_no"], "seq_size", "payload", "arrival_ts",
-                               timeout_ms=3000, watermark="0 seconds")
+    if bucketed:
+        out = stream_group_release_bucketed(stream, "corr_id", ["arrival_ts", "seq_no"], "seq_size", "payload", "arrival_ts",
+                                            buckets=2, timeout_ms=3000, watermark="0 seconds")
+    else:
+        out = stream_group_release(stream, "corr_id", ["arrival_ts", "seq_no"], "seq_size", "payload", "arrival_ts",
+                                   timeout_ms=3000, watermark="0 seconds")
     res = run_available_now(out, "grp", base=str(tmp_path / "run"))
     got = sorted((r["corr_id"], r["outcome"], r["payloads"]) for r in res.collect())
     assert got == [("A", "released", "A1 A2 A3"), ("B", "late", "B2"), ("B", "released", "B1"), ("C", "discarded", "C1")]
