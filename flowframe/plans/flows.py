@@ -113,7 +113,9 @@ select o_orderstatus, o_orderkey,
 from orders
 """)
 def q_priority_order(spark, d):
-    o = table(spark, d, "orders").withColumn("priority", 6 - F.substring("o_orderpriority", 1, 1).cast("int"))
+    # only the columns the dequeue order needs cross into the numbering pass
+    o = table(spark, d, "orders").select(
+        "o_orderstatus", "o_orderkey", "o_orderdate", (6 - F.substring("o_orderpriority", 1, 1).cast("int")).alias("priority"))
     return priority_order(o, ["o_orderstatus"], "priority", "o_orderdate", "o_orderkey").select("o_orderstatus", "o_orderkey", "dequeue_no")
 
 
