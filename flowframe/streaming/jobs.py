@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowframe.operators.tables import status_claim
-from flowframe.sinks.files import path_exists
 
 
 def stream_tick_window(stream: DataFrame, ts: str, every: str, id_col: str, watermark: str = "0 seconds") -> DataFrame:
@@ -28,16 +27,16 @@ def stream_accept_once(stream: DataFrame, path: str, ts: str, watermark: str = "
 
 def copy_orders_batch(spark: SparkSession, target: str, key: str, status_col: str, new_value, claimed_value):
     """``foreachBatch`` body of the table-copy job: claim the new rows of the
-    batch, append them to the target idempotently (a replayed batch inserts
-    nothing twice) and return the deleted keys.  The claim and the delete
-    happen on the batch's own snapshot, so a crash between steps is
-    repaired by the replay."""
+    batch and write them to the target's ``batch_id=<n>`` partition with
+    overwrite.  A replayed micro-batch (same id after a failure) replaces
+    exactly its own output, so the copy is idempotent at the cost of the
+    batch, without reading the target.  The claim and the copy happen on
+    the batch's own snapshot, so a crash between steps is repaired by the
+    replay."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
         claimed, _snapshot = status_claim(batch, key, status_col, new_value, claimed_value)
         rows = claimed.select(F.col(key).alias("order_id"))
-        if path_exists(spark, target):
-            rows = rows.join(spark.read.parquet(target).select("order_id"), "order_id", "left_anti")
-        rows.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("append").parquet(target)
+        rows.write.mode("overwrite").parquet(f"{target.rstrip('/')}/batch_id={int(batch_id)}")
 
     return run

@@ -67,3 +67,16 @@ def test_delayer_releases_each_message_once(spark, tmp_path):
     res = run_available_now(stream_delayer(stream, "k", "id", "ts", "release_ts"), "delay", base=str(tmp_path / "run"))
     got = sorted((r["msg_id"], r["release_ts"]) for r in res.filter(F.col("msg_id") > 0).collect())
     assert got == [(1, _at(3)), (2, _at(3)), (3, _at(50)), (4, _at(12))]
+
+
+def test_copy_batch_replay_is_idempotent(spark, tmp_path):
+    from flowframe.streaming.jobs import copy_orders_batch
+
+    batch = spark.createDataFrame([(1, "F"), (2, "O"), (3, "F")], "o_orderkey long, o_orderstatus string")
+    target = str(tmp_path / "target")
+    run = copy_orders_batch(spark, target, "o_orderkey", "o_orderstatus", "F", "O")
+    run(batch, 0)
+    run(batch, 0)  # replay after a failure
+    run(spark.createDataFrame([(4, "F")], batch.schema), 1)
+    got = sorted(r["order_id"] for r in spark.read.parquet(target).collect())
+    assert got == [1, 3, 4]
