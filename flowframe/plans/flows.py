@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from flowframe.functions.scalar import ntz_literal

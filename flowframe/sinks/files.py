@@ -19,9 +19,9 @@ def per_file_sink(df: DataFrame, out_dir: str, file_col: str, seq_col: str, line
     of one.  Dynamic partition overwrite replaces only the files written."""
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     out = df.select(file_col, seq_col, line_col).repartitionByRange(n, file_col, seq_col).sortWithinPartitions(file_col, seq_col)
-    out.select(file_col, F.col(line_col).alias("value")).write.mode("overwrite").partitionBy(file_col).text(out_dir)
+    (out.select(file_col, F.col(line_col).alias("value")).write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic").partitionBy(file_col).text(out_dir))
 
 
 def compose_document(to: Column, subject: Column, body: Column) -> Column:
