@@ -129,3 +129,23 @@ def ntz_literal(value) -> Column:
 def trunc_minute_ntz(col: Column | str) -> Column:
     """``date_trunc('minute', ts)`` kept as wall-clock time."""
     return F.date_trunc("minute", _c(col)).cast("timestamp_ntz")
+
+
+_NTZ_EPOCH = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
+
+
+def ntz_micros(col: Column | str) -> Column:
+    """Microseconds of a wall-clock timestamp since the epoch, read as UTC
+    (zone-free arithmetic, unlike ``unix_micros(cast(ts as timestamp))``)."""
+    return F.timestamp_diff("MICROSECOND", F.expr(_NTZ_EPOCH), _c(col))
+
+
+def ntz_as_utc_instant(col: Column | str) -> Column:
+    """The instant whose UTC wall time is this NTZ value (streaming event
+    time must be zone-aware; this keeps windows and timers zone-free)."""
+    return F.timestamp_micros(ntz_micros(col))
+
+
+def utc_instant_as_ntz(col: Column | str) -> Column:
+    """Inverse of :func:`ntz_as_utc_instant`."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(_c(col)), F.expr(_NTZ_EPOCH))

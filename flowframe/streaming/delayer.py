@@ -48,14 +48,15 @@ def _delay(key, pdfs, state):
 def stream_delayer(stream: DataFrame, key: str, msg_id: str, arrival_ts: str, release_ts: str,
                    watermark: str = "0 seconds") -> DataFrame:
     """Held messages come out as ``(msg_id, key, release_ts)`` once released."""
-    from flowframe.streaming.runner import use_rocksdb_state
+    from flowframe.streaming.runner import event_micros, event_time, use_rocksdb_state
 
     use_rocksdb_state(stream.sparkSession)
     src = stream.select(
         F.col(key).cast("string").alias("key"), F.col(msg_id).cast("long").alias("msg_id"),
-        F.col(arrival_ts).cast("timestamp").alias("event_time"),
-        F.unix_micros(F.col(release_ts).cast("timestamp")).alias("release_us"),
+        event_time(stream, arrival_ts).alias("event_time"),
+        event_micros(stream, release_ts).alias("release_us"),
     ).withWatermark("event_time", watermark)
     out = src.groupBy("key").applyInPandasWithState(_delay, OUTPUT_SCHEMA, STATE_SCHEMA, "append",
                                                     GroupStateTimeout.EventTimeTimeout)
-    return out.select("msg_id", "key", F.timestamp_micros("release_us").cast("timestamp_ntz").alias("release_ts"))
+    epoch = F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'")
+    return out.select("msg_id", "key", F.timestamp_add("MICROSECOND", F.col("release_us"), epoch).alias("release_ts"))

@@ -97,14 +97,14 @@ def stream_group_release(stream: DataFrame, key: str, order: Sequence[str], size
                          arrival_ts: str, timeout_ms: int | None = None, watermark: str = "1 hour",
                          done_ttl_ms: int = 24 * 3600 * 1000) -> DataFrame:
     """Apply the group-release state machine to a stream."""
-    from flowframe.streaming.runner import use_rocksdb_state
+    from flowframe.streaming.runner import event_micros, event_time, use_rocksdb_state
 
     use_rocksdb_state(stream.sparkSession)
     src = stream.select(
         F.col(key).cast("string").alias("corr_id"), F.col(payload).cast("string").alias("payload"),
         F.col(size_col).cast("long").alias("seq_size"),
-        (F.unix_micros(F.col(arrival_ts).cast("timestamp")) / 1000).cast("long").alias("arrival_ms"),
-        F.col(arrival_ts).cast("timestamp").alias("event_time"),
+        (event_micros(stream, arrival_ts) / 1000).cast("long").alias("arrival_ms"),
+        event_time(stream, arrival_ts).alias("event_time"),
         *[F.col(o).alias("o_" + o) for o in order],
     ).withWatermark("event_time", watermark)
     fn = make_group_release(["o_" + o for o in order], timeout_ms, done_ttl_ms)
@@ -204,15 +204,15 @@ def stream_group_release_bucketed(stream: DataFrame, key: str, order: Sequence[s
     default four buckets per shuffle partition, so the stateful stage keeps
     the cluster's full parallelism."""
     from flowframe.session import shuffle_partitions
-    from flowframe.streaming.runner import use_rocksdb_state
+    from flowframe.streaming.runner import event_micros, event_time, use_rocksdb_state
 
     buckets = buckets or 4 * shuffle_partitions(stream.sparkSession)
     use_rocksdb_state(stream.sparkSession)
     src = stream.select(
         F.col(key).cast("string").alias("corr_id"), F.col(payload).cast("string").alias("payload"),
         F.col(size_col).cast("long").alias("seq_size"),
-        (F.unix_micros(F.col(arrival_ts).cast("timestamp")) / 1000).cast("long").alias("arrival_ms"),
-        F.col(arrival_ts).cast("timestamp").alias("event_time"),
+        (event_micros(stream, arrival_ts) / 1000).cast("long").alias("arrival_ms"),
+        event_time(stream, arrival_ts).alias("event_time"),
         *[F.col(o).alias("o_" + o) for o in order],
     ).withColumn("bucket", F.pmod(F.xxhash64("corr_id"), F.lit(int(buckets))).cast("int")).withWatermark("event_time", watermark)
     fn = make_bucketed_group_release(["o_" + o for o in order], timeout_ms, done_ttl_ms)

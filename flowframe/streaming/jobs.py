@@ -11,17 +11,22 @@ from flowframe.operators.tables import status_claim
 def stream_tick_window(stream: DataFrame, ts: str, every: str, id_col: str, watermark: str = "0 seconds") -> DataFrame:
     """Tumbling drain windows with a watermark (append: a window is emitted
     once the watermark passes its end)."""
-    s = stream.withColumn("_et", F.col(ts).cast("timestamp")).withWatermark("_et", watermark)
+    from flowframe.functions.scalar import utc_instant_as_ntz
+    from flowframe.streaming.runner import event_time
+
+    s = stream.withColumn("_et", event_time(stream, ts)).withWatermark("_et", watermark)
     return s.groupBy(F.window("_et", every).alias("w")).agg(
         F.count(F.lit(1)).alias("n_messages"), F.min(id_col).alias("first_id"), F.max(id_col).alias("last_id")
-    ).select(F.col("w.end").cast("timestamp_ntz").alias("drained_at"), "n_messages", "first_id", "last_id")
+    ).select(utc_instant_as_ntz(F.col("w.end")).alias("drained_at"), "n_messages", "first_id", "last_id")
 
 
 def stream_accept_once(stream: DataFrame, path: str, ts: str, watermark: str = "1 day") -> DataFrame:
     """Each path once (hidden names skipped); duplicates are dropped within
     the watermark, so the dedupe state stays bounded."""
     s = stream.filter(~F.regexp_extract(F.col(path), r"([^/]*)$", 1).rlike(r"^[._]"))
-    s = s.withColumn("_et", F.col(ts).cast("timestamp")).withWatermark("_et", watermark)
+    from flowframe.streaming.runner import event_time
+
+    s = s.withColumn("_et", event_time(stream, ts)).withWatermark("_et", watermark)
     return s.dropDuplicatesWithinWatermark([path]).select(path)
 
 

@@ -36,3 +36,25 @@ def stage_stream_input(df: DataFrame, name: str, partitions: int | None = None)
     base = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
     (df.repartition(partitions) if partitions else df).write.parquet(f"{base}/in")
     return f"{base}/in", df
+
+
+def event_time(df: DataFrame, col: str):
+    """Zone-aware event time for watermarks: a wall-clock (NTZ) column is read
+    as UTC with zone-free arithmetic, so windows and timers do not depend on
+    the session time zone; a zone-aware column is used as is."""
+    from pyspark.sql import functions as F
+    from pyspark.sql.types import TimestampNTZType
+
+    from flowframe.functions.scalar import ntz_as_utc_instant
+
+    return ntz_as_utc_instant(col) if isinstance(df.schema[col].dataType, TimestampNTZType) else F.col(col).cast("timestamp")
+
+
+def event_micros(df: DataFrame, col: str):
+    """Microseconds since the epoch of a timestamp column (NTZ read as UTC)."""
+    from pyspark.sql import functions as F
+    from pyspark.sql.types import TimestampNTZType
+
+    from flowframe.functions.scalar import ntz_micros
+
+    return ntz_micros(col) if isinstance(df.schema[col].dataType, TimestampNTZType) else F.unix_micros(F.col(col).cast("timestamp"))
