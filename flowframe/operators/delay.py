@@ -65,17 +65,21 @@ def tick_drain(df: DataFrame, ts: str, every: str, id_col: str) -> DataFrame:
     ).select(F.col("w.end").alias("drained_at"), "n_messages", "first_id", "last_id")
 
 
-def held_at_tick(df: DataFrame, arrival: str, release: str, id_col: str, tick: str = "1 minute") -> DataFrame:
-    """Messages held by the delayer at each tick ``t`` (``arrival <= t < release``).
-
-    Each message explodes into the ticks it spans (bounded by its delay),
-    so no range join and no tick table are needed; the per-tick count is a
-    partial aggregate."""
-    from flowframe.functions.scalar import trunc_minute_ntz
-
-    floor = trunc_minute_ntz(arrival)
-    first = F.when(floor == F.col(arrival), F.col(arrival)).otherwise(floor + F.expr(f"INTERVAL {tick}"))
-    ticks = df.withColumn("_first", first).filter(F.col("_first") < F.col(release))
-    ticks = ticks.withColumn("tick", F.explode(F.sequence(F.col("_first"), F.col(release), F.expr(f"INTERVAL {tick}"))))
-    ticks = ticks.filter(F.col("tick") < F.col(release))
+def held_at_tick(df: DataFrame, arrival: str, release: str, id_col: str, tick_seconds: int = 60) -> DataFrame:
+    """Messages held by the delayer at each tick ``t`` (``arrival <= t < release``),
+    ticks every ``tick_seconds`` from the epoch.
+
+    Each message explodes into the ticks it spans (bounded by its delay
+    over the tick length), so no range join and no tick table are needed;
+    the per-tick count is a partial aggregate.  Tick arithmetic is on
+    wall-clock microseconds, independent of the session zone."""
+    from flowframe.functions.scalar import ntz_micros
+
+    step = int(tick_seconds) * 1_000_000
+    first = F.ceil(ntz_micros(arrival) / F.lit(step)) * F.lit(step)
+    last = F.ceil(ntz_micros(release) / F.lit(step)) * F.lit(step) - F.lit(step)  # last tick < release
+    epoch = F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'")
+    ticks = df.withColumn("_first", first.cast("long")).withColumn("_last", last.cast("long")).filter(F.col("_first") <= F.col("_last"))
+    ticks = ticks.withColumn("_t", F.explode(F.sequence(F.col("_first"), F.col("_last"), F.lit(step).cast("long"))))
+    ticks = ticks.withColumn("tick", F.timestamp_add("MICROSECOND", F.col("_t"), epoch))
     return ticks.groupBy("tick").agg(F.count(F.lit(1)).alias("n_held"), F.min(id_col).alias("first_id"))

@@ -42,3 +42,15 @@ def test_retry_status_outcomes(spark):
     assert got == {"m1": ("succeeded", 2), "m2": ("due", 1), "m3": ("exhausted", 3)}
     m2 = R.retry_status(df, "message_id", "ts", "ok", pol, order=["ts", "event_id"]).filter(F.col("message_id") == "m2").first()
     assert m2["next_attempt_at"] == t + dt.timedelta(seconds=1)
+
+
+def test_held_at_tick_boundaries(spark):
+    import datetime as dt
+
+    t = dt.datetime(2024, 1, 1, 0, 0, 0)
+    rows = [(1, t, t + dt.timedelta(minutes=2)),                                   # ticks 0:00, 0:01 (0:02 is release)
+            (2, t + dt.timedelta(seconds=30), t + dt.timedelta(minutes=1, seconds=1)),  # tick 0:01 only
+            (3, t + dt.timedelta(seconds=5), t + dt.timedelta(seconds=50))]        # spans no tick
+    df = spark.createDataFrame(rows, "id long, arrival timestamp_ntz, release timestamp_ntz")
+    got = sorted((r["tick"], r["n_held"]) for r in D.held_at_tick(df, "arrival", "release", "id").collect())
+    assert got == [(t, 1), (t + dt.timedelta(minutes=1), 2)]
