@@ -112,3 +112,20 @@ def test_versioned_update_and_stale(spark):
     out = {r["id"]: (r["outcome"], r["version"], r["v"]) for r in
            TB.versioned_update(target, changes, "id", "version", "expected", {"v": F.col("nv")}).collect()}
     assert out == {1: ("updated", 2, "A"), 2: ("stale", 5, "b"), 3: ("missing", None, None)}
+
+
+def test_select_by_id_version_requires_a_row(spark):
+    import pytest
+
+    df = spark.createDataFrame([(1, 1), (1, 2)], "id long, version long")
+    assert TB.select_by_id_version(df, "id", 1, "version", 2).count() == 1
+    with pytest.raises(TB.NoResultError):
+        TB.select_by_id_version(df, "id", 1, "version", 3)
+
+
+def test_intake_limit_polls(spark):
+    from flowframe.sources.records import intake_limit
+
+    df = spark.createDataFrame([(i,) for i in range(12)], "i int")
+    got = {r["i"]: r["poll_no"] for r in intake_limit(df, ["i"], 5).collect()}
+    assert [got[i] for i in range(12)] == [0] * 5 + [1] * 5 + [2] * 2
