@@ -56,13 +56,20 @@ def make_group_release(order: Sequence[str], timeout_ms: int | None, done_ttl_ms
             pending = list(pending or [])
         else:
             size, n, last_ms, done, pending = None, 0, None, False, []
+        wm = state.getCurrentWatermarkMs()
+        # a due timeout is not delivered as a timeout call when data for the
+        # key arrives in the same micro-batch: apply it here first
+        if done and last_ms is not None and last_ms + done_ttl_ms <= wm:
+            size, n, last_ms, done, pending = None, 0, None, False, []
+        elif not done and timeout_ms is not None and n and last_ms is not None and last_ms + timeout_ms <= wm:
+            out += [(corr, "discarded", None, p) for p in pending]
+            size, n, last_ms, pending = None, 0, None, []
         chunks = list(pdfs)
         batch = chunks[0] if len(chunks) == 1 else pd.concat(chunks, ignore_index=True)
         idx = np.lexsort([batch[c].to_numpy() for c in reversed(order)]) if len(batch) > 1 else np.arange(len(batch))
         payloads = batch["payload"].to_numpy()[idx]
         sizes = batch["seq_size"].to_numpy()[idx]
         arrivals = batch["arrival_ms"].to_numpy()[idx]
-        wm = state.getCurrentWatermarkMs()
         done_at = None
         for payload, seq_size, arrival_ms in zip(payloads, sizes, arrivals):
             arrival_ms = int(arrival_ms)

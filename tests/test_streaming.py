@@ -80,3 +80,23 @@ def test_copy_batch_replay_is_idempotent(spark, tmp_path):
     run(spark.createDataFrame([(4, "F")], batch.schema), 1)
     got = sorted(r["order_id"] for r in spark.read.parquet(target).collect())
     assert got == [1, 3, 4]
+
+
+@pytest.mark.parametrize("bucketed", [False, True])
+def test_completed_group_memory_expires(spark, tmp_path, bucketed):
+    base = str(tmp_path / "in")
+    _write_batches(spark, base, [
+        [("D", 1, 1, "D1", _at(0))],
+        [("D", 2, 1, "D2", _at(5))],        # within the TTL: late
+        [("Y", 1, 9, "Y1", _at(100))],      # moves event time past the TTL
+        [("D", 3, 1, "D3", _at(200))],      # after the TTL: a new group
+    ], SCHEMA)
+    stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(base)
+    kw = dict(watermark="0 seconds", done_ttl_ms=10_000)
+    if bucketed:
+        out = stream_group_release_bucketed(stream, "corr_id", ["arrival_ts"], "seq_size", "payload", "arrival_ts", buckets=2, **kw)
+    else:
+        out = stream_group_release(stream, "corr_id", ["arrival_ts"], "seq_size", "payload", "arrival_ts", **kw)
+    res = run_available_now(out, "ttl", base=str(tmp_path / "run"))
+    got = sorted((r["outcome"], r["payloads"]) for r in res.filter(F.col("corr_id") == "D").collect())
+    assert got == [("late", "D2"), ("released", "D1"), ("released", "D3")]
