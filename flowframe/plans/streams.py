@@ -14,7 +14,7 @@ from flowframe.plans.groups import RANKED_SQL, SEQ_AGG_SQL
 from flowframe.plans.io import LISTING_PATH_SQL, _listings
 from flowframe.plans.registry import register, table
 from flowframe.session import scratch_path
-from flowframe.streaming.delayer import stream_delayer
+from flowframe.streaming.delayer import stream_delayer_bucketed
 from flowframe.streaming.group_release import stream_group_release_bucketed
 from flowframe.streaming.jobs import copy_orders_batch, stream_accept_once, stream_tick_window
 from flowframe.streaming.runner import run_available_now
@@ -66,7 +66,7 @@ def q_stream_delayer(spark, d):
     base = _stage(ev, "delay")
     _with_sentinel(ev, base, "ts", {"event_id": -1, "user_id": -1, "release_ts": SENTINEL_TS})
     stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1000).parquet(f"{base}/in")
-    out = stream_delayer(stream, "user_id", "event_id", "ts", "release_ts")
+    out = stream_delayer_bucketed(stream, "user_id", "event_id", "ts", "release_ts")
     res = run_available_now(out, "delay-out", base=f"{base}/run")
     return res.filter(F.col("msg_id") >= 0)
 

@@ -6,7 +6,7 @@ import time
 
 from pyspark.sql import functions as F
 
-from flowframe.streaming.delayer import stream_delayer
+from flowframe.streaming.delayer import stream_delayer, stream_delayer_bucketed
 import pytest
 
 from flowframe.streaming.group_release import stream_group_release, stream_group_release_bucketed
@@ -55,7 +55,8 @@ def test_group_release_over_batches(spark, tmp_path, bucketed):
     assert got == [("A", "released", "A1 A2 A3"), ("B", "late", "B2"), ("B", "released", "B1"), ("C", "discarded", "C1")]
 
 
-def test_delayer_releases_each_message_once(spark, tmp_path):
+@pytest.mark.parametrize("bucketed", [False, True])
+def test_delayer_releases_each_message_once(spark, tmp_path, bucketed):
     base = str(tmp_path / "in")
     schema = "id long, k string, ts timestamp_ntz, release_ts timestamp_ntz"
     _write_batches(spark, base, [
@@ -64,7 +65,9 @@ def test_delayer_releases_each_message_once(spark, tmp_path):
         [(-1, "z", _at(100000), _at(100001))],
     ], schema)
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(base)
-    res = run_available_now(stream_delayer(stream, "k", "id", "ts", "release_ts"), "delay", base=str(tmp_path / "run"))
+    op = stream_delayer_bucketed(stream, "k", "id", "ts", "release_ts", buckets=2) if bucketed else \
+        stream_delayer(stream, "k", "id", "ts", "release_ts")
+    res = run_available_now(op, "delay", base=str(tmp_path / "run"))
     got = sorted((r["msg_id"], r["release_ts"]) for r in res.filter(F.col("msg_id") > 0).collect())
     assert got == [(1, _at(3)), (2, _at(3)), (3, _at(50)), (4, _at(12))]
 
