@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -18,6 +19,12 @@ RECOMMENDED_CONF = {
 }
 
 
+def driver_memory() -> str:
+    """Half of this machine's memory, in MB, for the single JVM of a local session."""
+    total = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES")
+    return f"{max(2048, total // 2 // 2**20)}m"
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "flowframe") -> SparkSession:
     """A local session for tests and the bench (never used on a cluster)."""
     b = (
@@ -25,7 +32,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", driver_memory())
     )
     for k, v in RECOMMENDED_CONF.items():
         b = b.config(k, v)
@@ -38,9 +45,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting names a shared (HDFS/S3/...) folder and is
-    used as is.  Only when it is unset (local tests) is a scratch folder
-    chosen here.
+    On a cluster this setting must name a shared (HDFS/S3/...) folder; it is
+    used as is, and a job without it is refused, because a folder of one
+    machine would hide written tables from the other executors.  Only a
+    ``local[...]`` master (tests, bench) gets a scratch folder of its own.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -48,11 +56,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        require_local_master(sc.master)
         configured = tempfile.mkdtemp(prefix="flowframe-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
+def require_local_master(master: str) -> None:
+    """Refuse a machine-local scratch folder unless driver and executors are one process."""
+    if master != "local" and not master.startswith("local["):
+        raise ValueError(f"spark.checkpoint.dir must name a shared folder when the master is {master!r}")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A folder under the shared checkpoint dir for written intermediate tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
