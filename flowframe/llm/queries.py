@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flowframe.llm import simhash
+from flowframe.llm import simhash, substring
 from flowframe.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,3 +26,8 @@ def register(name: str, sql: str | None = None):
 @register("op1_simhash")
 def op1(spark: SparkSession, d: str) -> DataFrame:
     return simhash.simhash_components(table(spark, d, "documents"), width=3, radius=3)
+
+
+@register("op7_substring_dedup")
+def op7(spark: SparkSession, d: str) -> DataFrame:
+    return substring.passage_digest(table(spark, d, "documents"))
