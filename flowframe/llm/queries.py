@@ -6,13 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flowframe.llm import simhash, substring
+from flowframe.llm import bpe, mixing, quality_model, simhash, substring
 from flowframe.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+def word_vocabulary() -> str:
+    """Where the installed vocabulary package keeps its lower-case word BPE file."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def register(name: str, sql: str | None = None):
     def deco(fn):
         QUERIES[name] = fn
@@ -31,3 +38,18 @@ def op1(spark: SparkSession, d: str) -> DataFrame:
 @register("op7_substring_dedup")
 def op7(spark: SparkSession, d: str) -> DataFrame:
     return substring.passage_digest(table(spark, d, "documents"))
+
+
+@register("op2_mixing", mixing.MIX_SQL)
+def op2(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.mix_report(table(spark, d, "documents"))
+
+
+@register("op4_bpe")
+def op4(spark: SparkSession, d: str) -> DataFrame:
+    return bpe.round_trip_digest(table(spark, d, "documents"), word_vocabulary())
+
+
+@register("op9_quality_classifier")
+def op9(spark: SparkSession, d: str) -> DataFrame:
+    return quality_model.score_documents(table(spark, d, "documents"), table(spark, d, "labels"))
