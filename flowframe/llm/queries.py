@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flowframe.llm import bpe, mixing, quality_model, simhash, substring
+from flowframe.llm import bpe, mixing, quality_model, quality_rules, simhash, substring
 from flowframe.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,3 +53,8 @@ def op4(spark: SparkSession, d: str) -> DataFrame:
 @register("op9_quality_classifier")
 def op9(spark: SparkSession, d: str) -> DataFrame:
     return quality_model.score_documents(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
+@register("op3_quality_rules")
+def op3(spark: SparkSession, d: str) -> DataFrame:
+    return quality_rules.judge(table(spark, d, "documents"))
