@@ -116,16 +116,32 @@ class WordHashes(dict):
         return h
 
 
-def pack_sorted(values: np.ndarray) -> bytes:
-    """Increasing unsigned integers as byte planes of their differences.
+def pack(values: np.ndarray) -> bytes:
+    """Unsigned 32-bit integers as byte planes: planes of small numbers are all zero and compress to nothing."""
+    return np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
 
-    The high planes of small differences are all zero, so the shuffle's
-    compression removes them.
-    """
-    deltas = np.diff(values, prepend=values.dtype.type(0)).astype("<u4")
-    return deltas.view(np.uint8).reshape(-1, 4).T.tobytes()
+
+def unpack(blob: bytes) -> np.ndarray:
+    planes = np.frombuffer(blob, np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel()
+
+
+def pack_sorted(values: np.ndarray) -> bytes:
+    """Increasing unsigned 32-bit integers as the byte planes of their differences."""
+    return pack(np.diff(values, prepend=values.dtype.type(0)))
 
 
 def unpack_sorted(blob: bytes) -> np.ndarray:
-    planes = np.frombuffer(blob, np.uint8).reshape(4, -1)
-    return np.cumsum(np.ascontiguousarray(planes.T).view("<u4").ravel(), dtype=np.int64)
+    return np.cumsum(unpack(blob), dtype=np.int64)
+
+
+def runs(keys: np.ndarray) -> Iterator[tuple[int, slice]]:
+    """The runs of equal values of an array of numbers from 0 on: (value, slice)."""
+    bounds = np.flatnonzero(np.diff(keys, prepend=-1))
+    for a, b in zip(bounds, [*bounds[1:], len(keys)]):
+        yield int(keys[a]), slice(int(a), int(b))
+
+
+def rows_table(rows: list[tuple], schema: pa.Schema) -> pa.Table:
+    return pa.Table.from_arrays(
+        [pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)], schema=schema)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flowframe.llm import bpe, mixing, quality_model, quality_rules, simhash, substring
+from flowframe.llm import bpe, hmm, mixing, quality_model, quality_rules, simhash, substring
 from flowframe.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,3 +58,8 @@ def op9(spark: SparkSession, d: str) -> DataFrame:
 @register("op3_quality_rules")
 def op3(spark: SparkSession, d: str) -> DataFrame:
     return quality_rules.judge(table(spark, d, "documents"))
+
+
+@register("op10_lm_score")
+def op10(spark: SparkSession, d: str) -> DataFrame:
+    return hmm.score_documents(table(spark, d, "documents"))

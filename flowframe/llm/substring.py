@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowframe.llm.common import (
-    WordHashes, arrow_schema, column, mix64, pack_sorted, texts, unpack_sorted, words,
+    WordHashes, arrow_schema, column, mix64, pack_sorted, rows_table, runs, texts, unpack_sorted, words,
 )
 from flowframe.session import shuffle_partitions
 
@@ -145,17 +145,6 @@ class _Bucket:
         return at[new], segment[new], np.cumsum(new) - 1, at
 
 
-def _groups(segment: np.ndarray) -> Iterator[tuple[int, slice]]:
-    bounds = np.flatnonzero(np.diff(segment, prepend=-1))
-    for a, b in zip(bounds, [*bounds[1:], len(segment)]):
-        yield int(segment[a]), slice(int(a), int(b))
-
-
-def _table(rows: list[tuple], schema: pa.Schema) -> pa.Table:
-    return pa.Table.from_arrays(
-        [pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)], schema=schema)
-
-
 def _sketch_merge(group: pa.Table, out: pa.Schema) -> pa.Table:
     counts = np.zeros(CELLS, np.uint8)
     once, more = column(group, "once"), column(group, "more")
@@ -169,7 +158,7 @@ def _sketch_merge(group: pa.Table, out: pa.Schema) -> pa.Table:
         hit = np.sort(cells[counts[cells] > 1]).astype(np.uint32)
         if len(hit):
             rows.append((bucket, 0, segment, pack_sorted(hit)))
-    return _table(rows, out)
+    return rows_table(rows, out)
 
 
 def _exact_merge(group: pa.Table, out: pa.Schema) -> pa.Table:
@@ -187,7 +176,7 @@ def _exact_merge(group: pa.Table, out: pa.Schema) -> pa.Table:
     segment, stops = group.column("segment")[0].as_py(), np.cumsum(sizes)
     rows = [(bucket, 1, segment, np.packbits(later[stop - n:stop]).tobytes())
             for bucket, n, stop in zip(group.column("bucket").to_pylist(), sizes, stops)]
-    return _table(rows, out)
+    return rows_table(rows, out)
 
 
 def _replies(table: pa.Table, kind: int) -> list[tuple[int, bytes]]:
@@ -227,16 +216,16 @@ def dedup_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def to_sketch(group: pa.Table) -> pa.Table:
         own = _Bucket(group, window, hashes, segments)
         bucket = group.column("bucket")[0].as_py()
-        return _table([(s, bucket, a, b) for s, a, b in own.sketch()], sketch_schema)
+        return rows_table([(s, bucket, a, b) for s, a, b in own.sketch()], sketch_schema)
 
     def to_entries(group: pa.Table, reply: pa.Table) -> pa.Table:
         if not group.num_rows or not reply.num_rows:
-            return _table([], entry_schema)
+            return rows_table([], entry_schema)
         own = _Bucket(group, window, hashes, segments)
         at, segment, _, _ = own.entries(own.repeated(_replies(reply, 0)))
         bucket = group.column("bucket")[0].as_py()
-        return _table([(s, bucket, own.key[at[g]].tobytes(), own.extra[at[g]].tobytes(), own.id[at[g]].tobytes())
-                       for s, g in _groups(segment)], entry_schema)
+        return rows_table([(s, bucket, own.key[at[g]].tobytes(), own.extra[at[g]].tobytes(), own.id[at[g]].tobytes())
+                       for s, g in runs(segment)], entry_schema)
 
     kept = "__id long, __rest {rest}, n_words long, n_removed long, kept_text string".format(
         rest=source.schema["__rest"].dataType.simpleString())
@@ -249,7 +238,7 @@ def dedup_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         at, segment, entry, chosen = own.entries(own.repeated(_replies(reply, 0)))
         later = np.zeros(len(at), bool)
         bits = dict(_replies(reply, 1))
-        for s, g in _groups(segment):
+        for s, g in runs(segment):
             n = g.stop - g.start
             later[g] = np.unpackbits(np.frombuffer(bits[s], np.uint8), count=n).astype(bool)
         gone = chosen[later[entry] | (own.id[chosen] > own.id[at][entry])]
