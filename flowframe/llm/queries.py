@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flowframe.llm import bpe, hmm, mixing, quality_model, quality_rules, simhash, substring
+from flowframe.llm import bpe, hmm, hnsw, mixing, quality_model, quality_rules, simhash, substring
 from flowframe.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,3 +63,8 @@ def op3(spark: SparkSession, d: str) -> DataFrame:
 @register("op10_lm_score")
 def op10(spark: SparkSession, d: str) -> DataFrame:
     return hmm.score_documents(table(spark, d, "documents"))
+
+
+@register("op6_embedding_dedup")
+def op6(spark: SparkSession, d: str) -> DataFrame:
+    return hnsw.near_duplicates(table(spark, d, "embeddings"))
