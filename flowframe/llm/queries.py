@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flowframe.llm import bpe, hmm, hnsw, mixing, quality_model, quality_rules, simhash, substring
+from flowframe.llm import bpe, hmm, hnsw, html_text, mixing, packing, quality_model, quality_rules, simhash, substring
 from flowframe.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +68,13 @@ def op10(spark: SparkSession, d: str) -> DataFrame:
 @register("op6_embedding_dedup")
 def op6(spark: SparkSession, d: str) -> DataFrame:
     return hnsw.near_duplicates(table(spark, d, "embeddings"))
+
+
+@register("op5_html_text")
+def op5(spark: SparkSession, d: str) -> DataFrame:
+    return html_text.extract_pages(table(spark, d, "pages"))
+
+
+@register("op8_token_packing")
+def op8(spark: SparkSession, d: str) -> DataFrame:
+    return packing.pack_documents(table(spark, d, "documents"), word_vocabulary())
