@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import heapq
 import json
+import re
 import unicodedata
 from functools import lru_cache
 
@@ -26,15 +27,50 @@ from pyspark.sql import functions as F
 
 from flowframe.llm.common import arrow_schema, texts
 
-#: Unicode white space, which the vocabulary's pattern excludes from every piece.
-UNICODE_SPACE = r"\x09-\x0D\x20\x85\xA0  -     　"
-PIECE = rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}]+|[\p{{N}}]|[^{UNICODE_SPACE}\p{{L}}\p{{N}}]+"
+# Unicode white space and the contractions of the vocabulary's pattern.
+UNICODE_SPACE = r"\x09-\x0D\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
 #: Words remembered per task; beyond it the memory starts anew.
 REMEMBERED = 150_000
 #: Rows handed back at once.
 ROWS = 500
 
 
+CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
+# Fixed values of the Unicode standard beyond version 15.1, the tables of Python 3.13: letters and numbers
+# that 16.0 added (first, last), and lower-case mappings of 16.0 and 17.0 (first, last, first target).
+LETTERS_16 = ((0x1C89, 0x1C8A), (0xA7CB, 0xA7CD), (0xA7DA, 0xA7DC), (0x105C0, 0x105F3), (0x10D4A, 0x10D65), (0x10D6F, 0x10D85),
+              (0x10EC2, 0x10EC4), (0x11380, 0x11389), (0x1138B, 0x1138B), (0x1138E, 0x1138E), (0x11390, 0x113B5),
+              (0x113B7, 0x113B7), (0x113D1, 0x113D1), (0x113D3, 0x113D3), (0x11BC0, 0x11BE0), (0x13460, 0x143FA),
+              (0x16100, 0x1611D), (0x16D40, 0x16D6C), (0x18CFF, 0x18CFF), (0x1E5D0, 0x1E5ED), (0x1E5F0, 0x1E5F0))
+NUMBERS_16 = ((0x10D40, 0x10D49), (0x116D0, 0x116E3), (0x11BF0, 0x11BF9), (0x16130, 0x16139), (0x16D70, 0x16D79),
+              (0x1CCF0, 0x1CCF9), (0x1E5F1, 0x1E5FA))
+LOWER_17 = ((0x1C89, 0x1C89, 0x1C8A), (0xA7CB, 0xA7CB, 0x264), (0xA7CC, 0xA7CC, 0xA7CD), (0xA7CE, 0xA7CE, 0xA7CF),
+            (0xA7D2, 0xA7D2, 0xA7D3), (0xA7D4, 0xA7D4, 0xA7D5), (0xA7DA, 0xA7DA, 0xA7DB), (0xA7DC, 0xA7DC, 0x19B),
+            (0x10D50, 0x10D65, 0x10D70), (0x16EA0, 0x16EB8, 0x16EBB))
+#: A final capital sigma has no special form here, and newer lower-case mappings count.
+LOWER = {0x3A3: 0x3C3} | {c: to + c - a for a, b, to in LOWER_17 for c in range(a, b + 1)}
+
+
+@lru_cache
+def code_points(kind: str) -> str:
+    """All code points of a general category (L, N, ...) as the ranges of a character class.
+
+    The vocabulary's pattern is read with the tables of Unicode 16.0.
+    """
+    added = {"L": LETTERS_16, "N": NUMBERS_16}.get(kind, ())
+    inside = np.array([unicodedata.category(chr(c))[0] == kind for c in range(0x110000)])
+    for a, b in added:
+        inside[a:b + 1] = True
+    edges = np.flatnonzero(np.diff(inside.astype(np.int8), prepend=0, append=0)).tolist()
+    return "".join(f"\\U{a:08x}-\\U{b - 1:08x}" for a, b in zip(edges[::2], edges[1::2]))
+
+
+def piece_pattern() -> re.Pattern:
+    """Contractions, runs of letters, single numbers, and runs of anything else but white space."""
+    letters, numbers = code_points("L"), code_points("N")
+    return re.compile(f"{CONTRACTIONS}|[{letters}]+|[{numbers}]|[^{UNICODE_SPACE}{letters}{numbers}]+")
+
+
 def byte_alphabet() -> list[str]:
     """A printable character per byte: itself where printable, else the next code point from 256 on."""
     printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
@@ -46,8 +82,6 @@ class Codec:
     """A vocabulary file of the ``tokenizers`` JSON format: BPE model with an end-of-word suffix."""
 
     def __init__(self, data: bytes):
-        import regex
-
         spec = json.loads(data)
         model = spec["model"]
         self.vocab: dict[str, int] = model["vocab"]
@@ -59,8 +93,8 @@ class Codec:
             left, right = merge.split(" ") if isinstance(merge, str) else merge
             self.merges[self.vocab[left], self.vocab[right]] = rank, self.vocab[left + right]
         self.alphabet = byte_alphabet()
-        self.piece = regex.compile(PIECE)
-        self.split = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
+        self.piece = piece_pattern()
+        self.split = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self.remembered: dict[bytes, list[int]] = {}
 
     def merge(self, piece: str) -> list[int]:
@@ -95,8 +129,7 @@ class Codec:
         return [s for s in ids if s >= 0]
 
     def _plain(self, text: str) -> list[int]:
-        # lower-casing goes character by character: a final capital sigma has no special form
-        text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+        text = text.lower() if text.isascii() else unicodedata.normalize("NFC", text).translate(LOWER).lower()
         alphabet, out = self.alphabet, []
         for piece in self.piece.findall(text):
             out += self.merge("".join([alphabet[b] for b in piece.encode()]))
