@@ -2,354 +2,118 @@
 
 ``Window.partitionBy(key).orderBy(...)`` sends every row of a key to one
 task.  When one correlation id, queue or user holds a third of all rows
-that task is the whole job.  ``keyed_scan`` gives the same numbers
-(row number, running sums, previous-row values, first-row values) without
-that bottleneck:
-
-1. range-partition on ``(keys, order)``: a hot key spreads over many
-   partitions because the range bounds also cut on the order columns;
-2. one narrow pass summarises each partition (first key, last key, the
-   state at the end of the last key run): one row per partition, so the
-   summary is bounded by the partition count, never by the data;
-3. the driver chains those summaries into a carry-in per partition;
-4. a second narrow pass (Arrow batches, vectorised pandas) numbers the
-   rows and adds the carry.
-
-The sorted frame is persisted between the two passes.  Both passes read
-the same partitions; a lost block is recomputed from the same shuffle
-with the same total order, so the contents are identical.
+that task is the whole job.  ``keyed_scan`` gives the same numbers (row
+number, running sums, previous-row and first-row values, gap sessions)
+without that bottleneck and without Python:
+
+1. the rows are range-partitioned on the keys and the whole order, and the
+   number of its partition is written with each row as its *chunk*: a table
+   in the shared folder, so a chunk is a fact about a row from then on and
+   does not depend on how later stages are split, merged or retried;
+2. windows run inside (key, chunk), which holds a chunk's share at most;
+3. one row per (key, chunk) carries the chunk's count, sums and edge values;
+   running sums over these few rows per key give what precedes each chunk;
+4. an equi-join on (key, chunk) adds the two up.
+
+A key that lies within one chunk, as nearly all do, has one such row.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark import StorageLevel, TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from flowframe.session import shuffle_partitions
-
-
-_PERSISTED: list[DataFrame] = []
-
-
-def release_cached() -> int:
-    """Unpersist the numbered frames kept by earlier ``keyed_scan`` calls
-    (call when their results have been written).  Returns how many."""
-    n = len(_PERSISTED)
-    while _PERSISTED:
-        _PERSISTED.pop().unpersist()
-    return n
 
+from flowframe.session import shuffle_partitions, stage_table
 
-@dataclass
-class _Spec:
-    keys: list[str]
-    lags: list[str]
-    firsts: list[str]
-    sums: dict[str, str]  # output name -> input column
-    rn: str
-    gap: tuple[str, float] | None = None  # (timestamp column, gap seconds)
+_KEY, _CHUNK = "__key", "__chunk"
 
 
-def _is_null(v) -> bool:
-    return v is None or v is pd.NaT or (isinstance(v, float) and np.isnan(v))
+def cut_chunks(df: DataFrame, keys: Sequence[str], by: Sequence[Column], num_partitions: int | None = None) -> DataFrame:
+    """The rows with the number of their range of (keys, order), written as a table.
 
-
-def _key_change(pdf: pd.DataFrame, keys: list[str], prev: tuple | None) -> np.ndarray:
-    """Boolean array: True where a new key run starts (row 0 compared with ``prev``).
-
-    Nulls group together, as in ``groupBy``.
+    Range bounds cut on the whole order, so rows that agree on the keys and
+    on all but the last order column still fall into many chunks.
     """
-    n = len(pdf)
-    change = np.zeros(n, dtype=bool)
-    if n == 0:
-        return change
-    for i, k in enumerate(keys):
-        s = pdf[k]
-        na = s.isna().to_numpy()
-        v = s.to_numpy()
-        if n > 1:
-            eq = np.asarray(v[1:] == v[:-1], dtype=bool)
-            same = (eq & ~na[1:] & ~na[:-1]) | (na[1:] & na[:-1])
-            change[1:] |= ~same
-        if prev is None:
-            change[0] = True
-        else:
-            p = prev[i]
-            if na[0] and _is_null(p):
-                continue
-            if na[0] or _is_null(p) or not (s.iloc[0] == p):
-                change[0] = True
-    return change
-
-
-def _scan_batch(pdf: pd.DataFrame, spec: _Spec, state: dict | None):
-    """Number one sorted batch given the state at its start; return (out, new_state)."""
-    n = len(pdf)
-    prev_key = None if state is None else state["key"]
-    change = _key_change(pdf, spec.keys, prev_key)
-    run_id = np.cumsum(change)  # 0 for rows continuing the carried run
-    out = pdf.copy()
-    ones = pd.Series(np.ones(n, dtype=np.int64))
-    rn = ones.groupby(run_id).cumsum().to_numpy()
-    carried = run_id == 0
-    if state is not None:
-        rn = rn + np.where(carried, state["rn"], 0)
-    out[spec.rn] = rn.astype(np.int64)
-    for name, src in spec.sums.items():
-        vals = pd.Series(pdf[src].to_numpy(dtype=float)).fillna(0.0)
-        cs = vals.groupby(run_id).cumsum().to_numpy()
-        if state is not None:
-            cs = cs + np.where(carried, state["sums"][name], 0.0)
-        out[name] = cs
-    for c in spec.lags:
-        cur = pdf[c].to_numpy(dtype=object)
-        lagged = np.empty(n, dtype=object)
-        if n:
-            lagged[1:] = cur[:-1]
-            lagged[0] = None if state is None else state["lag"][c]
-        lagged[change] = None
-        if n and state is not None and not change[0]:
-            lagged[0] = state["lag"][c]
-        out["prev_" + c] = pd.Series(lagged, dtype=object)
-    if spec.gap is not None:
-        tcol, gap_s = spec.gap
-        tvals = pd.to_datetime(pdf[tcol]).to_numpy()
-        prev_t = np.empty(n, dtype="datetime64[ns]")
-        if n:
-            prev_t[1:] = tvals[:-1]
-            carried_t = None if state is None else state.get("gap_t")
-            prev_t[0] = np.datetime64("NaT") if carried_t is None else np.datetime64(pd.Timestamp(carried_t), "ns")
-        gap_ns = np.timedelta64(int(gap_s * 1e9), "ns")
-        with np.errstate(invalid="ignore"):
-            new_sess = change | np.isnat(prev_t) | ((tvals - prev_t) > gap_ns)
-        if n and state is not None and not change[0]:
-            new_sess[0] = bool(np.isnat(prev_t[0]) or (tvals[0] - prev_t[0]) > gap_ns)
-        sess_local = pd.Series(new_sess.astype(np.int64)).groupby(run_id).cumsum().to_numpy()
-        if state is not None:
-            sess_no = sess_local + np.where(carried, state["session_no"], 0)
-        else:
-            sess_no = sess_local
-        # row number inside (run, session)
-        sess_key = run_id * (n + 1) + sess_local
-        srn = pd.Series(np.ones(n, dtype=np.int64)).groupby(sess_key).cumsum().to_numpy()
-        if state is not None:
-            srn = srn + np.where(carried & (sess_local == 0), state["session_rn"], 0)
-        out["session_no"] = sess_no.astype(np.int64)
-        out["session_rn"] = srn.astype(np.int64)
-    for c in spec.firsts:
-        cur = pd.Series(pdf[c].to_numpy(dtype=object))
-        firsts = cur.where(pd.Series(change)).groupby(run_id).transform("first").to_numpy(dtype=object)
-        if state is not None:
-            firsts = np.where(carried, pd.Series([state["first"][c]] * n, dtype=object), firsts)
-        out["first_" + c] = pd.Series(firsts, dtype=object)
-    if n == 0:
-        return out, state
-    last = n - 1
-    new_state = {
-        "key": tuple(pdf[k].iloc[last] for k in spec.keys),
-        "rn": int(out[spec.rn].iloc[last]),
-        "sums": {name: float(out[name].iloc[last]) for name in spec.sums},
-        "lag": {c: pdf[c].iloc[last] for c in spec.lags},
-        "first": {c: out["first_" + c].iloc[last] for c in spec.firsts},
-    }
-    if spec.gap is not None:
-        new_state["gap_t"] = pdf[spec.gap[0]].iloc[last]
-        new_state["session_no"] = int(out["session_no"].iloc[last])
-        new_state["session_rn"] = int(out["session_rn"].iloc[last])
-    return out, new_state
-
-
-def _continues_session(prev_t, first_t, gap_s: float) -> bool:
-    if prev_t is None or first_t is None:
-        return False
-    return (pd.Timestamp(first_t) - pd.Timestamp(prev_t)).total_seconds() <= gap_s
-
-
-def _py(v):
-    """numpy scalar -> python scalar so keys compare across passes."""
-    if isinstance(v, np.generic):
-        return v.item()
-    if isinstance(v, pd.Timestamp):
-        return v.to_pydatetime()
-    return v
+    cut = df.repartitionByRange(num_partitions or shuffle_partitions(df.sparkSession), *[F.col(k) for k in keys], *by)
+    return stage_table(cut.withColumn(_CHUNK, F.spark_partition_id()), "scan")
 
 
 def keyed_scan(
     df: DataFrame,
-    keys: list[str],
-    order: list[str | Column],
+    keys: Sequence[str],
+    order: Sequence[str | Column],
     *,
     rn: str = "rn",
-    lags: list[str] | tuple = (),
-    firsts: list[str] | tuple = (),
+    lags: Sequence[str] = (),
+    firsts: Sequence[str] = (),
     sums: dict[str, str] | None = None,
     gap: tuple[str, float] | None = None,
     num_partitions: int | None = None,
-    materialize: bool = False,
-    range_prefix: int = 2,
 ) -> DataFrame:
     """Add per-key ``rn`` (1-based), ``prev_<c>``, ``first_<c>`` and running sums.
 
     ``order`` must be a total order inside each key (add tie-breakers);
     otherwise numbers among ties are arbitrary, as with ``row_number``.
-    With ``gap=(ts_col, seconds)`` it also adds ``session_no`` (1-based per
-    key; a new session starts when the time since the previous row of the
-    key exceeds the gap) and ``session_rn`` (1-based inside the session).
-    The result keeps every input row and column.  With ``materialize`` the
-    numbered frame is persisted and computed once, so callers that use it
-    in several branches do not rerun the numbering pass.
-
-    Range bounds are sampled on the keys and the first ``range_prefix``
-    order columns only (cheaper to sample and compare); rows with an equal
-    prefix land in one partition, so partitions stay contiguous in the full
-    order, and a hot key still splits on its (usually time) order column.
+    ``sums`` maps an output name to the summed column (nulls count as zero);
+    the type is that of Spark's ``sum``.  With ``gap=(ts_col, seconds)`` it
+    also adds ``session_no`` (1-based per key; a new session starts when the
+    time since the previous row of the key exceeds the gap, or there is no
+    previous time) and ``session_rn`` (1-based inside the session).  The
+    result keeps every input row and column; null keys group together.  The
+    cut rows are written once when the scan is built; everything else is
+    lazy and reads that table.
     """
-    keys = list(keys)
-    spec = _Spec(keys=keys, lags=list(lags), firsts=list(firsts), sums=dict(sums or {}), rn=rn, gap=gap)
-    spark = df.sparkSession
-    n = num_partitions or shuffle_partitions(spark)
-    sort_cols = [F.col(k) for k in keys] + [F.col(o) if isinstance(o, str) else o for o in order]
-    range_cols = sort_cols[: len(keys) + max(range_prefix, 0)] or sort_cols[:1]
-    ordered = df.repartitionByRange(n, *range_cols).sortWithinPartitions(*sort_cols)
-    ordered = ordered.persist(StorageLevel.MEMORY_AND_DISK)
-    _PERSISTED.append(ordered)
-
-    in_schema = ordered.schema
-    key_fields = [in_schema[k] for k in keys]
-    lag_fields = [in_schema[c] for c in spec.lags]
-    first_fields = [in_schema[c] for c in spec.firsts]
-
-    # ---- pass 1: one summary row per partition -------------------------
-    summary_schema = T.StructType(
-        [T.StructField("pid", T.IntegerType()), T.StructField("n", T.LongType())]
-        + [T.StructField("fk_" + f.name, f.dataType) for f in key_fields]
-        + [T.StructField("lk_" + f.name, f.dataType) for f in key_fields]
-        + [T.StructField("single", T.BooleanType()), T.StructField("last_rn", T.LongType())]
-        + [T.StructField("sum_" + s, T.DoubleType()) for s in spec.sums]
-        + [T.StructField("lag_" + f.name, f.dataType) for f in lag_fields]
-        + [T.StructField("first_" + f.name, f.dataType) for f in first_fields]
-        + (
-            [T.StructField("gap_t", in_schema[gap[0]].dataType), T.StructField("first_gap_t", in_schema[gap[0]].dataType),
-             T.StructField("session_no", T.LongType()),
-             T.StructField("session_rn", T.LongType())]
-            if gap else []
-        )
-    )
-
-    needed = list(dict.fromkeys(keys + spec.lags + spec.firsts + list(spec.sums.values()) + ([gap[0]] if gap else [])))
-
-    def summarise(batches):
-        pid = TaskContext.get().partitionId()
-        state = None
-        first_key = None
-        total = 0
-        single = True
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            if first_key is None:
-                first_key = tuple(pdf[k].iloc[0] for k in keys)
-                first_gap_t = pdf[gap[0]].iloc[0] if gap else None
-            # local numbering only (no carry-in): state is the last run's tail
-            change = _key_change(pdf, keys, state["key"] if state else None)
-            if total > 0 and change.any():
-                single = False
-            if total == 0 and change[1:].any():
-                single = False
-            _, state = _scan_batch(pdf[needed].copy(), spec, state)
-            total += len(pdf)
-        if state is None:
-            return
-        row = {"pid": pid, "n": total}
-        for k, v in zip(keys, first_key):
-            row["fk_" + k] = v
-        for k, v in zip(keys, state["key"]):
-            row["lk_" + k] = v
-        row["single"] = single
-        row["last_rn"] = state["rn"]
-        for s in spec.sums:
-            row["sum_" + s] = state["sums"][s]
-        for c in spec.lags:
-            row["lag_" + c] = state["lag"][c]
-        for c in spec.firsts:
-            row["first_" + c] = state["first"][c]
-        if gap:
-            row["gap_t"] = state["gap_t"]
-            row["first_gap_t"] = first_gap_t
-            row["session_no"] = state["session_no"]
-            row["session_rn"] = state["session_rn"]
-        yield pd.DataFrame([row], columns=summary_schema.fieldNames())
-
-    summaries = sorted(ordered.mapInPandas(summarise, summary_schema).collect(), key=lambda r: r["pid"])
-
-    # ---- driver: chain partition tails into carry-ins ------------------
-    carry: dict[int, dict] = {}
-    tail = None  # state at the end of the previous non-empty partition
-    for r in summaries:
-        fk = tuple(_py(r["fk_" + k]) for k in keys)
-        lk = tuple(_py(r["lk_" + k]) for k in keys)
-        if tail is not None and tail["key"] == fk:
-            carry[r["pid"]] = tail
-        local_tail = {
-            "key": lk,
-            "rn": r["last_rn"],
-            "sums": {s: r["sum_" + s] for s in spec.sums},
-            "lag": {c: r["lag_" + c] for c in spec.lags},
-            "first": {c: r["first_" + c] for c in spec.firsts},
-        }
-        if gap:
-            local_tail.update(gap_t=r["gap_t"], session_no=r["session_no"], session_rn=r["session_rn"])
-        if r["single"] and tail is not None and tail["key"] == lk:
-            # whole partition continues the carried run
-            local_tail = {
-                "key": lk,
-                "rn": tail["rn"] + r["last_rn"],
-                "sums": {s: tail["sums"][s] + r["sum_" + s] for s in spec.sums},
-                "lag": local_tail["lag"],
-                "first": tail["first"],
-            }
-            if gap:
-                # the partition continues the carried run: its sessions are
-                # counted after the carried ones; the first local session may
-                # itself continue the carried session
-                cont = _continues_session(tail["gap_t"], r["first_gap_t"], gap[1])
-                local_tail["gap_t"] = r["gap_t"]
-                local_tail["session_no"] = tail["session_no"] + r["session_no"] - (1 if cont else 0)
-                one_local = r["session_no"] == 1
-                local_tail["session_rn"] = r["session_rn"] + (tail["session_rn"] if (cont and one_local) else 0)
-        tail = local_tail
-
-    # ---- pass 2: number rows with the carry-in --------------------------
-    out_fields = list(in_schema.fields) + [T.StructField(rn, T.LongType())]
-    out_fields += [T.StructField(name, T.DoubleType()) for name in spec.sums]
-    out_fields += [T.StructField("prev_" + f.name, f.dataType) for f in lag_fields]
-    out_fields += [T.StructField("first_" + f.name, f.dataType) for f in first_fields]
-    if gap:
-        out_fields += [T.StructField("session_no", T.LongType()), T.StructField("session_rn", T.LongType())]
-    out_schema = T.StructType(out_fields)
-    names = out_schema.fieldNames()
-
-    def number(batches):
-        pid = TaskContext.get().partitionId()
-        state = carry.get(pid)
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            out, state = _scan_batch(pdf, spec, state)
-            yield out[names]
-
-    out = ordered.mapInPandas(number, out_schema)
-    if not materialize:
-        return out
-    out = out.persist(StorageLevel.MEMORY_AND_DISK)
-    out.count()
-    ordered.unpersist()
-    _PERSISTED.remove(ordered)
-    _PERSISTED.append(out)
-    return out
+    keys, sums = list(keys), dict(sums or {})
+    by = [F.col(o) if isinstance(o, str) else o for o in order]
+    rows = cut_chunks(df, keys, by, num_partitions)
+    # a struct is never null itself, so null keys group and join like any other
+    rows = rows.withColumn(_KEY, F.struct(F.lit(0).alias("_"), *[F.col(k) for k in keys]))
+    seen = list(dict.fromkeys([*lags, *([gap[0]] if gap else [])]))
+    chunk = Window.partitionBy(_KEY, _CHUNK).orderBy(*by)
+    so_far = chunk.rowsBetween(Window.unboundedPreceding, 0)
+    local = rows.withColumns(
+        {"__n": F.row_number().over(chunk).cast("long")}
+        | {f"__sum_{o}": F.sum(F.coalesce(F.col(c), F.lit(0))).over(so_far) for o, c in sums.items()}
+        | {f"__lag_{c}": F.lag(c).over(chunk) for c in seen})
+    # what each chunk of a key adds up to, and from these what precedes it
+    whole = local if seen or firsts else rows.withColumn("__n", F.lit(1))
+    totals = [F.count(F.lit(1)).alias("m")] + [F.sum(F.coalesce(F.col(c), F.lit(0))).alias(f"t_{o}") for o, c in sums.items()]
+    edges = ([F.max_by(F.struct(*[F.col(c) for c in seen]), "__n").alias("last")] if seen else []) + (
+        [F.min_by(F.struct(*[F.col(c) for c in firsts]), "__n").alias("head")] if firsts else [])
+    chunks = whole.groupBy(_KEY, _CHUNK).agg(*totals, *edges)
+    along = Window.partitionBy(_KEY).orderBy(_CHUNK)
+    before = along.rowsBetween(Window.unboundedPreceding, -1)
+    carried = chunks.select(
+        _KEY, _CHUNK, F.coalesce(F.sum("m").over(before), F.lit(0)).alias("__m"),
+        *[F.coalesce(F.sum(f"t_{o}").over(before), F.lit(0)).alias(f"__t_{o}") for o in sums],
+        *([F.lag("last").over(along).alias("__last")] if seen else []),
+        *([F.first("head").over(along).alias("__head")] if firsts else []))
+    s = local.join(carried, [_KEY, _CHUNK])
+    added = {rn: F.col("__m") + F.col("__n")}
+    added |= {o: F.col(f"__t_{o}") + F.col(f"__sum_{o}") for o in sums}
+    added |= {f"__prev_{c}": F.when(F.col("__n") == 1, F.col(f"__last.`{c}`")).otherwise(F.col(f"__lag_{c}")) for c in seen}
+    added |= {f"first_{c}": F.col(f"__head.`{c}`") for c in firsts}
+    s = s.withColumns(added)
+    out = [*df.columns, rn, *sums, *[F.col(f"__prev_{c}").alias(f"prev_{c}") for c in lags], *[f"first_{c}" for c in firsts]]
+    if gap is None:
+        return s.select(*out)
+    return _sessions(s, gap, rn, by).select(*out, "session_no", "session_rn")
+
+
+def _sessions(s: DataFrame, gap: tuple[str, float], rn: str, by: list[Column]) -> DataFrame:
+    """Number the runs of a key that no gap interrupts, from the previous time of each row."""
+    ts, prev = F.col(gap[0]), F.col(f"__prev_{gap[0]}")
+    far = F.coalesce(ts > prev + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(gap[1]).cast("decimal(18,6)")), F.lit(False))
+    s = s.withColumn("__new", (prev.isNull() | far).cast("long"))
+    started = F.when(F.col("__new") == 1, F.col(rn))
+    chunks = s.groupBy(_KEY, _CHUNK).agg(F.sum("__new").alias("k"), F.max(started).alias("at"))
+    before = Window.partitionBy(_KEY).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    carried = chunks.select(_KEY, _CHUNK, F.coalesce(F.sum("k").over(before), F.lit(0)).alias("__k"),
+                            F.coalesce(F.max("at").over(before), F.lit(0)).alias("__at"))
+    so_far = Window.partitionBy(_KEY, _CHUNK).orderBy(*by).rowsBetween(Window.unboundedPreceding, 0)
+    local = s.withColumns({"__k_here": F.sum("__new").over(so_far), "__at_here": F.max(started).over(so_far)})
+    return local.join(carried, [_KEY, _CHUNK]).withColumns({
+        "session_no": F.col("__k") + F.col("__k_here"),
+        "session_rn": F.col(rn) - F.greatest("__at", F.coalesce("__at_here", F.lit(0))) + 1})

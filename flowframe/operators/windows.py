@@ -25,6 +25,6 @@ def priority_order(df: DataFrame, queue: Sequence[str], priority: str, arrival:
 def queue_depth(df: DataFrame, queue: Sequence[str], order: Sequence[str | Column], delta: Column,
                 out: str = "depth") -> DataFrame:
     """Queue size after each enqueue (+1) / dequeue (-1) event."""
-    d = df.withColumn("_delta", delta.cast("double"))
+    d = df.withColumn("_delta", delta.cast("long"))
     s = keyed_scan(d, list(queue), order, sums={"_depth": "_delta"})
     return s.withColumn(out, F.col("_depth").cast("long")).drop("_delta", "_depth", "rn")

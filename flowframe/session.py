@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every flowframe job relies on.  AQE re-plans joins and splits
 # skewed join partitions at run time; the session zone is fixed so that
@@ -58,6 +61,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not configured:
         require_local_master(sc.master)
         configured = tempfile.mkdtemp(prefix="flowframe-ckpt-")
+        atexit.register(shutil.rmtree, configured, ignore_errors=True)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
@@ -74,6 +78,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}"
 
 
+def stage_table(df: DataFrame, label: str) -> DataFrame:
+    """Write a frame once into the shared folder and read it back.
+
+    Cuts the lineage: what is read later depends on no executor, and every
+    value in it is fixed.
+    """
+    path = scratch_path(df.sparkSession, f"staged/{label}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.staged_path = path
+    return out
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
