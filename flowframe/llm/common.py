@@ -102,20 +102,6 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
-class WordHashes(dict):
-    """word -> 64-bit hash, remembered; emptied when it holds too many words."""
-
-    LIMIT = 400_000
-
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-
-        if len(self) >= self.LIMIT:
-            self.clear()
-        self[word] = h = xxhash.xxh3_64_intdigest(word)
-        return h
-
-
 def pack(values: np.ndarray) -> bytes:
     """Unsigned 32-bit integers as byte planes: planes of small numbers are all zero and compress to nothing."""
     return np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()

@@ -4,9 +4,9 @@ A window is ``window`` consecutive words.  The corpus is dealt once into
 buckets of documents by a hash of the id; the three passes over the texts
 group by that bucket, so Spark deals the texts once and reuses the exchange.
 
-1. Sketch.  Each bucket counts, per row of the sketch, the cells its distinct
-   (document, window) pairs fall into, and sends the touched cells of each
-   sketch segment as one packed row.  The segments merge independently; each
+1. Sketch.  Each bucket counts, per row of the sketch, the cells its windows
+   fall into, and sends the touched cells of each sketch segment as one packed
+   row.  The segments merge independently; each
    answers every bucket with those of its cells whose merged count is two or
    more.  Counts only ever overestimate: a window found in two documents is
    counted twice in every row, so none is lost.
@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowframe.llm.common import (
-    WordHashes, arrow_schema, column, mix64, pack_sorted, rows_table, runs, texts, unpack_sorted, words,
+    arrow_schema, column, mix64, pack_sorted, rows_table, runs, texts, unpack_sorted, words,
 )
 from flowframe.session import shuffle_partitions
 
@@ -47,7 +47,7 @@ _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 _REPLY = "bucket long, kind int, segment long, body binary"
 
 
-@lru_cache(4)
+@lru_cache(8)
 def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """base ** i and base ** -i modulo 2 ** 64 for i below n."""
     out = []
@@ -71,63 +71,75 @@ def window_hashes(word_hashes: np.ndarray, window: int, base: int) -> np.ndarray
         return total * down[:n]
 
 
+_SPACE = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
+_LETTERS = 0xA24BAED4963EE407
+
+
+def word_hashes(texts_of: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words of some texts, in order, and the number of words of each text.
+
+    A hash is a polynomial in the bytes of the word, taken from running sums
+    over the joined texts, a stretch of about a megabyte at a time.
+    """
+    data = np.frombuffer(b" ".join(texts_of), np.uint8)
+    space = np.concatenate(([True], _SPACE[data], [True]))
+    edges = np.flatnonzero(space[1:] != space[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    first_byte = np.cumsum([0, *(len(t) + 1 for t in texts_of)])
+    sizes = np.diff(np.searchsorted(starts, first_byte))
+    out = np.empty(len(starts), np.uint64)
+    stretch = np.searchsorted(starts, np.arange(0, len(data) + (1 << 20), 1 << 20))
+    for a, b in zip(stretch, stretch[1:]):
+        if a == b:
+            continue
+        low, high = starts[a], ends[b - 1]
+        up, down = _powers(_LETTERS, 1 << int(high - low).bit_length())
+        with np.errstate(over="ignore"):
+            sums = np.zeros(high - low + 1, np.uint64)
+            np.cumsum((data[low:high].astype(np.uint64) + np.uint64(1)) * up[:high - low], out=sums[1:])
+            out[a:b] = (sums[ends[a:b] - low] - sums[starts[a:b] - low]) * down[starts[a:b] - low]
+    return mix64(out), sizes
+
+
 class _Bucket:
-    """The documents of a bucket and the windows of those that have an id."""
-
-    def __init__(self, docs: pa.Table, window: int, hashes: WordHashes, segments: int):
-        self.segments, self.window = segments, window
-        ids = column(docs, "__id")
-        self.row_ids = ids.to_pylist()
-        self.words = [words(t) for t in texts(docs, "__text")]
-        sizes = np.array([len(w) for w in self.words], np.int64)
-        starts = np.cumsum(sizes) - sizes
-        get = hashes.__getitem__
-        flat = np.fromiter((get(w) for ws in self.words for w in ws), np.uint64, int(sizes.sum()))
-        doc_of = np.repeat(np.arange(len(sizes)), sizes)
-        last = starts + sizes - window
-        has_id = np.array([i is not None for i in self.row_ids], bool)
-        n = max(0, len(flat) - window + 1)
-        valid = (np.arange(n) <= last[doc_of[:n]]) & has_id[doc_of[:n]]
-        self.at = np.flatnonzero(valid)
-        self.doc = doc_of[self.at]
-        self.starts, self.sizes = starts, sizes
-        numbers = np.array([0 if i is None else i for i in self.row_ids], np.int64)
-        self.id = numbers[self.doc]
-        self.key = mix64(window_hashes(flat, window, _BASES[0])[self.at])
-        self.second = window_hashes(flat, window, _BASES[1])[self.at]
-        mixed = mix64(self.second)
-        self.extra = (mixed >> np.uint64(32)).astype(np.uint32)
+    """The windows of the documents of a bucket that have an id."""
+
+    def __init__(self, docs: pa.Table, window: int, segments: int):
+        row_ids = docs.column("__id").to_pylist()
+        hashes, self.sizes = word_hashes(list(texts(docs, "__text")))
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        doc_of = np.repeat(np.arange(len(row_ids)), self.sizes)
+        n = max(0, len(hashes) - window + 1)
+        inside = np.arange(n) <= (self.starts + self.sizes - window)[doc_of[:n]]
+        has_id = np.array([i is not None for i in row_ids], bool)
+        self.at = np.flatnonzero(inside & has_id[doc_of[:n]])
+        self.id = np.array([i or 0 for i in row_ids], np.int64)[doc_of[self.at]]
+        self.key = window_hashes(hashes, window, _BASES[0])[self.at]
+        other = window_hashes(hashes, window, _BASES[1])[self.at]
+        self.extra = (mix64(other) >> np.uint64(32)).astype(np.uint32)
         # the sketch rows: independent places of the window among all cells
         with np.errstate(over="ignore"):
-            self.cells = [(mix64(self.second + np.uint64(0x632BE59BD9B4E019 * (r + 1) % (1 << 64)))
+            self.cells = [(mix64(other + np.uint64(0x632BE59BD9B4E019 * (r + 1) % (1 << 64)))
                            % np.uint64(segments * CELLS)).astype(np.int64) for r in range(ROWS)]
 
     def sketch(self) -> Iterator[tuple[int, bytes, bytes]]:
-        """(segment, cells touched once, cells touched more often), of distinct (window, document) pairs."""
-        order = np.lexsort((self.id, self.key))
-        key, doc = self.key[order], self.id[order]
-        new = np.ones(len(order), bool)
-        new[1:] = (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])
-        pairs = order[new]
+        """(segment of a row, cells touched once, cells touched more often)."""
         for r in range(ROWS):
-            cell, n = np.unique(self.cells[r][pairs], return_counts=True)
-            segment = cell // CELLS
-            bounds = np.flatnonzero(np.diff(segment, prepend=-1))
-            for a, b in zip(bounds, [*bounds[1:], len(cell)]):
-                inside, many = (cell[a:b] % CELLS).astype(np.uint32), n[a:b] > 1
-                yield int(segment[a]) * ROWS + r, pack_sorted(inside[~many]), pack_sorted(inside[many])
+            cell, n = np.unique(self.cells[r], return_counts=True)
+            for segment, part in runs(cell // CELLS):
+                inside, many = (cell[part] % CELLS).astype(np.uint32), n[part] > 1
+                yield segment * ROWS + r, pack_sorted(inside[~many]), pack_sorted(inside[many])
 
     def repeated(self, replies: list[tuple[int, bytes]]) -> np.ndarray:
-        """Which windows every sketch row reports as repeated."""
+        """Which windows every sketch row reports as repeated, or a few that share the last bits of such a cell."""
         found = np.ones(len(self.at), bool)
         for r in range(ROWS):
             parts = [unpack_sorted(body) + segment // ROWS * CELLS for segment, body in replies if segment % ROWS == r]
-            cells = np.sort(np.concatenate(parts)) if parts else np.zeros(0, np.int64)
-            if len(cells):
-                i = np.minimum(np.searchsorted(cells, self.cells[r]), len(cells) - 1)
-                found &= cells[i] == self.cells[r]
-            else:
-                found[:] = False
+            cells = np.concatenate(parts) if parts else np.zeros(0, np.int64)
+            size = 1 << max(16, (16 * len(cells)).bit_length())
+            marked = np.zeros(size, bool)
+            marked[cells & (size - 1)] = True
+            found &= marked[self.cells[r] & (size - 1)]
         return found
 
     def entries(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -211,17 +223,16 @@ def dedup_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     sketch_schema = arrow_schema(spark, "segment long, bucket long, once binary, more binary")
     entry_schema = arrow_schema(spark, "segment long, bucket long, key binary, extra binary, ids binary")
     reply_schema = arrow_schema(spark, _REPLY)
-    hashes = WordHashes()
 
     def to_sketch(group: pa.Table) -> pa.Table:
-        own = _Bucket(group, window, hashes, segments)
+        own = _Bucket(group, window, segments)
         bucket = group.column("bucket")[0].as_py()
         return rows_table([(s, bucket, a, b) for s, a, b in own.sketch()], sketch_schema)
 
     def to_entries(group: pa.Table, reply: pa.Table) -> pa.Table:
         if not group.num_rows or not reply.num_rows:
             return rows_table([], entry_schema)
-        own = _Bucket(group, window, hashes, segments)
+        own = _Bucket(group, window, segments)
         at, segment, _, _ = own.entries(own.repeated(_replies(reply, 0)))
         bucket = group.column("bucket")[0].as_py()
         return rows_table([(s, bucket, own.key[at[g]].tobytes(), own.extra[at[g]].tobytes(), own.id[at[g]].tobytes())
@@ -234,7 +245,7 @@ def dedup_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def to_kept(group: pa.Table, reply: pa.Table) -> pa.Table:
         if not group.num_rows:
             return kept_schema.empty_table()
-        own = _Bucket(group, window, hashes, segments)
+        own = _Bucket(group, window, segments)
         at, segment, entry, chosen = own.entries(own.repeated(_replies(reply, 0)))
         later = np.zeros(len(at), bool)
         bits = dict(_replies(reply, 1))
@@ -246,14 +257,16 @@ def dedup_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         cover[own.at[gone]] += 1
         cover[own.at[gone] + window] -= 1
         removed = np.cumsum(cover) > 0
-        n_removed, kept_text, whole = [], [], texts(group, "__text")
-        for ws, start, original in zip(own.words, own.starts.tolist(), whole):
-            flags = removed[start:start + len(ws)]
+        n_removed, kept_text = [], []
+        for text, start, size in zip(texts(group, "__text"), own.starts.tolist(), own.sizes.tolist()):
+            flags = removed[start:start + size]
             n = int(flags.sum())
             n_removed.append(n)
             if n:
-                ws = [w for w, out in zip(ws, flags.tolist()) if not out]
-            kept_text.append((original if keep_layout and not n else b" ".join(ws)).decode("utf-8", "replace"))
+                text = b" ".join([w for w, out in zip(words(text), flags.tolist()) if not out])
+            elif not keep_layout:
+                text = b" ".join(words(text))
+            kept_text.append(text.decode("utf-8", "replace"))
         return pa.Table.from_arrays(
             [column(group, "__id"), column(group, "__rest"), pa.array(own.sizes), pa.array(n_removed, pa.int64()),
              pa.array(kept_text, pa.string())], names=kept_schema.names).cast(kept_schema)
