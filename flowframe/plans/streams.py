@@ -13,31 +13,26 @@ from flowframe.plans.flows import PAYLOAD_SQL
 from flowframe.plans.groups import RANKED_SQL, SEQ_AGG_SQL
 from flowframe.plans.io import LISTING_PATH_SQL, _listings
 from flowframe.plans.registry import register, table
+from flowframe.functions.scalar import ntz_literal
 from flowframe.session import scratch_path
-from flowframe.streaming.delayer import stream_delayer_bucketed
-from flowframe.streaming.group_release import stream_group_release_bucketed
+from flowframe.streaming.delayer import stream_delayer
+from flowframe.streaming.group_release import stream_group_release
 from flowframe.streaming.jobs import copy_orders_batch, stream_accept_once, stream_tick_window
-from flowframe.streaming.runner import run_available_now
+from flowframe.streaming.runner import read_batches, run_available_now, run_batches
 
-# A row far after every test event closes the stream's event time, so
-# timers and windows of the real rows fire; it is filtered out after.
-SENTINEL_TS = dt.datetime(2100, 1, 1)
+#: After every release time of the test events.
+AFTER_ALL = dt.datetime(2100, 1, 1)
 
 
 def _stage(df, name):
-    spark = df.sparkSession
-    base = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    base = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(f"{base}/in")
     return base
 
 
-def _with_sentinel(df, base, ts_col, overrides):
-    """Append one sentinel file to a staged input directory."""
-    spark = df.sparkSession
-    row = {c: None for c in df.columns}
-    row.update(overrides)
-    row[ts_col] = SENTINEL_TS
-    spark.createDataFrame([row], df.schema).write.mode("append").parquet(f"{base}/in")
+def _stream(df, base):
+    """The staged rows as a file stream, one file per micro-batch."""
+    return df.sparkSession.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
 
 
 @register("stream_group_release", f"""
@@ -48,10 +43,8 @@ select cast(corr_id as varchar), 'late', null, payload from ({RANKED_SQL}) where
 def q_stream_group_release(spark, d):
     src = grouped_messages(spark, d).select("corr_id", "seq_size", "payload", *LINEITEM_ARRIVAL)
     base = _stage(src, "grp")
-    stream = spark.readStream.schema(src.schema).parquet(f"{base}/in")
-    # every micro-batch touches many ids here, so state is kept per hash bucket
-    out = stream_group_release_bucketed(stream, "corr_id", LINEITEM_ARRIVAL, "seq_size", "payload", "l_shipdate")
-    return run_available_now(out, "grp-out", base=f"{base}/run")
+    out = stream_group_release(_stream(src, base), f"{base}/run", "corr_id", LINEITEM_ARRIVAL, "seq_size", "payload", "l_shipdate")
+    return out.filter("outcome <> 'pending'")
 
 
 @register("stream_delayer", f"""
@@ -64,11 +57,8 @@ def q_stream_delayer(spark, d):
         F.regexp_extract("props", r'"k": (\d+)', 1)))
     ev = D.delay_from_payload(ev, "ts", "payload", 8000).select("event_id", "user_id", "ts", "release_ts")
     base = _stage(ev, "delay")
-    _with_sentinel(ev, base, "ts", {"event_id": -1, "user_id": -1, "release_ts": SENTINEL_TS})
-    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1000).parquet(f"{base}/in")
-    out = stream_delayer_bucketed(stream, "user_id", "event_id", "ts", "release_ts")
-    res = run_available_now(out, "delay-out", base=f"{base}/run")
-    return res.filter(F.col("msg_id") >= 0)
+    out = stream_delayer(_stream(ev, base), f"{base}/run", "ts", "release_ts", as_of=ntz_literal(AFTER_ALL))
+    return out.select(F.col("event_id").alias("msg_id"), F.col("user_id").cast("string").alias("key"), "release_ts")
 
 
 @register("stream_tick_window", """
@@ -79,10 +69,7 @@ from events group by time_bucket(interval 1 hour, ts)
 def q_stream_tick_window(spark, d):
     ev = events(spark, d).select("event_id", "ts")
     base = _stage(ev, "ticks")
-    _with_sentinel(ev, base, "ts", {"event_id": -1})
-    stream = spark.readStream.schema(ev.schema).parquet(f"{base}/in")
-    res = run_available_now(stream_tick_window(stream, "ts", "1 hour", "event_id"), "ticks-out", base=f"{base}/run")
-    return res.filter(F.col("first_id") >= 0)
+    return stream_tick_window(_stream(ev, base), f"{base}/run", "ts", "1 hour", "event_id")
 
 
 @register("stream_accept_once", f"""
@@ -91,17 +78,24 @@ select distinct {LISTING_PATH_SQL} as file_path from events where event_type <>
 def q_stream_accept_once(spark, d):
     lst = _listings(spark, d)
     base = _stage(lst, "listing")
-    stream = spark.readStream.schema(lst.schema).parquet(f"{base}/in")
-    return run_available_now(stream_accept_once(stream, "file_path", "listing_ts"), "listing-out", base=f"{base}/run")
+    return run_available_now(stream_accept_once(_stream(lst, base), "file_path", "listing_ts"), "listing-out", base=f"{base}/run")
+
+
+def _copied(spark, d):
+    o = table(spark, d, "orders").select("o_orderkey", "o_orderstatus")
+    base = _stage(o, "copy")
+    run_batches(_stream(o, base), copy_orders_batch(spark, f"{base}/run", "o_orderkey", "o_orderstatus", "F", "C"), f"{base}/run")
+    return o, f"{base}/run"
 
 
 @register("stream_copy_orders", "select o_orderkey as order_id from orders where o_orderstatus = 'F'")
 def q_stream_copy_orders(spark, d):
-    o = table(spark, d, "orders").select("o_orderkey", "o_orderstatus")
-    base = _stage(o.repartition(4), "copy")
-    stream = spark.readStream.schema(o.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
-    target = f"{base}/target"
-    q = (stream.writeStream.foreachBatch(copy_orders_batch(spark, target, "o_orderkey", "o_orderstatus", "F", "O"))
-         .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.read.parquet(target).select("order_id")
+    o, base = _copied(spark, d)
+    return read_batches(spark, base, "target", o.select(F.col("o_orderkey").alias("order_id")).schema).select("order_id")
+
+
+@register("stream_copy_remaining", "select o_orderkey, o_orderstatus from orders where o_orderstatus <> 'F'")
+def q_stream_copy_remaining(spark, d):
+    """The source table after the job: what was claimed and copied is deleted."""
+    o, base = _copied(spark, d)
+    return read_batches(spark, base, "source", o.schema).drop("batch_id")

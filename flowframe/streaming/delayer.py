@@ -1,110 +1,51 @@
 """Streaming delayer (M4): hold each message until its release time.
 
-Messages are held per key in the key's state (parallel arrays, passed
-in-band with the Arrow batch by ``applyInPandasWithState``); the key's
-event-time timeout is the earliest held release time.  When the
-watermark passes it, every held message that is due is emitted (two
-messages due at the same instant leave together) and the timeout moves
-to the next release.  A message that is already due when it arrives
-leaves in the same micro-batch.  A finite input is closed by a trailing
-sentinel row whose event time lies after every release.
+The clock is event time: the latest arrival taken in so far.  Each
+micro-batch writes the messages that are due by that clock and the ones it
+still holds; a message that is due when it arrives leaves at once.  Which
+rows come in together changes when a message leaves, never whether.
 """
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
 
-OUTPUT_SCHEMA = "msg_id long, key string, release_us long"
-STATE_SCHEMA = "ids array<long>, release_us array<long>"
-
-
-def _delay(key, pdfs, state):
-    k = str(key[0])
-    if state.exists:
-        ids, rel = state.get
-        ids, rel = list(ids or []), list(rel or [])
-    else:
-        ids, rel = [], []
-    if not state.hasTimedOut:
-        for pdf in pdfs:
-            ids += [int(x) for x in pdf["msg_id"]]
-            rel += [int(x) for x in pdf["release_us"]]
-    wm_us = state.getCurrentWatermarkMs() * 1000
-    due = [(i, r) for i, r in zip(ids, rel) if r <= wm_us]
-    keep = [(i, r) for i, r in zip(ids, rel) if r > wm_us]
-    if keep:
-        state.update(([i for i, _ in keep], [r for _, r in keep]))
-        # timeouts are in ms: round the earliest release up
-        state.setTimeoutTimestamp(max(-(-min(r for _, r in keep) // 1000), wm_us // 1000 + 1))
-    else:
-        state.remove()
-    if due:
-        yield pd.DataFrame({"msg_id": [i for i, _ in due], "key": [k] * len(due), "release_us": [r for _, r in due]})
-
-
-def stream_delayer(stream: DataFrame, key: str, msg_id: str, arrival_ts: str, release_ts: str,
-                   watermark: str = "0 seconds") -> DataFrame:
-    """Held messages come out as ``(msg_id, key, release_ts)`` once released."""
-    from flowframe.streaming.runner import event_micros, event_time, use_rocksdb_state
-
-    use_rocksdb_state(stream.sparkSession)
-    src = stream.select(
-        F.col(key).cast("string").alias("key"), F.col(msg_id).cast("long").alias("msg_id"),
-        event_time(stream, arrival_ts).alias("event_time"),
-        event_micros(stream, release_ts).alias("release_us"),
-    ).withWatermark("event_time", watermark)
-    out = src.groupBy("key").applyInPandasWithState(_delay, OUTPUT_SCHEMA, STATE_SCHEMA, "append",
-                                                    GroupStateTimeout.EventTimeTimeout)
-    epoch = F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'")
-    return out.select("msg_id", "key", F.timestamp_add("MICROSECOND", F.col("release_us"), epoch).alias("release_ts"))
-
-
-# ---------------------------------------------------------------- bucketed form
-BUCKET_STATE_SCHEMA = "ids array<long>, keys array<string>, release_us array<long>"
-
-
-def _delay_bucket(bucket, pdfs, state):
-    if state.exists:
-        ids, keys, rel = state.get
-        ids, keys, rel = list(ids or []), list(keys or []), list(rel or [])
-    else:
-        ids, keys, rel = [], [], []
-    if not state.hasTimedOut:
-        for pdf in pdfs:
-            ids += pdf["msg_id"].astype("int64").tolist()
-            keys += pdf["key"].astype(str).tolist()
-            rel += pdf["release_us"].astype("int64").tolist()
-    wm_us = state.getCurrentWatermarkMs() * 1000
-    due = [i for i, r in enumerate(rel) if r <= wm_us]
-    keep = [i for i, r in enumerate(rel) if r > wm_us]
-    if keep:
-        state.update(([ids[i] for i in keep], [keys[i] for i in keep], [rel[i] for i in keep]))
-        state.setTimeoutTimestamp(max(-(-min(rel[i] for i in keep) // 1000), wm_us // 1000 + 1))
-    else:
-        state.remove()
-    if due:
-        yield pd.DataFrame({"msg_id": [ids[i] for i in due], "key": [keys[i] for i in due], "release_us": [rel[i] for i in due]})
-
-
-def stream_delayer_bucketed(stream: DataFrame, key: str, msg_id: str, arrival_ts: str, release_ts: str,
-                            buckets: int | None = None, watermark: str = "0 seconds") -> DataFrame:
-    """Same output as :func:`stream_delayer`, with the held messages of one
-    hash bucket of keys kept together (four buckets per shuffle partition by
-    default), so the per-group framework cost is paid per bucket."""
-    from flowframe.session import shuffle_partitions
-    from flowframe.streaming.runner import event_micros, event_time, use_rocksdb_state
-
-    use_rocksdb_state(stream.sparkSession)
-    buckets = buckets or 4 * shuffle_partitions(stream.sparkSession)
-    src = stream.select(
-        F.col(key).cast("string").alias("key"), F.col(msg_id).cast("long").alias("msg_id"),
-        event_time(stream, arrival_ts).alias("event_time"),
-        event_micros(stream, release_ts).alias("release_us"),
-    ).withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(int(buckets))).cast("int")).withWatermark("event_time", watermark)
-    out = src.groupBy("bucket").applyInPandasWithState(_delay_bucket, OUTPUT_SCHEMA, BUCKET_STATE_SCHEMA, "append",
-                                                       GroupStateTimeout.EventTimeTimeout)
-    epoch = F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'")
-    return out.select("msg_id", "key", F.timestamp_add("MICROSECOND", F.col("release_us"), epoch).alias("release_ts"))
+from flowframe.streaming.runner import batch_dir, last_batch_before, read_batches, run_batches
+
+
+def delay_batch(base: str, arrival_ts: str, release_ts: str):
+    """``foreachBatch`` body: (held before + new rows) -> due rows and rows held on, both by batch."""
+
+    def body(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        before = last_batch_before(spark, base, "held", batch_id)
+        old = read_batches(spark, base, "held", batch.schema).filter(
+            F.col("batch_id") == F.lit(-1 if before is None else before)).drop("batch_id")
+        waiting = old.unionByName(batch)
+        clock = read_batches(spark, base, "clock", batch.select(F.max(arrival_ts).alias("at")).schema).filter(
+            F.col("batch_id") < batch_id).select("at")
+        batch.agg(F.max(arrival_ts).alias("at")).write.mode("overwrite").parquet(batch_dir(base, "clock", batch_id))
+        now = clock.unionByName(batch.agg(F.max(arrival_ts).alias("at"))).agg(F.max("at").alias("_now"))
+        timed = waiting.withColumn("_now", now.scalar())
+        due = F.coalesce(F.col(release_ts) <= F.col("_now"), F.lit(False))
+        timed.filter(due).drop("_now").write.mode("overwrite").parquet(batch_dir(base, "out", batch_id))
+        timed.filter(~due).drop("_now").write.mode("overwrite").parquet(batch_dir(base, "held", batch_id))
+
+    return body
+
+
+def stream_delayer(stream: DataFrame, base: str, arrival_ts: str, release_ts: str, as_of: Column | None = None) -> DataFrame:
+    """Take in everything available; return the released messages.
+
+    With ``as_of`` the messages still held whose release time is not after it
+    leave as well (a finite input has no later arrival to move the clock).
+    """
+    spark, schema = stream.sparkSession, stream.schema
+    run_batches(stream, delay_batch(base, arrival_ts, release_ts), base)
+    out = read_batches(spark, base, "out", schema).drop("batch_id")
+    if as_of is None:
+        return out
+    newest = last_batch_before(spark, base, "held", 2**62)
+    held = read_batches(spark, base, "held", schema).filter(F.col("batch_id") == F.lit(-1 if newest is None else newest)).drop("batch_id")
+    return out.unionByName(held.filter(F.col(release_ts) <= as_of))

@@ -1,227 +1,77 @@
-"""Streaming message-group release (M3): release at size, late discard, timeout.
-
-Per correlation id the state holds the pending payloads, the declared size
-(of the **first** message), the count, the last arrival and a completed
-flag.  ``applyInPandasWithState`` hands each key its state in-band with
-its Arrow batch, so state costs one read and one write per key and
-micro-batch.  Rows of a key inside one micro-batch are taken in the given
-arrival order.
-
-* a message joining a group is held until the group holds its size; the
-  group is then released as one list and marked completed;
-* a message for a completed group is discarded as ``late``; completed
-  groups are remembered for ``done_ttl_ms`` of event time (the key's
-  event-time timeout), after which the id opens a new group, so state
-  does not grow for ever;
-* with ``timeout_ms`` a pending group whose last message is older than
-  ``timeout_ms`` when the watermark passes is discarded: every held
-  message is emitted as ``discarded``.  Each message re-arms the timeout,
-  completion replaces it.
-
-Output rows: ``(corr_id, outcome, seq, payloads)`` where ``payloads`` is the
-released list joined by spaces, or the single late/discarded payload.
+"""Message-group release over a stream (M3, M6): release at size, late discard, timeout.
+
+The outcome of a correlation id is a function of its rows in arrival order;
+``group_outcomes`` states it for a table, ``stream_group_release`` keeps it
+up to date for a stream (see ``runner.keyed_recompute``).
+
+* The first message of a group declares its size; the group is released as
+  one list when it holds that many, and the id is complete from then on.
+* With a timeout, a message that comes later than that after the previous
+  one finds the pending group given up (its messages are ``discarded``) and
+  opens a new one.
+* Messages of a complete id are ``late``.
+* A group that is still waiting is ``pending``, or ``discarded`` when
+  ``as_of`` lies beyond its timeout.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
-
-OUTPUT_SCHEMA = "corr_id string, outcome string, seq long, payloads string"
-STATE_SCHEMA = "size long, n long, last_ms long, done boolean, pending array<string>"
-_COLS = ["corr_id", "outcome", "seq", "payloads"]
-
-
-def make_group_release(order: Sequence[str], timeout_ms: int | None, done_ttl_ms: int):
-    order = list(order)
-
-    def fn(key, pdfs, state):
-        corr = str(key[0])
-        out = []
-        if state.hasTimedOut:
-            size, n, last_ms, done, pending = state.get
-            if not done:
-                out += [(corr, "discarded", None, p) for p in (pending or [])]
-            state.remove()
-            if out:
-                yield pd.DataFrame(out, columns=_COLS)
-            return
-        if state.exists:
-            size, n, last_ms, done, pending = state.get
-            pending = list(pending or [])
-        else:
-            size, n, last_ms, done, pending = None, 0, None, False, []
-        wm = state.getCurrentWatermarkMs()
-        # a due timeout is not delivered as a timeout call when data for the
-        # key arrives in the same micro-batch: apply it here first
-        if done and last_ms is not None and last_ms + done_ttl_ms <= wm:
-            size, n, last_ms, done, pending = None, 0, None, False, []
-        elif not done and timeout_ms is not None and n and last_ms is not None and last_ms + timeout_ms <= wm:
-            out += [(corr, "discarded", None, p) for p in pending]
-            size, n, last_ms, pending = None, 0, None, []
-        chunks = list(pdfs)
-        batch = chunks[0] if len(chunks) == 1 else pd.concat(chunks, ignore_index=True)
-        idx = np.lexsort([batch[c].to_numpy() for c in reversed(order)]) if len(batch) > 1 else np.arange(len(batch))
-        payloads = batch["payload"].to_numpy()[idx]
-        sizes = batch["seq_size"].to_numpy()[idx]
-        arrivals = batch["arrival_ms"].to_numpy()[idx]
-        done_at = None
-        for payload, seq_size, arrival_ms in zip(payloads, sizes, arrivals):
-            arrival_ms = int(arrival_ms)
-            if not done and timeout_ms is not None and n and last_ms is not None and arrival_ms > last_ms + timeout_ms:
-                # the pending group timed out before this message came
-                out += [(corr, "discarded", None, p) for p in pending]
-                size, n, last_ms, pending = None, 0, None, []
-            if done:
-                out.append((corr, "late", None, str(payload)))
-                continue
-            if size is None:
-                size = int(seq_size)
-            pending.append(str(payload))
-            n += 1
-            last_ms = arrival_ms
-            if n >= size:
-                out.append((corr, "released", int(size), " ".join(pending)))
-                done, done_at, pending = True, arrival_ms, []
-        state.update((size, n, last_ms, done, pending))
-        if done:
-            if done_at is not None:
-                state.setTimeoutTimestamp(max(done_at + done_ttl_ms, wm + 1))
-        elif timeout_ms is not None and n:
-            state.setTimeoutTimestamp(max(last_ms + timeout_ms, wm + 1))
-        if out:
-            yield pd.DataFrame({c: [r[i] for r in out] for i, c in enumerate(_COLS)})
-
-    return fn
-
-
-def stream_group_release(stream: DataFrame, key: str, order: Sequence[str], size_col: str, payload: str,
-                         arrival_ts: str, timeout_ms: int | None = None, watermark: str = "1 hour",
-                         done_ttl_ms: int = 24 * 3600 * 1000) -> DataFrame:
-    """Apply the group-release state machine to a stream."""
-    from flowframe.streaming.runner import event_micros, event_time, use_rocksdb_state
-
-    use_rocksdb_state(stream.sparkSession)
-    src = stream.select(
-        F.col(key).cast("string").alias("corr_id"), F.col(payload).cast("string").alias("payload"),
-        F.col(size_col).cast("long").alias("seq_size"),
-        (event_micros(stream, arrival_ts) / 1000).cast("long").alias("arrival_ms"),
-        event_time(stream, arrival_ts).alias("event_time"),
-        *[F.col(o).alias("o_" + o) for o in order],
-    ).withWatermark("event_time", watermark)
-    fn = make_group_release(["o_" + o for o in order], timeout_ms, done_ttl_ms)
-    return src.groupBy("corr_id").applyInPandasWithState(
-        fn, OUTPUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
-
-
-# ---------------------------------------------------------------- bucketed form
-BUCKET_STATE_SCHEMA = ("corr array<string>, size array<long>, n array<long>, last_ms array<long>, "
-                       "done array<boolean>, done_until array<long>, pending array<array<string>>")
-
-
-def make_bucketed_group_release(order: Sequence[str], timeout_ms: int | None, done_ttl_ms: int):
-    """Same state machine as :func:`make_group_release`, for all correlation
-    ids of one hash bucket at once: the framework's per-group cost is paid
-    per bucket instead of per id.  Each touched bucket rewrites its state,
-    so the bucket count bounds that cost."""
-    order = list(order)
-
-    def fn(key, pdfs, state):
-        out_c, out_o, out_s, out_p = [], [], [], []
-        groups: dict[str, list] = {}
-        if state.exists:
-            c, sz, n, last, done, until, pend = state.get
-            for i in range(len(c or [])):
-                groups[c[i]] = [sz[i], n[i], last[i], bool(done[i]), until[i], list(pend[i] or [])]
-        wm = state.getCurrentWatermarkMs()
-
-        def emit(corr, outcome, seq, payload):
-            out_c.append(corr)
-            out_o.append(outcome)
-            out_s.append(seq)
-            out_p.append(payload)
-
-        # expire by the watermark: forget completed ids, discard timed-out groups
-        for corr in list(groups):
-            g = groups[corr]
-            if g[3]:
-                if g[4] is not None and g[4] <= wm:
-                    del groups[corr]
-            elif timeout_ms is not None and g[1] and g[2] is not None and g[2] + timeout_ms <= wm:
-                for p in g[5]:
-                    emit(corr, "discarded", None, p)
-                del groups[corr]
-        if not state.hasTimedOut:
-            chunks = [p for p in pdfs if len(p)]
-            if chunks:
-                batch = chunks[0] if len(chunks) == 1 else pd.concat(chunks, ignore_index=True)
-                idx = np.lexsort([batch[c].to_numpy() for c in reversed(order)] + [batch["corr_id"].to_numpy()])
-                corrs = batch["corr_id"].to_numpy()[idx].tolist()
-                payloads = batch["payload"].to_numpy()[idx].tolist()
-                sizes = batch["seq_size"].to_numpy()[idx].tolist()
-                arrivals = batch["arrival_ms"].to_numpy()[idx].tolist()
-                for corr, payload, seq_size, arrival_ms in zip(corrs, payloads, sizes, arrivals):
-                    g = groups.get(corr)
-                    if g is None:
-                        g = groups[corr] = [None, 0, None, False, None, []]
-                    if g[3]:
-                        emit(corr, "late", None, str(payload))
-                        continue
-                    if timeout_ms is not None and g[1] and g[2] is not None and arrival_ms > g[2] + timeout_ms:
-                        for p in g[5]:
-                            emit(corr, "discarded", None, p)
-                        g[0], g[1], g[2], g[5] = None, 0, None, []
-                    if g[0] is None:
-                        g[0] = int(seq_size)
-                    g[5].append(str(payload))
-                    g[1] += 1
-                    g[2] = int(arrival_ms)
-                    if g[1] >= g[0]:
-                        emit(corr, "released", int(g[0]), " ".join(g[5]))
-                        g[3], g[4], g[5] = True, int(arrival_ms) + done_ttl_ms, []
-        if groups:
-            items = list(groups.items())
-            state.update((
-                [k for k, _ in items], [g[0] for _, g in items], [g[1] for _, g in items], [g[2] for _, g in items],
-                [g[3] for _, g in items], [g[4] for _, g in items], [g[5] for _, g in items],
-            ))
-            deadlines = [g[4] for _, g in items if g[3] and g[4] is not None]
-            if timeout_ms is not None:
-                deadlines += [g[2] + timeout_ms for _, g in items if not g[3] and g[1] and g[2] is not None]
-            if deadlines:
-                state.setTimeoutTimestamp(max(min(deadlines), wm + 1))
-        else:
-            state.remove()
-        if out_c:
-            yield pd.DataFrame({"corr_id": out_c, "outcome": out_o, "seq": out_s, "payloads": out_p})
+from pyspark.sql.types import StructType
 
-    return fn
+from flowframe.operators.sequence import keyed_scan
+from flowframe.streaming.runner import keyed_recompute, newest_results, run_batches
 
+OUTCOME_SCHEMA = "corr_id string, outcome string, seq long, payloads string"
 
-def stream_group_release_bucketed(stream: DataFrame, key: str, order: Sequence[str], size_col: str, payload: str,
-                                  arrival_ts: str, buckets: int | None = None, timeout_ms: int | None = None,
-                                  watermark: str = "1 hour", done_ttl_ms: int = 24 * 3600 * 1000) -> DataFrame:
-    """Group release with the state of ``buckets`` hash buckets of
-    correlation ids (same output as :func:`stream_group_release`).  By
-    default four buckets per shuffle partition, so the stateful stage keeps
-    the cluster's full parallelism."""
-    from flowframe.session import shuffle_partitions
-    from flowframe.streaming.runner import event_micros, event_time, use_rocksdb_state
 
-    buckets = buckets or 4 * shuffle_partitions(stream.sparkSession)
-    use_rocksdb_state(stream.sparkSession)
-    src = stream.select(
+def group_outcomes(rows: DataFrame, key: str, order: Sequence[str | Column], size_col: str, payload: str, arrival_ts: str,
+                   timeout_seconds: float | None = None, as_of: Column | None = None) -> DataFrame:
+    """(corr_id, outcome, seq, payloads): a row per released list, and per late, discarded or pending message."""
+    narrow = rows.select(
         F.col(key).cast("string").alias("corr_id"), F.col(payload).cast("string").alias("payload"),
-        F.col(size_col).cast("long").alias("seq_size"),
-        (event_micros(stream, arrival_ts) / 1000).cast("long").alias("arrival_ms"),
-        event_time(stream, arrival_ts).alias("event_time"),
-        *[F.col(o).alias("o_" + o) for o in order],
-    ).withColumn("bucket", F.pmod(F.xxhash64("corr_id"), F.lit(int(buckets))).cast("int")).withWatermark("event_time", watermark)
-    fn = make_bucketed_group_release(["o_" + o for o in order], timeout_ms, done_ttl_ms)
-    return src.groupBy("bucket").applyInPandasWithState(
-        fn, OUTPUT_SCHEMA, BUCKET_STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
+        F.col(size_col).cast("long").alias("size"), F.col(arrival_ts).alias("arrival"),
+        *[F.col(o).alias(f"o{i}") if isinstance(o, str) else o.alias(f"o{i}") for i, o in enumerate(order)])
+    by = [f"o{i}" for i in range(len(order))]
+    if timeout_seconds is None:
+        s = keyed_scan(narrow, ["corr_id"], by, rn="pos").withColumn("session", F.lit(1).cast("long"))
+    else:
+        s = keyed_scan(narrow, ["corr_id"], by, gap=("arrival", timeout_seconds)).withColumnsRenamed(
+            {"session_no": "session", "session_rn": "pos"})
+    # a null id is a group like any other
+    s = s.withColumn("k", F.struct(F.lit(0), "corr_id"))
+    runs = s.groupBy("k", "session").agg(
+        F.count(F.lit(1)).alias("n"), F.min_by("size", "pos").alias("wanted"), F.max("arrival").alias("last"))
+    ids = runs.groupBy("k").agg(
+        F.min(F.when(F.col("n") >= F.col("wanted"), F.col("session"))).alias("done"), F.max("session").alias("newest"))
+    s = s.join(runs.select("k", "session", "wanted", "last"), ["k", "session"]).join(ids, "k")
+    inside = (F.col("session") == F.col("done")) & (F.col("pos") <= F.col("wanted"))
+    given_up = F.col("done").isNull() & (F.col("session") < F.col("newest"))
+    if timeout_seconds is not None and as_of is not None:
+        over = F.col("last") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(timeout_seconds).cast("decimal(18,6)"))
+        given_up |= F.col("done").isNull() & (over < as_of)
+    state = (F.when(inside, F.lit("released")).when(F.col("session") < F.col("done"), F.lit("discarded"))
+             .when(F.col("done").isNotNull(), F.lit("late")).when(given_up, F.lit("discarded")).otherwise(F.lit("pending")))
+    s = s.withColumn("outcome", state)
+    items = F.array_sort(F.collect_list(F.struct("pos", "payload")))
+    lists = s.filter("outcome = 'released'").groupBy("k").agg(F.max("wanted").alias("seq"), items.alias("items")).select(
+        F.col("k.corr_id").alias("corr_id"), F.lit("released").alias("outcome"), "seq",
+        F.concat_ws(" ", F.transform("items", lambda x: F.coalesce(x["payload"], F.lit("None")))).alias("payloads"))
+    others = s.filter("outcome <> 'released'").select("corr_id", "outcome", F.lit(None).cast("long").alias("seq"), F.col("payload").alias("payloads"))
+    return lists.unionByName(others)
+
+
+def stream_group_release(stream: DataFrame, base: str, key: str, order: Sequence[str], size_col: str, payload: str,
+                         arrival_ts: str, timeout_seconds: float | None = None, as_of: Column | None = None) -> DataFrame:
+    """Take in everything available and return the newest outcome of every id under ``base``."""
+    spark = stream.sparkSession
+    src = stream.withColumn("corr_id", F.col(key).cast("string"))
+
+    def compute(rows: DataFrame) -> DataFrame:
+        return group_outcomes(rows, "corr_id", order, size_col, payload, arrival_ts, timeout_seconds, as_of)
+
+    run_batches(src, keyed_recompute(base, ["corr_id"], compute), base)
+    return newest_results(spark, base, ["corr_id"], StructType.fromDDL("corr_id string"), StructType.fromDDL(OUTCOME_SCHEMA))

@@ -5,43 +5,66 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowframe.operators.tables import status_claim
+from flowframe.operators.tables import conditional_delete, status_claim
+from flowframe.streaming.runner import batch_dir, read_batches, run_batches
 
 
-def stream_tick_window(stream: DataFrame, ts: str, every: str, id_col: str, watermark: str = "0 seconds") -> DataFrame:
-    """Tumbling drain windows with a watermark (append: a window is emitted
-    once the watermark passes its end)."""
-    from flowframe.functions.scalar import utc_instant_as_ntz
-    from flowframe.streaming.runner import event_time
+def stream_tick_window(stream: DataFrame, base: str, ts: str, every: str, id_col: str) -> DataFrame:
+    """Tumbling drain windows: (drained_at, n_messages, first_id, last_id).
 
-    s = stream.withColumn("_et", event_time(stream, ts)).withWatermark("_et", watermark)
-    return s.groupBy(F.window("_et", every).alias("w")).agg(
-        F.count(F.lit(1)).alias("n_messages"), F.min(id_col).alias("first_id"), F.max(id_col).alias("last_id")
-    ).select(utc_instant_as_ntz(F.col("w.end")).alias("drained_at"), "n_messages", "first_id", "last_id")
+    Each micro-batch writes what its rows add to their windows; reading adds
+    these up, so a row counts whenever it comes.
+    """
+    spark = stream.sparkSession
+    end = F.window(F.col(ts), every)["end"]
+    added = [F.count(F.lit(1)).alias("n_messages"), F.min(id_col).alias("first_id"), F.max(id_col).alias("last_id")]
+    shape = stream.groupBy(end.alias("drained_at")).agg(*added).schema
 
+    def body(batch: DataFrame, batch_id: int) -> None:
+        batch.groupBy(end.alias("drained_at")).agg(*added).write.mode("overwrite").parquet(batch_dir(base, "parts", batch_id))
 
-def stream_accept_once(stream: DataFrame, path: str, ts: str, watermark: str = "1 day") -> DataFrame:
-    """Each path once (hidden names skipped); duplicates are dropped within
-    the watermark, so the dedupe state stays bounded."""
+    run_batches(stream, body, base)
+    return read_batches(spark, base, "parts", shape).groupBy("drained_at").agg(
+        F.sum("n_messages").alias("n_messages"), F.min("first_id").alias("first_id"), F.max("last_id").alias("last_id"))
+
+
+def stream_accept_once(stream: DataFrame, path: str, ts: str, forget_after: str | None = None) -> DataFrame:
+    """Each path once, hidden names skipped.
+
+    Accepted paths are remembered for good; with ``forget_after`` (an
+    interval of event time) a path may be accepted again after that long.
+    """
     s = stream.filter(~F.regexp_extract(F.col(path), r"([^/]*)$", 1).rlike(r"^[._]"))
-    from flowframe.streaming.runner import event_time
+    if forget_after is None:
+        return s.select(path).dropDuplicates([path])
+    from flowframe.functions.scalar import ntz_as_utc_instant
+    from pyspark.sql.types import TimestampNTZType
+
+    at = ntz_as_utc_instant(ts) if isinstance(stream.schema[ts].dataType, TimestampNTZType) else F.col(ts).cast("timestamp")
+    return s.withColumn("_et", at).withWatermark("_et", forget_after).dropDuplicatesWithinWatermark([path]).select(path)
 
-    s = s.withColumn("_et", event_time(stream, ts)).withWatermark("_et", watermark)
-    return s.dropDuplicatesWithinWatermark([path]).select(path)
 
+def copy_orders_batch(spark: SparkSession, base: str, key: str, status_col: str, new_value, claimed_value):
+    """``foreachBatch`` body of the table-copy job: claim, copy, delete.
 
-def copy_orders_batch(spark: SparkSession, target: str, key: str, status_col: str, new_value, claimed_value):
-    """``foreachBatch`` body of the table-copy job: claim the new rows of the
-    batch and write them to the target's ``batch_id=<n>`` partition with
-    overwrite.  A replayed micro-batch (same id after a failure) replaces
-    exactly its own output, so the copy is idempotent at the cost of the
-    batch, without reading the target.  The claim and the copy happen on
-    the batch's own snapshot, so a crash between steps is repaired by the
-    replay."""
+    Claim: rows in ``new_value`` move to ``claimed_value`` in the batch's
+    snapshot.  Copy: claimed rows go to ``target``.  Delete: the snapshot
+    without the rows that are claimed and copied is the next ``source``.
+    Every step writes the batch's own ``batch_id=<n>`` directory with
+    overwrite and reads the step before from its directory, so a micro-batch
+    that is run again, after a failure at any step, replaces exactly its own
+    rows.
+    """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        claimed, _snapshot = status_claim(batch, key, status_col, new_value, claimed_value)
-        rows = claimed.select(F.col(key).alias("order_id"))
-        rows.write.mode("overwrite").parquet(f"{target.rstrip('/')}/batch_id={int(batch_id)}")
+        _claimed, snapshot = status_claim(batch, key, status_col, new_value, claimed_value)
+        snapshot.write.mode("overwrite").parquet(batch_dir(base, "claimed", batch_id))
+        taken = spark.read.schema(batch.schema).parquet(batch_dir(base, "claimed", batch_id))
+        rows = taken.filter(F.col(status_col) == F.lit(claimed_value)).join(
+            batch.filter(F.col(status_col) == F.lit(new_value)).select(key).distinct(), key, "left_semi")
+        rows.select(F.col(key).alias("order_id")).write.mode("overwrite").parquet(batch_dir(base, "target", batch_id))
+        copied = spark.read.parquet(batch_dir(base, "target", batch_id)).select(F.col("order_id").alias(key))
+        conditional_delete(taken, copied, key, status_col, claimed_value).write.mode("overwrite").parquet(
+            batch_dir(base, "source", batch_id))
 
     return run

@@ -1,22 +1,33 @@
-"""Running a stream to completion into a table (tests, catch-up jobs)."""
+"""Streams as foreachBatch jobs over written tables.
+
+A micro-batch is a unit of intake, never of meaning: which rows happen to
+come in together must not decide any result.  So the jobs here keep what
+they have taken in as rows of a table in the shared folder, one
+``batch_id=<n>`` directory per micro-batch, and derive results from those
+rows with the batch operators.  No row is behind any watermark; a
+micro-batch that is run again after a failure replaces its own directories.
+"""
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructType
 
 from flowframe.session import scratch_path
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: Parts of the intake log by key, fixed so that a restart finds every key again.
+BUCKETS = 256
 
 
-def use_rocksdb_state(spark: SparkSession) -> None:
-    """Stateful processors keep their state in RocksDB (spills to disk,
-    checkpointed with the query)."""
-    key = "spark.sql.streaming.stateStore.providerClass"
-    if spark.conf.get(key, None) != ROCKSDB:
-        spark.conf.set(key, ROCKSDB)
+def run_batches(stream: DataFrame, body: Callable[[DataFrame, int], None], base: str) -> None:
+    """Run ``body`` on everything available, in micro-batches remembered under ``base``."""
+    q = (stream.writeStream.foreachBatch(body).option("checkpointLocation", f"{base}/_checkpoint")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
 
 
 def run_available_now(stream: DataFrame, name: str, output_mode: str = "append", base: str | None = None) -> DataFrame:
@@ -30,31 +41,55 @@ def run_available_now(stream: DataFrame, name: str, output_mode: str = "append",
     return spark.read.schema(stream.schema).parquet(f"{base}/out")
 
 
-def stage_stream_input(df: DataFrame, name: str, partitions: int | None = None) -> tuple[str, DataFrame]:
-    """Write a batch frame as the input directory of a file stream."""
-    spark = df.sparkSession
-    base = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
-    (df.repartition(partitions) if partitions else df).write.parquet(f"{base}/in")
-    return f"{base}/in", df
+def batch_dir(base: str, table: str, batch_id: int) -> str:
+    return f"{base}/{table}/batch_id={int(batch_id)}"
+
+
+def read_batches(spark: SparkSession, base: str, table: str, schema: StructType) -> DataFrame:
+    """All batches of a table with their ``batch_id``; empty when none was written."""
+    full = StructType([*schema.fields]).add("batch_id", LongType())
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{base}/{table}")
+    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+        return spark.createDataFrame([], full)
+    return spark.read.schema(full).option("basePath", f"{base}/{table}").parquet(f"{base}/{table}")
+
 
+def last_batch_before(spark: SparkSession, base: str, table: str, batch_id: int) -> int | None:
+    """The newest written batch of a table before ``batch_id``, from the directory names."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{base}/{table}/batch_id=*")
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
+    ids = [int(str(f.getPath().getName()).split("=")[1]) for f in found or []]
+    return max((i for i in ids if i < batch_id), default=None)
 
-def event_time(df: DataFrame, col: str):
-    """Zone-aware event time for watermarks: a wall-clock (NTZ) column is read
-    as UTC with zone-free arithmetic, so windows and timers do not depend on
-    the session time zone; a zone-aware column is used as is."""
-    from pyspark.sql import functions as F
-    from pyspark.sql.types import TimestampNTZType
 
-    from flowframe.functions.scalar import ntz_as_utc_instant
+def keyed_recompute(base: str, keys: Sequence[str], compute: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` body: log the rows, then derive anew the results of the keys they touch.
 
-    return ntz_as_utc_instant(col) if isinstance(df.schema[col].dataType, TimestampNTZType) else F.col(col).cast("timestamp")
+    ``compute`` gets all rows ever logged of the touched keys, so a key's
+    newest result is what a batch job over all its rows gives, whatever the
+    order and cut of intake.  Only log buckets with touched keys are read.
+    """
+    keys = list(keys)
 
+    def body(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        bucket = F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
+        batch.withColumn("_bucket", bucket).write.mode("overwrite").partitionBy("_bucket").parquet(batch_dir(base, "log", batch_id))
+        own = read_batches(spark, base, "log", batch.schema.add("_bucket", IntegerType()))
+        mine = own.filter(F.col("batch_id") == batch_id)
+        parts = [r[0] for r in mine.select("_bucket").distinct().collect()]  # at most BUCKETS numbers
+        touched = mine.select(F.struct(F.lit(0), *keys).alias("_key")).distinct()
+        known = own.filter((F.col("batch_id") <= batch_id) & F.col("_bucket").isin(parts)).withColumn("_key", F.struct(F.lit(0), *keys))
+        rows = known.join(touched, "_key", "left_semi").drop("_key", "batch_id", "_bucket")
+        compute(rows).write.mode("overwrite").parquet(batch_dir(base, "out", batch_id))
+        touched.select(*[F.col(f"_key.{k}").alias(k) for k in keys]).write.mode("overwrite").parquet(batch_dir(base, "touched", batch_id))
 
-def event_micros(df: DataFrame, col: str):
-    """Microseconds since the epoch of a timestamp column (NTZ read as UTC)."""
-    from pyspark.sql import functions as F
-    from pyspark.sql.types import TimestampNTZType
+    return body
 
-    from flowframe.functions.scalar import ntz_micros
 
-    return ntz_micros(col) if isinstance(df.schema[col].dataType, TimestampNTZType) else F.unix_micros(F.col(col).cast("timestamp"))
+def newest_results(spark: SparkSession, base: str, keys: Sequence[str], key_schema: StructType, schema: StructType) -> DataFrame:
+    """Of every key the rows of its newest result."""
+    touched = read_batches(spark, base, "touched", key_schema).withColumn("_key", F.struct(F.lit(0), *keys))
+    newest = touched.groupBy("_key").agg(F.max("batch_id").alias("batch_id"))
+    out = read_batches(spark, base, "out", schema).withColumn("_key", F.struct(F.lit(0), *keys))
+    return out.join(newest, ["_key", "batch_id"], "left_semi").drop("_key", "batch_id")

@@ -4,13 +4,13 @@ import datetime as dt
 import os
 import time
 
-from pyspark.sql import functions as F
-
-from flowframe.streaming.delayer import stream_delayer, stream_delayer_bucketed
 import pytest
 
-from flowframe.streaming.group_release import stream_group_release, stream_group_release_bucketed
-from flowframe.streaming.runner import run_available_now
+from flowframe.functions.scalar import ntz_literal
+from flowframe.streaming.delayer import stream_delayer
+from flowframe.streaming.group_release import stream_group_release
+from flowframe.streaming.jobs import copy_orders_batch, stream_accept_once, stream_tick_window
+from flowframe.streaming.runner import read_batches, run_available_now
 
 T0 = dt.datetime(2024, 1, 1)
 SCHEMA = "corr_id string, seq_no int, seq_size int, payload string, arrival_ts timestamp_ntz"
@@ -34,72 +34,104 @@ def _at(s):
     return T0 + dt.timedelta(seconds=s)
 
 
-@pytest.mark.parametrize("bucketed", [False, True])
-def test_group_release_over_batches(spark, tmp_path, bucketed):
+def _cuts(batches):
+    """The same rows one file per micro-batch, in the given and in the opposite order, and all at once."""
+    return {"given": batches, "reversed": batches[::-1], "one": [[r for b in batches for r in b]]}
+
+
+def _stream(spark, base, schema):
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(base)
+
+
+@pytest.mark.parametrize("cut", ["given", "reversed", "one"])
+def test_group_release_does_not_depend_on_the_cut(spark, tmp_path, cut):
     base = str(tmp_path / "in")
-    _write_batches(spark, base, [
-        [("A", 1, 3, "A1", _at(1)), ("B", 1, 1, "B1", _at(2))],
+    _write_batches(spark, base, _cuts([
+        [("A", 1, 3, "A1", _at(1)), ("B", 1, 1, "B1", _at(2)), ("E", 3, 2, "E3", _at(7200))],
         [("A", 2, 4, "A2", _at(3)), ("A", 3, 5, "A3", _at(4)), ("B", 2, 1, "B2", _at(5))],
-        [("C", 1, 2, "C1", _at(100))],
-        [("Z", 1, 5, "Z1", _at(10000))],  # moves event time on, so C times out
-    ], SCHEMA)
-    stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(base)
-    if bucketed:
-        out = stream_group_release_bucketed(stream, "corr_id", ["arrival_ts", "seq_no"], "seq_size", "payload", "arrival_ts",
-                                            buckets=2, timeout_ms=3000, watermark="0 seconds")
-    else:
-        out = stream_group_release(stream, "corr_id", ["arrival_ts", "seq_no"], "seq_size", "payload", "arrival_ts",
-                                   timeout_ms=3000, watermark="0 seconds")
-    res = run_available_now(out, "grp", base=str(tmp_path / "run"))
-    got = sorted((r["corr_id"], r["outcome"], r["payloads"]) for r in res.collect())
-    assert got == [("A", "released", "A1 A2 A3"), ("B", "late", "B2"), ("B", "released", "B1"), ("C", "discarded", "C1")]
-
-
-@pytest.mark.parametrize("bucketed", [False, True])
-def test_delayer_releases_each_message_once(spark, tmp_path, bucketed):
+        [("C", 1, 2, "C1", _at(100)), ("D", 1, 2, "D1", _at(9000)), (None, 1, 1, "N1", _at(3))],
+        [("Z", 1, 5, "Z1", _at(10000)), ("A", 4, 9, "A4", _at(20000))],
+        [("E", 1, 2, "E1", _at(1)), ("E", 2, 2, "E2", _at(2))],  # hours behind what came before
+    ])[cut], SCHEMA)
+    out = stream_group_release(_stream(spark, base, SCHEMA), str(tmp_path / "run"), "corr_id", ["arrival_ts", "seq_no"], "seq_size",
+                               "payload", "arrival_ts", timeout_seconds=3, as_of=ntz_literal(_at(9002)))
+    got = sorted((str(r["corr_id"]), r["outcome"], r["payloads"]) for r in out.collect())
+    assert got == [("A", "late", "A4"), ("A", "released", "A1 A2 A3"), ("B", "late", "B2"), ("B", "released", "B1"),
+                   ("C", "discarded", "C1"), ("D", "pending", "D1"), ("E", "late", "E3"), ("E", "released", "E1 E2"),
+                   ("None", "released", "N1"), ("Z", "pending", "Z1")]
+
+
+def test_a_timed_out_group_starts_again(spark, tmp_path):
     base = str(tmp_path / "in")
-    schema = "id long, k string, ts timestamp_ntz, release_ts timestamp_ntz"
-    _write_batches(spark, base, [
-        [(1, "a", _at(0), _at(3)), (2, "a", _at(1), _at(3)), (3, "b", _at(1), _at(50))],
-        [(4, "a", _at(10), _at(12))],
-        [(-1, "z", _at(100000), _at(100001))],
-    ], schema)
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(base)
-    op = stream_delayer_bucketed(stream, "k", "id", "ts", "release_ts", buckets=2) if bucketed else \
-        stream_delayer(stream, "k", "id", "ts", "release_ts")
-    res = run_available_now(op, "delay", base=str(tmp_path / "run"))
-    got = sorted((r["msg_id"], r["release_ts"]) for r in res.filter(F.col("msg_id") > 0).collect())
-    assert got == [(1, _at(3)), (2, _at(3)), (3, _at(50)), (4, _at(12))]
-
-
-def test_copy_batch_replay_is_idempotent(spark, tmp_path):
-    from flowframe.streaming.jobs import copy_orders_batch
-
-    batch = spark.createDataFrame([(1, "F"), (2, "O"), (3, "F")], "o_orderkey long, o_orderstatus string")
-    target = str(tmp_path / "target")
-    run = copy_orders_batch(spark, target, "o_orderkey", "o_orderstatus", "F", "O")
-    run(batch, 0)
-    run(batch, 0)  # replay after a failure
-    run(spark.createDataFrame([(4, "F")], batch.schema), 1)
-    got = sorted(r["order_id"] for r in spark.read.parquet(target).collect())
-    assert got == [1, 3, 4]
-
-
-@pytest.mark.parametrize("bucketed", [False, True])
-def test_completed_group_memory_expires(spark, tmp_path, bucketed):
+    _write_batches(spark, base, [[("T", i, 2, f"T{i}", _at(i * 10))] for i in range(3)] + [[("T", 9, 2, "T9", _at(21))]], SCHEMA)
+    out = stream_group_release(_stream(spark, base, SCHEMA), str(tmp_path / "run"), "corr_id", ["arrival_ts"], "seq_size", "payload",
+                               "arrival_ts", timeout_seconds=3)
+    assert sorted((r["outcome"], r["payloads"]) for r in out.collect()) == [
+        ("discarded", "T0"), ("discarded", "T1"), ("released", "T2 T9")]
+
+
+def test_intake_goes_on_after_a_restart(spark, tmp_path):
+    base, run = str(tmp_path / "in"), str(tmp_path / "run")
+    args = ("corr_id", ["arrival_ts"], "seq_size", "payload", "arrival_ts")
+    _write_batches(spark, base, [[("A", 1, 2, "A1", _at(1))]], SCHEMA)
+    out = stream_group_release(_stream(spark, base, SCHEMA), run, *args)
+    assert [r["outcome"] for r in out.collect()] == ["pending"]
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    try:
+        spark.createDataFrame([("A", 2, 2, "A2", _at(9))], SCHEMA).coalesce(1).write.mode("append").parquet(base)
+        out = stream_group_release(_stream(spark, base, SCHEMA), run, *args)
+        assert [tuple(r) for r in out.collect()] == [("A", "released", 2, "A1 A2")]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+DELAYED = "id long, k string, ts timestamp_ntz, release_ts timestamp_ntz"
+
+
+@pytest.mark.parametrize("cut", ["given", "reversed", "one"])
+def test_every_delayed_message_leaves_once(spark, tmp_path, cut):
     base = str(tmp_path / "in")
-    _write_batches(spark, base, [
-        [("D", 1, 1, "D1", _at(0))],
-        [("D", 2, 1, "D2", _at(5))],        # within the TTL: late
-        [("Y", 1, 9, "Y1", _at(100))],      # moves event time past the TTL
-        [("D", 3, 1, "D3", _at(200))],      # after the TTL: a new group
-    ], SCHEMA)
-    stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(base)
-    kw = dict(watermark="0 seconds", done_ttl_ms=10_000)
-    if bucketed:
-        out = stream_group_release_bucketed(stream, "corr_id", ["arrival_ts"], "seq_size", "payload", "arrival_ts", buckets=2, **kw)
-    else:
-        out = stream_group_release(stream, "corr_id", ["arrival_ts"], "seq_size", "payload", "arrival_ts", **kw)
-    res = run_available_now(out, "ttl", base=str(tmp_path / "run"))
-    got = sorted((r["outcome"], r["payloads"]) for r in res.filter(F.col("corr_id") == "D").collect())
-    assert got == [("late", "D2"), ("released", "D1"), ("released", "D3")]
+    _write_batches(spark, base, _cuts([
+        [(1, "a", _at(0), _at(3)), (2, "a", _at(1), _at(3)), (3, "b", _at(1), _at(50))],
+        [(4, "a", _at(10), _at(12)), (5, "c", _at(100), _at(9999))],
+        [(6, "d", _at(-500), _at(-400)), (7, "d", _at(-500), None)],
+    ])[cut], DELAYED)
+    out = stream_delayer(_stream(spark, base, DELAYED), str(tmp_path / "run"), "ts", "release_ts", as_of=ntz_literal(_at(1000)))
+    assert sorted((r["id"], r["release_ts"]) for r in out.collect()) == [
+        (1, _at(3)), (2, _at(3)), (3, _at(50)), (4, _at(12)), (6, _at(-400))]
+    # without the closing time only the clock of the arrivals counts: 100 s
+    out = stream_delayer(_stream(spark, base, DELAYED), str(tmp_path / "run"), "ts", "release_ts")
+    assert sorted(r["id"] for r in out.collect()) == [1, 2, 3, 4, 6]
+
+
+@pytest.mark.parametrize("cut", ["given", "reversed", "one"])
+def test_windows_count_late_rows(spark, tmp_path, cut):
+    base, schema = str(tmp_path / "in"), "id long, ts timestamp_ntz"
+    _write_batches(spark, base, _cuts([[(1, _at(36000)), (2, _at(36001))], [(3, _at(10))], [(4, _at(36002)), (5, _at(3599))]])[cut], schema)
+    out = stream_tick_window(_stream(spark, base, schema), str(tmp_path / "run"), "ts", "1 hour", "id")
+    assert sorted(tuple(r) for r in out.collect()) == [(_at(3600), 2, 3, 5), (_at(39600), 3, 1, 4)]
+
+
+@pytest.mark.parametrize("cut", ["given", "reversed", "one"])
+def test_a_path_is_accepted_once_however_late(spark, tmp_path, cut):
+    base, schema = str(tmp_path / "in"), "path string, ts timestamp_ntz"
+    _write_batches(spark, base, _cuts([[("/a/x", _at(0)), ("/a/.hidden", _at(0))], [("/a/x", _at(40 * 86400)), ("/a/y", _at(1))],
+                                       [("/a/x", _at(1)), ("/b/x", _at(2))]])[cut], schema)
+    out = run_available_now(stream_accept_once(_stream(spark, base, schema), "path", "ts"), "once", base=str(tmp_path / "run"))
+    assert sorted(r["path"] for r in out.collect()) == ["/a/x", "/a/y", "/b/x"]
+
+
+def test_copy_job_claims_copies_and_deletes(spark, tmp_path):
+    schema = "o_orderkey long, o_orderstatus string"
+    base = str(tmp_path / "run")
+    run = copy_orders_batch(spark, base, "o_orderkey", "o_orderstatus", "F", "C")
+    first = spark.createDataFrame([(1, "F"), (2, "O"), (3, "F"), (5, "C")], schema)
+    run(first, 0)
+    run(first, 0)  # run again after a failure at the end
+    second = spark.createDataFrame([(4, "F")], schema)
+    spark.createDataFrame([(99, "F")], schema).write.parquet(f"{base}/claimed/batch_id=1")  # died after the first step
+    run(second, 1)
+    target = read_batches(spark, base, "target", spark.createDataFrame([], "order_id long").schema)
+    source = read_batches(spark, base, "source", first.schema)
+    assert sorted((r["batch_id"], r["order_id"]) for r in target.collect()) == [(0, 1), (0, 3), (1, 4)]
+    assert sorted((r["o_orderkey"], r["o_orderstatus"]) for r in source.collect()) == [(2, "O"), (5, "C")]
