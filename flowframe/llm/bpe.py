@@ -14,11 +14,12 @@ results are remembered per white-space-delimited word.
 
 from __future__ import annotations
 
-import heapq
 import json
 import re
+import struct
 import unicodedata
 from functools import lru_cache
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +30,8 @@ from flowframe.llm.common import arrow_schema, texts
 
 # Unicode white space and the contractions of the vocabulary's pattern.
 UNICODE_SPACE = r"\x09-\x0D\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
-#: Words remembered per task; beyond it the memory starts anew.
-REMEMBERED = 150_000
+#: Words and pieces remembered in each half of a memory, none longer than this.
+REMEMBERED, LONGEST = 200_000, 48
 #: Rows handed back at once.
 ROWS = 500
 
@@ -78,6 +79,28 @@ def byte_alphabet() -> list[str]:
     return [chr(b if b in printable else next(spare)) for b in range(256)]
 
 
+class Memory(dict):
+    """Results of a function of short texts.  Looked up here are the young ones; when they are many they become old.
+
+    An old result that is needed again is young again; the old ones before them go.
+    """
+
+    def __init__(self, compute):
+        super().__init__()
+        self.compute, self.old = compute, {}
+
+    def __missing__(self, key):
+        found = self.old.get(key)
+        if found is None:
+            found = self.compute(key)
+        if len(key) <= LONGEST:
+            if len(self) >= REMEMBERED:
+                self.old = dict(self)
+                self.clear()
+            self[key] = found
+        return found
+
+
 class Codec:
     """A vocabulary file of the ``tokenizers`` JSON format: BPE model with an end-of-word suffix."""
 
@@ -88,76 +111,77 @@ class Codec:
         self.special: dict[str, int] = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.strings = {i: s for s, i in [*self.vocab.items(), *self.special.items()]}
         self.end = model.get("end_of_word_suffix") or ""
-        self.merges: dict[tuple[int, int], tuple[int, int]] = {}
+        # a pair of ids as one number -> rank of its merge; the id a rank makes
+        self.base = len(self.vocab)
+        self.ranks: dict[int, int] = {}
+        self.made: list[int] = []
         for rank, merge in enumerate(model["merges"]):
             left, right = merge.split(" ") if isinstance(merge, str) else merge
-            self.merges[self.vocab[left], self.vocab[right]] = rank, self.vocab[left + right]
-        self.alphabet = byte_alphabet()
-        self.piece = piece_pattern()
+            self.ranks[self.vocab[left] * self.base + self.vocab[right]] = rank
+            self.made.append(self.vocab[left + right])
+        # the symbol of each byte within a piece and at its end (None: the vocabulary drops it)
+        self.inner = [self.vocab.get(c) for c in byte_alphabet()]
+        self.last = [self.vocab.get(c + self.end) for c in byte_alphabet()]
+        self.find = piece_pattern().findall
         self.split = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
-        self.remembered: dict[bytes, list[int]] = {}
-
-    def merge(self, piece: str) -> list[int]:
-        """The ids of one piece of the byte alphabet."""
-        symbols = [self.vocab.get(c) for c in piece[:-1]] + [self.vocab.get(piece[-1] + self.end)]
-        ids = [s for s in symbols if s is not None]
-        n = len(ids)
+        self.words, self.pieces = Memory(self._word), Memory(self._piece)
+
+    def merge(self, piece: bytes) -> list[int]:
+        """The ids of one piece."""
+        inner = self.inner
+        ids = [inner[b] for b in piece]
+        ids[-1] = self.last[piece[-1]]
+        if None in ids:
+            ids = [s for s in ids if s is not None]
+        n, base, rank_of, made, queue = len(ids), self.base, self.ranks.get, self.made, []
         before, after = list(range(-1, n - 1)), list(range(1, n + 1))
-        merges, queue = self.merges, []
         for i in range(n - 1):
-            found = merges.get((ids[i], ids[i + 1]))
-            if found:
-                queue.append((found[0], i, ids[i], ids[i + 1], found[1]))
-        heapq.heapify(queue)
+            rank = rank_of(ids[i] * base + ids[i + 1])
+            if rank is not None:
+                queue.append(rank << 32 | i)  # in order of rank, then position
+        heapify(queue)
         while queue:
-            _, i, left, right, new = heapq.heappop(queue)
+            entry = heappop(queue)
+            i = entry & 0xFFFFFFFF
             j = after[i]
-            if ids[i] != left or j >= n or ids[j] != right:
+            if j >= n or ids[i] < 0 or rank_of(ids[i] * base + ids[j]) != entry >> 32:
                 continue  # stale: one of the two symbols has been merged since
-            ids[i], ids[j], k = new, -1, after[j]
+            new = ids[i] = made[entry >> 32]
+            ids[j], k, h = -1, after[j], before[i]
             after[i] = k
             if k < n:
                 before[k] = i
-                found = merges.get((new, ids[k]))
-                if found:
-                    heapq.heappush(queue, (found[0], i, new, ids[k], found[1]))
-            h = before[i]
+                rank = rank_of(new * base + ids[k])
+                if rank is not None:
+                    heappush(queue, rank << 32 | i)
             if h >= 0:
-                found = merges.get((ids[h], new))
-                if found:
-                    heapq.heappush(queue, (found[0], h, ids[h], new, found[1]))
+                rank = rank_of(ids[h] * base + new)
+                if rank is not None:
+                    heappush(queue, rank << 32 | h)
         return [s for s in ids if s >= 0]
 
-    def _plain(self, text: str) -> list[int]:
+    def _piece(self, piece: str) -> bytes:
+        ids = self.merge(piece.encode())
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _plain(self, text: str) -> bytes:
         text = text.lower() if text.isascii() else unicodedata.normalize("NFC", text).translate(LOWER).lower()
-        alphabet, out = self.alphabet, []
-        for piece in self.piece.findall(text):
-            out += self.merge("".join([alphabet[b] for b in piece.encode()]))
-        return out
-
-    def word(self, word: bytes) -> list[int]:
-        ids = self.remembered.get(word)
-        if ids is None:
-            text, ids = word.decode("utf-8", "replace"), []
-            parts = self.split.split(text) if self.split and "<" in text else [text]
-            for part in parts:
-                ids += [self.special[part]] if part in self.special else self._plain(part)
-            if len(word) <= 64:
-                if len(self.remembered) >= REMEMBERED:
-                    self.remembered.clear()
-                self.remembered[word] = ids
-        return ids
-
-    def encode(self, text: bytes) -> list[int]:
-        """The ids of a UTF-8 text, without added special tokens."""
-        out, word = [], self.word
-        for w in text.split():
-            out += word(w)
-        return out
-
-    def decode(self, ids) -> str:
+        return b"".join(map(self.pieces.__getitem__, self.find(text)))
+
+    def _word(self, word: bytes) -> bytes:
+        text = word.decode("utf-8", "replace")
+        if self.split is None or "<" not in text:
+            return self._plain(text)
+        return b"".join([self.special[part].to_bytes(4, "little") if part in self.special else self._plain(part)
+                         for part in self.split.split(text)])
+
+    def encode(self, text: bytes) -> bytes:
+        """The ids of a UTF-8 text, little-endian 32-bit, without added special tokens."""
+        return b"".join(map(self.words.__getitem__, text.split()))
+
+    def decode(self, ids: bytes) -> str:
         """The vocabulary strings of the ids, special tokens included, joined by one space."""
-        return " ".join([self.strings[i] for i in ids])
+        return " ".join(map(self.strings.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
 @lru_cache(2)
@@ -188,10 +212,9 @@ def encode_texts(docs: DataFrame, path: str, text_col: str = "text", ids_col: st
         own = codec(vocabulary.value)
         for batch in batches:
             for part in _slices(batch):
-                ids = [np.array(own.encode(t), "<u4") for t in texts(part, "text")]
+                ids = [own.encode(t) for t in texts(part, "text")]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("row"), pa.array([i.tobytes() for i in ids], pa.binary()),
-                     pa.array([len(i) for i in ids], pa.int64())], schema=out)
+                    [part.column("row"), pa.array(ids, pa.binary()), pa.array([len(i) // 4 for i in ids], pa.int64())], schema=out)
 
     packed = rest.select(
         F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(rest.columns)]).alias("row"),
@@ -212,7 +235,7 @@ def decode_ids(coded: DataFrame, path: str, ids_col: str = "token_ids", text_col
         own = codec(vocabulary.value)
         for batch in batches:
             for part in _slices(batch):
-                decoded = [own.decode(np.frombuffer(x.as_py() or b"", "<u4").tolist()) for x in part.column("ids")]
+                decoded = [own.decode(x.as_py() or b"") for x in part.column("ids")]
                 yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(decoded, pa.string())], schema=out)
 
     packed = rest.select(
