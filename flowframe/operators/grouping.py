@@ -18,6 +18,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowframe.operators.sequence import keyed_scan
+from flowframe.session import stage_table
+
+
+def needed(df: DataFrame, *cols: str | Column | Sequence[str | Column]) -> DataFrame:
+    """Only the named columns: a numbered frame is dealt out and written, so it carries no more than it must.
+
+    An order given as an expression may use any column; then all stay."""
+    flat = [c for x in cols for c in ([x] if isinstance(x, (str, Column)) else x)]
+    return df.select(*dict.fromkeys(flat)) if all(isinstance(c, str) for c in flat) else df
 
 
 def ordered_list(df: DataFrame, keys: Sequence[str], pos: str, payload: str, out: str = "payloads",
@@ -58,7 +67,8 @@ def seq_size_aggregate(df: DataFrame, key: str, order: Sequence[str | Column], s
     ``group_size`` rows ranked within the size; only those rows enter the
     list, so every list is bounded by its group's declared size, and the
     partial (map-side) list of a hot key is bounded the same way."""
-    s = keyed_scan(df, [key], order, firsts=[size_col]).withColumn("group_size", F.col("first_" + size_col).cast("long"))
+    s = keyed_scan(needed(df, key, order, size_col, payload), [key], order, firsts=[size_col]).withColumn(
+        "group_size", F.col("first_" + size_col).cast("long"))
     inside = F.col("rn") <= F.col("group_size")
     agg = s.groupBy(key).agg(
         F.max("group_size").alias("group_size"),
@@ -104,34 +114,72 @@ def count_aggregate(df: DataFrame, keys: Sequence[str], order: Sequence[str | Co
     """A2: release every ``n`` messages per key, the group starting again
     after each release; the incomplete tail stays pending (not output).
     One aggregate per (key, group): lists hold at most ``n`` items."""
-    s = keyed_scan(df, list(keys), order)
-    s = s.withColumn("group_no", F.floor((F.col("rn") - 1) / n).cast("long")).withColumn(
-        "group_pos", ((F.col("rn") - 1) % n + 1).cast("long"))
+    s = keyed_scan(needed(df, keys, order, payload), list(keys), order)
+    return _cut_lists(s, keys, F.lit(n), payload, sep)
+
+
+def _cut_lists(s: DataFrame, keys: Sequence[str], n: Column, payload: str, sep: str | None) -> DataFrame:
+    """Lists of every ``n`` numbered rows of a key; an incomplete tail gives none."""
+    s = s.withColumn("_n", n).withColumn("group_no", F.floor((F.col("rn") - 1) / F.col("_n")).cast("long"))
+    s = s.withColumn("group_pos", ((F.col("rn") - 1) % F.col("_n") + 1).cast("long")).withColumnRenamed("_n", "_size")
     agg = s.groupBy(*keys, "group_no").agg(
-        F.count(F.lit(1)).alias("_n"),
+        F.count(F.lit(1)).alias("_n"), F.max("_size").alias("_size"),
         F.collect_list(F.struct(F.col("group_pos").alias("p"), F.col(payload).alias("v"))).alias("_items"),
-    ).filter(F.col("_n") == n)
+    ).filter(F.col("_n") == F.col("_size"))
     lst = F.transform(F.array_sort("_items"), lambda x: x["v"])
     return agg.select(*keys, "group_no", (F.concat_ws(sep, lst) if sep is not None else lst).alias("payloads"))
 
 
-def release_period(spark, predicate: str, limit: int) -> int | None:
-    """Smallest group count ``n`` (1..limit) for which ``predicate`` (a SQL
-    expression over ``n``) allows release; None if it never does."""
-    r = spark.range(1, limit + 1).withColumnRenamed("id", "n").filter(F.expr(predicate)).agg(F.min("n")).collect()[0][0]
-    return None if r is None else int(r)
-
-
 def release_predicate(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], predicate: str,
-                      payload: str, sep: str | None = None, limit: int = 1_000_000) -> DataFrame:
-    """A3: custom release strategy over the group's message count ``n``; the
-    group restarts after each release.  A predicate over ``n`` alone first
-    holds at a fixed count, so groups are cut at that period."""
-    p = release_period(df.sparkSession, predicate, limit)
-    if p is None:
-        return ordered_list(df.limit(0).withColumn("group_no", F.lit(0).cast("long")).withColumn("group_pos", F.lit(0)),
-                            list(keys) + ["group_no"], "group_pos", payload, sep=sep)
-    return count_aggregate(df, keys, order, p, payload, sep=sep)
+                      payload: str, sep: str | None = None) -> DataFrame:
+    """A3: custom release strategy over the group's message count ``n`` (a SQL
+    expression); the group restarts after each release.
+
+    A predicate over ``n`` alone first holds at the same count in every
+    group, so groups are cut at that period: the smallest of the counts that
+    occur in the data for which it holds.  Where it holds for none of them,
+    no key ever has enough messages and nothing is released."""
+    s = keyed_scan(needed(df, keys, order, payload), list(keys), order)
+    period = s.select(F.col("rn").alias("n")).filter(F.expr(predicate)).agg(F.min("n")).scalar()
+    return _cut_lists(s.filter(period.isNotNull()), keys, period, payload, sep)
+
+
+def release_declared(df: DataFrame, key: str, order: Sequence[str | Column], size_col: str, payload: str,
+                     sep: str | None = None) -> DataFrame:
+    """A1 with groups that start again: ``(key, group_no, group_size, payloads)``.
+
+    A group holds as many messages as its first one declares (at least one);
+    the next message opens the next group.  Where a group starts depends on
+    all groups before it, a chain of jumps ``rn -> rn + size``.  The chain is
+    followed by doubling: every round joins the jumps with themselves, so the
+    number of rounds is the logarithm of the most groups of a key, and no
+    task walks a key's rows one by one.  The incomplete last group is not
+    output."""
+    s = stage_table(keyed_scan(needed(df, key, order, size_col, payload), [key], order).select(
+        F.struct(F.lit(0), key).alias("k"), "rn", F.greatest(F.coalesce(F.col(size_col), F.lit(1)), F.lit(1)).cast("long").alias("size"),
+        F.col(payload).alias("v")), "declared")
+    last = s.groupBy("k").agg(F.max("rn").alias("n"))
+    jumps = stage_table(s.select("k", "rn", (F.col("rn") + F.col("size")).alias("to")).join(last, "k").filter("to <= n").drop("n"), "jumps")
+    starts, known = s.filter("rn = 1").select("k", "rn"), -1
+    while True:
+        starts = stage_table(starts, "starts")
+        found = starts.count()
+        if found == known:
+            break
+        known = found
+        reached = starts.join(jumps, ["k", "rn"]).select("k", F.col("to").alias("rn"))
+        starts = starts.union(reached).distinct()
+        after = jumps.select("k", F.col("rn").alias("to"), F.col("to").alias("far"))
+        jumps = stage_table(jumps.join(after, ["k", "to"]).select("k", "rn", F.col("far").alias("to")), "jumps")
+    numbered = keyed_scan(starts, ["k"], ["rn"], rn="g")
+    whole = numbered.join(s.select("k", "rn", "size"), ["k", "rn"]).join(last, "k").filter(F.col("rn") + F.col("size") - 1 <= F.col("n"))
+    # each group names the positions it holds: as many as its size, all within the key's rows
+    places = whole.select("k", (F.col("g") - 1).alias("group_no"), "size", F.explode(
+        F.sequence(F.col("rn"), F.col("rn") + F.col("size") - 1)).alias("rn"))
+    items = F.transform(F.array_sort(F.collect_list(F.struct("rn", "v"))), lambda x: x["v"])
+    return places.join(s.select("k", "rn", "v"), ["k", "rn"]).groupBy("k", "group_no", "size").agg(
+        (F.concat_ws(sep, items) if sep is not None else items).alias("payloads")).select(
+        F.col(f"k.{key}").alias(key), "group_no", F.col("size").alias("group_size"), "payloads")
 
 
 def sequence_match(lists: DataFrame, list_col: str, pattern: Sequence[str], out: str = "matched") -> DataFrame:
@@ -167,7 +215,9 @@ def resequence(df: DataFrame, key: str, seq_no: str, seq_size: str) -> DataFrame
     """Complete groups only (``count == size``), rows in sequence order.
 
     Completeness is a partial aggregate per key joined back; the final
-    ``orderBy`` is a range-partitioned sort, not a single task."""
+    ``orderBy`` is a range-partitioned sort, not a single task.  The rows are
+    written once, so that what produced them is not evaluated for both."""
+    df = stage_table(df, "resequence")
     stats = df.groupBy(F.col(key).alias("_k")).agg(F.count(F.lit(1)).alias("_n"), F.min(seq_size).alias("_size"))
     done = stats.filter(F.col("_n") == F.col("_size")).select("_k")
     return df.join(done, df[key] == done["_k"], "left_semi").orderBy(key, seq_no)

@@ -10,6 +10,7 @@ balanced when one series is hot.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -78,7 +79,7 @@ def metric_rate(df: DataFrame, series: Sequence[str], range_seconds: int, ts: st
     each step is ``v - prev`` or ``v`` when the counter went down; the rate
     is the sum of steps over the range length (no extrapolation).  With
     ``sum_by`` the per-series rates are then summed by those labels."""
-    b = df.withColumn("bucket_start", F.window(ts, f"{int(range_seconds)} seconds").start)
+    b = df.select(*dict.fromkeys([*series, ts, value])).withColumn("bucket_start", F.window(ts, f"{int(range_seconds)} seconds").start)
     s = keyed_scan(b, list(series) + ["bucket_start"], [ts], lags=[value])
     prev = F.col("prev_" + value)
     step = F.when(prev.isNull(), F.lit(0.0)).when(F.col(value) < prev, F.col(value)).otherwise(F.col(value) - prev)
@@ -158,9 +159,7 @@ def metric_relabel(df: DataFrame, raw: str, rules: Sequence[RelabelRule] = KAFKA
     rules run once per distinct name and the result is joined back (the
     planner broadcasts the small name table when its measured size allows)."""
     if not distinct_first:
-        from flowframe.session import spread_if_narrow
-
-        return _relabel(spread_if_narrow(df), raw, rules, lowercase_name)
+        return _relabel(df, raw, rules, lowercase_name)
     names = _relabel(df.select(raw).distinct(), raw, rules, lowercase_name)
     return df.join(names, raw, "left")
 
@@ -168,7 +167,10 @@ def metric_relabel(df: DataFrame, raw: str, rules: Sequence[RelabelRule] = KAFKA
 def _relabel(df: DataFrame, raw: str, rules: Sequence[RelabelRule], lowercase_name: bool) -> DataFrame:
     r = F.col(raw)
     anchored = [f"^(?:{x.pattern})$" for x in rules]
-    rule_no = F.coalesce(*[F.when(r.rlike(a), F.lit(i + 1)) for i, a in enumerate(anchored)], F.lit(None).cast("int"))
+    # a pattern that ends in plain text is tried only where that text ends the name
+    ends = [re.search(r"[\w<>]*$", x.pattern)[0] for x in rules]
+    rule_no = F.coalesce(*[F.when(r.endswith(e) & r.rlike(a) if e else r.rlike(a), F.lit(i + 1))
+                           for i, (a, e) in enumerate(zip(anchored, ends))], F.lit(None).cast("int"))
     out = df.withColumn("rule_no", rule_no)
 
     def pick(fn):
@@ -193,29 +195,3 @@ def _relabel(df: DataFrame, raw: str, rules: Sequence[RelabelRule], lowercase_na
     for i in range(len(rules) - 1, -1, -1):
         lab = F.when(F.col("rule_no") == i + 1, labels(i)).otherwise(lab)
     return out.withColumn("labels", lab)
-
-
-def relabel_oracle_sql(raw_sql: str, rules: Sequence[RelabelRule] = KAFKA_RELABEL_RULES, keep: str = "*") -> str:
-    """The same first-match relabel as DuckDB SQL over ``raw_sql`` (column ``raw``):
-    labels come out as sorted ``k=v`` text joined by ``;``."""
-    def dq(t):
-        import re as _re
-        return _re.sub(r"\$(\d)", r"\\\1", t).replace("'", "''")
-
-    pats = [f"^(?:{x.pattern})$".replace("'", "''") for x in rules]
-    rule_no = "case " + " ".join(f"when regexp_matches(raw, '{p}') then {i + 1}" for i, p in enumerate(pats)) + " end"
-    name = "case " + " ".join(
-        f"when rule_no = {i + 1} then lower(regexp_replace(raw, '{pats[i]}', '{dq(x.name)}'))" for i, x in enumerate(rules)) + " end"
-    typ = "case " + " ".join(f"when rule_no = {i + 1} then '{x.type}'" for i, x in enumerate(rules)) + " end"
-
-    def lab(i, x):
-        if not x.labels:
-            return "''"
-        parts = [f"regexp_replace(raw, '{pats[i]}', '{dq(k)}') || '=' || regexp_replace(raw, '{pats[i]}', '{dq(v)}')" for k, v in x.labels]
-        return f"array_to_string(list_sort([{', '.join(parts)}]), ';')"
-
-    labels = "case " + " ".join(f"when rule_no = {i + 1} then {lab(i, x)}" for i, x in enumerate(rules)) + " end"
-    return f"""
-with src as ({raw_sql}), r as (select *, {rule_no} as rule_no from src)
-select {keep}, {name} as name, {typ} as type, {labels} as labels from r
-"""

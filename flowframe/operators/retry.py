@@ -142,10 +142,9 @@ def retry_by_class(attempts: DataFrame, class_col: str, by_class: dict[str, Retr
     configuration (not by the data), so broadcasting it is safe."""
     pol = policy_table(attempts.sparkSession, by_class, default)
     listed = pol.filter(F.col("error_class").isNotNull())
-    dflt = pol.filter(F.col("error_class").isNull()).first()
     j = attempts.join(F.broadcast(listed.withColumnRenamed("error_class", "_cls")), F.col(class_col) == F.col("_cls"), "left").drop("_cls")
-    return j.withColumn("policy", F.coalesce(F.col("policy"), F.lit(dflt["policy"]))).withColumn(
-        "allowed_attempts", F.coalesce(F.col("allowed_attempts"), F.lit(dflt["allowed_attempts"])))
+    return j.withColumn("policy", F.coalesce(F.col("policy"), F.lit(default.name))).withColumn(
+        "allowed_attempts", F.coalesce(F.col("allowed_attempts"), F.lit(allowed_attempts(default))))
 
 
 def attempt_number(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], out: str = "retry_count") -> DataFrame:
@@ -157,30 +156,41 @@ def retry_status(attempts: DataFrame, key: str, ts: str, ok_col: str, policy: Re
                  order: Sequence[str] | None = None) -> DataFrame:
     """Evaluate an attempt log per message.
 
-    Attempts after the policy's last allowed attempt, or after the first
-    success, do not count.  Result per message: ``outcome`` (succeeded /
-    exhausted / due), ``attempts`` used, ``last_error`` / ``last_error_class``
-    of the last counted failure, and ``next_attempt_at`` for due messages.
-    Everything is a per-key aggregate (map-side combined) on the numbered log.
+    An attempt counts when the policy allowed it: by its number, and by the
+    time the log shows between the first attempt and it.  Attempts after the
+    first success do not count.  Result per message: ``outcome`` (succeeded /
+    exhausted / due), ``attempts`` used, ``first_at`` and ``last_at`` of the
+    counted attempts, ``last_error`` / ``last_error_class`` of the last
+    counted failure, and ``next_attempt_at`` for due messages.  A message is
+    exhausted when the policy allows no next attempt: none left, or the next
+    one would start at the time limit or later.  Everything is a per-key
+    aggregate (map-side combined) on the numbered log.
     """
-    limit = allowed_attempts(policy)
-    num = keyed_scan(attempts, [key], list(order or [ts]), rn="attempt_no")
-    # first success among the allowed attempts
-    counted = num.filter(F.col("attempt_no") <= limit)
-    agg = counted.groupBy(key).agg(
+    num = keyed_scan(attempts, [key], list(order or [ts]), rn="attempt_no", firsts=[ts])
+    most = 1 if policy.never else policy.max_attempts
+    counts = F.lit(True)
+    if most is not None:
+        counts &= F.col("attempt_no") <= F.lit(most)
+    if policy.timeout_ms is not None and not policy.never:
+        counts &= F.col(ts) < F.col(f"first_{ts}") + ms_interval(F.lit(policy.timeout_ms))
+    agg = num.filter(counts).groupBy(key).agg(
         F.min(F.when(F.col(ok_col), F.col("attempt_no"))).alias("first_ok"),
         F.max("attempt_no").alias("n_seen"),
-        F.min(ts).alias("first_at"),
-        F.max(ts).alias("last_at"),
+        F.min_by(ts, "attempt_no").alias("first_at"),
+        F.min_by(ts, F.when(F.col(ok_col), F.col("attempt_no"))).alias("_ok_at"),
+        F.max_by(ts, "attempt_no").alias("_seen_at"),
         F.max_by(F.struct("error_class", "error_message"), F.when(~F.col(ok_col), F.col("attempt_no"))).alias("_last_err"),
     )
-    outcome = (F.when(F.col("first_ok").isNotNull(), F.lit("succeeded"))
-               .when(F.col("n_seen") >= F.lit(limit), F.lit("exhausted"))
-               .otherwise(F.lit("due")))
-    out = agg.withColumn("outcome", outcome)
-    out = out.withColumn("attempts", F.coalesce(F.col("first_ok"), F.col("n_seen")).cast("long"))
-    nxt = F.col("last_at") + ms_interval(policy.wait_before(F.col("attempts")))
-    out = out.withColumn("next_attempt_at", F.when(F.col("outcome") == "due", nxt))
+    out = agg.withColumn("attempts", F.coalesce("first_ok", "n_seen").cast("long")).withColumn(
+        "last_at", F.coalesce("_ok_at", "_seen_at"))
+    out = out.withColumn("_next", F.col("last_at") + ms_interval(policy.wait_before(F.col("attempts"))))
+    ended = F.lit(False)
+    if most is not None:
+        ended |= F.col("n_seen") >= F.lit(most)
+    if policy.timeout_ms is not None and not policy.never:
+        ended |= F.col("_next") >= F.col("first_at") + ms_interval(F.lit(policy.timeout_ms))
+    outcome = F.when(F.col("first_ok").isNotNull(), F.lit("succeeded")).when(ended, F.lit("exhausted")).otherwise(F.lit("due"))
+    out = out.withColumn("outcome", outcome).withColumn("next_attempt_at", F.when(F.col("outcome") == "due", F.col("_next")))
     return out.select(key, "outcome", "attempts", "first_at", "last_at", "next_attempt_at",
                       F.when(F.col("outcome") != "succeeded", F.col("_last_err.error_class")).alias("last_error_class"),
                       F.when(F.col("outcome") != "succeeded", F.col("_last_err.error_message")).alias("last_error"))

@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowframe.session import spread_if_narrow
 
 
 def split_sequence(df: DataFrame, array_col: str, parent_id: str, payload: str = "payload",
@@ -44,10 +43,12 @@ def text_lines(text: Column | str) -> Column:
 
 
 def split_lines(df: DataFrame, text_col: str, file_col: str, line: str = "line",
-                keep: list[str] | tuple = ()) -> DataFrame:
+                keep: list[str] | tuple = (), partitions: int | None = None) -> DataFrame:
     """File line splitter: ``(file, seq_no, seq_size, line)``; the size is
-    the line count of the file, set on every line."""
-    src = spread_if_narrow(df.select(*keep, file_col, text_col))
+    the line count of the file, set on every line.  ``partitions`` deals the
+    texts out first, for a caller whose input is one unsplittable file."""
+    src = df.select(*keep, file_col, text_col)
+    src = src.repartition(partitions) if partitions else src
     arr = src.select(*keep, F.col(file_col).alias("corr_id"), text_lines(text_col).alias("_lines"))
     return split_sequence(arr, "_lines", "corr_id", payload=line, keep=keep)
 

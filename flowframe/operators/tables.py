@@ -71,10 +71,31 @@ def semi_anti(df: DataFrame, keys: DataFrame, on: str | Sequence[str]) -> tuple[
     return df.join(keys, on, "left_semi"), df.join(keys, on, "left_anti")
 
 
+def semi_anti_side(df: DataFrame, keys: DataFrame, on: str | Sequence[str], side: str = "side") -> DataFrame:
+    """Every row with the side it falls on (``semi`` / ``anti``): one join for both."""
+    on = [on] if isinstance(on, str) else list(on)
+    flag = keys.select(*on).distinct().withColumn("_in", F.lit(True))
+    return df.join(flag, on, "left").withColumn(side, F.when(F.col("_in"), F.lit("semi")).otherwise(F.lit("anti"))).drop("_in")
+
+
+def one_per_key(changes: DataFrame, key: Sequence[str], order: Sequence[str], last: bool = True) -> DataFrame:
+    """The last (or first) change of each key by an explicit order; rows equal in the order are told apart by all columns.
+
+    A map-side combined aggregate, so a key with very many changes costs no more than its partial results."""
+    rank = F.struct(*[F.col(c) for c in order], *[F.col(c) for c in changes.columns if c not in order])
+    rest = [c for c in changes.columns if c not in key]
+    pick = (F.max_by if last else F.min_by)(F.struct(F.lit(1).alias("_"), *rest), rank)
+    out = changes.groupBy(*key).agg(pick.alias("_row"))
+    return out.select(*[F.col(c) if c in key else F.col(f"_row.`{c}`").alias(c) for c in changes.columns])
+
+
 def table_append(target: DataFrame | None, rows: DataFrame, columns: Sequence[str], key: str | None = None) -> DataFrame:
     """Insert a column subset.  With ``key`` the insert is idempotent: a row
-    already present by key is not inserted again (replays are harmless)."""
+    already present by key, or twice among the new rows, is not inserted again
+    (replays are harmless; of rows with one key the least one is taken)."""
     new = rows.select(*columns)
+    if key is not None:
+        new = one_per_key(new, [key], [], last=False) if len(columns) > 1 else new.distinct()
     if target is None:
         return new
     if key is not None:
@@ -94,40 +115,68 @@ def conditional_delete(df: DataFrame, ids: DataFrame, key: str, status_col: str,
 def insert_generated_key(target: DataFrame, rows: DataFrame, id_col: str, order: Sequence[str | Column]) -> DataFrame:
     """New rows get ids ``max(existing) + 1, + 2, ...`` in ``order``.
 
-    The maximum is one scalar; the dense numbering is the two-phase global
+    The maximum is a scalar subquery; the dense numbering is the global
     numbering of :func:`keyed_scan` (no single-task window)."""
-    top = target.agg(F.max(id_col)).first()[0]
-    base = 0 if top is None else int(top)
+    base = target.agg(F.coalesce(F.max(id_col), F.lit(0))).scalar()
     num = keyed_scan(rows, [], order, rn="_seq")
-    return num.withColumn(id_col, (F.lit(base) + F.col("_seq")).cast("long")).drop("_seq")
-
-
-def versioned_update(target: DataFrame, changes: DataFrame, id_col: str, version_col: str,
-                     expected_col: str, set_cols: dict[str, Column | str]) -> DataFrame:
-    """Optimistic update: a change applies only when the stored version
-    equals the version the writer read; the version then goes up by one.
-
-    Returns one row per change with ``outcome`` in (updated, stale, missing)
-    and the resulting ``version``; ``affected`` = 1 for updated rows (the
-    count the DAO returns)."""
-    t = target.select(F.col(id_col).alias("_id"), F.col(version_col).alias("_v"), *[F.col(c).alias("_old_" + c) for c in set_cols])
-    j = changes.join(t, changes[id_col] == t["_id"], "left")
-    ok = F.col("_v") == F.col(expected_col)
-    outcome = F.when(F.col("_id").isNull(), F.lit("missing")).when(ok, F.lit("updated")).otherwise(F.lit("stale"))
-    out = j.withColumn("outcome", outcome)
-    out = out.withColumn(version_col, F.when(F.col("outcome") == "updated", F.col("_v") + 1).otherwise(F.col("_v")))
-    for c, v in set_cols.items():
-        out = out.withColumn(c, F.when(F.col("outcome") == "updated", _c(v)).otherwise(F.col("_old_" + c)))
-    out = out.withColumn("affected", (F.col("outcome") == "updated").cast("int"))
-    return out.drop("_id", "_v", *["_old_" + c for c in set_cols])
-
-
-def keyed_upsert(target: DataFrame, changes: DataFrame, key: str) -> DataFrame:
-    """Unversioned update/insert by key: changed rows replace, new rows append."""
-    return target.join(changes.select(key), key, "left_anti").unionByName(changes.select(*target.columns))
+    return num.withColumn(id_col, (base + F.col("_seq")).cast("long")).drop("_seq")
+
+
+def _versioned(target: DataFrame, changes: DataFrame, id_col: str, version_col: str, expected_col: str,
+               order: Sequence[str], done: str) -> DataFrame:
+    """Changes with the stored version ``_v`` and their outcome: one winner per id.
+
+    Only the change whose expected version is the stored one applies, and of
+    several such changes the first in ``order``; the others find the version
+    already moved on and are ``stale``."""
+    t = target.select(F.col(id_col).alias("_id"), F.col(version_col).alias("_v"))
+    rank = [*order, *[c for c in changes.columns if c not in order]]
+    num = keyed_scan(changes, [id_col, expected_col], rank, rn="_turn")
+    j = num.join(t, num[id_col] == t["_id"], "left")
+    wins = (F.col("_v") == F.col(expected_col)) & (F.col("_turn") == 1)
+    outcome = F.when(F.col("_id").isNull(), F.lit("missing")).when(wins, F.lit(done)).otherwise(F.lit("stale"))
+    return j.withColumn("outcome", outcome).withColumn("affected", (F.col("outcome") == done).cast("int")).drop("_id", "_turn")
+
+
+def versioned_update(target: DataFrame, changes: DataFrame, id_col: str, version_col: str, expected_col: str,
+                     set_cols: dict[str, Column | str], order: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """Optimistic update: (one row per change, next snapshot).
+
+    A change applies when the stored version equals the version its writer
+    read; the version then goes up by one, so a second change of the same
+    version is ``stale``.  A change row has ``outcome`` (updated / stale /
+    missing), the resulting ``version`` and ``affected`` (1 for updated)."""
+    out = _versioned(target, changes.withColumns({f"_new_{c}": _c(v) for c, v in set_cols.items()}),
+                     id_col, version_col, expected_col, order, "updated")
+    won = out.filter("affected = 1").select(F.col(id_col).alias("_id"), *[f"_new_{c}" for c in set_cols])
+    snap = target.join(won, target[id_col] == won["_id"], "left")
+    hit = F.col("_id").isNotNull()
+    snap = snap.select(*[
+        F.when(hit, F.col(f"_new_{c}").cast(target.schema[c].dataType)).otherwise(F.col(c)).alias(c) if c in set_cols
+        else F.when(hit, F.col(c) + 1).otherwise(F.col(c)).cast(target.schema[c].dataType).alias(c) if c == version_col
+        else F.col(c) for c in target.columns])
+    rows = out.withColumn(version_col, F.col("_v") + F.col("affected")).drop("_v", *[f"_new_{c}" for c in set_cols])
+    return rows, snap
+
+
+def versioned_delete(target: DataFrame, changes: DataFrame, id_col: str, version_col: str, expected_col: str,
+                     order: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """Optimistic delete: (one row per change with ``outcome`` deleted / stale / missing, next snapshot)."""
+    out = _versioned(target, changes, id_col, version_col, expected_col, order, "deleted")
+    gone = out.filter("affected = 1").select(id_col)
+    return out.drop("_v"), target.join(gone, id_col, "left_anti")
+
+
+def keyed_upsert(target: DataFrame, changes: DataFrame, key: str, order: Sequence[str] = ()) -> DataFrame:
+    """Unversioned update/insert by key: changed rows replace, new rows append.
+
+    Of several changes of one key the last by ``order`` (then by all columns) counts."""
+    last = one_per_key(changes.select(*dict.fromkeys([*target.columns, *order])), [key], list(order)).select(*target.columns)
+    return target.join(last.select(key), key, "left_anti").unionByName(last)
 
 
 def keyed_delete(target: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """``delete from t where key in (:ids)`` -> the keep-set."""
     return target.join(ids.select(key), key, "left_anti")
 
 
@@ -135,10 +184,14 @@ def keyed_delete(target: DataFrame, ids: DataFrame, key: str) -> DataFrame:
 def page_with_total(df: DataFrame, order: Sequence[str | Column], page: int, size: int,
                     with_total: bool = True) -> DataFrame:
     """Page ``page`` (0-based) of ``size`` rows in ``order``; ``total`` is the
-    row count before paging (one scalar, not a global window)."""
-    out = df.orderBy(*order).offset(page * size).limit(size)
+    row count before paging.
+
+    Rows are numbered by :func:`keyed_scan`, so a deep page costs no more
+    than the first one and no task sees the rows before it; ``total`` is a
+    scalar subquery."""
+    out = keyed_scan(df, [], order, rn="_row").filter(F.col("_row").between(page * size + 1, (page + 1) * size)).drop("_row")
     if with_total:
-        out = out.withColumn("total", F.lit(df.count()).cast("long"))
+        out = out.withColumn("total", df.agg(F.count(F.lit(1))).scalar())
     return out
 
 
@@ -186,8 +239,8 @@ def sheet_until_blank(rows: DataFrame, row_idx: str, first_col: str, header_rows
     running window is needed."""
     body = rows.filter(F.col(row_idx) >= header_rows)
     blank = F.col(first_col).isNull() | (F.trim(F.col(first_col)) == "")
-    stop = body.filter(blank).agg(F.min(row_idx)).first()[0]
-    return body if stop is None else body.filter(F.col(row_idx) < F.lit(stop))
+    stop = body.filter(blank).agg(F.min(row_idx)).scalar()
+    return body.filter(stop.isNull() | (F.col(row_idx) < stop))
 
 
 # ------------------------------------------------------------------ U2 / U3
@@ -211,8 +264,11 @@ def table_diff(expected: DataFrame, actual: DataFrame, include: Sequence[str] |
                 sel.append(F.col(c))
         return df.select(*sel)
 
-    e, a = prep(expected), prep(actual)
-    return e.exceptAll(a).withColumn("side", F.lit("expected")).unionByName(a.exceptAll(e).withColumn("side", F.lit("actual")))
+    # one union of +1 and -1 and one aggregate; nulls group together
+    both = prep(expected).withColumn("_n", F.lit(1)).unionByName(prep(actual).withColumn("_n", F.lit(-1)))
+    left = both.groupBy(*cols).agg(F.sum("_n").alias("_n")).filter("_n <> 0")
+    side = F.when(F.col("_n") > 0, F.lit("expected")).otherwise(F.lit("actual"))
+    return left.withColumn("side", side).withColumn("_n", F.explode(F.sequence(F.lit(1), F.abs("_n").cast("int")))).drop("_n")
 
 
 def fixture_load(spark: SparkSession, csv_dir: str, order: Sequence[str], schemas: dict[str, str],

@@ -100,7 +100,7 @@ t as (select event_id, release_ts, unnest(generate_series(first_tick, release_ts
 select tick, count(*) as n_held, min(event_id) as first_id from t where tick < release_ts group by tick
 """)
 def q_held_at_tick(spark, d):
-    ev = events(spark, d).withColumn("release_ts", F.col("ts") + D.ms_interval(F.round(F.col("value") * 1000).cast("long")))
+    ev = events(spark, d).select("event_id", "ts", "value").withColumn("release_ts", F.col("ts") + D.ms_interval(F.round(F.col("value") * 1000).cast("long")))
     return D.held_at_tick(ev, "ts", "release_ts", "event_id")
 
 
@@ -126,7 +126,7 @@ from events
 """)
 def q_queue_depth(spark, d):
     delta = F.when(F.col("event_type").isin("signup", "view", "click"), 1).otherwise(-1)
-    return queue_depth(events(spark, d), ["user_id"], EVENT_ORDER, delta).select("event_id", "user_id", "depth")
+    return queue_depth(events(spark, d).select("event_id", "user_id", "event_type", "ts"), ["user_id"], EVENT_ORDER, delta).select("event_id", "user_id", "depth")
 
 
 @register("attempt_number", """
@@ -134,7 +134,7 @@ select event_id, user_id, row_number() over (partition by user_id order by ts, e
 from events where event_type = 'error'
 """)
 def q_attempt_number(spark, d):
-    err = events(spark, d).filter(F.col("event_type") == "error")
+    err = events(spark, d).filter(F.col("event_type") == "error").select("event_id", "user_id", "ts")
     return R.attempt_number(err, ["user_id"], EVENT_ORDER).select("event_id", "user_id", "retry_count")
 
 
@@ -204,18 +204,20 @@ def q_retry_composite(spark, d):
     return _schedule(spark, d, R.COMPOSITE_3_10S_FIXED1S, True).unionByName(_schedule(spark, d, R.COMPOSITE_3_10S_FIXED5S, True))
 
 
-def _by_class_sql() -> str:
-    cases_p = " ".join(f"when '{c}' then '{p.name}'" for c, p in R.BY_CLASS.items())
-    cases_n = " ".join(f"when '{c}' then {R.allowed_attempts(p)}" for c, p in R.BY_CLASS.items())
-    return f"""
+# The oracle says the policies in its own numbers: back-offs of 2, 4, 8, 10, 10 ... s start attempts at 0, 2, 6, 14,
+# 24, 34, 44 and 54 s, eight of them within 60 s; the other class may try five times, any other class once.
+BY_CLASS_SQL = f"""
 with a as (select event_id, {CLASS_SQL} as error_class from events where event_type = 'error')
-select event_id, error_class, coalesce(case error_class {cases_p} end, '{R.NO_RETRY.name}') as policy,
-       coalesce(case error_class {cases_n} end, {R.allowed_attempts(R.NO_RETRY)}) as allowed_attempts
+select event_id, error_class,
+       case error_class when 'java.nio.file.FileSystemAlreadyExistsException' then 'timeout60s_exp'
+                        when 'java.nio.file.FileSystemNotFoundException' then 'simple5_exp' else 'never' end as policy,
+       case error_class when 'java.nio.file.FileSystemAlreadyExistsException' then 8
+                        when 'java.nio.file.FileSystemNotFoundException' then 5 else 1 end as allowed_attempts
 from a
 """
 
 
-@register("retry_by_class", _by_class_sql())
+@register("retry_by_class", BY_CLASS_SQL)
 def q_retry_by_class(spark, d):
     err = events(spark, d).filter(F.col("event_type") == "error").select("event_id", _error_class().alias("error_class"))
     return R.retry_by_class(err, "error_class", R.BY_CLASS).select("event_id", "error_class", "policy", "allowed_attempts")
@@ -232,21 +234,20 @@ def _attempts(spark, d):
 
 STATUS_POLICY = R.FIXED_5X2S
 
+# at most five attempts, two seconds between them
 STATUS_SQL = f"""
 with a as (select cast(user_id as varchar) || '@' || strftime(ts, '%Y-%m-%d') as message_id, ts, event_id,
                   event_type = 'purchase' as ok, {CLASS_SQL} as error_class, props as error_message
            from events where event_type in ('error', 'purchase')),
 n as (select *, row_number() over (partition by message_id order by ts, event_id) as attempt_no from a),
-c as (select * from n where attempt_no <= {R.allowed_attempts(STATUS_POLICY)}),
-g as (select message_id, min(case when ok then attempt_no end) as first_ok, max(attempt_no) as n_seen,
-             min(ts) as first_at, max(ts) as last_at,
-             arg_max(error_class, case when not ok then attempt_no end) as lec,
-             arg_max(error_message, case when not ok then attempt_no end) as lem
+k as (select *, min(case when ok and attempt_no <= 5 then attempt_no end) over (partition by message_id) as first_ok from n),
+c as (select * from k where attempt_no <= 5 and (first_ok is null or attempt_no <= first_ok)),
+g as (select message_id, any_value(first_ok) as first_ok, count(*) as attempts, min(ts) as first_at, max(ts) as last_at,
+             arg_max(error_class, attempt_no) as lec, arg_max(error_message, attempt_no) as lem
       from c group by message_id)
-select message_id,
-       case when first_ok is not null then 'succeeded' when n_seen >= {R.allowed_attempts(STATUS_POLICY)} then 'exhausted' else 'due' end as outcome,
-       coalesce(first_ok, n_seen) as attempts, first_at, last_at,
-       case when first_ok is null and n_seen < {R.allowed_attempts(STATUS_POLICY)} then last_at + to_milliseconds({STATUS_POLICY.period_ms}) end as next_attempt_at,
+select message_id, case when first_ok is not null then 'succeeded' when attempts = 5 then 'exhausted' else 'due' end as outcome,
+       attempts, first_at, last_at,
+       case when first_ok is null and attempts < 5 then last_at + interval 2 second end as next_attempt_at,
        case when first_ok is null then lec end as last_error_class,
        case when first_ok is null then lem end as last_error
 from g

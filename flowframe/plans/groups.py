@@ -122,10 +122,9 @@ def q_seq_size_aggregate(spark, d):
 def q_multi_input_aggregate(spark, d):
     m = grouped_messages(spark, d)
     # two flows feed one group store: open lines by one input, finished lines by the other
-    a = m.filter(F.col("l_linestatus") == "O").withColumn("input", F.lit("1"))
-    b = m.filter(F.col("l_linestatus") != "O").withColumn("input", F.lit("2"))
-    c = m.filter(F.col("l_linestatus").isNull()).withColumn("input", F.lit("3"))
-    out = G.multi_input_aggregate([a, b, c], "corr_id", LINEITEM_ARRIVAL, "seq_size", "payload", sep=" ")
+    a = m.filter(F.col("l_linestatus") == "O")
+    b = m.filter(~F.col("l_linestatus").eqNullSafe("O"))
+    out = G.multi_input_aggregate([a, b], "corr_id", LINEITEM_ARRIVAL, "seq_size", "payload", sep=" ")
     return out.select("corr_id", "group_size", "payloads")
 
 
@@ -133,7 +132,7 @@ def q_multi_input_aggregate(spark, d):
 with r as ({RANKED_SQL}) select corr_id, rn, group_size, payload from r where rn > group_size
 """)
 def q_late_discard(spark, d):
-    return G.late_discard(grouped_messages(spark, d), "corr_id", LINEITEM_ARRIVAL, "seq_size").select(
+    return G.late_discard(grouped_messages(spark, d).select("corr_id", "seq_size", "payload", *LINEITEM_ARRIVAL), "corr_id", LINEITEM_ARRIVAL, "seq_size").select(
         "corr_id", "rn", "group_size", "payload")
 
 
@@ -144,7 +143,7 @@ select corr_id, seq_no, seq_size, line from l where corr_id in (select corr_id f
 """)
 def q_resequence(spark, d):
     # lines arrive shuffled (hash order); resequence restores file order
-    lines = doc_lines(spark, d).repartition(8, F.xxhash64("line", "seq_no"))
+    lines = doc_lines(spark, d).repartition(F.xxhash64("line", "seq_no"))
     return G.resequence(lines, "corr_id", "seq_no", "seq_size").select("corr_id", "seq_no", "seq_size", "line")
 
 
@@ -171,6 +170,30 @@ def q_release_predicate(spark, d):
         "user_id", "group_no", "payloads")
 
 
+@register("release_predicate_period", COUNT_GROUPS_SQL.format(n=3))
+def q_release_predicate_period(spark, d):
+    # first holds at three messages, then not for a while: only the first time counts, as the group starts again
+    return G.release_predicate(events(spark, d), ["user_id"], EVENT_ORDER, "n = 3 or n > 40", "event_type", sep=" ").select(
+        "user_id", "group_no", "payloads")
+
+
+@register("release_declared", f"""
+with recursive r as (
+  select l_orderkey as corr_id, cast(l_partkey as varchar) as payload, l_linenumber as size,
+         row_number() over (partition by l_orderkey order by {LINEITEM_ARRIVAL_SQL}) as rn from lineitem),
+g as (
+  select corr_id, 0 as group_no, rn, size from r where rn = 1
+  union all
+  select r.corr_id, g.group_no + 1, r.rn, r.size from g join r on r.corr_id = g.corr_id and r.rn = g.rn + g.size)
+select g.corr_id, g.group_no, g.size as group_size, string_agg(r.payload, ' ' order by r.rn) as payloads
+from g join r on r.corr_id = g.corr_id and r.rn between g.rn and g.rn + g.size - 1
+group by g.corr_id, g.group_no, g.size having count(*) = g.size
+""")
+def q_release_declared(spark, d):
+    # released when as many came as the group's first message declares; then the group starts again
+    return G.release_declared(grouped_messages(spark, d), "corr_id", LINEITEM_ARRIVAL, "seq_size", "payload", sep=" ")
+
+
 # The sequence the released five-message list is compared with.
 MATCH_PATTERN = ["view", "view", "view", "view", "click"]
 
@@ -197,5 +220,5 @@ select event_id, user_id, session_no, (session_rn - 1) // 2 as group_no,
 from r
 """)
 def q_group_timeout(spark, d):
-    out = G.timeout_groups(events(spark, d), ["user_id"], "ts", EVENT_ORDER, 6 * 3600, 2)
+    out = G.timeout_groups(events(spark, d).select("event_id", "user_id", "ts"), ["user_id"], "ts", EVENT_ORDER, 6 * 3600, 2)
     return out.select("event_id", "user_id", "session_no", "group_no", "outcome")

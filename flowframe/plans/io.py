@@ -84,7 +84,7 @@ def q_sync_source_intake(spark, d):
     base = _scratch(spark, "sync")
     ev = events(spark, d).select("event_id", "event_type", "ts")
     # the remote store: several files (one per hour bucket of arrival)
-    ev.repartition(8, F.date_trunc("hour", "ts")).write.parquet(f"{base}/remote")
+    ev.repartition(F.date_trunc("hour", "ts")).write.parquet(f"{base}/remote")
     stream = SF.sync_source_intake(spark, f"{base}/remote", "parquet", ev.schema, max_files_per_trigger=2)
     q = (stream.select("event_id", "event_type").writeStream.format("parquet")
          .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start(f"{base}/out"))

@@ -109,15 +109,37 @@ JMX_NAME_TEMPLATES = (
 )
 
 
-def _raw_names_sql() -> str:
-    n = len(JMX_NAME_TEMPLATES)
-    cases = " ".join(
-        f"when {i} then replace(replace('{t}', '{{t}}', event_type), '{{u}}', cast(user_id as varchar))"
-        for i, t in enumerate(JMX_NAME_TEMPLATES))
-    return f"select event_id, case (event_id % {n}) {cases} end as raw from events"
+# What the rules make of these names, read off the rule texts by hand: rule number, name, type, labels.
+EXPECTED_RELABELS = (
+    (1, "kafka_server_fetcherlagmetrics_consumerlag", "GAUGE", "clientId=client{u};partition={u};topic={t}"),
+    (2, "kafka_server_fetchermetrics_fetch{t}", "GAUGE", "broker=host{u}:9092;clientId=client{u}"),
+    (3, "kafka_coordinator_group_groupmetadatamanager_num{t}", "GAUGE", ""),
+    (4, "kafka_network_requestmetrics_requests_total", "COUNTER", "request={t};version={u}"),
+    (5, "kafka_server_brokertopicmetrics_messagesin_total", "COUNTER", "topic={t}"),
+    (6, "kafka_server_brokertopicmetrics_bytesin_total", "COUNTER", ""),
+    (7, "kafka_log_log_size", "GAUGE", "partition={u};topic={t}"),
+    (8, "kafka_controller_kafkacontroller_{t}count", "GAUGE", "broker={u}"),
+    (9, "kafka_server_replicamanager_{t}count", "GAUGE", ""),
+    (10, "kafka_network_requestmetrics_totaltimems_count", "COUNTER", "error=E{u};request={t}"),
+    (11, "kafka_network_requestmetrics_totaltimems", "GAUGE", "error=E{u};quantile=0.99;request={t}"),
+    (12, "kafka_server_delayedoperationpurgatory_size_count", "COUNTER", "delayedOperation={t}"),
+    (13, "kafka_server_request_queuetimems", "GAUGE", "quantile=0.50;request={t}"),
+    (14, "kafka_server_sessionexpire_{t}_count", "COUNTER", ""),
+    (15, "kafka_server_produce_{t}", "GAUGE", "quantile=0.75"),
+)
+
+
+def _relabel_sql() -> str:
+    fill = "replace(replace({}, '{{t}}', event_type), '{{u}}', cast(user_id as varchar))".format
+    rows = ", ".join(f"({i}, '{raw}', " + (", ".join([str(e[0]), *(f"'{x}'" for x in e[1:])]) if e else "null, null, null, null") + ")"
+                     for i, (raw, e) in enumerate(zip(JMX_NAME_TEMPLATES, [*EXPECTED_RELABELS, None])))
+    return f"""
+select e.event_id, {fill('r.raw')} as raw, r.rule_no, {fill('r.name')} as name, r.type, {fill('r.labels')} as labels
+from events e join (values {rows}) r(k, raw, rule_no, name, type, labels) on e.event_id % {len(JMX_NAME_TEMPLATES)} = r.k
+"""
 
 
-@register("metric_relabel", M.relabel_oracle_sql(_raw_names_sql(), keep="event_id, raw, rule_no"))
+@register("metric_relabel", _relabel_sql())
 def q_metric_relabel(spark, d):
     ev = table(spark, d, "events")
     n = len(JMX_NAME_TEMPLATES)

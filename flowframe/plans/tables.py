@@ -37,9 +37,9 @@ select * from lineitem where l_orderkey = (select id from k)
 def q_select_by_id_version(spark, d):
     # the (id, version) the caller holds: the last order and its highest line
     li = table(spark, d, "lineitem")
-    oid = li.agg(F.max("l_orderkey")).first()[0]
-    ver = li.filter(F.col("l_orderkey") == oid).agg(F.max("l_linenumber")).first()[0]
-    return TB.select_by_id_version(li, "l_orderkey", oid, "l_linenumber", ver)
+    last = li.agg(F.max(F.struct("l_orderkey", "l_linenumber")).alias("k"))
+    return TB.select_by_id_version(li, "l_orderkey", last.select("k.l_orderkey").scalar(), "l_linenumber",
+                                   last.select("k.l_linenumber").scalar(), ensure_result=False)
 
 
 @register("status_claim", f"""
@@ -60,8 +60,7 @@ select l_orderkey, l_linenumber, 'anti' as side from lineitem where l_orderkey n
 def q_semi_anti_claim(spark, d):
     li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber")
     keys = table(spark, d, "orders").filter(F.col("o_orderstatus") == CLAIMED).select(F.col("o_orderkey").alias("l_orderkey"))
-    semi, anti = TB.semi_anti(li, keys, "l_orderkey")
-    return semi.withColumn("side", F.lit("semi")).unionByName(anti.withColumn("side", F.lit("anti")))
+    return TB.semi_anti_side(li, keys, "l_orderkey")
 
 
 @register("table_append", f"""
@@ -70,8 +69,8 @@ select o_orderkey as order_id from orders where o_orderstatus = '{CLAIMED}'
 def q_table_append(spark, d):
     o = table(spark, d, "orders")
     claimed = o.filter(F.col("o_orderstatus") == CLAIMED).select(F.col("o_orderkey").alias("order_id"))
-    first = TB.table_append(None, claimed, ["order_id"])
-    # replaying the same batch must not duplicate rows
+    # a batch that holds rows twice, and a replay of it, must not duplicate rows
+    first = TB.table_append(None, claimed.unionByName(claimed.filter("order_id % 3 = 0")), ["order_id"], key="order_id")
     return TB.table_append(first, claimed, ["order_id"], key="order_id")
 
 
@@ -96,40 +95,82 @@ def q_insert_generated_key(spark, d):
     return out.select("c_custkey", "c_name", "c_nationkey")
 
 
+# each line is a change of its part: it expects its line number to be the stored version (p_size), and of
+# several changes that expect it the one with the smallest order and price wins
 VERSIONED_SQL = """
-with ch as (select l_partkey as p_partkey, max(l_linenumber) as expected_version, sum(l_quantity) as new_qty
-            from lineitem group by l_partkey),
-j as (select ch.*, p.p_partkey as t_id, p.p_size as t_v, p.p_retailprice as t_price
-      from ch left join part p on ch.p_partkey = p.p_partkey)
-select p_partkey,
-       case when t_id is null then 'missing' when t_v = expected_version then 'updated' else 'stale' end as outcome,
-       case when t_v = expected_version then t_v + 1 else t_v end as version,
-       round(case when t_v = expected_version then new_qty else t_price end, 2) as p_retailprice,
-       case when t_v = expected_version then 1 else 0 end as affected
-from j
+with ch as (select l_partkey as p_partkey, l_linenumber as expected_version, l_orderkey, l_extendedprice, l_quantity,
+                   row_number() over (partition by l_partkey, l_linenumber
+                                      order by l_orderkey, l_extendedprice, l_quantity) as turn
+            from lineitem),
+j as (select ch.*, p.p_partkey as t_id, p.p_size as t_v from ch left join part p on ch.p_partkey = p.p_partkey),
+o as (select *, case when t_id is null then 'missing' when t_v = expected_version and turn = 1 then '{done}' else 'stale' end as outcome from j)
 """
+UPDATED_SQL, DELETED_SQL = VERSIONED_SQL.format(done="updated"), VERSIONED_SQL.format(done="deleted")
 
 
-@register("versioned_update", VERSIONED_SQL)
+def _line_changes(spark, d):
+    return table(spark, d, "lineitem").select(F.col("l_partkey").alias("p_partkey"), F.col("l_linenumber").alias("expected_version"),
+                                              "l_orderkey", "l_extendedprice", "l_quantity")
+
+
+def _parts(spark, d):
+    return table(spark, d, "part").select("p_partkey", F.col("p_size").alias("version"), "p_retailprice")
+
+
+CHANGE_ORDER = ["l_orderkey", "l_extendedprice", "l_quantity"]
+
+
+@register("versioned_update", UPDATED_SQL + """
+select p_partkey, expected_version, l_orderkey, l_extendedprice, outcome,
+       case when outcome = 'updated' then t_v + 1 else t_v end as version, case when outcome = 'updated' then 1 else 0 end as affected
+from o
+""")
 def q_versioned_update(spark, d):
-    # stored version = p_size; each part gets one change from its lineitems
-    part = table(spark, d, "part").withColumnRenamed("p_size", "version")
-    ch = table(spark, d, "lineitem").groupBy(F.col("l_partkey").alias("p_partkey")).agg(
-        F.max("l_linenumber").alias("expected_version"), F.sum("l_quantity").alias("new_qty"))
-    out = TB.versioned_update(part, ch, "p_partkey", "version", "expected_version", {"p_retailprice": F.col("new_qty")})
-    return out.select("p_partkey", "outcome", "version", F.round("p_retailprice", 2).alias("p_retailprice"), "affected")
+    rows, _ = TB.versioned_update(_parts(spark, d), _line_changes(spark, d), "p_partkey", "version", "expected_version",
+                                  {"p_retailprice": "l_extendedprice"}, CHANGE_ORDER)
+    return rows.select("p_partkey", "expected_version", "l_orderkey", "l_extendedprice", "outcome", "version", "affected")
+
+
+@register("versioned_update_snapshot", UPDATED_SQL + """
+select p.p_partkey, case when o.p_partkey is null then p.p_size else p.p_size + 1 end as version,
+       coalesce(o.l_extendedprice, p.p_retailprice) as p_retailprice
+from part p left join (select * from o where outcome = 'updated') o on p.p_partkey = o.p_partkey
+""")
+def q_versioned_update_snapshot(spark, d):
+    return TB.versioned_update(_parts(spark, d), _line_changes(spark, d), "p_partkey", "version", "expected_version",
+                               {"p_retailprice": "l_extendedprice"}, CHANGE_ORDER)[1]
+
+
+@register("versioned_delete", DELETED_SQL + """
+select p_partkey, 'change' as kind, outcome, count(*) as n from o group by p_partkey, outcome
+union all
+select p_partkey, 'row', 'kept', 1 from part where p_partkey not in (select p_partkey from o where outcome = 'deleted')
+""")
+def q_versioned_delete(spark, d):
+    rows, snap = TB.versioned_delete(_parts(spark, d), _line_changes(spark, d), "p_partkey", "version", "expected_version", CHANGE_ORDER)
+    changes = rows.groupBy("p_partkey", "outcome").agg(F.count(F.lit(1)).alias("n")).withColumn("kind", F.lit("change"))
+    kept = snap.select("p_partkey", F.lit("kept").alias("outcome"), F.lit(1).cast("long").alias("n"), F.lit("row").alias("kind"))
+    return changes.unionByName(kept).select("p_partkey", "kind", "outcome", "n")
 
 
 @register("keyed_upsert", """
-with ch as (select o_custkey as c_custkey, round(sum(o_totalprice), 2) as c_acctbal from orders group by o_custkey)
-select c_custkey, round(c_acctbal, 2) as c_acctbal from customer where c_custkey not in (select c_custkey from ch)
-union all select c_custkey, c_acctbal from ch
+with ch as (select o_custkey as c_custkey, o_totalprice as c_acctbal,
+                   row_number() over (partition by o_custkey order by o_orderdate desc, o_orderkey desc) as turn from orders)
+select c_custkey, c_acctbal from customer where c_custkey not in (select c_custkey from ch)
+union all select c_custkey, c_acctbal from ch where turn = 1
 """)
 def q_keyed_upsert(spark, d):
+    # every order is a change of its customer; the newest one counts
     cust = table(spark, d, "customer").select("c_custkey", "c_acctbal")
-    ch = table(spark, d, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.round(F.sum("o_totalprice"), 2).alias("c_acctbal"))
-    out = TB.keyed_upsert(cust, ch, "c_custkey")
-    return out.select("c_custkey", F.round("c_acctbal", 2).alias("c_acctbal"))
+    ch = table(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey"), F.col("o_totalprice").alias("c_acctbal"),
+                                          "o_orderdate", "o_orderkey")
+    return TB.keyed_upsert(cust, ch, "c_custkey", ["o_orderdate", "o_orderkey"])
+
+
+@register("keyed_delete", "select c_custkey, c_acctbal from customer where c_custkey not in (select o_custkey from orders where o_orderstatus = 'P')")
+def q_keyed_delete(spark, d):
+    gone = table(spark, d, "orders").filter(F.col("o_orderstatus") == DONE).select(F.col("o_custkey").alias("c_custkey"))
+    return TB.keyed_delete(table(spark, d, "customer").select("c_custkey", "c_acctbal"), gone, "c_custkey")
 
 
 @register("page_with_total", """

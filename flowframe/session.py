@@ -93,14 +93,3 @@ def stage_table(df: DataFrame, label: str) -> DataFrame:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
-def spread_if_narrow(df):
-    """Round-robin a frame over the cluster's cores when it has fewer
-    partitions than cores (e.g. one small file with a single row group) and
-    the next step is CPU-heavy per row.  A no-op for inputs that already
-    have enough splits, which is every input at cluster scale."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df

@@ -57,10 +57,6 @@ def _parse(batches):
 
 
 def mail_bodies(df: DataFrame, id_col: str = "mail_id", content_col: str = "content") -> DataFrame:
-    """``(mail_id, subject, body)`` per message.  Parsing is CPU-bound, so an
-    input with fewer partitions than the cluster has cores (e.g. one big
-    file) is spread by mail id first."""
-    from flowframe.session import spread_if_narrow
-
+    """``(mail_id, subject, body)`` per message."""
     src = df.select(df[id_col].cast("string").alias("mail_id"), df[content_col].alias("content"))
-    return spread_if_narrow(src).mapInPandas(_parse, _OUT)
+    return src.mapInPandas(_parse, _OUT)
