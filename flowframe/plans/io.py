@@ -37,10 +37,13 @@ def q_file_poll_source(spark, d):
     return SF.file_messages(rows, ["file_name"])
 
 
-@register("file_pattern_scan", "select 'events.parquet' as file_name, count(*) as n_records from events")
+@register("file_pattern_scan", """
+select 'customer.parquet' as file_name, count(*) as n_records from customer
+union all select 'conversations.parquet', count(*) from conversations
+""")
 def q_file_pattern_scan(spark, d):
-    # the whole test-data directory, filtered to one table's file by name pattern
-    rows = SF.file_poll_source(spark, d, "parquet", glob="events*.parquet")
+    # the whole test-data directory, filtered by name pattern
+    rows = SF.file_poll_source(spark, d, "parquet", glob="c*.parquet", schema="dummy int")
     return SF.file_messages(rows, ["file_name"])
 
 
@@ -62,21 +65,31 @@ def q_file_listing_dedupe(spark, d):
     return SF.accept_once(_listings(spark, d))
 
 
-@register("first_object", f"""
-select min({LISTING_PATH_SQL}) as file_path from events where event_type <> 'error'
-""")
+def _tree(spark, d):
+    """The documents as a directory tree, one file for each source and language."""
+    base = _scratch(spark, "tree")
+    docs = table(spark, d, "documents").select("doc_id", "source", "lang")
+    docs.repartition("source", "lang").write.partitionBy("source", "lang").parquet(base)
+    return base
+
+
+def _part(name):
+    return F.regexp_extract("file_path", rf"/{name}=([^/]+)/", 1).alias(name)
+
+
+@register("first_object", "select source, lang from documents order by source, lang limit 1")
 def q_first_object(spark, d):
-    listing = SF.accept_all(_listings(spark, d)).select("file_path")
-    return SF.first_object(listing)
+    listing = SF.accept_all(SF.file_listing(spark, _tree(spark, d), glob="*.parquet", recursive=True))
+    return SF.first_object(listing.select("file_path")).select(_part("source"), _part("lang"))
 
 
-@register("recursive_scan", "select source, count(*) as n_files from documents group by source")
+@register("recursive_scan", "select source, count(distinct lang) as n_files, count(*) as n_rows from documents group by source")
 def q_recursive_scan(spark, d):
-    base = _scratch(spark, "tree")
-    table(spark, d, "documents").select("doc_id", "lang", "source").write.partitionBy("source", "lang").parquet(base)
-    rows = SF.file_poll_source(spark, base, "parquet", recursive=True)
-    src = F.regexp_extract("file_path", r"/source=([^/]+)/", 1)
-    return rows.groupBy(src.alias("source")).agg(F.count(F.lit(1)).alias("n_files"))
+    base = _tree(spark, d)
+    files = SF.file_listing(spark, base, glob="*.parquet", recursive=True).groupBy(_part("source")).agg(F.count(F.lit(1)).alias("n_files"))
+    rows = SF.file_poll_source(spark, base, "parquet", recursive=True, schema="doc_id long").groupBy(_part("source")).agg(
+        F.count(F.lit(1)).alias("n_rows"))
+    return files.join(rows, "source")
 
 
 @register("sync_source_intake", "select event_id, event_type from events")
@@ -209,7 +222,8 @@ from events
 def q_compose_document(spark, d):
     ev = events(spark, d)
     doc = SK.compose_document(F.concat(F.lit("user"), F.col("user_id").cast("string"), F.lit("@example.com")), F.col("event_type"), F.col("props"))
-    return ev.select(F.concat(F.lit("event_"), F.col("event_id").cast("string"), F.lit(".txt")).alias("file_name"), doc.alias("document"))
+    composed = ev.select(F.concat(F.lit("event_"), F.col("event_id").cast("string"), F.lit(".txt")).alias("file_name"), doc.alias("document"))
+    return SK.write_documents(composed, _scratch(spark, "documents"), "file_name", "document")
 
 
 @register("gated_publish", "select n_nationkey, n_name, true as first_run, false as second_run from nation")
@@ -271,6 +285,26 @@ def q_disposition(spark, d):
     return SK.disposition(p, "file_path", ends_with("file_path", ".xlsx"), "/error").select("doc_id", "file_path", "outcome", "target_path")
 
 
+@register("disposition_applied", """
+select source, lang, case when lang = 'en' then 'deleted' else 'error' end as place from (select distinct source, lang from documents)
+""")
+def q_disposition_applied(spark, d):
+    """The files of a poll after their post-processing: handled ones are deleted, failed ones moved."""
+    base, error = _tree(spark, d), _scratch(spark, "error")
+    listing = SF.file_listing(spark, base, glob="*.parquet", recursive=True).select("file_path", _part("source"), _part("lang"))
+    seen = listing.select("source", "lang")
+    seen = spark.createDataFrame(seen.collect(), seen.schema)  # one row per file of the poll
+    decided = listing.withColumn("name", F.concat("source", F.lit("-"), "lang", F.lit(".parquet")))
+    target = F.concat(F.lit(error + "/"), "name")
+    SK.apply_disposition(SK.disposition(decided, "file_path", F.col("lang") == "en", error).withColumn(
+        "target_path", F.when(F.col("outcome") == "move_error", target)), "file_path")
+    moved = SF.file_listing(spark, error, glob="*.parquet").select(F.regexp_extract("file_name", r"(.*)-(.*)\.parquet", 1).alias("source"),
+                                                                   F.regexp_extract("file_name", r"(.*)-(.*)\.parquet", 2).alias("lang"))
+    left = SF.file_listing(spark, base, glob="*.parquet", recursive=True).select(_part("source"), _part("lang"))
+    places = moved.withColumn("place", F.lit("error")).unionByName(left.withColumn("place", F.lit("left")))
+    return seen.join(places, ["source", "lang"], "left").withColumn("place", F.coalesce("place", F.lit("deleted")))
+
+
 # The stage directories an upload passes through.
 STAGES = ("upload", "uploading", "sent")
 

@@ -29,6 +29,15 @@ def compose_document(to: Column, subject: Column, body: Column) -> Column:
     return F.concat(F.lit("To: "), to, F.lit("\r\n"), F.lit("Subject: "), subject, F.lit("\r\n\r\n"), body)
 
 
+def write_documents(df: DataFrame, out_dir: str, name_col: str, document_col: str) -> DataFrame:
+    """Write composed documents with their file names and return what was written.
+
+    One row per document in few files: a file of its own for every small
+    message would cost a store more than the message."""
+    df.select(F.col(name_col).alias("file_name"), F.col(document_col).alias("document")).write.mode("overwrite").parquet(out_dir)
+    return df.sparkSession.read.parquet(out_dir)
+
+
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -78,6 +87,27 @@ def disposition(df: DataFrame, path: str, ok: Column, error_dir: str, success_di
              .withColumn("target_path", F.when(okc, succ_target).otherwise(F.concat(F.lit(error_dir.rstrip("/") + "/"), name)))
 
 
+def apply_disposition(decided: DataFrame, path: str) -> int:
+    """Carry out ``disposition``: delete or move the files of one poll; returns how many.
+
+    The rows are those of one poll, whose intake limits their number; they
+    pass through the driver one by one.  A file that is gone already counts
+    as done, so a repeat after a failure is harmless."""
+    spark, n = decided.sparkSession, 0
+    for r in decided.select(path, "outcome", "target_path").toLocalIterator():
+        fs, source = _fs(spark, r[path])
+        if not fs.exists(source):
+            continue
+        if r["outcome"] == "delete":
+            fs.delete(source, False)
+        else:
+            target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(r["target_path"])
+            fs.mkdirs(target.getParent())
+            fs.rename(source, target)
+        n += 1
+    return n
+
+
 def stage_progress(df: DataFrame, path: str, stages: Sequence[str]) -> DataFrame:
     """Stage moves (e.g. upload -> uploading -> sent): one row per stage per
     item with the item's path in that stage's directory."""
