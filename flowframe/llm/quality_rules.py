@@ -41,6 +41,8 @@ GROUP_ROWS = 25 * P
 #: Chi-square probabilities of the re-weighting and of the verdict.
 REWEIGHT, CUT = 0.975, 1 - 1e-6
 ACCURACY = 2000
+#: Parts into which the rows of a group are dealt.
+SALTS = 64
 
 
 def chi_square(probability: float, degrees: int = P) -> float:
@@ -166,21 +168,34 @@ def _distance(z: list[Column], mu: str = "mu", inverse: str = "inverse") -> Colu
     return total
 
 
+def _with_group(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """Rows joined with the figures of their key.
+
+    A key (the whole corpus is one) may hold a third of all rows, so rows
+    carry one of ``SALTS`` salts and the few figures are repeated for each:
+    the join deals a hot key to many tasks, and an aggregate by key above it
+    still has a map-side part.
+    """
+    salted = groups.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.join(salted, ["key", "salt"])
+
+
 def fit_groups(vectors: DataFrame) -> DataFrame:
-    """``vectors`` (key, the statistics) -> per key its rows, scale and robust estimate.
+    """``vectors`` (key, the statistics; any others) -> per key its rows, scale and robust estimate.
 
     Result: (key, rows, mid array, unit array, mu array, inverse array).
     """
     floors = list(STATISTICS.values())
     half = [F.percentile_approx(n, 0.5, ACCURACY).alias(f"a{i}") for i, n in enumerate(NAMES)]
+    vectors = vectors.withColumn("salt", (F.monotonically_increasing_id() % SALTS).cast("int"))
     mids = vectors.groupBy("key").agg(F.count("*").alias("rows"), *half)
     spread = [F.percentile_approx(F.abs(F.col(n) - F.col(f"a{i}")), 0.5, ACCURACY).alias(f"b{i}") for i, n in enumerate(NAMES)]
-    mads = vectors.join(mids, "key").groupBy("key").agg(F.first("rows").alias("rows"), *[
+    mads = _with_group(vectors, mids).groupBy("key").agg(F.first("rows").alias("rows"), *[
         F.first(f"a{i}").alias(f"a{i}") for i in range(P)], *spread)
     unit = {f"b{i}": F.sqrt(F.col(f"b{i}") * F.col(f"b{i}") * 1.4826 ** 2 + F.lit(floors[i] ** 2)) for i in range(P)}
     scales = stage(mads.withColumns(unit).withColumns({f"f{i}": F.lit(floors[i]) / F.col(f"b{i}") for i in range(P)}), "scales")
-    scaled = stage(vectors.join(scales, "key").select(
-        "key", *[((F.col(n) - F.col(f"a{i}")) / F.col(f"b{i}")).alias(f"z{i}") for i, n in enumerate(NAMES)]), "scaled")
+    scaled = stage(_with_group(vectors, scales).select(
+        "key", "salt", *[((F.col(n) - F.col(f"a{i}")) / F.col(f"b{i}")).alias(f"z{i}") for i, n in enumerate(NAMES)]), "scaled")
     floor = scales.select("key", *[f"f{i}" for i in range(P)])
     z = [F.col(f"z{i}") for i in range(P)]
     norm = F.sqrt(sum((x * x for x in z), F.lit(1e-12)))
@@ -195,13 +210,13 @@ def fit_groups(vectors: DataFrame) -> DataFrame:
     best = current.groupBy("key").agg(F.min_by(F.struct("mu", "inverse"), F.struct("log_det", "start")).alias("e")).select(
         "key", "e.mu", "e.inverse", F.lit("best").alias("start"), F.lit(0.0).alias("log_det"))
     distance = _distance(z)
-    scale = scaled.join(stage(best, "estimates"), "key").groupBy("key").agg(
+    scale = _with_group(scaled, stage(best, "estimates")).groupBy("key").agg(
         F.percentile_approx(distance, 0.5, ACCURACY).alias("mid"))
     best = stage(best.join(scale, "key").withColumn("limit", F.col("mid") / chi_square(0.5) * chi_square(REWEIGHT)), "estimates")
-    sums = scaled.join(best, "key").where(distance <= F.col("limit")).groupBy("key").agg(*_moments())
+    sums = _with_group(scaled, best).where(distance <= F.col("limit")).groupBy("key").agg(*_moments())
     final = stage(_estimate(sums.join(floor, "key"), "key"), "estimates")
     # the floor is part of the scatter, so the distances are only ever stretched to the chi-square median, never shrunk
-    scale = scaled.join(final, "key").groupBy("key").agg(F.percentile_approx(distance, 0.5, ACCURACY).alias("mid"))
+    scale = _with_group(scaled, final).groupBy("key").agg(F.percentile_approx(distance, 0.5, ACCURACY).alias("mid"))
     grown = F.greatest(F.lit(1.0), F.col("mid") / chi_square(0.5))
     return scales.select("key", "rows", F.array(*[F.col(f"a{i}") for i in range(P)]).alias("mid_at"),
                          F.array(*[F.col(f"b{i}") for i in range(P)]).alias("unit")).join(
@@ -211,10 +226,10 @@ def fit_groups(vectors: DataFrame) -> DataFrame:
 def _concentrated(scaled: DataFrame, current: DataFrame, floor: DataFrame, z: list[Column]) -> DataFrame:
     """One concentration step of every group and start."""
     distance = _distance(z)
-    near = scaled.join(current, "key").groupBy("key", "start").agg(
+    near = _with_group(scaled, current).groupBy("key", "start").agg(
         F.percentile_approx(distance, COVERAGE, ACCURACY).alias("limit"))
     chosen = current.join(near, ["key", "start"])
-    sums = scaled.join(chosen, "key").where(distance <= F.col("limit")).groupBy("key", "start").agg(*_moments())
+    sums = _with_group(scaled, chosen).where(distance <= F.col("limit")).groupBy("key", "start").agg(*_moments())
     return _estimate(sums.join(floor, "key"), "key", "start")
 
 
