@@ -123,13 +123,13 @@ def insert_generated_key(target: DataFrame, rows: DataFrame, id_col: str, order:
 
 
 def _versioned(target: DataFrame, changes: DataFrame, id_col: str, version_col: str, expected_col: str,
-               order: Sequence[str], done: str) -> DataFrame:
-    """Changes with the stored version ``_v`` and their outcome: one winner per id.
+               order: Sequence[str], done: str, stored: Sequence[str] = ()) -> DataFrame:
+    """Changes with the stored version ``_v``, the ``stored`` columns as ``_old_<c>`` and their outcome: one winner per id.
 
     Only the change whose expected version is the stored one applies, and of
     several such changes the first in ``order``; the others find the version
     already moved on and are ``stale``."""
-    t = target.select(F.col(id_col).alias("_id"), F.col(version_col).alias("_v"))
+    t = target.select(F.col(id_col).alias("_id"), F.col(version_col).alias("_v"), *[F.col(c).alias(f"_old_{c}") for c in stored])
     rank = [*order, *[c for c in changes.columns if c not in order]]
     num = keyed_scan(changes, [id_col, expected_col], rank, rn="_turn")
     j = num.join(t, num[id_col] == t["_id"], "left")
@@ -145,9 +145,10 @@ def versioned_update(target: DataFrame, changes: DataFrame, id_col: str, version
     A change applies when the stored version equals the version its writer
     read; the version then goes up by one, so a second change of the same
     version is ``stale``.  A change row has ``outcome`` (updated / stale /
-    missing), the resulting ``version`` and ``affected`` (1 for updated)."""
+    missing), the resulting ``version`` and set columns, and ``affected`` (1
+    for updated)."""
     out = _versioned(target, changes.withColumns({f"_new_{c}": _c(v) for c, v in set_cols.items()}),
-                     id_col, version_col, expected_col, order, "updated")
+                     id_col, version_col, expected_col, order, "updated", list(set_cols))
     won = out.filter("affected = 1").select(F.col(id_col).alias("_id"), *[f"_new_{c}" for c in set_cols])
     snap = target.join(won, target[id_col] == won["_id"], "left")
     hit = F.col("_id").isNotNull()
@@ -155,7 +156,9 @@ def versioned_update(target: DataFrame, changes: DataFrame, id_col: str, version
         F.when(hit, F.col(f"_new_{c}").cast(target.schema[c].dataType)).otherwise(F.col(c)).alias(c) if c in set_cols
         else F.when(hit, F.col(c) + 1).otherwise(F.col(c)).cast(target.schema[c].dataType).alias(c) if c == version_col
         else F.col(c) for c in target.columns])
-    rows = out.withColumn(version_col, F.col("_v") + F.col("affected")).drop("_v", *[f"_new_{c}" for c in set_cols])
+    after = {c: F.when(F.col("affected") == 1, F.col(f"_new_{c}")).otherwise(F.col(f"_old_{c}")) for c in set_cols}
+    rows = out.withColumns({version_col: F.col("_v") + F.col("affected")} | after).drop(
+        "_v", *[f"_new_{c}" for c in set_cols], *[f"_old_{c}" for c in set_cols])
     return rows, snap
 
 

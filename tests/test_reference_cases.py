@@ -110,7 +110,7 @@ def test_versioned_update_and_stale(spark):
     target = spark.createDataFrame([(1, 1, "a"), (2, 5, "b")], "id int, version int, v string")
     changes = spark.createDataFrame([(1, 1, "A"), (2, 4, "B"), (3, 1, "C")], "id int, expected int, nv string")
     out = {r["id"]: (r["outcome"], r["version"], r["v"]) for r in
-           TB.versioned_update(target, changes, "id", "version", "expected", {"v": F.col("nv")}).collect()}
+           TB.versioned_update(target, changes, "id", "version", "expected", {"v": F.col("nv")})[0].collect()}
     assert out == {1: ("updated", 2, "A"), 2: ("stale", 5, "b"), 3: ("missing", None, None)}
 
 
