@@ -11,15 +11,15 @@ group by that bucket, so Spark deals the texts once and reuses the exchange.
    more.  Counts only ever overestimate: a window found in two documents is
    counted twice in every row, so none is lost.
 2. Exact.  Each bucket sends, for windows that all rows report as repeated,
-   a 96-bit key and the smallest document id it has for it (one entry per
+   an 80-bit key and the smallest document id it has for it (one entry per
    window and bucket however many copies there are).  Grouped by key, the
    entry with the smallest id is told apart from the others by one bit.
 3. Removal.  Each bucket finds its windows again and removes the words
    covered by windows that start in a smaller document, inside the bucket or
    by the bit.
 
-The segment of a window comes from the sketch hash, its key from two other
-hashes: two windows are taken as equal when about 110 bits agree.
+The segment of a window comes from the sketch hash: two windows are taken as
+equal when they agree in the 80 bits of the key and in their segment.
 """
 
 from __future__ import annotations
@@ -116,7 +116,7 @@ class _Bucket:
         self.id = np.array([i or 0 for i in row_ids], np.int64)[doc_of[self.at]]
         self.key = window_hashes(hashes, window, _BASES[0])[self.at]
         other = window_hashes(hashes, window, _BASES[1])[self.at]
-        self.extra = (mix64(other) >> np.uint64(32)).astype(np.uint32)
+        self.extra = (mix64(other) >> np.uint64(48)).astype(np.uint16)
         # the sketch rows: independent places of the window among all cells
         with np.errstate(over="ignore"):
             self.cells = [(mix64(other + np.uint64(0x632BE59BD9B4E019 * (r + 1) % (1 << 64)))
@@ -175,7 +175,7 @@ def _sketch_merge(group: pa.Table, out: pa.Schema) -> pa.Table:
 
 def _exact_merge(group: pa.Table, out: pa.Schema) -> pa.Table:
     key, extra, ids = ([np.frombuffer(x.as_py(), t) for x in column(group, c)]
-                       for c, t in (("key", "<u8"), ("extra", "<u4"), ("ids", "<i8")))
+                       for c, t in (("key", "<u8"), ("extra", "<u2"), ("ids", "<i8")))
     sizes = [len(k) for k in key]
     key, extra, ids = np.concatenate(key), np.concatenate(extra), np.concatenate(ids)
     order = np.lexsort((ids, extra, key))
