@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -79,10 +80,20 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict[str, list]],
         for b in batches:
             if b.num_rows:
                 yield pa.RecordBatch.from_pydict(fn(b), schema=names)
+        give_back()
 
     return df.mapInArrow(run, schema)
 
 
+def give_back() -> None:
+    """Hand freed memory back to the system: a Python worker outlives its task and waits beside those of other stages."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library; it has its own ways
+
+
 def arrow_schema(spark: SparkSession, ddl: str) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType

@@ -14,13 +14,16 @@ its segment, each little-endian, and where its segments come from.
 
 from __future__ import annotations
 
+import base64
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowframe.llm.bpe import codec, read_vocabulary
-from flowframe.llm.common import arrow_schema, longs, rows_table, texts
+from flowframe.llm.bpe import read_vocabulary
+from flowframe.llm.common import arrow_schema, give_back, longs, rows_table, texts
 
 LENGTH = 2048
 #: Tokens a task holds before it packs them.
@@ -29,6 +32,15 @@ _PACKED = ("ids binary, n_tokens int, cumulative array<int>, positions binary, "
            "doc_ids array<bigint>, offsets array<bigint>")
 
 
+@lru_cache(2)
+def rank_encoding(data: bytes, pattern: str):
+    """The encoder of a published rank file (one base64 token and its rank a line), without special tokens."""
+    import tiktoken
+
+    ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, data.splitlines())}
+    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+
+
 class Capacities:
     """A multiset of free spaces 0..top: the smallest one that is at least a given size, in log(top) steps."""
 
@@ -97,10 +109,13 @@ def cut(doc_id: int | None, ids: np.ndarray, length: int) -> list[tuple[int | No
     return [(doc_id, a, ids[a:a + length]) for a in range(0, len(ids), length)]
 
 
-def pack_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
-                   length: int = LENGTH, padding: int = 0) -> DataFrame:
+def pack_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
+                   length: int = LENGTH, padding: int = 50256) -> DataFrame:
     """Packed rows of the whole corpus; see the module for their columns.
 
+    ``path`` is a rank file, ``pattern`` the one that splits text before its
+    merges, ``padding`` an id that the file leaves free.
+
     ``cumulative`` starts with 0 and ends with ``n_tokens``; segment k of a
     row is document ``doc_ids[k]`` from token ``offsets[k]`` on.  Null and
     empty texts have no tokens and no segment.  Rows with null or repeated
@@ -111,16 +126,18 @@ def pack_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
     schema = arrow_schema(docs.sparkSession, _PACKED)
 
     def run(batches):
-        own, pieces, held = codec(vocabulary.value), [], 0
+        encode = rank_encoding(vocabulary.value, pattern).encode_ordinary
+        pieces, held = [], 0
         for batch in batches:
             for i, t in zip(longs(batch, "id"), texts(batch, "text")):
-                ids = np.array(own.encode(t), "<u4")
+                ids = np.array(encode(t.decode("utf-8", "replace")), "<u4")
                 pieces += cut(i, ids, length)
                 held += len(ids)
                 if held >= GATHER:
                     yield from _batches(pieces, length, padding, schema)
                     pieces, held = [], 0
         yield from _batches(pieces, length, padding, schema)
+        give_back()
 
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     return source.mapInArrow(run, _PACKED)

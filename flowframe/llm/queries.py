@@ -20,6 +20,13 @@ def word_vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def byte_ranks() -> tuple[str, str]:
+    """The installed byte-level rank file and the pattern that goes with it."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+
+
 def register(name: str, sql: str | None = None):
     def deco(fn):
         QUERIES[name] = fn
@@ -77,4 +84,4 @@ def op5(spark: SparkSession, d: str) -> DataFrame:
 
 @register("op8_token_packing")
 def op8(spark: SparkSession, d: str) -> DataFrame:
-    return packing.pack_documents(table(spark, d, "documents"), word_vocabulary())
+    return packing.pack_documents(table(spark, d, "documents"), *byte_ranks())
