@@ -13,7 +13,9 @@ in an order that groups equal sizes, so the prefix sum after the k-th
 document is ``k * rate``; a random offset in [0, 1) is added and a document
 is emitted once for every integer its stretch crosses.  The order is by size
 class, so every class is sampled evenly and the words taken come close to
-the target.
+the target.  A source of few documents with one very long among them can
+still miss it by that one; so ``OFFSETS`` offsets are drawn for a source and
+the one whose sample comes closest to the target is used.
 
 A prefix sum needs the position of a document within its source, and one
 source may hold most rows.  Each (source, size class) is cut into about the
@@ -32,6 +34,8 @@ from flowframe.llm.common import stage, word_array
 WEIGHTS = (5, 2, 1)
 #: Size classes per doubling of the size.
 CLASSES = 8
+#: Offsets drawn for each source.
+OFFSETS = 16
 
 
 def size_class(size: Column) -> Column:
@@ -84,7 +88,7 @@ def mix_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     with equal or null ids are told apart by their text's hash; wholly equal
     rows are interchangeable.  A source whose documents have no words has
     target 0 and is not taken.  Reruns give the same result: the only random
-    value is an offset per source, taken from a hash of the source and ``seed``.
+    values are the offsets of a source, taken from hashes of it and ``seed``.
     """
     measured = stage(docs.select(
         F.col(id_col).alias("id"), F.col(source_col).alias("source"),
@@ -106,13 +110,23 @@ def mix_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     ranked = chunked.withColumn("r", F.row_number().over(inside))
     placed = ranked.join(counted, ranked.source.eqNullSafe(counted.s) & (ranked["class"] == counted.c)
                          & (ranked.chunk == counted.k)).drop("s", "c", "k")
-    aims = targets.select(F.col("source").alias("s"), "source_size", "target")
-    rated = placed.join(aims, placed.source.eqNullSafe(aims.s)).drop("s")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    offset = hash32(F.concat(F.lit(seed + ":"), F.coalesce("source", F.lit("")))) / F.lit(2.0 ** 32)
-    k = F.col("before") + F.col("r")
-    copies = F.floor(k * rate + offset) - F.floor((k - 1) * rate + offset)
-    return rated.select("id", "source", "size", "tie", "source_size", "target", copies.cast("long").alias("copies"))
+    drawn = F.transform(F.sequence(F.lit(0), F.lit(OFFSETS - 1)), lambda j: hash32(F.concat(
+        F.lit(seed + ":"), j.cast("string"), F.lit(":"), F.coalesce("source", F.lit("")))) / F.lit(2.0 ** 32))
+    aims = stage(targets.select(F.col("source").alias("s"), "source_size", "target", rate.alias("rate"), drawn.alias("drawn")), "targets")
+    numbered = stage(placed.select("id", "source", "size", "tie", (F.col("before") + F.col("r")).alias("k")), "positions")
+    rated = numbered.join(aims, numbered.source.eqNullSafe(aims.s)).drop("s")
+    words = [F.sum(_crossed(F.col("drawn")[j]) * F.col("size")) for j in range(OFFSETS)]
+    taken = rated.groupBy("source").agg(F.first("target").alias("aim"), F.array(*words).alias("words"), F.first("drawn").alias("u"))
+    nearest = F.array_min(F.transform("words", lambda w, j: F.struct(F.abs(w - F.col("aim")).alias("off"), j.alias("j"))))
+    chosen = taken.select(F.col("source").alias("s"), F.get(F.col("u"), nearest["j"]).alias("offset"))
+    final = rated.join(chosen, rated.source.eqNullSafe(chosen.s))
+    return final.select("id", "source", "size", "tie", "source_size", "target", _crossed(F.col("offset")).cast("long").alias("copies"))
+
+
+def _crossed(offset: Column) -> Column:
+    """How many integers the stretch of the k-th document crosses."""
+    return F.floor(F.col("k") * F.col("rate") + offset) - F.floor((F.col("k") - 1) * F.col("rate") + offset)
 
 
 def mix_report(docs: DataFrame) -> DataFrame:
@@ -163,12 +177,16 @@ targets as (
          least(2.0::double * source_size, coalesce(found * weight, 2.0::double * source_size)) end as target
   from levels left join chosen on true),
 placed as (
-  select c.doc_id, c.size, t.source_size, t.target,
+  select c.doc_id, c.source, c.size, t.source_size, t.target,
          row_number() over (partition by c.source order by c.class, c.h, c.doc_id nulls first) as k,
-         case when t.source_size > 0 then t.target / t.source_size else 0.0::double end as rate,
-         ('0x' || substr(md5('mix:' || coalesce(c.source, '')), 1, 8))::bigint / 4294967296.0::double as shift
-  from classed c join targets t on c.source is not distinct from t.source)
-select doc_id, size, source_size, target,
-       ((floor(k * rate + shift) - floor((k - 1) * rate + shift)) * size)::bigint as taken
-from placed
+         case when t.source_size > 0 then t.target / t.source_size else 0.0::double end as rate
+  from classed c join targets t on c.source is not distinct from t.source),
+tried as (
+  select *, ('0x' || substr(md5('mix:' || j || ':' || coalesce(source, '')), 1, 8))::bigint / 4294967296.0::double as shift
+  from placed, range(16) r(j)),
+sampled as (select *, (floor(k * rate + shift) - floor((k - 1) * rate + shift))::bigint as copies from tried),
+summed as (select source, j, abs(sum(copies * size)::double - any_value(target)) as off from sampled group by source, j),
+best as (select source, j from summed qualify row_number() over (partition by source order by off, j) = 1)
+select s.doc_id, s.size, s.source_size, s.target, s.copies * s.size as taken
+from sampled s join best b on s.source is not distinct from b.source and s.j = b.j
 """
