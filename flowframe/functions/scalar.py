@@ -84,10 +84,6 @@ def seeded_pick(col: Column | str, choices: Sequence[str], seed: int = 12345) ->
 
 
 # F11 --------------------------------------------------------------
-def list_equals(col: Column | str, values: Sequence[str]) -> Column:
-    return F.coalesce(_c(col) == F.array(*[F.lit(v) for v in values]), F.lit(False))
-
-
 # F12 --------------------------------------------------------------
 def map_get(m: Column | str, key: str) -> Column:
     """Missing key -> null (``getItem``; ANSI ``element_at`` would raise)."""
@@ -126,11 +122,6 @@ def ntz_literal(value) -> Column:
     return F.expr(f"TIMESTAMP_NTZ '{value:%Y-%m-%d %H:%M:%S.%f}'")
 
 
-def trunc_minute_ntz(col: Column | str) -> Column:
-    """``date_trunc('minute', ts)`` kept as wall-clock time."""
-    return F.date_trunc("minute", _c(col)).cast("timestamp_ntz")
-
-
 _NTZ_EPOCH = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
 
 
@@ -144,8 +135,3 @@ def ntz_as_utc_instant(col: Column | str) -> Column:
     """The instant whose UTC wall time is this NTZ value (streaming event
     time must be zone-aware; this keeps windows and timers zone-free)."""
     return F.timestamp_micros(ntz_micros(col))
-
-
-def utc_instant_as_ntz(col: Column | str) -> Column:
-    """Inverse of :func:`ntz_as_utc_instant`."""
-    return F.timestamp_add("MICROSECOND", F.unix_micros(_c(col)), F.expr(_NTZ_EPOCH))

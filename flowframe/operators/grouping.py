@@ -29,17 +29,6 @@ def needed(df: DataFrame, *cols: str | Column | Sequence[str | Column]) -> DataF
     return df.select(*dict.fromkeys(flat)) if all(isinstance(c, str) for c in flat) else df
 
 
-def ordered_list(df: DataFrame, keys: Sequence[str], pos: str, payload: str, out: str = "payloads",
-                 sep: str | None = None) -> DataFrame:
-    """Payloads of each group as a list ordered by ``pos`` (or joined text with ``sep``).
-
-    Only call on groups of bounded size (released groups)."""
-    lst = F.transform(F.array_sort(F.collect_list(F.struct(F.col(pos).alias("p"), F.col(payload).alias("v")))),
-                      lambda s: s["v"])
-    agg = F.concat_ws(sep, lst) if sep is not None else lst
-    return df.groupBy(*keys).agg(agg.alias(out))
-
-
 # ------------------------------------------------------------------ A1 / A5 / A6
 def sequence_groups(df: DataFrame, key: str, order: Sequence[str | Column], size_col: str) -> DataFrame:
     """Every row with its arrival rank ``rn`` in its group, the group size
@@ -96,19 +85,6 @@ def multi_input_aggregate(inputs: Sequence[DataFrame], key: str, order: Sequence
 
 
 # ------------------------------------------------------------------ A2 / A3 / A8
-def count_groups(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], n: int) -> DataFrame:
-    """Rows with ``group_no`` (0-based) cutting each key's stream every ``n``
-    messages, and ``complete`` (the group holds ``n``); the tail stays pending.
-    With no key, the numbering is the two-phase global numbering."""
-    s = keyed_scan(df, list(keys), order)
-    s = s.withColumn("group_no", F.floor((F.col("rn") - 1) / n).cast("long"))
-    s = s.withColumn("group_pos", ((F.col("rn") - 1) % n + 1).cast("long"))
-    full = s.filter(F.col("group_pos") == n).select(*[F.col(k).alias("_k_" + k) for k in keys], F.col("group_no").alias("_g"))
-    cond = [s[k].eqNullSafe(full["_k_" + k]) for k in keys] + [s["group_no"] == full["_g"]]
-    s = s.join(full, cond, "left")
-    return s.withColumn("complete", F.col("_g").isNotNull()).drop("_g", *["_k_" + k for k in keys])
-
-
 def count_aggregate(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], n: int, payload: str,
                     sep: str | None = None) -> DataFrame:
     """A2: release every ``n`` messages per key, the group starting again

@@ -85,7 +85,6 @@ EXP_5 = RetryPolicy("simple5_exp", max_attempts=5, **EXP_2_10)
 TIMEOUT_45S_EXP = RetryPolicy("timeout45s_exp", timeout_ms=45000, **EXP_2_10)
 COMPOSITE_3_10S_FIXED1S = RetryPolicy("simple3_timeout10s_fixed1s", max_attempts=3, timeout_ms=10000, backoff="fixed", period_ms=1000)
 COMPOSITE_3_10S_FIXED5S = RetryPolicy("simple3_timeout10s_fixed5s", max_attempts=3, timeout_ms=10000, backoff="fixed", period_ms=5000)
-KAFKA_3X5S = RetryPolicy("simple3_fixed5s", max_attempts=3, backoff="fixed", period_ms=5000)
 BY_CLASS = {
     "java.nio.file.FileSystemAlreadyExistsException": RetryPolicy("timeout60s_exp", timeout_ms=60000, **EXP_2_10),
     "java.nio.file.FileSystemNotFoundException": RetryPolicy("simple5_exp", max_attempts=5, **EXP_2_10),
