@@ -73,13 +73,6 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share:
         ).alias("target"))
 
 
-def _same(a: DataFrame, b: DataFrame, *cols: str):
-    on = a[cols[0]].eqNullSafe(b[cols[0]])
-    for c in cols[1:]:
-        on &= a[c].eqNullSafe(b[c])
-    return on
-
-
 def mix_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
              weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0, seed: str = "mix") -> DataFrame:
     """Per row of ``docs``: (id, source, size, source_size, target, copies).

@@ -111,12 +111,11 @@ def _cells() -> list[tuple[int, int]]:
     return [(i, j) for i in range(P) for j in range(i + 1)]
 
 
-def _moments(weight: Column | None = None) -> list[Column]:
-    """Aggregates of the scaled columns z0..: number, sums, sums of products (of the rows that ``weight`` marks)."""
-    pick = (lambda c: c) if weight is None else (lambda c: F.when(weight, c))
+def _moments() -> list[Column]:
+    """Aggregates of the scaled columns z0..: number, sums, sums of products."""
     z = [F.col(f"z{i}") for i in range(P)]
-    return ([F.count(pick(F.lit(1))).alias("m")] + [F.sum(pick(z[i])).alias(f"s{i}") for i in range(P)]
-            + [F.sum(pick(z[i] * z[j])).alias(f"q{i}_{j}") for i, j in _cells()])
+    return ([F.count(F.lit(1)).alias("m")] + [F.sum(z[i]).alias(f"s{i}") for i in range(P)]
+            + [F.sum(z[i] * z[j]).alias(f"q{i}_{j}") for i, j in _cells()])
 
 
 def _estimate(sums: DataFrame, *keep: str, centred: bool = True) -> DataFrame:

@@ -169,10 +169,11 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     b = owners.select(F.col("print").alias("b"), F.col("owner").alias("dst"))
     links = fingerprint_links(owners.select("print"), radius).distinct().join(a, "a").join(b, "b")
     # an id on rows with several texts owns several fingerprints: its rows are one document
-    same = signed.join(owners, "print").where("id <> owner").select(F.col("id").alias("src"), F.col("owner").alias("dst"))
-    repeated = signed.where("id is not null").groupBy("id").agg(
+    several = signed.where("id is not null").groupBy("id").agg(
         F.min("print").alias("x"), F.max("print").alias("y")).where("x <> y").select("id")
-    comps = connected_components(links.select("src", "dst").union(same.join(repeated.withColumnRenamed("id", "src"), "src")))
+    same = signed.join(several, "id").join(owners, "print").where("id <> owner").select(
+        F.col("id").alias("src"), F.col("owner").alias("dst"))
+    comps = connected_components(links.select("src", "dst").union(same))
     best = owners.join(comps.withColumnRenamed("node", "owner"), "owner", "left").select(
         "print", F.coalesce("component", "owner").alias("component_id"))
     return signed.join(best, "print", "left").select(
