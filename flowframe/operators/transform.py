@@ -79,8 +79,11 @@ def validate_split(df: DataFrame, valid: Column, message: Column | str) -> tuple
 
 
 def validate_strict(df: DataFrame, valid: Column, message: str) -> DataFrame:
-    """Strict form: the first invalid row fails the job."""
-    return df.withColumn("_ok", F.when(F.coalesce(valid, F.lit(False)), F.lit(True)).otherwise(F.raise_error(F.lit(message)))).drop("_ok")
+    """Strict form: an invalid row fails the job.
+
+    The check is a filter, which the optimizer cannot drop as it would an
+    unused column."""
+    return df.filter(F.when(F.coalesce(valid, F.lit(False)), F.lit(True)).otherwise(F.raise_error(F.lit(message)).cast("boolean")))
 
 
 # ---------------------------------------------------------------- P7 / P8 / P9

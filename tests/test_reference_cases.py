@@ -129,3 +129,15 @@ def test_intake_limit_polls(spark):
     df = spark.createDataFrame([(i,) for i in range(12)], "i int")
     got = {r["i"]: r["poll_no"] for r in intake_limit(df, ["i"], 5).collect()}
     assert [got[i] for i in range(12)] == [0] * 5 + [1] * 5 + [2] * 2
+
+
+def test_strict_validation_fails_the_job(spark):
+    import pytest
+
+    from flowframe.operators.transform import validate_strict
+
+    df = spark.range(5)
+    assert validate_strict(df, F.col("id") >= 0, "negative id").count() == 5
+    for bad in (F.col("id") < 4, F.lit(None).cast("boolean")):
+        with pytest.raises(Exception, match="not allowed"):
+            validate_strict(df, bad, "not allowed").count()
