@@ -91,5 +91,19 @@ def stage_table(df: DataFrame, label: str) -> DataFrame:
     return out
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of any file system Spark can reach."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def clear_staged(spark: SparkSession) -> None:
+    """Delete every table this application has staged.
+
+    A frame that an operator returned may still read one, so call this when
+    the results of a job are written."""
+    drop_path(spark, scratch_path(spark, "staged"))
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
