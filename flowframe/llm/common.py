@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import ctypes
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -11,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowframe.session import scratch_path
+from flowframe.session import drop_path, stage_table
 
 #: A word is a maximal run of anything but the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -38,22 +37,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write a frame once into the shared folder and read it back.
-
-    Cuts the lineage: what is read later no longer depends on any executor.
-    """
-    path = scratch_path(df.sparkSession, f"llm/{label}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
-    out = df.sparkSession.read.schema(df.schema).parquet(path)
-    out.staged_path = path
-    return out
+    """Write a frame once into the shared folder and read it back: what is read later depends on no executor."""
+    return stage_table(df, label)
 
 
 def drop_staged(df: DataFrame) -> None:
     """Delete a staged table that nothing reads any more."""
-    sc = df.sparkSession.sparkContext
-    path = sc._jvm.org.apache.hadoop.fs.Path(df.staged_path)
-    path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+    drop_path(df.sparkSession, df.staged_path)
 
 
 def column(batch: pa.RecordBatch | pa.Table, name: str) -> pa.Array:
