@@ -43,7 +43,7 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document of the mix with its token ids, their number and the text they decode to."""
-    return bpe.decode_ids(bpe.encode_texts(docs, word_vocabulary()), word_vocabulary())
+    return bpe.encode_texts(docs, word_vocabulary(), decoded_col="decoded")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowframe.llm.common import arrow_schema, texts
+from flowframe.llm.common import arrow_schema, give_back, texts
 
 # Unicode white space and the contractions of the vocabulary's pattern.
 UNICODE_SPACE = r"\x09-\x0D\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
@@ -109,7 +109,6 @@ class Codec:
         model = spec["model"]
         self.vocab: dict[str, int] = model["vocab"]
         self.special: dict[str, int] = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.strings = {i: s for s, i in [*self.vocab.items(), *self.special.items()]}
         self.end = model.get("end_of_word_suffix") or ""
         # a pair of ids as one number -> rank of its merge; the id a rank makes
         self.base = len(self.vocab)
@@ -175,13 +174,27 @@ class Codec:
         return b"".join([self.special[part].to_bytes(4, "little") if part in self.special else self._plain(part)
                          for part in self.split.split(text)])
 
+    def forget(self) -> None:
+        """Empty the memories; the worker waits beside those of other stages."""
+        for memory in (self.words, self.pieces):
+            memory.clear()
+            memory.old = {}
+
     def encode(self, text: bytes) -> bytes:
         """The ids of a UTF-8 text, little-endian 32-bit, without added special tokens."""
         return b"".join(map(self.words.__getitem__, text.split()))
 
-    def decode(self, ids: bytes) -> str:
-        """The vocabulary strings of the ids, special tokens included, joined by one space."""
-        return " ".join(map(self.strings.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+
+@lru_cache(2)
+def vocabulary_strings(data: bytes) -> dict[int, str]:
+    """The string of each id, special tokens included."""
+    spec = json.loads(data)
+    return {i: s for s, i in spec["model"]["vocab"].items()} | {t["id"]: t["content"] for t in spec["added_tokens"]}
+
+
+def decode(ids: bytes, strings: dict[int, str]) -> str:
+    """The strings of little-endian 32-bit ids, joined by one space."""
+    return " ".join(map(strings.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
 @lru_cache(2)
@@ -196,62 +209,63 @@ def read_vocabulary(spark, path: str):
 
 
 def encode_texts(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "token_ids",
-                 count_col: str = "n_tokens") -> DataFrame:
+                 count_col: str = "n_tokens", decoded_col: str | None = None) -> DataFrame:
     """``docs`` with the token ids (binary, little-endian unsigned 32-bit) and their number added.
 
-    Null and empty texts have no tokens.  All rows and columns stay, repeated
-    rows too; existing columns with the two added names are replaced.
+    With ``decoded_col`` the ids are decoded again in the same pass.  Null and
+    empty texts have no tokens.  All rows and columns stay, repeated rows too;
+    existing columns with the added names are replaced.
     """
-    vocabulary = read_vocabulary(docs.sparkSession, path)
-    rest = docs.drop(ids_col, count_col)
-    position = rest.columns.index(text_col)
-    schema = f"row struct<{','.join(f'`c{i}`:{f.dataType.simpleString()}' for i, f in enumerate(rest.schema))}>, ids binary, n long"
-    out = arrow_schema(docs.sparkSession, schema)
+    added = {ids_col: "binary", count_col: "bigint"} | ({decoded_col: "string"} if decoded_col else {})
 
-    def run(batches):
-        own = codec(vocabulary.value)
-        for batch in batches:
-            for part in _slices(batch):
-                ids = [own.encode(t) for t in texts(part, "text")]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("row"), pa.array(ids, pa.binary()), pa.array([len(i) // 4 for i in ids], pa.int64())], schema=out)
+    def run_parts(data: bytes):
+        own, strings = codec(data), vocabulary_strings(data) if decoded_col else None
 
-    packed = rest.select(
-        F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(rest.columns)]).alias("row"),
-        F.col(f"`{rest.columns[position]}`").alias("text"))
-    coded = packed.mapInArrow(run, schema)
-    return coded.select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(rest.columns)],
-                        F.col("ids").alias(ids_col), F.col("n").alias(count_col))
+        def coded(part: pa.RecordBatch) -> list[pa.Array]:
+            ids = [own.encode(t) for t in texts(part, "text")]
+            out = [pa.array(ids, pa.binary()), pa.array([len(i) // 4 for i in ids], pa.int64())]
+            return out + ([pa.array([decode(i, strings) for i in ids], pa.string())] if decoded_col else [])
 
+        return coded, own.forget
+
+    return _with_columns(docs, path, text_col, "text", added, run_parts)
 
-def decode_ids(coded: DataFrame, path: str, ids_col: str = "token_ids", text_col: str = "decoded") -> DataFrame:
-    """``coded`` with the text of its token ids added (null ids: empty); other columns stay."""
-    vocabulary = read_vocabulary(coded.sparkSession, path)
-    rest = coded.drop(text_col)
-    schema = f"row struct<{','.join(f'`c{i}`:{f.dataType.simpleString()}' for i, f in enumerate(rest.schema))}>, text string"
-    out = arrow_schema(coded.sparkSession, schema)
+
+def _with_columns(df: DataFrame, path: str, col: str, name: str, added: dict[str, str], start) -> DataFrame:
+    """``df`` with columns that ``start(vocabulary file)`` computes from one column, a few rows at a time."""
+    vocabulary = read_vocabulary(df.sparkSession, path)
+    rest = df.drop(*[c for c in added if c != col])
+    fields = [f"`c{i}`:{f.dataType.simpleString()}" for i, f in enumerate(rest.schema)]
+    schema = f"row struct<{','.join(fields)}>, " + ", ".join(f"a{i} {t}" for i, t in enumerate(added.values()))
+    out = arrow_schema(df.sparkSession, schema)
 
     def run(batches):
-        own = codec(vocabulary.value)
+        compute, end = start(vocabulary.value)
         for batch in batches:
-            for part in _slices(batch):
-                decoded = [own.decode(x.as_py() or b"") for x in part.column("ids")]
-                yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(decoded, pa.string())], schema=out)
-
-    packed = rest.select(
-        F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(rest.columns)]).alias("row"),
-        F.col(f"`{ids_col}`").alias("ids"))
+            for i in range(0, batch.num_rows, ROWS):
+                part = batch.slice(i, ROWS)
+                yield pa.RecordBatch.from_arrays([part.column("row"), *compute(part)], schema=out)
+        end()
+        give_back()
+
+    packed = rest.select(F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(rest.columns)]).alias("row"),
+                         F.col(f"`{col}`").alias(name))
+    kept = [(i, c) for i, c in enumerate(rest.columns) if c not in added]
     return packed.mapInArrow(run, schema).select(
-        *[F.col(f"row.c{i}").alias(c) for i, c in enumerate(rest.columns)], F.col("text").alias(text_col))
+        *[F.col(f"row.c{i}").alias(c) for i, c in kept], *[F.col(f"a{i}").alias(c) for i, c in enumerate(added)])
 
 
-def _slices(batch: pa.RecordBatch):
-    for i in range(0, batch.num_rows, ROWS):
-        yield batch.slice(i, ROWS)
+def decode_ids(coded: DataFrame, path: str, ids_col: str = "token_ids", text_col: str = "decoded") -> DataFrame:
+    """``coded`` with the text of its token ids added (null ids: empty); other columns stay."""
+    def run_parts(data: bytes):
+        strings = vocabulary_strings(data)
+        return (lambda part: [pa.array([decode(x.as_py() or b"", strings) for x in part.column("ids")], pa.string())]), give_back
+
+    return _with_columns(coded, path, ids_col, "ids", {text_col: "string"}, run_parts)
 
 
 def round_trip_digest(docs: DataFrame, path: str) -> DataFrame:
     """Per document (doc_id, n_tokens, ids_sha256, decoded_sha256) of encoding and decoding its text."""
-    both = decode_ids(encode_texts(docs.select("doc_id", "text"), path).drop("text"), path)
+    both = encode_texts(docs.select("doc_id", "text"), path, decoded_col="decoded")
     return both.select("doc_id", "n_tokens", F.sha2("token_ids", 256).alias("ids_sha256"),
                        F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))

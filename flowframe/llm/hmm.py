@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowframe.llm.common import (
-    arrow_schema, column, fold_case, longs, pack, rows_table, runs, stage, texts, unpack, words,
+    arrow_schema, column, fold_case, give_back, longs, pack, rows_table, runs, stage, texts, unpack, words,
 )
 from flowframe.session import shuffle_partitions
 
@@ -76,6 +76,7 @@ def token_blocks(docs: DataFrame, id_col: str, text_col: str, training) -> DataF
                     gathered = _Gathered()
         if gathered.ids:
             yield gathered.row(schema)
+        give_back()
 
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), training.alias("training"))
     rows = source.mapInArrow(run, _BLOCKS)
@@ -204,6 +205,7 @@ def _sent_words(blocks: DataFrame, segments: int) -> DataFrame:
                 yield from rows_table(
                     [(s, block, hashes[order[g]].tobytes(), pack(shapes[order[g]]), pack(seen[order[g]]))
                      for s, g in runs(segment)], schema).to_batches()
+        give_back()
 
     return blocks.select("block", "hashes", "shapes", "seen").mapInArrow(send, _COUNTED)
 
@@ -334,6 +336,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     pa.array(b.column("ids")[i].as_py(), pa.int64()), pa.array(sizes),
                     pa.array(b.column("known")[i].as_py(), pa.int64()), pa.array(b.column("base")[i].as_py(), pa.float64()),
                     pa.array(inside + forward(chain, classes, sizes))], schema=out_arrow)
+        give_back()
 
     scored = coded.mapInArrow(score, out_schema)
     return scored.select(
@@ -359,6 +362,7 @@ def train(coded: DataFrame, chain: Chain, rounds: int = ROUNDS) -> Chain:
             flat = np.concatenate([x.ravel() for x in sums])
             cells = np.flatnonzero(flat)
             yield pa.RecordBatch.from_arrays([pa.array(cells, pa.int32()), pa.array(flat[cells])], names=["cell", "expected"])
+            give_back()
 
         summed = coded.select("training", "sizes", "classes").mapInArrow(count, schema).groupBy("cell").agg(
             F.sum("expected").alias("expected"))

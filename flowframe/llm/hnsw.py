@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowframe.llm.common import arrow_schema, column, rows_table, stage
+from flowframe.llm.common import arrow_schema, column, give_back, rows_table, stage
 from flowframe.llm.components import connected_components
 
 #: Points of a shard and of a block of queries, on average.
@@ -261,6 +261,7 @@ def query_shards(graphs: DataFrame, points: DataFrame, least: float) -> DataFram
         moved = np.flatnonzero(root != np.arange(len(nodes)))
         links = np.bincount(q, copies[p], len(own)).astype(np.int64)
         some = np.flatnonzero(links)
+        give_back()
         none, zero = pa.nulls(len(some), pa.int64()), np.zeros(len(moved), np.int64)
         return pa.concat_tables([
             pa.Table.from_arrays([pa.array(own[some]), none, pa.array(links[some])], schema=out),

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowframe.llm.common import longs, map_batches, stage, texts, words
+from flowframe.llm.common import give_back, longs, map_batches, stage, texts, words
 
 FEATURES = ("log_words", "word_length", "upper", "symbols", "calls", "stops", "digits", "other_ascii",
             "repeated_lines", "word_variety", "repeated_triples", "longest_word")
@@ -167,5 +167,6 @@ def keep_accepted(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
         for batch in batches:
             x = np.array([text_statistics(t) for t in texts(batch, text_col)], float).reshape(-1, len(FEATURES))
             yield batch.filter(pa.array(model.score(x) >= threshold))
+        give_back()
 
     return docs.mapInArrow(accept, docs.schema)

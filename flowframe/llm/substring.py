@@ -33,12 +33,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowframe.llm.common import (
-    arrow_schema, column, mix64, pack_sorted, rows_table, runs, texts, unpack_sorted, words,
+    arrow_schema, column, give_back, mix64, pack_sorted, rows_table, runs, texts, unpack_sorted, words,
 )
 from flowframe.session import shuffle_partitions
 
 #: Text bytes dealt into one bucket, on average.
 BUCKET_BYTES = 4 << 20
+#: Bytes or words hashed at a time.
+STRETCH = 1 << 18
 #: Windows that meet in one segment of a sketch row, on average, and cells per window.
 SEGMENT_WINDOWS, CELLS_PER_WINDOW = 1 << 21, 4
 ROWS = 2
@@ -60,15 +62,16 @@ def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def window_hashes(word_hashes: np.ndarray, window: int, base: int) -> np.ndarray:
     """A polynomial hash of each run of ``window`` word hashes."""
-    n = len(word_hashes) - window + 1
-    if n <= 0:
-        return np.zeros(0, np.uint64)
-    up, down = _powers(base, 1 << (len(word_hashes)).bit_length())
+    n = max(0, len(word_hashes) - window + 1)
+    out = np.empty(n, np.uint64)
+    up, down = _powers(base, STRETCH + window)
     with np.errstate(over="ignore"):
-        sums = np.cumsum(word_hashes * up[:len(word_hashes)], dtype=np.uint64)
-        total = sums[window - 1:].copy()
-        total[1:] -= sums[:n - 1]
-        return total * down[:n]
+        for a in range(0, n, STRETCH):
+            part = word_hashes[a:a + STRETCH + window - 1]
+            sums = np.zeros(len(part) + 1, np.uint64)
+            np.cumsum(part * up[:len(part)], out=sums[1:])
+            out[a:a + STRETCH] = (sums[window:] - sums[:-window]) * down[:len(part) - window + 1]
+    return out
 
 
 _SPACE = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
@@ -79,7 +82,7 @@ def word_hashes(texts_of: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of all words of some texts, in order, and the number of words of each text.
 
     A hash is a polynomial in the bytes of the word, taken from running sums
-    over the joined texts, a stretch of about a megabyte at a time.
+    over the joined texts, one stretch at a time.
     """
     data = np.frombuffer(b" ".join(texts_of), np.uint8)
     space = np.concatenate(([True], _SPACE[data], [True]))
@@ -88,7 +91,7 @@ def word_hashes(texts_of: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     first_byte = np.cumsum([0, *(len(t) + 1 for t in texts_of)])
     sizes = np.diff(np.searchsorted(starts, first_byte))
     out = np.empty(len(starts), np.uint64)
-    stretch = np.searchsorted(starts, np.arange(0, len(data) + (1 << 20), 1 << 20))
+    stretch = np.searchsorted(starts, np.arange(0, len(data) + STRETCH, STRETCH))
     for a, b in zip(stretch, stretch[1:]):
         if a == b:
             continue
@@ -227,7 +230,9 @@ def dedup_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def to_sketch(group: pa.Table) -> pa.Table:
         own = _Bucket(group, window, segments)
         bucket = group.column("bucket")[0].as_py()
-        return rows_table([(s, bucket, a, b) for s, a, b in own.sketch()], sketch_schema)
+        out = rows_table([(s, bucket, a, b) for s, a, b in own.sketch()], sketch_schema)
+        give_back()
+        return out
 
     def to_entries(group: pa.Table, reply: pa.Table) -> pa.Table:
         if not group.num_rows or not reply.num_rows:
