@@ -13,6 +13,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from flowframe.functions.scalar import date_text, ends_with, seeded_pick
+from flowframe.operators.sequence import keyed_scan
 from flowframe.plans.bindings import EVENT_ORDER, events, url_lines, url_status
 from flowframe.plans.registry import register, table
 from flowframe.plans.transforms import FULL_NAMES, LCG_SQL
@@ -205,12 +206,17 @@ def q_mail_bodies(spark, d):
 
 
 # ------------------------------------------------------------------ sinks
-@register("per_file_sink", f"with u as ({URL_FLOW_SQL}) select file_name, line from u")
+@register("per_file_sink", f"""
+with u as ({URL_FLOW_SQL}) select file_name, line, row_number() over (partition by file_name order by seq_no) as line_no from u
+""")
 def q_per_file_sink(spark, d):
     base = _scratch(spark, "perfile")
     SK.per_file_sink(url_flow(url_lines(spark, d), url_status(spark, d)), base, "file_name", "seq_no", "line")
-    back = spark.read.text(base)
-    return back.select("file_name", F.col("value").alias("line"))
+    # the lines as a reader finds them: part files in name order, lines in file order
+    back = spark.read.text(base).select(
+        "file_name", F.col("value").alias("line"), F.col("_metadata.file_path").alias("part"),
+        F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("at"))
+    return keyed_scan(back, ["file_name"], ["part", "start", "at"], rn="line_no").select("file_name", "line", "line_no")
 
 
 @register("compose_document", """
