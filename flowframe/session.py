@@ -42,9 +42,20 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give this package to the Python workers of a session whose cluster does not have it installed.
+
+    A wheel on every machine (see ``pyproject.toml``) does the same for good."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    name = os.path.basename(os.path.dirname(os.path.abspath(__file__)))
+    base = os.path.join(tempfile.mkdtemp(prefix=f"{name}-ship-"), name)
+    spark.sparkContext.addPyFile(shutil.make_archive(base, "zip", root, name))
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
