@@ -26,12 +26,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowframe.llm.common import arrow_schema, give_back, texts
+from flowframe.llm.common import arrow_schema, give_back, utf8_items
 
 # Unicode white space and the contractions of the vocabulary's pattern.
 UNICODE_SPACE = r"\x09-\x0D\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
 #: Words and pieces remembered in each half of a memory, none longer than this.
-REMEMBERED, LONGEST = 200_000, 48
+REMEMBERED, LONGEST = 120_000, 48
 #: Rows handed back at once.
 ROWS = 500
 
@@ -209,11 +209,12 @@ def read_vocabulary(spark, path: str):
 
 
 def encode_texts(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "token_ids",
-                 count_col: str = "n_tokens", decoded_col: str | None = None) -> DataFrame:
+                 count_col: str = "n_tokens", decoded_col: str | None = None, keep_text: bool = True) -> DataFrame:
     """``docs`` with the token ids (binary, little-endian unsigned 32-bit) and their number added.
 
-    With ``decoded_col`` the ids are decoded again in the same pass.  Null and
-    empty texts have no tokens.  All rows and columns stay, repeated rows too;
+    With ``decoded_col`` the ids are decoded again in the same pass; without
+    ``keep_text`` the text does not come back.  Null and empty texts have no
+    tokens.  All rows and columns stay, repeated rows too;
     existing columns with the added names are replaced.
     """
     added = {ids_col: "binary", count_col: "bigint"} | ({decoded_col: "string"} if decoded_col else {})
@@ -221,22 +222,28 @@ def encode_texts(docs: DataFrame, path: str, text_col: str = "text", ids_col: st
     def run_parts(data: bytes):
         own, strings = codec(data), vocabulary_strings(data) if decoded_col else None
 
-        def coded(part: pa.RecordBatch) -> list[pa.Array]:
-            ids = [own.encode(t) for t in texts(part, "text")]
+        def coded(column: pa.Array) -> list[pa.Array]:
+            ids = [own.encode(t) for t in utf8_items(column)]
             out = [pa.array(ids, pa.binary()), pa.array([len(i) // 4 for i in ids], pa.int64())]
             return out + ([pa.array([decode(i, strings) for i in ids], pa.string())] if decoded_col else [])
 
         return coded, own.forget
 
-    return _with_columns(docs, path, text_col, "text", added, run_parts)
+    return _with_columns(docs, path, text_col, added, run_parts, keep_text)
 
 
-def _with_columns(df: DataFrame, path: str, col: str, name: str, added: dict[str, str], start) -> DataFrame:
-    """``df`` with columns that ``start(vocabulary file)`` computes from one column, a few rows at a time."""
+def _with_columns(df: DataFrame, path: str, col: str, added: dict[str, str], start, keep: bool = True) -> DataFrame:
+    """``df`` with columns that ``start(vocabulary file)`` computes from one column, a few rows at a time.
+
+    The other columns travel as one struct, so their names cannot clash; the
+    column itself is in it too if it stays, and sent only once.
+    """
     vocabulary = read_vocabulary(df.sparkSession, path)
-    rest = df.drop(*[c for c in added if c != col])
-    fields = [f"`c{i}`:{f.dataType.simpleString()}" for i, f in enumerate(rest.schema)]
-    schema = f"row struct<{','.join(fields)}>, " + ", ".join(f"a{i} {t}" for i, t in enumerate(added.values()))
+    rest = [c for c in df.columns if c not in added and (keep or c != col)]
+    sent = F.struct(F.lit(1).alias("one"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(rest)])
+    packed = df.select(sent.alias("row"), *([] if col in rest else [F.col(f"`{col}`").alias("alone")]))
+    place = rest.index(col) + 1 if col in rest else None
+    schema = f"row {packed.schema['row'].dataType.simpleString()}, " + ", ".join(f"a{i} {t}" for i, t in enumerate(added.values()))
     out = arrow_schema(df.sparkSession, schema)
 
     def run(batches):
@@ -244,28 +251,27 @@ def _with_columns(df: DataFrame, path: str, col: str, name: str, added: dict[str
         for batch in batches:
             for i in range(0, batch.num_rows, ROWS):
                 part = batch.slice(i, ROWS)
-                yield pa.RecordBatch.from_arrays([part.column("row"), *compute(part)], schema=out)
+                row = part.column("row")
+                column = part.column("alone") if place is None else row.field(place)
+                yield pa.RecordBatch.from_arrays([row, *compute(column)], schema=out)
         end()
         give_back()
 
-    packed = rest.select(F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(rest.columns)]).alias("row"),
-                         F.col(f"`{col}`").alias(name))
-    kept = [(i, c) for i, c in enumerate(rest.columns) if c not in added]
     return packed.mapInArrow(run, schema).select(
-        *[F.col(f"row.c{i}").alias(c) for i, c in kept], *[F.col(f"a{i}").alias(c) for i, c in enumerate(added)])
+        *[F.col(f"row.c{i}").alias(c) for i, c in enumerate(rest)], *[F.col(f"a{i}").alias(c) for i, c in enumerate(added)])
 
 
 def decode_ids(coded: DataFrame, path: str, ids_col: str = "token_ids", text_col: str = "decoded") -> DataFrame:
     """``coded`` with the text of its token ids added (null ids: empty); other columns stay."""
     def run_parts(data: bytes):
         strings = vocabulary_strings(data)
-        return (lambda part: [pa.array([decode(x.as_py() or b"", strings) for x in part.column("ids")], pa.string())]), give_back
+        return (lambda ids: [pa.array([decode(x.as_py() or b"", strings) for x in ids], pa.string())]), give_back
 
-    return _with_columns(coded, path, ids_col, "ids", {text_col: "string"}, run_parts)
+    return _with_columns(coded, path, ids_col, {text_col: "string"}, run_parts)
 
 
 def round_trip_digest(docs: DataFrame, path: str) -> DataFrame:
     """Per document (doc_id, n_tokens, ids_sha256, decoded_sha256) of encoding and decoding its text."""
-    both = encode_texts(docs.select("doc_id", "text"), path, decoded_col="decoded")
+    both = encode_texts(docs.select("doc_id", "text"), path, decoded_col="decoded", keep_text=False)
     return both.select("doc_id", "n_tokens", F.sha2("token_ids", 256).alias("ids_sha256"),
                        F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))

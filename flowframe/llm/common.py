@@ -57,7 +57,10 @@ def longs(batch: pa.RecordBatch | pa.Table, name: str) -> list[int | None]:
 
 def texts(batch: pa.RecordBatch | pa.Table, name: str) -> Iterator[bytes]:
     """The texts of a batch one by one as UTF-8 (null: empty), without decoding them."""
-    col = column(batch, name)
+    return utf8_items(column(batch, name))
+
+
+def utf8_items(col: pa.Array) -> Iterator[bytes]:
     for x in col.cast(pa.large_binary() if pa.types.is_large_string(col.type) else pa.binary()):
         yield x.as_py() or b""
 

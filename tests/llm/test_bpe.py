@@ -47,6 +47,15 @@ def test_documents_match_the_library(documents, library):
         assert r["decoded_sha256"] == hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest()
 
 
+def test_rows_beyond_the_first_slice(spark, library):
+    texts = [f"Word{i} and {"x" * (i % 7)}" for i in range(1300)]
+    df = spark.createDataFrame(list(enumerate(texts)), "k long, text string").coalesce(1)
+    for r in bpe.encode_texts(df, PATH, decoded_col="decoded").collect():
+        ids = library.encode(texts[r["k"]], add_special_tokens=False).ids
+        assert r["text"] == texts[r["k"]] and np.frombuffer(bytes(r["token_ids"]), "<u4").tolist() == ids
+        assert r["decoded"] == library.decode(ids, skip_special_tokens=False)
+
+
 def test_odd_rows(odd_documents, odd_rows, no_documents, library):
     coded = bpe.encode_texts(odd_documents, PATH)
     assert set(coded.columns) == set(odd_documents.columns)
