@@ -19,6 +19,7 @@ from flowframe.plans.bindings import (
     url_status,
 )
 from flowframe.plans.registry import register, table
+from flowframe.streaming.group_release import group_outcomes
 
 # ----------------------------------------------------------------- splitters
 LINES_SQL = r"""
@@ -208,6 +209,30 @@ def q_sequence_match(spark, d):
     return m.select("user_id", "group_no", F.concat_ws(" ", "payloads").alias("payloads"), "matched")
 
 
+# ----------------------------------------------------------------- declared size and timeout together
+@register("group_release_timeout", f"""
+with l as (select l_orderkey as corr_id, cast(l_partkey as varchar) as payload, l_linenumber as size, l_shipdate as arrived,
+                  row_number() over (partition by l_orderkey order by {LINEITEM_ARRIVAL_SQL}) as rn from lineitem),
+f as (select *, lag(arrived) over (partition by corr_id order by rn) as prev from l),
+s as (select *, sum(case when prev is null or arrived > prev + interval 30 day then 1 else 0 end)
+                over (partition by corr_id order by rn rows between unbounded preceding and current row) as session from f),
+r as (select *, row_number() over (partition by corr_id, session order by rn) as pos,
+             count(*) over (partition by corr_id, session) as n,
+             first_value(size) over (partition by corr_id, session order by rn) as wanted from s),
+d as (select *, min(case when n >= wanted then session end) over (partition by corr_id) as done,
+             max(session) over (partition by corr_id) as newest from r),
+o as (select *, case when session = done and pos <= wanted then 'released' when session < done then 'discarded'
+                     when done is not null then 'late' when session < newest then 'discarded' else 'pending' end as outcome from d)
+select cast(corr_id as varchar) as corr_id, outcome, max(wanted)::bigint as seq, string_agg(payload, ' ' order by pos) as payloads
+from o where outcome = 'released' group by corr_id, outcome
+union all select cast(corr_id as varchar), outcome, null, payload from o where outcome <> 'released'
+""")
+def q_group_release_timeout(spark, d):
+    # 30 days of silence give a waiting group up; released at the size its first message declares
+    return group_outcomes(grouped_messages(spark, d), "corr_id", LINEITEM_ARRIVAL, "seq_size", "payload", "l_shipdate",
+                          timeout_seconds=30 * 86400)
+
+
 # ----------------------------------------------------------------- timeout (gap sessions)
 @register("group_timeout", """
 with l as (select *, lag(ts) over (partition by user_id order by ts, event_id) as prev_ts from events),
