@@ -125,17 +125,48 @@ def release_declared(df: DataFrame, key: str, order: Sequence[str | Column], siz
     """A1 with groups that start again: ``(key, group_no, group_size, payloads)``.
 
     A group holds as many messages as its first one declares (at least one);
-    the next message opens the next group.  Where a group starts depends on
-    all groups before it, a chain of jumps ``rn -> rn + size``.  The chain is
-    followed by doubling: every round joins the jumps with themselves, so the
-    number of rounds is the logarithm of the most groups of a key, and no
-    task walks a key's rows one by one.  The incomplete last group is not
+    the next message opens the next group.  The incomplete last group is not
     output."""
     s = stage_table(keyed_scan(needed(df, key, order, size_col, payload), [key], order).select(
         F.struct(F.lit(0), key).alias("k"), "rn", F.greatest(F.coalesce(F.col(size_col), F.lit(1)), F.lit(1)).cast("long").alias("size"),
         F.col(payload).alias("v")), "declared")
+    return _released_runs(s, s.select("k", "rn", (F.col("rn") + F.col("size") - 1).alias("end")), key, sep)
+
+
+def release_sum(df: DataFrame, key: str, order: Sequence[str | Column], value_col: str, least: float, payload: str,
+                sep: str | None = None) -> DataFrame:
+    """A3 over the messages' values: ``(key, group_no, group_size, payloads)``.
+
+    A group is released by the message with which the sum of its values
+    reaches ``least``; the next message opens the next group.  Values are
+    not negative (null counts as 0), so running sums only grow, and where a
+    group that starts at a row would end is an as-of question: the first row
+    whose running sum is not below the sum before the start plus ``least``.
+    One ordered scan over sums and questions together answers it."""
+    value = F.coalesce(F.col(value_col), F.lit(0))
+    narrow = needed(df, key, order, value_col, payload).withColumn("_value", value)
+    s = stage_table(keyed_scan(narrow, [key], order, sums={"total": "_value"}).select(
+        F.struct(F.lit(0), key).alias("k"), "rn", "total", F.col("_value").alias("value"), F.col(payload).alias("v")), "sums")
+    after = s.select("k", (F.col("rn") + 1).alias("rn"), F.col("total").alias("before"))
+    start = s.select("k", "rn").join(after, ["k", "rn"], "left").select("k", "rn", F.coalesce("before", F.lit(0)).alias("before"))
+    asked = start.select("k", "rn", (F.col("before") + F.lit(least)).alias("x"), F.lit(0).alias("point"))
+    both = asked.unionByName(s.select("k", "rn", F.col("total").cast(asked.schema["x"].dataType).alias("x"), F.lit(1).alias("point")))
+    below = keyed_scan(both, ["k"], ["x", "point", "rn"], rn="_", sums={"below": "point"}).filter("point = 0")
+    # a group holds its first message even when nothing is asked of it
+    return _released_runs(s, below.select("k", "rn", F.greatest("rn", F.col("below") + 1).alias("end")), key, sep)
+
+
+def _released_runs(s: DataFrame, ends: DataFrame, key: str, sep: str | None) -> DataFrame:
+    """Groups that follow one another in each key, from where a group that starts at a row would end.
+
+    ``s`` is a written table (k, rn, v), ``ends`` (k, rn, end) for every row.
+    Where a group starts depends on all groups before it, a chain of jumps
+    ``rn -> end + 1``.  The chain is followed by doubling: every round joins
+    the jumps with themselves, so the number of rounds is the logarithm of
+    the most groups of a key, and no task walks a key's rows one by one."""
     last = s.groupBy("k").agg(F.max("rn").alias("n"))
-    jumps = stage_table(s.select("k", "rn", (F.col("rn") + F.col("size")).alias("to")).join(last, "k").filter("to <= n").drop("n"), "jumps")
+    ends = stage_table(ends.join(last, "k").filter(F.col("end") <= F.col("n")).drop("n"), "ends")
+    jumps = ends.select("k", "rn", (F.col("end") + 1).alias("to"))
     starts, known = s.filter("rn = 1").select("k", "rn"), -1
     while True:
         starts = stage_table(starts, "starts")
@@ -147,11 +178,10 @@ def release_declared(df: DataFrame, key: str, order: Sequence[str | Column], siz
         starts = starts.union(reached).distinct()
         after = jumps.select("k", F.col("rn").alias("to"), F.col("to").alias("far"))
         jumps = stage_table(jumps.join(after, ["k", "to"]).select("k", "rn", F.col("far").alias("to")), "jumps")
-    numbered = keyed_scan(starts, ["k"], ["rn"], rn="g")
-    whole = numbered.join(s.select("k", "rn", "size"), ["k", "rn"]).join(last, "k").filter(F.col("rn") + F.col("size") - 1 <= F.col("n"))
-    # each group names the positions it holds: as many as its size, all within the key's rows
-    places = whole.select("k", (F.col("g") - 1).alias("group_no"), "size", F.explode(
-        F.sequence(F.col("rn"), F.col("rn") + F.col("size") - 1)).alias("rn"))
+    whole = keyed_scan(starts, ["k"], ["rn"], rn="g").join(ends, ["k", "rn"])
+    # each group names the positions it holds, all within the key's rows
+    places = whole.select("k", (F.col("g") - 1).alias("group_no"), (F.col("end") - F.col("rn") + 1).alias("size"),
+                          F.explode(F.sequence("rn", "end")).alias("rn"))
     items = F.transform(F.array_sort(F.collect_list(F.struct("rn", "v"))), lambda x: x["v"])
     return places.join(s.select("k", "rn", "v"), ["k", "rn"]).groupBy("k", "group_no", "size").agg(
         (F.concat_ws(sep, items) if sep is not None else items).alias("payloads")).select(

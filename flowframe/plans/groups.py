@@ -195,6 +195,24 @@ def q_release_declared(spark, d):
     return G.release_declared(grouped_messages(spark, d), "corr_id", LINEITEM_ARRIVAL, "seq_size", "payload", sep=" ")
 
 
+@register("release_sum", """
+with recursive r as (
+  select user_id, event_type, cast(floor(value) as bigint) as v, row_number() over (partition by user_id order by ts, event_id) as rn from events),
+g as (
+  select user_id, rn, event_type, v, 0 as group_no, v as total from r where rn = 1
+  union all
+  select r.user_id, r.rn, r.event_type, r.v, case when g.total >= 100 then g.group_no + 1 else g.group_no end,
+         case when g.total >= 100 then r.v else g.total + r.v end
+  from g join r on r.user_id = g.user_id and r.rn = g.rn + 1)
+select user_id, group_no, count(*) as group_size, string_agg(event_type, ' ' order by rn) as payloads
+from g group by user_id, group_no having max(total) >= 100
+""")
+def q_release_sum(spark, d):
+    # released by the message with which the group's values reach 100
+    ev = events(spark, d).select("user_id", "ts", "event_id", "event_type", F.floor("value").alias("v"))
+    return G.release_sum(ev, "user_id", EVENT_ORDER, "v", 100, "event_type", sep=" ")
+
+
 # The sequence the released five-message list is compared with.
 MATCH_PATTERN = ["view", "view", "view", "view", "click"]
 

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from flowframe.operators import tables as TB
-from flowframe.operators.grouping import release_declared, release_predicate
+from flowframe.operators.grouping import release_declared, release_predicate, release_sum
 from flowframe.operators.retry import COMPOSITE_3_10S_FIXED5S, FIXED_5X2S, RetryPolicy, retry_status
 
 
@@ -103,6 +103,15 @@ def test_declared_groups_start_again(spark):
     assert release_declared(long, "k", ["id"], "size", "p", sep=" ").count() == 3000
 
 
+def test_groups_are_released_by_their_sum(spark):
+    values = {"a": [3, 0, 7, 10, 2, 2, 2, 2, 2, 9], "b": [9], "c": [0, 0, 10, None, 40], None: [5, 5, 5]}
+    df = spark.createDataFrame([(k, i, v, f"{k}{i}") for k, vs in values.items() for i, v in enumerate(vs)], "k string, i int, v int, p string")
+    assert rows(release_sum(df, "k", ["i"], "v", 10, "p", sep=" ")) == sorted([
+        ("a", 0, 3, "a0 a1 a2"), ("a", 1, 1, "a3"), ("a", 2, 5, "a4 a5 a6 a7 a8"), ("c", 0, 3, "c0 c1 c2"), ("c", 1, 2, "c3 c4"),
+        (None, 0, 2, "None0 None1")], key=str)
+    assert rows(release_sum(df, "k", ["i"], "v", 0, "p", sep=" ").filter("k = 'a'").select("group_size")) == [(1,)] * 10
+
+
 LOG = "m string, at int, ok boolean, error_class string, error_message string"
 
 
