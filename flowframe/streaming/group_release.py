@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from flowframe.operators.sequence import keyed_scan
+from flowframe.session import stage_table
 from flowframe.streaming.runner import keyed_recompute, newest_results, run_batches
 
 OUTCOME_SCHEMA = "corr_id string, outcome string, seq long, payloads string"
@@ -41,8 +42,8 @@ def group_outcomes(rows: DataFrame, key: str, order: Sequence[str | Column], siz
     else:
         s = keyed_scan(narrow, ["corr_id"], by, gap=("arrival", timeout_seconds)).withColumnsRenamed(
             {"session_no": "session", "session_rn": "pos"})
-    # a null id is a group like any other
-    s = s.withColumn("k", F.struct(F.lit(0), "corr_id"))
+    # a null id is a group like any other; the numbers are written once, as three steps read them
+    s = stage_table(s.select(F.struct(F.lit(0), "corr_id").alias("k"), "session", "pos", "size", "arrival", "payload"), "outcomes")
     runs = s.groupBy("k", "session").agg(
         F.count(F.lit(1)).alias("n"), F.min_by("size", "pos").alias("wanted"), F.max("arrival").alias("last"))
     ids = runs.groupBy("k").agg(
@@ -60,7 +61,7 @@ def group_outcomes(rows: DataFrame, key: str, order: Sequence[str | Column], siz
     lists = s.filter("outcome = 'released'").groupBy("k").agg(F.max("wanted").alias("seq"), items.alias("items")).select(
         F.col("k.corr_id").alias("corr_id"), F.lit("released").alias("outcome"), "seq",
         F.concat_ws(" ", F.transform("items", lambda x: F.coalesce(x["payload"], F.lit("None")))).alias("payloads"))
-    others = s.filter("outcome <> 'released'").select("corr_id", "outcome", F.lit(None).cast("long").alias("seq"), F.col("payload").alias("payloads"))
+    others = s.filter("outcome <> 'released'").select(F.col("k.corr_id").alias("corr_id"), "outcome", F.lit(None).cast("long").alias("seq"), F.col("payload").alias("payloads"))
     return lists.unionByName(others)
 
 
