@@ -8,9 +8,12 @@ spatial-sign scatter of the median-scaled vectors, as in DetMCD, Hubert,
 Rousseeuw and Verdonck, 2012), concentration steps keep the ``COVERAGE``
 share of the rows with the smallest Mahalanobis distance and re-estimate; the
 start with the smaller determinant wins.  The estimate is scaled to the
-chi-square median and re-weighted once.  A document is judged by the finest
-of its three groups that has enough rows, and rejected when its squared
-distance is above the chi-square quantile ``CUT``.
+chi-square median and re-weighted once.  A document is judged by its own
+(language, source) from its first row beyond ``P`` on: the scatter of a group is
+averaged with that of its language, and that of the language with the
+corpus's, by a weight that grows smoothly with the group's rows (``shrunk``).
+It is rejected when its squared distance is above the chi-square quantile
+``CUT``.
 
 Variances carry a floor per statistic (a regularised MCD): most clean texts
 have no symbols and no repeated lines at all, and without it the first symbol
@@ -36,8 +39,8 @@ NAMES = list(STATISTICS)
 P = len(NAMES)
 COVERAGE = 0.75
 STEPS = 4
-#: A group needs so many rows for an estimate of its own.
-GROUP_ROWS = 25 * P
+#: Rows beyond the first P at which the scatter of a group counts as much as that of the group above it.
+SHRINK = 5 * P
 #: Chi-square probabilities of the re-weighting and of the verdict.
 REWEIGHT, CUT = 0.975, 1 - 1e-6
 ACCURACY = 2000
@@ -128,6 +131,11 @@ def _estimate(sums: DataFrame, *keep: str, centred: bool = True) -> DataFrame:
     out = out.withColumns({
         f"c{i}_{j}": F.coalesce(F.col(f"q{i}_{j}") / m - F.col(f"mu{i}") * F.col(f"mu{j}"), F.lit(0.0))
         + (F.col(f"f{i}") * F.col(f"f{i}") if i == j else F.lit(0.0)) for i, j in _cells()})
+    return _factored(out, *keep)
+
+
+def _factored(out: DataFrame, *keep: str) -> DataFrame:
+    """Mean, scatter, inverse Cholesky factor and log determinant of each row of means mu0.. and scatters c0_0.."""
     for j in range(P):
         diagonal = F.col(f"c{j}_{j}")
         for k in range(j):
@@ -153,6 +161,7 @@ def _estimate(sums: DataFrame, *keep: str, centred: bool = True) -> DataFrame:
         out = out.withColumns(row)
     log_det = sum((F.log(F.col(f"l{i}_{i}")) * 2 for i in range(P)), F.lit(0.0))
     return out.select(*keep, F.array(*[F.col(f"mu{i}") for i in range(P)]).alias("mu"),
+                      F.array(*[F.col(f"c{i}_{j}") for i, j in _cells()]).alias("scatter"),
                       F.array(*[F.col(f"v{i}_{j}") for i, j in _cells()]).alias("inverse"), log_det.alias("log_det"))
 
 
@@ -182,7 +191,7 @@ def _with_group(rows: DataFrame, groups: DataFrame) -> DataFrame:
 def fit_groups(vectors: DataFrame) -> DataFrame:
     """``vectors`` (key, the statistics; any others) -> per key its rows, scale and robust estimate.
 
-    Result: (key, rows, mid array, unit array, mu array, inverse array).
+    Result: (key, rows, mid_at, unit, mu, scatter, inverse arrays, grown).
     """
     floors = list(STATISTICS.values())
     half = [F.percentile_approx(n, 0.5, ACCURACY).alias(f"a{i}") for i, n in enumerate(NAMES)]
@@ -219,7 +228,37 @@ def fit_groups(vectors: DataFrame) -> DataFrame:
     grown = F.greatest(F.lit(1.0), F.col("mid") / chi_square(0.5))
     return scales.select("key", "rows", F.array(*[F.col(f"a{i}") for i in range(P)]).alias("mid_at"),
                          F.array(*[F.col(f"b{i}") for i in range(P)]).alias("unit")).join(
-        final.join(scale, "key").select("key", "mu", "inverse", grown.alias("grown")), "key")
+        final.join(scale, "key").select("key", "mu", "scatter", "inverse", grown.alias("grown")), "key")
+
+
+def shrunk(groups: DataFrame, paths: DataFrame) -> DataFrame:
+    """Per path of ``paths`` (keys, finest first) the estimate its documents are judged by: (key, mu, inverse), unscaled.
+
+    A scatter of ``P`` statistics needs more than ``P`` rows; with x rows
+    beyond those, a group's scatter is averaged with that of the group above
+    it by the weight x / (x + ``SHRINK``) and its centre by x / P up to 1,
+    and the scatter of the mixture of both centres is added.  All weights
+    begin at 0 and none jumps.
+    """
+    cells = _cells()
+    at = {c: k for k, c in enumerate(cells)}
+    raw = stage(groups.select(
+        "key", "rows", *[(F.col("mid_at")[i] + F.col("unit")[i] * F.col("mu")[i]).alias(f"mu{i}") for i in range(P)],
+        *[(F.col("scatter")[at[i, j]] * F.col("unit")[i] * F.col("unit")[j] * F.col("grown")).alias(f"c{i}_{j}") for i, j in cells]),
+        "raw-groups")
+    names = [f"mu{i}" for i in range(P)] + [f"c{i}_{j}" for i, j in cells]
+    out = paths.distinct()
+    out = out.join(raw.select(F.col("key").alias("k"), *names), F.col("keys")[2] == F.col("k")).drop("k")
+    for level in (1, 0):
+        own = raw.select(F.col("key").alias("k"), "rows", *[F.col(n).alias(f"own_{n}") for n in names])
+        out = out.join(own, F.col("keys")[level] == F.col("k"))
+        beyond = F.greatest(F.col("rows") - P, F.lit(0))
+        w, v = beyond / (beyond + F.lit(SHRINK)), F.least(F.lit(1.0), beyond / F.lit(P))
+        gap = [F.col(f"own_mu{i}") - F.col(f"mu{i}") for i in range(P)]
+        out = out.select("keys", *[(F.col(f"mu{i}") + v * gap[i]).alias(f"mu{i}") for i in range(P)], *[
+            (w * F.col(f"own_c{i}_{j}") + (1 - w) * F.col(f"c{i}_{j}") + v * (1 - v) * gap[i] * gap[j]).alias(f"c{i}_{j}")
+            for i, j in cells])
+    return _factored(out.withColumn("key", F.col("keys")[0]), "key").select("key", "mu", "inverse")
 
 
 def _concentrated(scaled: DataFrame, current: DataFrame, floor: DataFrame, z: list[Column]) -> DataFrame:
@@ -255,15 +294,10 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     counted = measured(narrow).withColumn("base_failed", base_failed()).withColumns(vector()).drop("text")
     rows = stage(counted, "measured")
     groups = stage(fit_groups(rows.where(~F.col("base_failed")).select(F.explode("keys").alias("key"), *NAMES)), "groups")
-    out = rows
-    for level in range(3):
-        own = groups.select(F.col("key").alias(f"k{level}"), F.struct("rows", "mid_at", "unit", "mu", "inverse", "grown").alias(f"g{level}"))
-        out = out.join(own, F.col("keys")[level] == F.col(f"k{level}"), "left").drop(f"k{level}")
-    enough = [F.when(F.col(f"g{i}.rows") >= GROUP_ROWS, F.col(f"g{i}")) for i in (0, 1)]
-    out = out.withColumn("g", F.coalesce(*enough, F.col("g2"))).select(
-        "*", F.col("g.mu").alias("mu"), F.col("g.inverse").alias("inverse"))
-    z = [(F.col(n) - F.col("g.mid_at")[i]) / F.col("g.unit")[i] for i, n in enumerate(NAMES)]
-    distance = F.when(~F.col("base_failed"), _distance(z) / F.col("g.grown"))
+    passed = rows.where(~F.col("base_failed")).select("keys")
+    own = stage(shrunk(groups, passed), "judging").withColumnRenamed("key", "k0")
+    out = rows.join(own, F.col("keys")[0] == F.col("k0"), "left").drop("k0")
+    distance = F.when(~F.col("base_failed"), _distance([F.col(n) for n in NAMES]))
     return out.withColumn("distance", distance).select(
         F.col("id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         "distance", F.coalesce(~F.col("base_failed") & (F.col("distance") <= chi_square(CUT)), F.lit(False)).alias("kept"))

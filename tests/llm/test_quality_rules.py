@@ -70,3 +70,21 @@ def test_estimate_withstands_a_quarter_of_outliers(spark):
 
 def test_chi_square():
     assert quality_rules.chi_square(0.975, 6) == pytest.approx(14.449, abs=0.05)
+
+
+def sourced(lang, first, n_small, odd_words):
+    """Texts of one language: 400 long ones from one source, ``n_small`` short ones from another, and there a last odd one."""
+    draw = random.Random(5)
+    text = lambda n: " ".join(f"{draw.choice('abcdefgh') * draw.randint(2, 8)}{draw.randrange(10 ** 6)}" for _ in range(n))
+    odd = text(odd_words)
+    short = [(first + i, text(draw.randint(90, 110)), lang, "short") for i in range(n_small)]
+    return [*short, *((first + 1000 + i, text(draw.randint(450, 550)), lang, "long") for i in range(400)), (first - 1, odd, lang, "short")]
+
+
+def test_small_source_is_judged_by_its_own(spark):
+    """A text odd for its source of 60 rows but usual in its language is rejected, and no size switches the verdict."""
+    rows = [*sourced("de", 1, 60, 1000), *sourced("en", 10_000, 146, 150), *sourced("fr", 20_000, 152, 150)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    out = {r["doc_id"]: r for r in quality_rules.judge(df).collect()}
+    assert not out[0]["kept"] and all(r["kept"] for i, r in out.items() if i != 0)
+    assert out[9_999]["distance"] == pytest.approx(out[19_999]["distance"], rel=0.2)
