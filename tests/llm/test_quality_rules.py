@@ -88,3 +88,18 @@ def test_small_source_is_judged_by_its_own(spark):
     out = {r["doc_id"]: r for r in quality_rules.judge(df).collect()}
     assert not out[0]["kept"] and all(r["kept"] for i, r in out.items() if i != 0)
     assert out[9_999]["distance"] == pytest.approx(out[19_999]["distance"], rel=0.2)
+
+
+def test_estimate_withstands_a_third_of_copies(spark):
+    """A third of the rows are copies of one odd row: location and scatter stay those of the rest, and the copies lie beyond the cut."""
+    draw = np.random.default_rng(1)
+    p = quality_rules.P
+    clean = draw.multivariate_normal(np.arange(p) * 2.0, np.diag(np.linspace(0.5, 2, p) ** 2), 1000)
+    odd = np.full(p, 40.0)
+    rows = [("g", *map(float, x)) for x in np.concatenate([clean, np.tile(odd, (500, 1))])]
+    df = spark.createDataFrame(rows, "key string, " + ", ".join(f"{n} double" for n in quality_rules.NAMES))
+    z = [(F.lit(float(v)) - F.col("mid_at")[i]) / F.col("unit")[i] for i, v in enumerate(odd)]
+    g = quality_rules.fit_groups(df).withColumn("d", quality_rules._distance(z) / F.col("grown")).first()
+    location = np.array(g["mid_at"]) + np.array(g["unit"]) * np.array(g["mu"])
+    assert np.abs(location - clean.mean(axis=0)).max() < 0.3
+    assert g["d"] > quality_rules.chi_square(quality_rules.CUT)
