@@ -4,11 +4,13 @@ Equal vectors of a label are one point.  The points of a label are dealt into
 shards of about ``SHARD`` points by a hash; a task builds the graph of a
 shard, and every point of the label queries every shard of the label in
 blocks.  A query walks down the layers greedily and searches the lowest one
-with a beam.  The beam is widened for a query until it reaches past the
-threshold (its farthest member is no longer a link) and, for all of a block,
-until an audit against brute force over the shard, on a fixed share of the
-block's queries, finds its recall reached; the widest beam is the shard
-itself, read by one matrix product.  Links are verified by their cosine in
+with a beam.  The first beam is that of the label: a fixed share of its points
+is audited against brute force over every shard, each point's hit on itself
+left out, and the smallest beam counts that finds its recall of the pooled
+links; where too few links are seen to tell, shards are read whole.  The beam
+is widened for a query until it reaches past the threshold (its farthest
+member is no longer a link); the widest beam is the shard itself, read by
+matrix products.  Links are verified by their cosine in
 double precision.  A (shard, block) pair reports the number of links of each
 query and a spanning forest of what it linked, never the pairs of a group;
 the forests are united into components.
@@ -36,8 +38,8 @@ SHARD, BLOCK = 8192, 2048
 DEGREE, BUILD_BEAM = 12, 48
 #: The first and the widest beam; beyond it the shard is read whole.
 BEAM, WIDEST = 32, 256
-#: Every how many-th query of a block is audited against brute force for this recall.
-AUDIT, RECALL = 16, 0.995
+#: Every how many-th point of a label is audited against brute force for this recall, and the links it takes to tell.
+AUDIT, RECALL, EVIDENCE = 16, 0.995, 400
 #: Points inserted together, as a share of those already in the graph.
 BATCH = 0.25
 
@@ -164,27 +166,47 @@ class Graph:
             at, _ = self.search(queries, at, l, 1)
         return self.search(queries, at[:, :1], 0, beam)
 
-    def within(self, queries: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs (query, point) found at or above ``least``; points in the order given to the graph."""
+    def whole(self, queries: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+        """All pairs (query, point) at or above ``least``, by matrix products."""
+        pairs = [np.nonzero(queries[a:a + 512] @ self.points.T >= np.float32(least - 1e-4)) for a in range(0, len(queries), 512)]
+        return (np.concatenate([i + 512 * n for n, (i, _) in enumerate(pairs)] or [np.zeros(0, int)]),
+                np.concatenate([self.order[k] for _, k in pairs] or [np.zeros(0, int)]))
+
+    def audit(self, queries: np.ndarray, least: float, own: np.ndarray | None = None) -> list[tuple[int, int, int]]:
+        """Per beam: (beam, real links found, real links there are) of the queries it does not send on to a wider one.
+
+        ``own`` is each query's own point in the order given to the graph (-1: none); it is no link.
+        """
+        queries = queries.astype(np.float32)
+        own = np.full(len(queries), -1) if own is None else own
+        q, p = self.whole(queries, least)
+        wanted = np.bincount(q[p != own[q]], minlength=len(queries))
+        asked = np.flatnonzero(wanted)
+        out, beam = [], BEAM
+        while beam <= WIDEST and beam < len(self.points):
+            ids, sims = self.nearest(queries[asked], beam)
+            hit = (sims >= np.float32(least - 1e-4)) & (ids >= 0)
+            ends = ~hit[:, -1]
+            hit &= self.order[np.maximum(ids, 0)] != own[asked][:, None]
+            out.append((beam, int(hit[ends].sum()), int(wanted[asked][ends].sum())))
+            beam *= 2
+        return out
+
+    def within(self, queries: np.ndarray, least: float, beam: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs (query, point) found at or above ``least`` from the given first beam on; points in the order given to the graph."""
         queries = queries.astype(np.float32)
         loose = np.float32(least - 1e-4)  # single precision finds, double precision decides
-        audited = np.arange(0, len(queries), AUDIT)
-        truth = (queries[audited] @ self.points.T >= loose).sum(axis=1)
-        beam, rest, pairs = BEAM, np.arange(len(queries)), []
+        if beam is None:
+            beam = first_beam(self.audit(queries[::AUDIT], least))
+        rest, pairs = np.arange(len(queries)), []
         while len(rest):
             if beam > WIDEST or beam >= len(self.points):
-                for part in np.array_split(rest, -(-len(rest) // 512)):
-                    i, k = np.nonzero(queries[part] @ self.points.T >= loose)
-                    pairs.append((part[i], self.order[k]))
+                i, k = self.whole(queries[rest], least)
+                pairs.append((rest[i], k))
                 break
             ids, sims = self.nearest(queries[rest], beam)
             hit = (sims >= loose) & (ids >= 0)
             full = hit[:, -1]  # a beam whose farthest member is still a link may have more beyond it
-            own = np.isin(rest, audited) & ~full
-            wanted = truth[rest[own] // AUDIT].sum()
-            if wanted and hit[own].sum() < RECALL * wanted:
-                beam *= 2  # the audit failed: all of them again
-                continue
             i, k = np.nonzero(hit & ~full[:, None])
             pairs.append((rest[i], self.order[ids[i, k]]))
             rest = rest[full]
@@ -194,6 +216,11 @@ class Graph:
         return np.concatenate([p[0] for p in pairs]), np.concatenate([p[1] for p in pairs])
 
 
+def first_beam(audits: list[tuple[int, int, int]]) -> int:
+    """The smallest beam that has found its share of at least ``EVIDENCE`` links; without one the shard is read whole."""
+    return min((beam for beam, found, wanted in audits if wanted >= EVIDENCE and found >= RECALL * wanted), default=2 * WIDEST)
+
+
 def _units(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Ids, copies and unit vectors in double precision of a group of points."""
     flat = column(table, "vector")
@@ -231,6 +258,38 @@ def shard_graphs(points: DataFrame) -> DataFrame:
     return points.groupBy("label", "length", "shard").applyInArrow(build, schema)
 
 
+def audited_beams(graphs: DataFrame, points: DataFrame, least: float) -> DataFrame:
+    """(label, length, beam): the first beam of each label and length, from an audit pooled over all its shards."""
+    label_type = points.schema["label"].dataType.simpleString()
+    schema = f"label {label_type}, length int, beam int, found long, wanted long"
+    out = arrow_schema(points.sparkSession, schema)
+    keys = ["label", "length", "shard", "part"]
+    parts = F.ceil(F.col("blocks") / AUDIT)
+    chosen = points.where(F.pmod(F.xxhash64("id", F.lit(2)), F.lit(AUDIT)) == 0).select(
+        "label", "length", "id", "copies", "vector", F.pmod(F.xxhash64("id", F.lit(3)), parts).alias("part"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("shards") - 1)).alias("shard"))
+    counted = points.groupBy("label", "length").agg(F.max(parts).alias("parts"))
+    meeting = graphs.join(counted, ["label", "length"]).select(
+        "label", "length", "shard", "graph", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
+
+    def check(graph: pa.Table, block: pa.Table) -> pa.Table:
+        if not graph.num_rows or not block.num_rows:
+            return out.empty_table()
+        ids, _, _, index = pickle.loads(graph.column("graph")[0].as_py())
+        own, _, queries = _units(block)
+        place = np.argsort(ids, kind="stable")
+        at = place[np.minimum(np.searchsorted(ids, own, sorter=place), len(ids) - 1)]
+        rows = index.audit(queries, least, np.where(ids[at] == own, at, -1))
+        label, length = (graph.column(c)[0].as_py() for c in ("label", "length"))
+        give_back()
+        return rows_table([(label, length, *r) for r in rows], out)
+
+    sums = meeting.groupBy(*keys).cogroup(chosen.groupBy(*keys)).applyInArrow(check, schema).groupBy(
+        "label", "length", "beam").agg(F.sum("found").alias("found"), F.sum("wanted").alias("wanted"))
+    return sums.where((F.col("wanted") >= EVIDENCE) & (F.col("found") >= RECALL * F.col("wanted"))).groupBy(
+        "label", "length").agg(F.min("beam").alias("beam"))
+
+
 def query_shards(graphs: DataFrame, points: DataFrame, least: float) -> DataFrame:
     """Every point against every graph of its label and length, in blocks: (src, dst, links).
 
@@ -244,14 +303,16 @@ def query_shards(graphs: DataFrame, points: DataFrame, least: float) -> DataFram
                            F.explode(F.sequence(F.lit(0).cast("long"), F.col("shards") - 1)).alias("shard"))
     counted = points.groupBy("label", "length").agg(F.max("blocks").alias("blocks"))
     meeting = graphs.join(counted, ["label", "length"]).select(
-        "label", "length", "shard", "graph", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"))
+        "label", "length", "shard", "graph", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block")).join(
+        stage(audited_beams(graphs, points, least), "beams"), ["label", "length"], "left").withColumn(
+        "beam", F.coalesce("beam", F.lit(2 * WIDEST)))
 
     def ask(graph: pa.Table, block: pa.Table) -> pa.Table:
         if not graph.num_rows or not block.num_rows:
             return out.empty_table()
         ids, copies, x, index = pickle.loads(graph.column("graph")[0].as_py())
         own, _, queries = _units(block)
-        q, p = index.within(queries, least)
+        q, p = index.within(queries, least, graph.column("beam")[0].as_py())
         cosine = np.concatenate([np.einsum("nd,nd->n", queries[q[a:a + 65536]], x[p[a:a + 65536]])
                                  for a in range(0, max(1, len(q)), 65536)])
         real = (cosine >= least) & (own[q] != ids[p])

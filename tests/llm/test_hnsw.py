@@ -59,6 +59,35 @@ def test_rows_match_brute_force(spark, monkeypatch):
     assert all(r["kept"] == (r["component_id"] == r["vec_id"]) for r in out.values())
 
 
+def rare_links(n=1500, pairs=150, seed=6):
+    """Vectors of which few have a partner, at an angle just inside the threshold."""
+    x = np.random.default_rng(seed).normal(size=(n, 24))
+    x[n - pairs:] = x[:pairs] + 0.12 * np.random.default_rng(seed + 1).normal(size=(pairs, 24))
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def test_own_point_is_no_evidence():
+    """An audit sees only real links, and too few of them do not pass a beam."""
+    x = rare_links()
+    audits = hnsw.Graph(x).audit(x, 0.98, np.arange(len(x)))
+    real = int((x @ x.T >= 0.98 - 1e-4).sum()) - len(x)
+    assert {wanted for _, _, wanted in audits} == {real} and 0 < real < hnsw.EVIDENCE
+    assert hnsw.first_beam(audits) > hnsw.WIDEST and hnsw.first_beam([(32, 0, 0)]) > hnsw.WIDEST
+    assert hnsw.first_beam([(32, 900, 1000), (64, 999, 1000)]) == 64
+
+
+def test_rare_links_in_many_shards(spark, monkeypatch):
+    """A graph that finds next to nothing is not trusted where the audit sees too few links."""
+    monkeypatch.setattr(hnsw, "SHARD", 100)
+    monkeypatch.setattr(hnsw, "BLOCK", 300)
+    monkeypatch.setattr(hnsw.Graph, "nearest", lambda self, q, beam: (
+        np.full((len(q), beam), -1, np.int32), np.full((len(q), beam), -np.inf, np.float32)))
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(rare_links())]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    out = {r["vec_id"]: r["n_links"] for r in hnsw.near_duplicates(df).collect()}
+    assert [out[i] for i, _, _ in rows] == brute(rows)[0]
+
+
 def test_table_recall(spark, sf_dir):
     df = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
     rows = [(r["vec_id"], r["embedding"], r["label"]) for r in df.collect()]
