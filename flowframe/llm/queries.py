@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flowframe.llm import bpe, hmm, hnsw, html_text, mixing, packing, quality_model, quality_rules, simhash, substring
+from flowframe.llm import (
+    bpe, hmm, hnsw, html_text, mixing, packing, periodic_runs, quality_model, quality_rules, simhash, substring)
 from flowframe.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,3 +86,8 @@ def op5(spark: SparkSession, d: str) -> DataFrame:
 @register("op8_token_packing")
 def op8(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack_documents(table(spark, d, "documents"), *byte_ranks())
+
+
+@register("op11_periodic_runs")
+def op11(spark: SparkSession, d: str) -> DataFrame:
+    return periodic_runs.run_report(table(spark, d, "documents"))
