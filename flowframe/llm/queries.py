@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from flowframe.llm import (
-    bpe, hmm, hnsw, html_text, mixing, packing, periodic_runs, quality_model, quality_rules, simhash, substring)
+    bpe, conversation_repair, hmm, hnsw, html_text, mixing, packing, periodic_runs, quality_model, quality_rules, simhash, substring)
 from flowframe.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,3 +91,8 @@ def op8(spark: SparkSession, d: str) -> DataFrame:
 @register("op11_periodic_runs")
 def op11(spark: SparkSession, d: str) -> DataFrame:
     return periodic_runs.run_report(table(spark, d, "documents"))
+
+
+@register("op12_conversation_repair")
+def op12(spark: SparkSession, d: str) -> DataFrame:
+    return conversation_repair.repair_report(table(spark, d, "conversations"))
