@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from flowframe.llm import (
-    bpe, conversation_repair, hmm, hnsw, html_text, mixing, packing, periodic_runs, quality_model, quality_rules, simhash, substring)
+    bpe, conversation_repair, hmm, hnsw, html_text, mixing, packing, periodic_runs, quality_model, quality_rules, resharding, simhash,
+    substring)
 from flowframe.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,3 +97,8 @@ def op11(spark: SparkSession, d: str) -> DataFrame:
 @register("op12_conversation_repair")
 def op12(spark: SparkSession, d: str) -> DataFrame:
     return conversation_repair.repair_report(table(spark, d, "conversations"))
+
+
+@register("op13_resharding")
+def op13(spark: SparkSession, d: str) -> DataFrame:
+    return resharding.shard_report(table(spark, d, "documents"))
