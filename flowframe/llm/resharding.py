@@ -202,25 +202,26 @@ def reshard(docs: DataFrame, old_shard: Column, shards: int = 8, id_col: str = "
 
     The layout has the columns of ``docs`` between ``shard`` and ``slot``.  A
     null text is empty; a document counts its UTF-8 bytes and one more.
-    ``room`` gives other capacities than equal ones.  Rows that agree in id
+    ``room`` gives other capacities than equal ones; a null old shard is 0.  Rows that agree in id
     and text are one key and go to one shard; every other document is placed
     by itself.  A shard left without rows has no files; an empty table gives
     an empty layout.  Other columns are carried as they are.
     """
     spark = docs.sparkSession
     carried = [F.col(f"`{c}`").alias(f"c{n}") for n, c in enumerate(docs.columns)]
-    own = docs.select(old_shard.cast("int").alias("shard"), bytes_of(F.col(text_col)).alias("size"),
+    # a shard that is never null needs no check before a join, which would place every document once more
+    own = docs.select(F.coalesce(old_shard.cast("int"), F.lit(0)).alias("shard"), bytes_of(F.col(text_col)).alias("size"),
                       row_hash(id_col, F.col(text_col)).alias("h"), *carried)
     first, second, touched = plan(stage(own.select("shard", "size", "h"), "shard-sizes"), shards, room, price)
     rows = moved(own, first, second).select(F.col("now").cast("int").alias("shard"), "h", *[f"c{n}" for n in range(len(carried))])
     slots = numbered(rows).drop("h")
+    kept = [s for s in (room or range(shards)) if s not in touched]
     affected = sorted(s for s in touched if s in (room or range(shards)))
-    # asked of a numbered row: asked of its shard alone, Spark would place every document twice
-    changed = F.when(F.col("slot") >= 0, F.col("shard")).isin(affected)
     path = path or scratch_path(spark, f"staged/layout-{uuid.uuid4().hex}")
-    slots.where(changed).write.partitionBy("shard").parquet(path)
-    written = spark.read.schema(slots.schema).parquet(path).select(*slots.columns)
-    layout = written.unionByName(slots.where(~changed))
+    (slots.where(~F.col("shard").isin(kept)) if kept else slots).write.partitionBy("shard").parquet(path)
+    layout = spark.read.schema(slots.schema).parquet(path).select(*slots.columns)
+    if kept:
+        layout = layout.unionByName(slots.where(F.col("shard").isin(kept)))
     named = layout.select("shard", "slot", F.struct(*[F.col(f"c{n}").alias(c) for n, c in enumerate(docs.columns)]).alias("document"))
     return named, affected
 
