@@ -34,7 +34,7 @@ from flowframe.session import scratch_path
 #: Bits of a key, and those told apart in one step.
 KEY_BITS, STEP_BITS = 60, 12
 #: Documents numbered together, on average.
-NUMBERED = 50_000
+NUMBERED = 5_000
 #: Shards that the documents of the contract lie in before, by their source.
 OLD_SHARDS = 12
 
