@@ -228,7 +228,7 @@ def q_sequence_match(spark, d):
 
 
 # ----------------------------------------------------------------- declared size and timeout together
-@register("group_release_timeout", f"""
+RELEASE_TIMEOUT_SQL = f"""
 with l as (select l_orderkey as corr_id, cast(l_partkey as varchar) as payload, l_linenumber as size, l_shipdate as arrived,
                   row_number() over (partition by l_orderkey order by {LINEITEM_ARRIVAL_SQL}) as rn from lineitem),
 f as (select *, lag(arrived) over (partition by corr_id order by rn) as prev from l),
@@ -244,7 +244,10 @@ o as (select *, case when session = done and pos <= wanted then 'released' when
 select cast(corr_id as varchar) as corr_id, outcome, max(wanted)::bigint as seq, string_agg(payload, ' ' order by pos) as payloads
 from o where outcome = 'released' group by corr_id, outcome
 union all select cast(corr_id as varchar), outcome, null, payload from o where outcome <> 'released'
-""")
+"""
+
+
+@register("group_release_timeout", RELEASE_TIMEOUT_SQL)
 def q_group_release_timeout(spark, d):
     # 30 days of silence give a waiting group up; released at the size its first message declares
     return group_outcomes(grouped_messages(spark, d), "corr_id", LINEITEM_ARRIVAL, "seq_size", "payload", "l_shipdate",

@@ -10,15 +10,16 @@ from pyspark.sql import functions as F
 from flowframe.operators import delay as D
 from flowframe.plans.bindings import LINEITEM_ARRIVAL, events, grouped_messages
 from flowframe.plans.flows import PAYLOAD_SQL
-from flowframe.plans.groups import RANKED_SQL, SEQ_AGG_SQL
+from flowframe.plans.groups import RANKED_SQL, RELEASE_TIMEOUT_SQL, SEQ_AGG_SQL
 from flowframe.plans.io import LISTING_PATH_SQL, _listings
 from flowframe.plans.registry import register, table
-from flowframe.functions.scalar import ntz_literal
+from flowframe.functions.scalar import ntz_as_utc_instant, ntz_literal
 from flowframe.session import scratch_path
 from flowframe.streaming.delayer import stream_delayer
 from flowframe.streaming.group_release import stream_group_release
+from flowframe.streaming.group_state import group_state, run_group_state
 from flowframe.streaming.jobs import copy_orders_batch, stream_accept_once, stream_tick_window
-from flowframe.streaming.runner import read_batches, run_available_now, run_batches
+from flowframe.streaming.runner import read_batches, run_available_now, run_batches, stage_in_order
 
 #: After every release time of the test events.
 AFTER_ALL = dt.datetime(2100, 1, 1)
@@ -47,6 +48,24 @@ def q_stream_group_release(spark, d):
     return out.filter("outcome <> 'pending'")
 
 
+@register("stream_group_state", f"""
+with o as ({RELEASE_TIMEOUT_SQL}),
+a as (select cast(l_orderkey as varchar) as corr_id, max(l_shipdate) as last from lineitem group by l_orderkey),
+c as (select max(l_shipdate) - interval 1 day as clock from lineitem)
+select o.corr_id, case when outcome = 'pending' then 'discarded' else outcome end as outcome, seq, payloads
+from o join a on a.corr_id = o.corr_id cross join c
+where outcome <> 'pending' or a.last + interval 30 day <= c.clock
+""")
+def q_stream_group_state(spark, d):
+    """The same groups as keyed state with timers, in the order in which the lines ship."""
+    src = grouped_messages(spark, d).select("corr_id", "seq_size", "payload", *LINEITEM_ARRIVAL)
+    base = scratch_path(spark, f"group-state-{uuid.uuid4().hex}")
+    stream = stage_in_order(src, LINEITEM_ARRIVAL, base)
+    out = group_state(stream, "corr_id", "arrival_no", "seq_size", "payload", ntz_as_utc_instant("l_shipdate"), "1 day",
+                      timeout_ms=30 * 86_400_000)
+    return run_group_state(out, f"{base}/run")
+
+
 @register("stream_delayer", f"""
 select event_id as msg_id, cast(user_id as varchar) as key,
        ts + to_milliseconds(coalesce(try_cast(trim({PAYLOAD_SQL}) as bigint), 8000)) as release_ts

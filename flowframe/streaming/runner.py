@@ -11,7 +11,8 @@ micro-batch that is run again after a failure replaces its own directories.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,6 +42,39 @@ def run_available_now(stream: DataFrame, name: str, output_mode: str = "append",
     return spark.read.schema(stream.schema).parquet(f"{base}/out")
 
 
+@contextmanager
+def rocksdb_state(spark: SparkSession) -> Iterator[None]:
+    """Queries started inside keep their state in RocksDB, which timers and several values a key need."""
+    key, value = "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
+def stage_in_order(df: DataFrame, order: Sequence[str], base: str, files: int = 8, rows_a_file: int = 1_000_000) -> DataFrame:
+    """Write the rows under ``base`` as files that a stream takes one after another in ``order``.
+
+    Adds ``arrival_no``, which grows along the order.  Files are written one
+    after another, since a file stream goes by modification times.
+    """
+    spark = df.sparkSession
+    n = max(files, df.count() // rows_a_file + 1)
+    cut = df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumns(
+        {"arrival_no": F.monotonically_increasing_id(), "_cut": F.spark_partition_id()})
+    cut.write.partitionBy("_cut").parquet(f"{base}/cuts")
+    schema = cut.drop("_cut").schema
+    for k in range(n):
+        part = spark.read.schema(cut.schema).parquet(f"{base}/cuts").filter(F.col("_cut") == k).drop("_cut")
+        part.coalesce(1).sortWithinPartitions("arrival_no").write.mode("append").parquet(f"{base}/in")
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+
+
 def batch_dir(base: str, table: str, batch_id: int) -> str:
     return f"{base}/{table}/batch_id={int(batch_id)}"
 

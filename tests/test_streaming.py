@@ -135,3 +135,73 @@ def test_copy_job_claims_copies_and_deletes(spark, tmp_path):
     source = read_batches(spark, base, "source", first.schema)
     assert sorted((r["batch_id"], r["order_id"]) for r in target.collect()) == [(0, 1), (0, 3), (1, 4)]
     assert sorted((r["o_orderkey"], r["o_orderstatus"]) for r in source.collect()) == [(2, "O"), (5, "C")]
+
+
+# ------------------------------------------------------------------ groups as keyed state
+GROUPS = "corr_id string, arrival_no long, seq_size long, payload string, arrival_ts timestamp"
+
+
+def _group_run(spark, base, run, timeout_ms=3000, remember_ms=None):
+    from pyspark.sql import functions as F
+
+    from flowframe.streaming.group_state import group_state, run_group_state
+
+    out = group_state(_stream(spark, base, GROUPS), "corr_id", "arrival_no", "seq_size", "payload", F.col("arrival_ts"),
+                      "1 second", timeout_ms, remember_ms)
+    return sorted((str(r["corr_id"]), r["outcome"], r["payloads"]) for r in run_group_state(out, run).collect())
+
+
+def _ids(spark, run, closed):
+    state = spark.read.format("statestore").option("stateVarName", "group").load(f"{run}/_checkpoint")
+    return {r["key"]["corr_id"] for r in state.collect() if r["value"]["closed"] == closed}
+
+
+def _messages(rows):
+    return [(i, no, size, p, _at(s)) for i, no, size, p, s in rows]
+
+
+FIRST = [_messages(b) for b in (
+    [("A", 1, 3, "A1", 1), ("B", 2, 1, "B1", 2), ("A", 3, 9, "A2", 3)],
+    [("A", 4, 9, "A3", 4), ("B", 5, 1, "B2", 5)],
+    [("C", 6, 2, "C1", 100), (None, 7, 1, "N1", 101)],
+    [("D", 8, 2, "D1", 102), ("A", 9, 3, "A4", 102)])]
+LATER = [_messages(b) for b in (
+    [("D", 10, 2, "D2", 104), ("E", 11, 2, "E1", 104)],
+    [("E", 12, 3, "E2", 108)],  # over its timeout: gives E1 up itself
+    [("F", 13, 5, "F1", 200)],
+    [("Z", 14, 5, "Z1", 203)])]
+
+
+def test_group_state_over_many_batches_and_a_restart(spark, tmp_path):
+    base, run = str(tmp_path / "in"), str(tmp_path / "run")
+    _write_batches(spark, base, FIRST, GROUPS)
+    first = _group_run(spark, base, run)
+    assert first == [("A", "late", "A4"), ("A", "released", "A1 A2 A3"), ("B", "late", "B2"), ("B", "released", "B1"),
+                     ("None", "released", "N1")]
+    assert _ids(spark, run, False) == {"C", "D"} and _ids(spark, run, True) == {"A", "B", None}
+    for name in os.listdir(base):  # what was taken in is not read again
+        os.truncate(f"{base}/{name}", 0)
+    more = str(tmp_path / "more")
+    _write_batches(spark, more, LATER, GROUPS)
+    for name in os.listdir(more):
+        os.rename(f"{more}/{name}", f"{base}/later-{name}")
+    second = _group_run(spark, base, run)
+    assert sorted(set(second) - set(first)) == [
+        ("C", "discarded", "C1"), ("D", "released", "D1 D2"), ("E", "discarded", "E1"), ("E", "discarded", "E2")]
+    assert _ids(spark, run, False) == {"F", "Z"}
+
+
+def test_marks_of_closed_groups_are_forgotten(spark, tmp_path):
+    base, run = str(tmp_path / "in"), str(tmp_path / "run")
+    _write_batches(spark, base, [_messages(b) for b in (
+        [("A", 1, 1, "A1", 1)], [("A", 2, 1, "A2", 3)], [("B", 3, 1, "B1", 100)], [("C", 4, 9, "C1", 101)], [("A", 5, 1, "A3", 102)])], GROUPS)
+    assert _group_run(spark, base, run, None, 10_000) == [
+        ("A", "late", "A2"), ("A", "released", "A1"), ("A", "released", "A3"), ("B", "released", "B1")]
+
+
+def test_messages_behind_the_lateness_fail_the_run(spark, tmp_path):
+    base = str(tmp_path / "in")
+    _write_batches(spark, base, [_messages(b) for b in (
+        [("A", 1, 2, "A1", 1000)], [("B", 2, 2, "B1", 2000)], [("A", 3, 2, "A2", 5)])], GROUPS)
+    with pytest.raises(ValueError, match="further behind"):
+        _group_run(spark, base, str(tmp_path / "run"))
