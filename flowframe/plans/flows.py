@@ -6,10 +6,11 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from flowframe.functions.scalar import ntz_literal
+from flowframe.functions.scalar import ntz_literal, ntz_micros
 from flowframe.operators import delay as D
 from flowframe.operators import retry as R
 from flowframe.operators.joins import asof_gate
+from flowframe.operators.scan import bounded_queue
 from flowframe.operators.windows import priority_order, queue_depth
 from flowframe.plans.bindings import EVENT_ORDER, events
 from flowframe.plans.registry import register, table
@@ -129,6 +130,31 @@ def q_queue_depth(spark, d):
     return queue_depth(events(spark, d).select("event_id", "user_id", "event_type", "ts"), ["user_id"], EVENT_ORDER, delta).select("event_id", "user_id", "depth")
 
 
+# The capacity of the queue and the messages its producer takes up at once.
+QUEUE_CAPACITY, POLLED = 3, 5
+
+
+@register("bounded_queue_wait", f"""
+with recursive r as (
+  select user_id % 8 as queue, event_id, ts, case when event_type in ('signup', 'view', 'click') then 1 else -1 end as delta,
+         row_number() over (partition by user_id % 8 order by ts, event_id) as rn from events),
+g as (
+  select queue, event_id, rn, ts, greatest(delta, 0) as held, false as refused, 0::bigint as blocked_us from r where rn = 1
+  union all
+  select r.queue, r.event_id, r.rn, r.ts, least(greatest(g.held + r.delta, 0), {QUEUE_CAPACITY + POLLED}),
+         r.delta = 1 and g.held = {QUEUE_CAPACITY + POLLED},
+         greatest(g.held - {QUEUE_CAPACITY}, 0) * (epoch_us(r.ts) - epoch_us(g.ts))
+  from g join r on r.queue = g.queue and r.rn = g.rn + 1)
+select queue, event_id, least(held, {QUEUE_CAPACITY})::bigint as depth, greatest(held - {QUEUE_CAPACITY}, 0)::bigint as blocked, refused, blocked_us
+from g
+""")
+def q_bounded_queue_wait(spark, d):
+    ev = events(spark, d).select((F.col("user_id") % 8).alias("queue"), "event_id", "event_type", "ts")
+    out = bounded_queue(ev, ["queue"], EVENT_ORDER, F.col("event_type").isin("signup", "view", "click"), ntz_micros("ts"),
+                        QUEUE_CAPACITY, POLLED)
+    return out.select("queue", "event_id", "depth", "blocked", "refused", "blocked_us")
+
+
 @register("attempt_number", """
 select event_id, user_id, row_number() over (partition by user_id order by ts, event_id) - 1 as retry_count
 from events where event_type = 'error'

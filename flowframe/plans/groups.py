@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from flowframe.operators import grouping as G
 from flowframe.operators import split as X
+from flowframe.operators.scan import release_sequence
 from flowframe.operators.transform import route_tag, status_attach
 from flowframe.plans.bindings import (
     EVENT_ORDER,
@@ -227,6 +228,27 @@ def q_sequence_match(spark, d):
     return m.select("user_id", "group_no", F.concat_ws(" ", "payloads").alias("payloads"), "matched")
 
 
+@register("release_sequence", f"""
+with recursive r as (
+  select user_id % 8 as shard, event_id, event_type,
+         row_number() over (partition by user_id % 8 order by ts, event_id) as rn from events),
+g as (
+  select shard, event_id, rn, 0::bigint as group_no, event_type as tail from r where rn = 1
+  union all
+  select r.shard, r.event_id, r.rn, case when g.tail = '{' '.join(MATCH_PATTERN)}' then g.group_no + 1 else g.group_no end,
+         case when g.tail = '{' '.join(MATCH_PATTERN)}' then r.event_type
+              when len(string_split(g.tail, ' ')) < {len(MATCH_PATTERN)} then g.tail || ' ' || r.event_type
+              else array_to_string(string_split(g.tail, ' ')[2:], ' ') || ' ' || r.event_type end
+  from g join r on r.shard = g.shard and r.rn = g.rn + 1),
+e as (select shard, max(case when tail = '{' '.join(MATCH_PATTERN)}' then group_no + 1 else group_no end) as ends from g group by shard)
+select g.shard, g.event_id, g.group_no, g.group_no < e.ends as released from g join e on g.shard = e.shard
+""")
+def q_release_sequence(spark, d):
+    # a group waits until the sequence has come in its last messages; then the next one begins
+    ev = events(spark, d).select((F.col("user_id") % 8).alias("shard"), "ts", "event_id", "event_type")
+    return release_sequence(ev, ["shard"], EVENT_ORDER, "event_type", MATCH_PATTERN).select("shard", "event_id", "group_no", "released")
+
+
 # ----------------------------------------------------------------- declared size and timeout together
 RELEASE_TIMEOUT_SQL = f"""
 with l as (select l_orderkey as corr_id, cast(l_partkey as varchar) as payload, l_linenumber as size, l_shipdate as arrived,
