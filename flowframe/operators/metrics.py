@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowframe.operators.sequence import keyed_scan
+from flowframe.session import stage_table
 
 
 def _c(x) -> Column:
@@ -89,16 +90,86 @@ def metric_rate(df: DataFrame, series: Sequence[str], range_seconds: int, ts: st
     return per_series.groupBy(*sum_by, "bucket_start").agg(F.sum("rate").alias("rate"))
 
 
+def metric_range(df: DataFrame, series: Sequence[str], range_seconds: int, step_seconds: int, kind: str = "rate",
+                 ts: str = "ts", value: str = "value", start: Column | None = None, end: Column | None = None) -> DataFrame:
+    """``rate``, ``increase`` or ``delta`` of ``x[range]`` at every step, extrapolated to the edges of the range:
+    ``(series, step_ts, value, samples)``.
+
+    Steps are the whole multiples of ``step_seconds`` from the epoch between
+    ``start`` and ``end`` (the first and last sample); the range of a step is
+    left-open, ``(step - range, step]``.  A step with fewer than two samples
+    has no row.  Counter kinds count a fall of the value as a reset.
+
+    Ranges overlap, yet no sample is copied into the steps that see it.  A
+    step belongs to the last sample at or before it, so each result row comes
+    of one sample, from its own time to the next sample's, as long as the
+    sample before it is in range too.  What lies between the first and the
+    last sample of a range is a difference of two prefix sums, and which
+    sample is the first is an as-of question for ``step - range``: one ordered
+    scan over samples and questions together counts the samples up to it.
+    """
+    from flowframe.functions.scalar import ntz_micros
+
+    width, step = int(range_seconds) * 1_000_000, int(step_seconds) * 1_000_000
+    counter = kind in ("rate", "increase")
+    k = F.struct(F.lit(0).alias("_"), *series)
+    flat = df.filter(F.col(ts).isNotNull() & F.col(value).isNotNull()).select(
+        k.alias("k"), ntz_micros(ts).alias("at"), F.col(value).cast("double").alias("v"))
+    once = flat.groupBy("k", "at").agg(F.max("v").alias("v"))  # a series has one sample at a time
+    edges = once.agg(F.min("at").alias("lo"), F.max("at").alias("hi"))
+    lo = ntz_micros(start) if start is not None else edges.select("lo").scalar()
+    hi = ntz_micros(end) if end is not None else edges.select("hi").scalar()
+    s = keyed_scan(once, ["k"], ["at"], rn="n", lags=["at", "v"])
+    moved = F.when(F.col("prev_v").isNull(), F.lit(0.0)).when(
+        F.lit(counter) & (F.col("v") < F.col("prev_v")), F.col("v")).otherwise(F.col("v") - F.col("prev_v"))
+    s = keyed_scan(s.withColumn("moved", moved), ["k"], ["at"], rn="_", sums={"grown": "moved"}).drop("_", "moved", "prev_v")
+    s = stage_table(s, "samples")
+    following = s.select("k", (F.col("n") - 1).alias("n"), F.col("at").alias("next_at"))
+    first_step = F.ceil(F.greatest(F.col("at"), lo) / F.lit(step)) * step
+    until = F.least(F.coalesce(F.col("next_at"), hi + 1), F.col("prev_at") + width, hi + 1)  # not at this time any more
+    last_step = (F.ceil(until / F.lit(step)) - 1) * step
+    seen = s.join(following, ["k", "n"], "left").filter(F.col("at") - F.col("prev_at") < width).withColumns(
+        {"_a": first_step.cast("long"), "_b": last_step.cast("long")}).filter(F.col("_a") <= F.col("_b"))
+    asked = seen.select("k", "n", "at", "grown", "v", F.explode(F.sequence("_a", "_b", F.lit(step).cast("long"))).alias("step"))
+    both = asked.select("k", (F.col("step") - width).alias("x"), F.lit(0).alias("sample"), "n", "at", "grown", "v", "step").unionByName(
+        s.select("k", F.col("at").alias("x"), F.lit(1).alias("sample"), F.lit(None).cast("int").alias("n"),
+                 F.lit(None).cast("long").alias("at"), F.lit(None).cast("double").alias("grown"), F.lit(None).cast("double").alias("v"),
+                 F.lit(None).cast("long").alias("step")))
+    # the range is left-open: a sample at its very start is counted out, so samples go before questions
+    counted = keyed_scan(both, ["k"], ["x", F.col("sample").desc()], rn="_", sums={"out": "sample"}).filter("sample = 0")
+    head = s.select("k", F.col("n").alias("first_n"), F.col("at").alias("first_at"), F.col("v").alias("first_v"), F.col("grown").alias("first_grown"))
+    w = counted.withColumn("first_n", (F.col("out") + 1).cast("long")).join(head.withColumn("first_n", F.col("first_n").cast("long")), ["k", "first_n"])
+    grown = F.col("grown") - F.col("first_grown") if counter else F.col("v") - F.col("first_v")
+    inside = (F.col("at") - F.col("first_at")).cast("double")
+    mean = inside / (F.col("n") - F.col("first_n"))
+    before = (F.col("first_at") - (F.col("step") - width)).cast("double")
+    before = F.when(before >= mean * 1.1, mean / 2).otherwise(before)
+    if counter:  # a counter cannot have been below zero
+        to_zero = inside * (F.col("first_v") / F.col("_grown"))
+        before = F.when((F.col("_grown") > 0) & (F.col("first_v") >= 0) & (to_zero < before), to_zero).otherwise(before)
+    after = (F.col("step") - F.col("at")).cast("double")
+    after = F.when(after >= mean * 1.1, mean / 2).otherwise(after)
+    factor = (inside + before + after) / inside
+    result = F.col("_grown") * factor / (F.lit(float(range_seconds)) if kind == "rate" else F.lit(1.0))
+    epoch = F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'")
+    return w.withColumn("_grown", grown).select(
+        *[F.col(f"k.{c}").alias(c) for c in series], F.timestamp_add("MICROSECOND", F.col("step"), epoch).alias("step_ts"),
+        result.alias("value"), (F.col("n") - F.col("first_n") + 1).cast("long").alias("samples"))
+
+
 # ------------------------------------------------------------------ J1
 def group_left_join(left: DataFrame, right: DataFrame, on: Sequence[str], left_value: str, right_value: str,
                     sum_by: Sequence[str] = ()) -> DataFrame:
     """Many-to-one vector match: ``sum(left * 0 + on(labels) group_left right)``.
 
     Each left sample takes the value of the one right sample with the same
-    labels.  The join is left to the planner: AQE broadcasts the right
+    labels; right labels that occur twice fail the query when a left sample
+    matches them.  The join is left to the planner: AQE broadcasts the right
     side only when its measured size is under the broadcast threshold, and
     otherwise shuffles both sides on the labels."""
-    r = right.select(*on, F.col(right_value).alias("_rv"))
+    again = F.concat(F.lit("many-to-one match: several right samples of "), F.to_json(F.struct(*on)))
+    r = right.groupBy(*on).agg(F.max(right_value).alias("_rv"), F.count(F.lit(1)).alias("_many")).select(
+        *on, F.when(F.col("_many") == 1, F.col("_rv")).otherwise(F.raise_error(again).cast(right.schema[right_value].dataType)).alias("_rv"))
     j = left.join(r, list(on), "inner")
     v = j.withColumn("value", F.col(left_value) * 0 + F.col("_rv"))
     return v.groupBy(*sum_by).agg(F.sum("value").alias("value"))

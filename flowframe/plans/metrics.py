@@ -69,6 +69,39 @@ def q_metric_rate(spark, d):
     return out.withColumn("rate", F.round("rate", 9))
 
 
+# Five-minute ranges at steps of fifteen seconds.
+RANGE, STEP = 300, 15
+
+RANGE_SQL = """
+with s as (select event_type as metric, epoch_us(ts) as tm, value as v, row_number() over w as n,
+                  lag(value) over w as pv from events window w as (partition by event_type order by ts)),
+c as (select *, sum(case when pv is null then 0 when {reset} then v else v - pv end)
+                over (partition by metric order by tm rows unbounded preceding) as grown from s),
+e as (select min(tm) as lo, max(tm) as hi from s),
+t as (select unnest(generate_series((ceil(lo / {step}e6) * {step}e6)::bigint, hi, {step}000000)) as step from e),
+g as (select metric, step from t cross join (select distinct metric from s)),
+l as (select g.metric, g.step, c.n, c.tm, c.v, c.grown from g asof join c on g.metric = c.metric and g.step >= c.tm),
+f as (select l.*, c.n as fn, c.tm as fat, c.v as fv, c.grown as fgrown from l asof join c on l.metric = c.metric and l.step - {range}000000 < c.tm),
+d as (select *, (tm - fat)::double as inside, (tm - fat)::double / (n - fn) as mean, (fat - (step - {range}000000))::double as b0,
+             (step - tm)::double as a0, {grown} as x from f where n > fn),
+h as (select *, case when b0 >= mean * 1.1 then mean / 2 else b0 end as b1, case when a0 >= mean * 1.1 then mean / 2 else a0 end as a1 from d),
+z as (select *, case when {counter} and x > 0 and fv >= 0 and inside * (fv / x) < b1 then inside * (fv / x) else b1 end as b2 from h)
+select metric, make_timestamp(step) as step_ts, round(x * ((inside + b2 + a1) / inside) / {per}, 6) as value, (n - fn + 1)::bigint as samples from z
+"""
+
+
+@register("metric_rate_range", RANGE_SQL.format(reset="v < pv", step=STEP, range=RANGE, grown="grown - fgrown", counter="true", per=float(RANGE)))
+def q_metric_rate_range(spark, d):
+    out = M.metric_range(samples(spark, d), ["metric"], RANGE, STEP)
+    return out.withColumn("value", F.round("value", 6))
+
+
+@register("metric_delta_range", RANGE_SQL.format(reset="false", step=60, range=3600, grown="v - fv", counter="false", per=1.0))
+def q_metric_delta_range(spark, d):
+    out = M.metric_range(samples(spark, d), ["metric"], 3600, 60, kind="delta")
+    return out.withColumn("value", F.round("value", 6))
+
+
 @register("group_left_join", f"""
 with l as ({INSTANT_ALL_SQL})
 select l.metric, round(sum(l.value * 0 + c.c_acctbal), 4) as value
