@@ -2,18 +2,25 @@
 
 Equal vectors of a label are one point.  The points of a label are dealt into
 shards of about ``SHARD`` points by a hash; a task builds the graph of a
-shard, and every point of the label queries every shard of the label in
-blocks.  A query walks down the layers greedily and searches the lowest one
-with a beam.  The first beam is that of the label: a fixed share of its points
-is audited against brute force over every shard, each point's hit on itself
-left out, and the smallest beam counts that finds its recall of the pooled
-links; where too few links are seen to tell, shards are read whole.  The beam
-is widened for a query until it reaches past the threshold (its farthest
-member is no longer a link); the widest beam is the shard itself, read by
-matrix products.  Links are verified by their cosine in
-double precision.  A (shard, block) pair reports the number of links of each
-query and a spanning forest of what it linked, never the pairs of a group;
-the forests are united into components.
+shard, and every point of the label queries every shard of the label.  A query
+walks down the layers greedily and searches the lowest one with a beam.
+
+The beam of a label is the smallest that passes its recall audit.  The audit
+needs no brute force: a probe is a point of the shard turned away by just less
+than the threshold's angle, in a random direction, so the point itself is an
+answer that the search has to find.  The task that builds a graph probes it,
+at most ``PROBES`` times a label in all its shards together, at beams that
+double until none is missed; the counts are pooled by label.  Where no beam up
+to ``WIDEST`` passes, and where a shard has no more points than the beam, the
+shard is read whole.  A query whose beam is filled with links may have more of
+them: it is asked again with twice the beam, and beyond ``WIDEST`` links in one
+shard its links there are read off by a matrix product, exactly.
+
+Links are verified by their cosine in double precision.  A graph meets the
+queries of its label as a stream behind it, ``BLOCK`` of them to a task; a
+batch of queries reports the number of links of each and a spanning forest of
+what it linked, never the pairs of a group; the forests are united into
+components.
 
 Graphs are built and searched in lock step: the queries of a block advance
 together, each expanding its best unexpanded candidate, so a step is a few
@@ -22,24 +29,22 @@ matrix operations for all of them.
 
 from __future__ import annotations
 
-import pickle
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowframe.llm.common import arrow_schema, column, give_back, rows_table, stage
+from flowframe.llm.common import arrow_schema, column, give_back, stage
 from flowframe.llm.components import connected_components
 
-#: Points of a shard and of a block of queries, on average.
-SHARD, BLOCK = 8192, 2048
+#: Points of a shard, queries that a task puts to a graph, and those it advances together.
+SHARD, BLOCK, TOGETHER = 8192, 65536, 2048
 #: Links kept per point above the lowest layer (twice as many there), and the beam while building.
 DEGREE, BUILD_BEAM = 12, 48
 #: The first and the widest beam; beyond it the shard is read whole.
 BEAM, WIDEST = 32, 256
-#: Every how many-th point of a label is audited against brute force for this recall, and the links it takes to tell.
-AUDIT, RECALL, EVIDENCE = 16, 0.995, 400
+#: Probes of a label in all its shards (at least ``LEAST_PROBES`` a shard), and the share of them that a beam has to find.
+PROBES, LEAST_PROBES, RECALL = 2048, 16, 0.995
 #: Points inserted together, as a share of those already in the graph.
 BATCH = 0.25
 
@@ -62,6 +67,27 @@ class Graph:
             size = max(1, min(n - done, int(done * BATCH)))
             self._insert(np.arange(done, done + size))
             done += size
+        self.links[0] = self._both_ways(self.links[0])
+
+    def _both_ways(self, links: np.ndarray) -> np.ndarray:
+        """The links with as many back: in a crowd most links go to few points, and a point without any is never found.
+
+        A point that is linked back by many gets the backward links of those that are linked least.
+        """
+        source, k = np.nonzero(links >= 0)
+        target = links[source, k]
+        linked = np.bincount(target, minlength=len(links))
+        known = set(zip(source.tolist(), target.tolist()))
+        back = np.array([(t, s) not in known for s, t in zip(source.tolist(), target.tolist())], bool)
+        source, target = source[back], target[back]
+        order = np.lexsort((linked[source], target))
+        source, target = source[order], target[order]
+        _, first, place = np.unique(target, return_index=True, return_inverse=True)
+        rank = np.arange(len(target)) - first[place]
+        more = np.full((len(links), 2 * DEGREE), -1, np.int32)
+        fits = rank < more.shape[1]
+        more[target[fits], rank[fits]] = source[fits]
+        return np.concatenate([links, more], axis=1)
 
     def _insert(self, new: np.ndarray) -> None:
         queries = self.points[new]
@@ -172,32 +198,34 @@ class Graph:
         return (np.concatenate([i + 512 * n for n, (i, _) in enumerate(pairs)] or [np.zeros(0, int)]),
                 np.concatenate([self.order[k] for _, k in pairs] or [np.zeros(0, int)]))
 
-    def audit(self, queries: np.ndarray, least: float, own: np.ndarray | None = None) -> list[tuple[int, int, int]]:
-        """Per beam: (beam, real links found, real links there are) of the queries it does not send on to a wider one.
+    def audit(self, probes: int, least: float) -> list[tuple[int, int, int]]:
+        """Per first beam up to ``WIDEST``: (beam, probes whose point is found from it on, probes).
 
-        ``own`` is each query's own point in the order given to the graph (-1: none); it is no link.
+        A probe whose beam is filled with links is asked again with the next one, like any query.
         """
-        queries = queries.astype(np.float32)
-        own = np.full(len(queries), -1) if own is None else own
-        q, p = self.whole(queries, least)
-        wanted = np.bincount(q[p != own[q]], minlength=len(queries))
-        asked = np.flatnonzero(wanted)
-        out, beam = [], BEAM
-        while beam <= WIDEST and beam < len(self.points):
-            ids, sims = self.nearest(queries[asked], beam)
-            hit = (sims >= np.float32(least - 1e-4)) & (ids >= 0)
-            ends = ~hit[:, -1]
-            hit &= self.order[np.maximum(ids, 0)] != own[asked][:, None]
-            out.append((beam, int(hit[ends].sum()), int(wanted[asked][ends].sum())))
-            beam *= 2
+        draw = np.random.default_rng(len(self.points))
+        n, inside = min(probes, len(self.points)), least + (1 - least) / 50
+        chosen = draw.choice(len(self.points), n, replace=False)
+        points = self.points[chosen].astype(np.float64)
+        away = draw.standard_normal(points.shape)
+        away -= (away * points).sum(1, keepdims=True) * points
+        lengths = np.sqrt((away * away).sum(1, keepdims=True))
+        # in one dimension nothing turns away from a point
+        queries = np.where(lengths > 1e-9, inside * points + np.sqrt(1 - inside * inside) * away / np.maximum(lengths, 1e-9), points)
+        beams = [BEAM << k for k in range(16) if BEAM << k <= WIDEST]
+        answered = np.ones(n, bool)  # what is sent on beyond the widest beam is read off whole
+        out = []
+        for beam in reversed(beams):
+            ids, sims = self.nearest(queries.astype(np.float32), min(beam, len(self.points)))
+            sent_on = (sims[:, -1] >= np.float32(least - 1e-4)) & (ids[:, -1] >= 0)
+            answered = np.where(sent_on, answered, (ids == chosen[:, None]).any(axis=1))
+            out.append((beam, int(answered.sum()), n))
         return out
 
-    def within(self, queries: np.ndarray, least: float, beam: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    def within(self, queries: np.ndarray, least: float, beam: int) -> tuple[np.ndarray, np.ndarray]:
         """Pairs (query, point) found at or above ``least`` from the given first beam on; points in the order given to the graph."""
         queries = queries.astype(np.float32)
         loose = np.float32(least - 1e-4)  # single precision finds, double precision decides
-        if beam is None:
-            beam = first_beam(self.audit(queries[::AUDIT], least))
         rest, pairs = np.arange(len(queries)), []
         while len(rest):
             if beam > WIDEST or beam >= len(self.points):
@@ -215,19 +243,30 @@ class Graph:
             return np.zeros(0, int), np.zeros(0, int)
         return np.concatenate([p[0] for p in pairs]), np.concatenate([p[1] for p in pairs])
 
+    def as_bytes(self) -> dict[str, bytes | list[bytes]]:
+        return {"places": self.order.astype("<i4").tobytes(), "layers": [x.astype("<i4").tobytes() for x in self.links]}
 
-def first_beam(audits: list[tuple[int, int, int]]) -> int:
-    """The smallest beam that has found its share of at least ``EVIDENCE`` links; without one the shard is read whole."""
-    return min((beam for beam, found, wanted in audits if wanted >= EVIDENCE and found >= RECALL * wanted), default=2 * WIDEST)
+    @classmethod
+    def from_bytes(cls, points: np.ndarray, places: bytes, layers: list[bytes]) -> Graph:
+        """The graph of ``points``, in the order they were given, from what ``as_bytes`` wrote."""
+        graph = cls.__new__(cls)
+        graph.order = np.frombuffer(places, "<i4")
+        graph.points = points.astype(np.float32)[graph.order]
+        graph.links = [np.frombuffer(x, "<i4").reshape(-1, 4 * DEGREE if l == 0 else DEGREE) for l, x in enumerate(layers)]
+        return graph
 
 
-def _units(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Ids, copies and unit vectors in double precision of a group of points."""
+def _vectors(table: pa.Table | pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and unit vectors in double precision of points of one length."""
     flat = column(table, "vector")
-    x = flat.values.to_numpy(zero_copy_only=False).reshape(len(flat), -1)
+    x = flat.flatten().to_numpy(zero_copy_only=False).reshape(len(flat), -1)
     x = x / np.abs(x).max(axis=1, keepdims=True)  # lengths of very large or small vectors stay finite
-    return (column(table, "id").to_numpy(), column(table, "copies").to_numpy(),
-            x / np.sqrt((x * x).sum(axis=1, keepdims=True)))
+    return column(table, "id").to_numpy(), x / np.sqrt((x * x).sum(axis=1, keepdims=True))
+
+
+def _units(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    ids, x = _vectors(table)
+    return ids, column(table, "copies").to_numpy(), x
 
 
 def _roots(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
@@ -244,91 +283,115 @@ def _roots(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
         label = following
 
 
-def shard_graphs(points: DataFrame) -> DataFrame:
-    """``points`` (label, length, shard, id, copies, vector) -> one packed graph per (label, length, shard)."""
+GRAPH = ("ids binary, copies binary, vectors binary, places binary, layers array<binary>, "
+         "audit array<struct<beam:int,found:long,probes:long>>")
+
+
+def deal(points: DataFrame) -> DataFrame:
+    """``points`` (label, length, id, ...) with the shard and the block of queries that each falls into."""
+    sizes = points.groupBy("label", "length").agg(F.count("*").alias("n"))
+    return points.join(sizes, ["label", "length"]).select(
+        "*", F.ceil(F.col("n") / SHARD).alias("shards"), F.ceil(F.col("n") / BLOCK).alias("blocks")).withColumns({
+            "shard": F.pmod(F.xxhash64("id"), F.col("shards")), "block": F.pmod(F.xxhash64("id", F.lit(1)), F.col("blocks"))})
+
+
+def shard_graphs(points: DataFrame, least: float) -> DataFrame:
+    """``points`` (label, length, shard, shards, id, copies, vector) -> one audited graph per (label, length, shard)."""
     label_type = points.schema["label"].dataType.simpleString()
-    schema = f"label {label_type}, length int, shard long, graph binary"
+    schema = f"label {label_type}, length int, shard long, {GRAPH}"
     out = arrow_schema(points.sparkSession, schema)
 
     def build(group: pa.Table) -> pa.Table:
         ids, copies, x = _units(group)
-        body = pickle.dumps((ids, copies, x, Graph(x)))
-        return rows_table([(*(group.column(c)[0].as_py() for c in ("label", "length", "shard")), body)], out)
+        graph = Graph(x)
+        probes = max(LEAST_PROBES, PROBES // group.column("shards")[0].as_py())
+        row = {c: group.column(c)[0].as_py() for c in ("label", "length", "shard")} | graph.as_bytes() | {
+            "ids": ids.astype("<i8").tobytes(), "copies": copies.astype("<i8").tobytes(), "vectors": x.astype("<f8").tobytes(),
+            "audit": [dict(zip(("beam", "found", "probes"), a)) for a in graph.audit(probes, least)]}
+        give_back()
+        return pa.Table.from_pylist([row], schema=out)
 
     return points.groupBy("label", "length", "shard").applyInArrow(build, schema)
 
 
-def audited_beams(graphs: DataFrame, points: DataFrame, least: float) -> DataFrame:
-    """(label, length, beam): the first beam of each label and length, from an audit pooled over all its shards."""
-    label_type = points.schema["label"].dataType.simpleString()
-    schema = f"label {label_type}, length int, beam int, found long, wanted long"
-    out = arrow_schema(points.sparkSession, schema)
-    keys = ["label", "length", "shard", "part"]
-    parts = F.ceil(F.col("blocks") / AUDIT)
-    chosen = points.where(F.pmod(F.xxhash64("id", F.lit(2)), F.lit(AUDIT)) == 0).select(
-        "label", "length", "id", "copies", "vector", F.pmod(F.xxhash64("id", F.lit(3)), parts).alias("part"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.col("shards") - 1)).alias("shard"))
-    counted = points.groupBy("label", "length").agg(F.max(parts).alias("parts"))
-    meeting = graphs.join(counted, ["label", "length"]).select(
-        "label", "length", "shard", "graph", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
-
-    def check(graph: pa.Table, block: pa.Table) -> pa.Table:
-        if not graph.num_rows or not block.num_rows:
-            return out.empty_table()
-        ids, _, _, index = pickle.loads(graph.column("graph")[0].as_py())
-        own, _, queries = _units(block)
-        place = np.argsort(ids, kind="stable")
-        at = place[np.minimum(np.searchsorted(ids, own, sorter=place), len(ids) - 1)]
-        rows = index.audit(queries, least, np.where(ids[at] == own, at, -1))
-        label, length = (graph.column(c)[0].as_py() for c in ("label", "length"))
-        give_back()
-        return rows_table([(label, length, *r) for r in rows], out)
-
-    sums = meeting.groupBy(*keys).cogroup(chosen.groupBy(*keys)).applyInArrow(check, schema).groupBy(
-        "label", "length", "beam").agg(F.sum("found").alias("found"), F.sum("wanted").alias("wanted"))
-    return sums.where((F.col("wanted") >= EVIDENCE) & (F.col("found") >= RECALL * F.col("wanted"))).groupBy(
-        "label", "length").agg(F.min("beam").alias("beam"))
+def audited_beams(graphs: DataFrame) -> DataFrame:
+    """(label, length, beam): the smallest beam that finds its share of the probes of all shards; none, no row."""
+    audits = graphs.select("label", "length", F.explode("audit").alias("a")).groupBy("label", "length", "a.beam").agg(
+        F.sum("a.found").alias("found"), F.sum("a.probes").alias("probes"))
+    return audits.where(F.col("found") >= RECALL * F.col("probes")).groupBy("label", "length").agg(F.min("beam").alias("beam"))
 
 
 def query_shards(graphs: DataFrame, points: DataFrame, least: float) -> DataFrame:
-    """Every point against every graph of its label and length, in blocks: (src, dst, links).
+    """Every point against every graph of its label and length: (src, dst, links, searched).
 
     A row with ``dst`` null says how many rows ``src`` is linked with in a
-    shard; the others are the edges of a spanning forest.
+    shard; the others are the edges of a spanning forest.  A row without
+    ``src`` counts the queries that a graph was searched for.
     """
-    schema = "src long, dst long, links long"
+    schema = "src long, dst long, links long, searched long"
     out = arrow_schema(points.sparkSession, schema)
-    keys = ["label", "length", "shard", "block"]
-    blocks = points.select("label", "length", "block", "id", "copies", "vector",
-                           F.explode(F.sequence(F.lit(0).cast("long"), F.col("shards") - 1)).alias("shard"))
     counted = points.groupBy("label", "length").agg(F.max("blocks").alias("blocks"))
-    meeting = graphs.join(counted, ["label", "length"]).select(
-        "label", "length", "shard", "graph", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block")).join(
-        stage(audited_beams(graphs, points, least), "beams"), ["label", "length"], "left").withColumn(
-        "beam", F.coalesce("beam", F.lit(2 * WIDEST)))
-
-    def ask(graph: pa.Table, block: pa.Table) -> pa.Table:
-        if not graph.num_rows or not block.num_rows:
-            return out.empty_table()
-        ids, copies, x, index = pickle.loads(graph.column("graph")[0].as_py())
-        own, _, queries = _units(block)
-        q, p = index.within(queries, least, graph.column("beam")[0].as_py())
-        cosine = np.concatenate([np.einsum("nd,nd->n", queries[q[a:a + 65536]], x[p[a:a + 65536]])
-                                 for a in range(0, max(1, len(q)), 65536)])
-        real = (cosine >= least) & (own[q] != ids[p])
-        q, p = q[real], p[real]
-        nodes, place = np.unique(np.concatenate([own[q], ids[p]]), return_inverse=True)
-        root = _roots(place[:len(q)], place[len(q):], len(nodes))
-        moved = np.flatnonzero(root != np.arange(len(nodes)))
-        links = np.bincount(q, copies[p], len(own)).astype(np.int64)
-        some = np.flatnonzero(links)
+    beams = stage(audited_beams(graphs), "beams")
+    heads = graphs.join(counted, ["label", "length"]).join(beams, ["label", "length"], "left").select(
+        "label", "length", "shard", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"),
+        F.lit(0).alias("part"), F.lit(None).cast("long").alias("id"), F.lit(None).cast("array<double>").alias("vector"),
+        F.coalesce("beam", F.lit(2 * WIDEST)).alias("beam"), "ids", "copies", "vectors", "places", "layers")
+    asked = points.select("label", "length", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shards") - 1)).alias("shard"), "block",
+                          F.lit(1).alias("part"), "id", "vector")
+    meeting = heads.unionByName(asked, allowMissingColumns=True)
+    lined = meeting.repartition("label", "length", "shard", "block").sortWithinPartitions("label", "length", "shard", "block", "part")
+
+    def ask(batches):
+        graph, held, count = None, [], 0
+
+        def answer() -> pa.RecordBatch:
+            ids, copies, x, index, beam = graph
+            own = np.concatenate([h[0] for h in held])
+            queries = np.concatenate([h[1] for h in held])
+            q, p = index.within(queries, least, beam)
+            cosine = np.concatenate([np.einsum("nd,nd->n", queries[q[a:a + 65536]], x[p[a:a + 65536]])
+                                     for a in range(0, max(1, len(q)), 65536)])
+            real = (cosine >= least) & (own[q] != ids[p])
+            q, p = q[real], p[real]
+            nodes, place = np.unique(np.concatenate([own[q], ids[p]]), return_inverse=True)
+            root = _roots(place[:len(q)], place[len(q):], len(nodes))
+            moved = np.flatnonzero(root != np.arange(len(nodes)))
+            links = np.bincount(q, copies[p], len(own)).astype(np.int64)
+            some = np.flatnonzero(links)
+            searched = len(own) if beam <= WIDEST and beam < len(ids) else 0
+            src = pa.array([*own[some], *nodes[moved], None], pa.int64())
+            dst = pa.array([*[None] * len(some), *nodes[root[moved]], None], pa.int64())
+            return pa.RecordBatch.from_arrays([src, dst, pa.array([*links[some], *[0] * len(moved), 0], pa.int64()),
+                                               pa.array([*[0] * (len(some) + len(moved)), searched], pa.int64())], schema=out)
+
+        for b in batches:
+            parts = b.column("part").to_pylist()
+            at = 0
+            while at < len(parts):
+                if parts[at] == 0:
+                    if count:
+                        yield answer()
+                    held, count = [], 0
+                    one = {c: b.column(c)[at].as_py() for c in ("ids", "copies", "vectors", "places", "layers", "beam", "length")}
+                    x = np.frombuffer(one["vectors"], "<f8").reshape(-1, one["length"])
+                    graph = (np.frombuffer(one["ids"], "<i8"), np.frombuffer(one["copies"], "<i8"), x,
+                             Graph.from_bytes(x, one["places"], one["layers"]), one["beam"])
+                    at += 1
+                    continue
+                end = at
+                while end < len(parts) and parts[end] == 1 and count + end - at < TOGETHER:
+                    end += 1
+                held.append(_vectors(b.slice(at, end - at)))
+                count += end - at
+                at = end
+                if count >= TOGETHER:
+                    yield answer()
+                    held, count = [], 0
+        if count:
+            yield answer()
         give_back()
-        none, zero = pa.nulls(len(some), pa.int64()), np.zeros(len(moved), np.int64)
-        return pa.concat_tables([
-            pa.Table.from_arrays([pa.array(own[some]), none, pa.array(links[some])], schema=out),
-            pa.Table.from_arrays([pa.array(nodes[moved]), pa.array(nodes[root[moved]]), pa.array(zero)], schema=out)])
 
-    return meeting.groupBy(*keys).cogroup(blocks.groupBy(*keys)).applyInArrow(ask, schema)
+    return lined.mapInArrow(ask, schema)
 
 
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label",
@@ -351,13 +414,10 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
         F.when(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & F.coalesce(sound, F.lit(False)), v).alias("vector"))
     points = stage(rows.where("vector is not null").groupBy("label", "vector").agg(
         F.min("id").alias("id"), F.count("*").alias("copies")).withColumn("length", F.size("vector")), "points")
-    sizes = points.groupBy("label", "length").agg(F.count("*").alias("n"))
-    dealt = points.join(sizes, ["label", "length"]).select(
-        "*", F.ceil(F.col("n") / SHARD).alias("shards"), F.ceil(F.col("n") / BLOCK).alias("blocks")).withColumns({
-            "shard": F.pmod(F.xxhash64("id"), F.col("shards")), "block": F.pmod(F.xxhash64("id", F.lit(1)), F.col("blocks"))})
-    graphs = stage(shard_graphs(dealt), "graphs")
+    dealt = deal(points)
+    graphs = stage(shard_graphs(dealt, least), "graphs")
     answers = stage(query_shards(graphs, dealt, least), "answers")
-    direct = answers.where("dst is null").groupBy(F.col("src").alias("point")).agg(F.sum("links").alias("links"))
+    direct = answers.where("dst is null and src is not null").groupBy(F.col("src").alias("point")).agg(F.sum("links").alias("links"))
     comps = connected_components(answers.where("dst is not null").select("src", "dst"))
     found = points.select("label", "vector", F.col("id").alias("point"), "copies").join(
         direct, "point", "left").join(comps.withColumnRenamed("node", "point"), "point", "left")

@@ -1,6 +1,8 @@
 import numpy as np
 import pytest
 from flowframe.llm import hnsw
+from flowframe.llm.common import stage
+from pyspark.sql import functions as F
 
 
 def clusters(n_clusters, most, d=24, spread=0.06, seed=0):
@@ -32,17 +34,74 @@ def brute(rows, least=0.98):
     return [len(x) for x in near], label
 
 
-@pytest.mark.parametrize("shape", [(400, 3), (6, 300), (1, 900)])
+def passing_beam(graph, least=0.98):
+    return min((beam for beam, found, probes in graph.audit(hnsw.PROBES, least) if found >= hnsw.RECALL * probes), default=2 * hnsw.WIDEST)
+
+
+@pytest.mark.parametrize("shape", [(400, 3), (6, 300), (3000, 2)])
 def test_graph_finds_the_pairs(shape):
     x = clusters(*shape)
     x /= np.linalg.norm(x, axis=1, keepdims=True)
-    q, p = hnsw.Graph(x).within(x, 0.98)
+    graph = hnsw.Graph(x)
+    beam = passing_beam(graph)
+    assert beam <= hnsw.WIDEST
+    copy = hnsw.Graph.from_bytes(x, **graph.as_bytes())
+    q, p = copy.within(x, 0.98, beam)
     want = set(zip(*np.nonzero(x @ x.T >= 0.98)))
     found = set(zip(q.tolist(), p.tolist()))
     assert len(found) == len(q) and len(want & found) >= 0.99 * len(want)
     assert min(x[a] @ x[b] for a, b in found) >= 0.98 - 2e-4
 
 
+def test_a_graph_that_finds_nothing_passes_no_beam(monkeypatch):
+    graph = hnsw.Graph(rare_links())
+    monkeypatch.setattr(hnsw.Graph, "nearest", lambda self, q, beam: (
+        np.full((len(q), beam), -1, np.int32), np.full((len(q), beam), -np.inf, np.float32)))
+    assert all(found == 0 < probes for _, found, probes in graph.audit(500, 0.98)) and passing_beam(graph) > hnsw.WIDEST
+    q, p = graph.within(rare_links(), 0.98, 2 * hnsw.WIDEST)  # the shard is read whole
+    x = rare_links()
+    assert set(zip(q.tolist(), p.tolist())) == set(zip(*(k.tolist() for k in np.nonzero(x @ x.T >= 0.98 - 1e-4))))
+
+
+def answered(df, least=0.98):
+    """(graphs, answers, points) of the stages inside ``near_duplicates``."""
+    points = df.select(F.col("label"), F.col("embedding").cast("array<double>").alias("vector"), F.col("vec_id").cast("long").alias("id"),
+                       F.lit(1).cast("long").alias("copies"), F.size("embedding").alias("length"))
+    dealt = hnsw.deal(points)
+    graphs = stage(hnsw.shard_graphs(dealt, least), "test-graphs")
+    return graphs, stage(hnsw.query_shards(graphs, dealt, least), "test-answers"), dealt
+
+
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_labels_of_the_tables_are_answered_from_their_graphs(spark, sf):
+    df = spark.read.parquet(f"/root/testdata/{sf}/embeddings.parquet")
+    graphs, answers, dealt = answered(df)
+    beams = {r["label"]: r["beam"] for r in hnsw.audited_beams(graphs).collect()}
+    sizes = {(r["label"], r["shard"]): r["count"] for r in dealt.groupBy("label", "shard").count().collect()}
+    asked = {(label, shard): sum(n for (other, _), n in sizes.items() if other == label) for label, shard in sizes}
+    assert max(sizes.values()) > hnsw.BEAM and all(beams[label] <= hnsw.WIDEST for label, _ in sizes)
+    from_graphs = sum(n for (label, shard), n in asked.items() if sizes[label, shard] > beams[label])
+    assert answers.agg(F.sum("searched")).first()[0] == from_graphs > 0.9 * df.count()
+
+
+def test_planted_links_in_many_shards_are_found_by_the_graphs(spark, monkeypatch):
+    monkeypatch.setattr(hnsw, "SHARD", 400)
+    monkeypatch.setattr(hnsw, "BLOCK", 1500)
+    common, rare = clusters(1200, 3, seed=9), rare_links(2000, 40)
+    rows = [(i, v.tolist(), 0 if i < len(common) else 1) for i, v in enumerate([*common, *rare])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    graphs, answers, _ = answered(df)
+    assert graphs.groupBy("label").count().agg(F.min("count")).first()[0] >= 5
+    shards = {r["label"]: r["count"] for r in graphs.groupBy("label").count().collect()}
+    assert answers.agg(F.sum("searched")).first()[0] == len(common) * shards[0] + len(rare) * shards[1]
+    found = {r["src"]: r["links"] for r in answers.where("dst is null and src is not null").groupBy("src").agg(F.sum("links").alias("links")).collect()}
+    for part, least in ((range(len(common)), 0.99), (range(len(common), len(rows)), 0.99)):
+        units = np.array([rows[i][1] for i in part])
+        units /= np.linalg.norm(units, axis=1, keepdims=True)
+        want = int((units @ units.T >= 0.98).sum()) - len(units)
+        assert want >= 60 and least * want <= sum(found.get(i, 0) for i in part) <= want
+
+
 def test_rows_match_brute_force(spark, monkeypatch):
     monkeypatch.setattr(hnsw, "SHARD", 150)  # several shards and blocks a label
     monkeypatch.setattr(hnsw, "BLOCK", 100)
@@ -66,28 +125,6 @@ def rare_links(n=1500, pairs=150, seed=6):
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def test_own_point_is_no_evidence():
-    """An audit sees only real links, and too few of them do not pass a beam."""
-    x = rare_links()
-    audits = hnsw.Graph(x).audit(x, 0.98, np.arange(len(x)))
-    real = int((x @ x.T >= 0.98 - 1e-4).sum()) - len(x)
-    assert {wanted for _, _, wanted in audits} == {real} and 0 < real < hnsw.EVIDENCE
-    assert hnsw.first_beam(audits) > hnsw.WIDEST and hnsw.first_beam([(32, 0, 0)]) > hnsw.WIDEST
-    assert hnsw.first_beam([(32, 900, 1000), (64, 999, 1000)]) == 64
-
-
-def test_rare_links_in_many_shards(spark, monkeypatch):
-    """A graph that finds next to nothing is not trusted where the audit sees too few links."""
-    monkeypatch.setattr(hnsw, "SHARD", 100)
-    monkeypatch.setattr(hnsw, "BLOCK", 300)
-    monkeypatch.setattr(hnsw.Graph, "nearest", lambda self, q, beam: (
-        np.full((len(q), beam), -1, np.int32), np.full((len(q), beam), -np.inf, np.float32)))
-    rows = [(i, v.tolist(), 0) for i, v in enumerate(rare_links())]
-    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
-    out = {r["vec_id"]: r["n_links"] for r in hnsw.near_duplicates(df).collect()}
-    assert [out[i] for i, _, _ in rows] == brute(rows)[0]
-
-
 def test_table_recall(spark, sf_dir):
     df = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
     rows = [(r["vec_id"], r["embedding"], r["label"]) for r in df.collect()]
