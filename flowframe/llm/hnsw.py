@@ -44,7 +44,7 @@ DEGREE, BUILD_BEAM = 12, 48
 #: The first and the widest beam; beyond it the shard is read whole.
 BEAM, WIDEST = 32, 256
 #: Probes of a label in all its shards (at least ``LEAST_PROBES`` a shard), and the share of them that a beam has to find.
-PROBES, LEAST_PROBES, RECALL = 2048, 16, 0.995
+PROBES, LEAST_PROBES, RECALL = 1024, 16, 0.995
 #: Points inserted together, as a share of those already in the graph.
 BATCH = 0.25
 
@@ -212,13 +212,19 @@ class Graph:
         lengths = np.sqrt((away * away).sum(1, keepdims=True))
         # in one dimension nothing turns away from a point
         queries = np.where(lengths > 1e-9, inside * points + np.sqrt(1 - inside * inside) * away / np.maximum(lengths, 1e-9), points)
+        queries = queries.astype(np.float32)
         beams = [BEAM << k for k in range(16) if BEAM << k <= WIDEST]
+        open_, steps = np.arange(n), []
+        for beam in beams:  # a wider beam is put to what a narrower one has not found or has sent on
+            ids, sims = self.nearest(queries[open_], min(beam, len(self.points)))
+            sent_on = (sims[:, -1] >= np.float32(least - 1e-4)) & (ids[:, -1] >= 0)
+            found = (ids == chosen[open_][:, None]).any(axis=1)
+            steps.append((beam, open_, sent_on, found))
+            open_ = open_[sent_on | ~found]
         answered = np.ones(n, bool)  # what is sent on beyond the widest beam is read off whole
         out = []
-        for beam in reversed(beams):
-            ids, sims = self.nearest(queries.astype(np.float32), min(beam, len(self.points)))
-            sent_on = (sims[:, -1] >= np.float32(least - 1e-4)) & (ids[:, -1] >= 0)
-            answered = np.where(sent_on, answered, (ids == chosen[:, None]).any(axis=1))
+        for beam, asked, sent_on, found in reversed(steps):
+            answered[asked] = np.where(sent_on, answered[asked], found)
             out.append((beam, int(answered.sum()), n))
         return out
 
