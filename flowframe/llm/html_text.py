@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,7 +25,8 @@ from flowframe.llm.common import longs, map_batches, texts
 # Element classes of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript".split())
-HIDDEN = frozenset("head script style template noscript noframes noembed iframe title datalist audio video canvas object svg math".split())
+HIDDEN = frozenset("head script style template noscript noframes noembed iframe title datalist audio video canvas object "
+                   "desc metadata defs annotation annotation-xml".split())
 BLOCK = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer "
                   "form header hgroup html legend li main menu nav ol optgroup option search section summary table tbody td tfoot "
                   "th thead tr ul caption".split())
@@ -41,6 +43,7 @@ CLOSES = {
     "option": (frozenset(["option"]), frozenset(["select", "optgroup", "datalist"])),
 }
 CLOSES["thead"] = CLOSES["tfoot"] = CLOSES["tbody"]
+LAID_APART = BLOCK | SPACED
 ENDS_PARAGRAPH = (BLOCK | SPACED) - frozenset("body html option optgroup td th tr tbody thead tfoot caption".split())
 #: An end tag never closes an element beyond one of these.
 SCOPE = frozenset(["table", "td", "th", "caption", "html", "template"])
@@ -51,7 +54,8 @@ ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s
 NOT_SHOWN = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
 SPACES = re.compile(r"[ \t\n\r\f]+")
 RAW_END = {name: re.compile("</" + name, re.I) for name in RAW}
-#: Deepest nesting that is built; deeper elements are flattened into it, their text stays.
+#: Nesting that is laid out.  What is open beyond it still pairs up with its end tags and hides what it hides; what it
+#: shows is set, block by block, in the last element that is laid out.
 DEPTH = 200
 
 
@@ -72,20 +76,36 @@ def attributes_of(text: str) -> dict[str, str]:
 def build(page: str) -> Node:
     """The element tree of a page; text nodes are strings."""
     root = Node("html")
-    stack = [root]
+    stack, inside = [root], [root]  # the open elements, and where the text of each goes
+    open_: Counter[str] = Counter()
+
+    def push(node: Node) -> None:
+        deep = len(stack) >= DEPTH and (visible(node) or not visible(inside[-1]))
+        stack.append(node)
+        inside.append(inside[-1] if deep else node)
+        open_[node.name] += 1
+
+    def shut(i: int) -> None:
+        for node, place in zip(stack[i:], inside[i:]):
+            open_[node.name] -= 1
+            if place is not node and node.name in LAID_APART:
+                place.children.append(Node("div"))
+        del stack[i:], inside[i:]
 
     def close_to(names: frozenset, until: frozenset) -> None:
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].name in names:
-                del stack[i:]
-                return close_to(names, until)
-            if stack[i].name in until:
-                return None
-        return None
+        while any(open_[x] for x in names):
+            i = len(stack) - 1
+            while i and stack[i].name not in names:
+                if stack[i].name in until:
+                    return
+                i -= 1
+            if not i:
+                return
+            shut(i)
 
     def text(chunk: str) -> None:
         if chunk:
-            stack[-1].children.append(html.unescape(chunk) if "&" in chunk else chunk)
+            inside[-1].children.append(html.unescape(chunk) if "&" in chunk else chunk)
 
     at = 0
     while True:
@@ -101,15 +121,15 @@ def build(page: str) -> Node:
             continue
         name = m[2].lower()
         if m[1]:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].name == name:
-                    del stack[i:]
-                    break
+            i = len(stack) - 1 if open_[name] else 0
+            while i and stack[i].name != name:
                 if stack[i].name in SCOPE and name not in SCOPE and name not in ("tr", "tbody", "thead", "tfoot"):
                     break
-            else:
-                if name == "br":
-                    stack[-1].children.append(Node("br"))
+                i -= 1
+            if i and stack[i].name == name:
+                shut(i)
+            elif not i and name == "br":
+                inside[-1].children.append(Node("br"))
             continue
         if name in ENDS_PARAGRAPH:
             close_to(frozenset(["p"]), SCOPE | {"button"})
@@ -117,13 +137,13 @@ def build(page: str) -> Node:
             close_to(*CLOSES[name])
         if name in ("td", "th") and stack[-1].name in ("table", "tbody", "thead", "tfoot"):
             row = Node("tr")
-            stack[-1].children.append(row)
-            stack.append(row)
+            inside[-1].children.append(row)
+            push(row)
         if name in ("html", "body"):
             root.attributes.update(attributes_of(m[3]) if name == "body" else {})
             continue
         node = Node(name, attributes_of(m[3]) if m[3] else None)
-        stack[-1].children.append(node)
+        inside[-1].children.append(node)
         if name in VOID or m[3].endswith("/") and name in ("svg", "path", "g", "use"):
             continue
         if name in RAW:
@@ -133,8 +153,7 @@ def build(page: str) -> Node:
             node.children.append(html.unescape(body) if name in ("title", "textarea") else body)
             at = len(page) if end < 0 else page.find(">", end) + 1 or len(page)
             continue
-        if len(stack) < DEPTH:
-            stack.append(node)
+        push(node)
 
 
 def visible(node: Node) -> bool:

@@ -1,3 +1,6 @@
+import re
+from html.parser import HTMLParser
+
 import pytest
 from flowframe.llm.html_text import build, extract, extract_pages
 
@@ -41,6 +44,65 @@ def test_very_deep_and_very_long_pages_keep_all_words():
     assert extract(("<!--" * 5000 + "'\"" * 5000 + "<a '" * 2000).encode()) == ("", "")
 
 
+@pytest.mark.parametrize("depth", [10, 150, 199, 200, 201, 250, 5000, 60_000])
+def test_hidden_text_stays_hidden_at_any_depth(depth):
+    page = "<div hidden>" + "<div>" * depth + "no" + "</div>" * (depth - 20 if depth > 20 else depth) + "neither" + "</div>" * 30 + "shown"
+    assert extract(page.encode())[1] == "shown"
+    deep = "<section>" * depth + "<p>one<div style='display:none'>no<b>no</b></div><i>two</i>" + "</section>" * depth + "<p>three"
+    assert extract(deep.encode())[1].split() == ["one", "two", "three"]
+
+
+def test_svg_and_math_are_shown():
+    page = "a <svg><title>no</title><desc>no</desc><g/><text>label</text></svg> <math><mi>x</mi><mo>=</mo><mn>2</mn></math> b"
+    assert extract(page.encode())[1].split() == ["a", "label", "x=2", "b"]
+
+
+class Walk(HTMLParser):
+    """Visible words by the standard library's tokenizer and a stack of names: no tree, no layout."""
+
+    VOID = set("area base br col embed hr img input link meta param source track wbr".split())
+    UNSEEN = set("head script style template noscript noframes noembed iframe title datalist audio video canvas object desc metadata defs".split())
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.open, self.out = [], []
+
+    def handle_starttag(self, tag, attrs):
+        a = dict(attrs)
+        if tag == "img" and (a.get("alt") or "").strip() and not any(h for _, h in self.open):
+            self.out.append(a["alt"])
+        if tag not in ("b", "a", "i", "span", "em", "strong"):
+            self.out.append(" ")
+        if tag not in self.VOID:
+            style = re.sub(r"\s", "", a.get("style") or "").lower()
+            self.open.append((tag, tag in self.UNSEEN or "hidden" in a or "display:none" in style or "visibility:hidden" in style))
+
+    def handle_endtag(self, tag):
+        if tag not in ("b", "a", "i", "span", "em", "strong"):
+            self.out.append(" ")
+        for k in range(len(self.open) - 1, -1, -1):
+            if self.open[k][0] == tag:
+                del self.open[k:]
+                return
+
+    def handle_data(self, data):
+        if not any(h for _, h in self.open):
+            self.out.append(data)
+
+
+def test_words_match_an_independent_parser(spark, sf_dir):
+    pages = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()}
+    same = 0
+    for page in pages.values():
+        walk = Walk()
+        walk.feed(page or "")
+        walk.close()
+        marks = re.compile(r"^(-|\||>|\d+\.)$")
+        want = sorted(w for w in "".join(walk.out).split() if not marks.match(w))
+        same += sorted(w for w in extract((page or "").encode())[1].split() if not marks.match(w)) == want
+    assert same >= 0.98 * len(pages), (same, len(pages))
+
+
 def test_no_visible_word_is_lost(spark, sf_dir):
     """Against a plain walk of the tree: the same words in the same order."""
     from flowframe.llm.html_text import Node, visible
