@@ -14,8 +14,7 @@ document is ``k * rate``; a random offset in [0, 1) is added and a document
 is emitted once for every integer its stretch crosses.  The order is by size
 class, so every class is sampled evenly and the words taken come close to
 the target.  A source of few documents with one very long among them can
-still miss it by that one; so ``OFFSETS`` offsets are drawn for a source and
-the one whose sample comes closest to the target is used.
+still miss it by that one: its copies are its rate, rounded by the offset.
 
 A prefix sum needs the position of a document within its source, and one
 source may hold most rows.  Each (source, size class) is cut into about the
@@ -34,8 +33,6 @@ from flowframe.llm.common import stage, word_array
 WEIGHTS = (5, 2, 1)
 #: Size classes per doubling of the size.
 CLASSES = 8
-#: Offsets drawn for each source.
-OFFSETS = 16
 
 
 def size_class(size: Column) -> Column:
@@ -49,6 +46,11 @@ def hash32(value: Column) -> Column:
     return F.conv(F.substring(F.md5(F.coalesce(value.cast("string"), F.lit(""))), 1, 8), 16, 10).cast("long")
 
 
+def row_hash(id_: Column, text: Column) -> Column:
+    """32 bits of an id and its text: rows without an id, or that share one, still spread."""
+    return hash32(F.concat(F.coalesce(id_.cast("string"), F.lit("")), F.lit(":"), F.md5(F.coalesce(text, F.lit("")))))
+
+
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0) -> DataFrame:
     """``sizes`` (source, source_size; one row per source) with its target added.
 
@@ -86,7 +88,7 @@ def mix_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     measured = stage(docs.select(
         F.col(id_col).alias("id"), F.col(source_col).alias("source"),
         F.size(word_array(F.col(text_col))).cast("long").alias("size"),
-        F.xxhash64(text_col).alias("tie"), hash32(F.col(id_col)).alias("h")
+        F.xxhash64(text_col).alias("tie"), row_hash(F.col(id_col), F.col(text_col)).alias("h")
     ).withColumn("class", size_class(F.col("size"))), "sizes")
     classes = stage(measured.groupBy("source", "class").agg(
         F.count("*").alias("n"), F.sum("size").alias("words")), "size-classes")
@@ -104,16 +106,10 @@ def mix_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     placed = ranked.join(counted, ranked.source.eqNullSafe(counted.s) & (ranked["class"] == counted.c)
                          & (ranked.chunk == counted.k)).drop("s", "c", "k")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    drawn = F.transform(F.sequence(F.lit(0), F.lit(OFFSETS - 1)), lambda j: hash32(F.concat(
-        F.lit(seed + ":"), j.cast("string"), F.lit(":"), F.coalesce("source", F.lit("")))) / F.lit(2.0 ** 32))
-    aims = stage(targets.select(F.col("source").alias("s"), "source_size", "target", rate.alias("rate"), drawn.alias("drawn")), "targets")
-    numbered = stage(placed.select("id", "source", "size", "tie", (F.col("before") + F.col("r")).alias("k")), "positions")
-    rated = numbered.join(aims, numbered.source.eqNullSafe(aims.s)).drop("s")
-    words = [F.sum(_crossed(F.col("drawn")[j]) * F.col("size")) for j in range(OFFSETS)]
-    taken = rated.groupBy("source").agg(F.first("target").alias("aim"), F.array(*words).alias("words"), F.first("drawn").alias("u"))
-    nearest = F.array_min(F.transform("words", lambda w, j: F.struct(F.abs(w - F.col("aim")).alias("off"), j.alias("j"))))
-    chosen = taken.select(F.col("source").alias("s"), F.get(F.col("u"), nearest["j"]).alias("offset"))
-    final = rated.join(chosen, rated.source.eqNullSafe(chosen.s))
+    offset = hash32(F.concat(F.lit(seed + ":"), F.coalesce("source", F.lit("")))) / F.lit(2.0 ** 32)
+    aims = targets.select(F.col("source").alias("s"), "source_size", "target", rate.alias("rate"), offset.alias("offset"))
+    numbered = placed.select("id", "source", "size", "tie", (F.col("before") + F.col("r")).alias("k"))
+    final = numbered.join(aims, numbered.source.eqNullSafe(aims.s))
     return final.select("id", "source", "size", "tie", "source_size", "target", _crossed(F.col("offset")).cast("long").alias("copies"))
 
 
@@ -151,7 +147,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 MIX_SQL = r"""
 with sized as (
   select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint as size,
-         ('0x' || substr(md5(coalesce(cast(doc_id as varchar), '')), 1, 8))::bigint as h from documents),
+         ('0x' || substr(md5(coalesce(cast(doc_id as varchar), '') || ':' || md5(coalesce(text, ''))), 1, 8))::bigint as h from documents),
 bands as (select *, greatest(length(bin(size)) - 4, 0) as shift from sized),
 classed as (select doc_id, source, size, h, shift * 8 + (size >> shift) as class from bands),
 totals as (select source, sum(size)::bigint as source_size from classed group by source),
@@ -174,12 +170,6 @@ placed as (
          row_number() over (partition by c.source order by c.class, c.h, c.doc_id nulls first) as k,
          case when t.source_size > 0 then t.target / t.source_size else 0.0::double end as rate
   from classed c join targets t on c.source is not distinct from t.source),
-tried as (
-  select *, ('0x' || substr(md5('mix:' || j || ':' || coalesce(source, '')), 1, 8))::bigint / 4294967296.0::double as shift
-  from placed, range(16) r(j)),
-sampled as (select *, (floor(k * rate + shift) - floor((k - 1) * rate + shift))::bigint as copies from tried),
-summed as (select source, j, abs(sum(copies * size)::double - any_value(target)) as off from sampled group by source, j),
-best as (select source, j from summed qualify row_number() over (partition by source order by off, j) = 1)
-select s.doc_id, s.size, s.source_size, s.target, s.copies * s.size as taken
-from sampled s join best b on s.source is not distinct from b.source and s.j = b.j
+drawn as (select *, ('0x' || substr(md5('mix:' || coalesce(source, '')), 1, 8))::bigint / 4294967296.0::double as shift from placed)
+select doc_id, size, source_size, target, (floor(k * rate + shift) - floor((k - 1) * rate + shift))::bigint * size as taken from drawn
 """

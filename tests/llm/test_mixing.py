@@ -45,7 +45,7 @@ def test_mix_matches_its_sql_and_its_targets(spark, sf_dir, documents):
         taken[s], target[s], largest[s] = taken.get(s, 0) + words, aim, max(largest.get(s, 0), size)
         assert words in (0, size, 2 * size)
     for s in taken:
-        assert abs(taken[s] - target[s]) <= 0.5 * largest[s]
+        assert abs(taken[s] - target[s]) <= 2 * largest[s]
     again = sorted(tuple(r) for r in mixing.mix_report(documents.repartition(5)).collect())
     assert again == rows
 
@@ -71,3 +71,16 @@ def test_one_size_and_source_for_all(spark):
         {"copies": "sum"}).selectExpr("source", "target", "`sum(copies)` as n").collect()}
     for n, target in got.values():
         assert abs(3 * n - target) <= 3
+
+
+def test_rows_without_an_id_spread(spark):
+    """5,000 null ids, and as many rows of one id: neither lies in one chunk, and both are sampled evenly."""
+    docs = spark.range(10_000).selectExpr("if(id < 5000, null, 7) as doc_id", "concat('w w w', id) as text", "'s' as source").union(
+        spark.range(2000).selectExpr("id as doc_id", "'w w w w' as text", "'t' as source"))
+    h = mixing.row_hash(docs["doc_id"], docs["text"])
+    assert docs.where("source = 's'").select((h % 64).alias("c")).groupBy("c").count().agg({"count": "max"}).first()[0] < 300
+    got = {(r["source"], r["id"] is None): r["n"] for r in mixing.mix_plan(docs).groupBy("source", "id").agg(
+        {"copies": "sum"}).selectExpr("source", "id", "`sum(copies)` as n").where("source = 's'").collect()}
+    target = mixing.mix_plan(docs).where("source = 's'").first()["target"]
+    assert all(abs(3 * n - target / 2) < 0.02 * target for n in got.values()) and len(got) == 2
+    assert abs(3 * sum(got.values()) - target) <= 6
