@@ -2,7 +2,7 @@
 
 Sleeping inside a task is wrong on Spark.  The batch form computes when
 each message leaves; the streaming form (``flowframe.streaming.delayer``)
-holds rows in state and emits them when an event-time timer fires.
+keeps the rows it holds as a table and writes those that are due.
 """
 
 from __future__ import annotations
@@ -10,6 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from flowframe.operators.sequence import keyed_scan
+from flowframe.session import stage_table
+
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
@@ -66,20 +69,34 @@ def tick_drain(df: DataFrame, ts: str, every: str, id_col: str) -> DataFrame:
 
 
 def held_at_tick(df: DataFrame, arrival: str, release: str, id_col: str, tick_seconds: int = 60) -> DataFrame:
-    """Messages held by the delayer at each tick ``t`` (``arrival <= t < release``),
-    ticks every ``tick_seconds`` from the epoch.
-
-    Each message explodes into the ticks it spans (bounded by its delay
-    over the tick length), so no range join and no tick table are needed;
-    the per-tick count is a partial aggregate.  Tick arithmetic is on
+    """Messages held by the delayer at each tick ``t`` (``arrival <= t < release``), ticks every ``tick_seconds``
+    from the epoch: ``(tick, n_held, first_id)``; ticks that hold none have no row.
+
+    A message held over many ticks is not copied into them.  The count of a
+    tick is a running sum over the ticks where messages come and go.  For the
+    smallest id a message's ticks are cut into dyadic intervals, at most two
+    of each length, a minimum is kept for each of these, and a tick asks the
+    intervals that hold it, one of each length.  Tick arithmetic is on
     wall-clock microseconds, independent of the session zone."""
     from flowframe.functions.scalar import ntz_micros
 
     step = int(tick_seconds) * 1_000_000
-    first = F.ceil(ntz_micros(arrival) / F.lit(step)) * F.lit(step)
-    last = F.ceil(ntz_micros(release) / F.lit(step)) * F.lit(step) - F.lit(step)  # last tick < release
+    first, after = (F.ceil(ntz_micros(c) / F.lit(step)).cast("long") for c in (arrival, release))
+    spans = stage_table(df.select(F.col(id_col).alias("id"), first.alias("a"), (after - 1).alias("b")).filter("a <= b"), "spans")
+    turns = spans.select(F.col("a").alias("p"), F.lit(1).cast("long").alias("d")).unionByName(
+        spans.select((F.col("b") + 1).alias("p"), F.lit(-1).cast("long").alias("d"))).groupBy("p").agg(F.sum("d").alias("d"))
+    steady = keyed_scan(turns, [], ["p"], lags=["p"], sums={"n": "d"}).select(
+        F.col("prev_p").alias("a"), (F.col("p") - 1).alias("b"), (F.col("n") - F.col("d")).alias("n_held")).filter("n_held > 0")
+    ticks = steady.select("n_held", F.explode(F.sequence("a", "b")).alias("t"))
+    # what is left of [a, b] in intervals of 2^k ticks are those from lo to hi; an end that is not half of a longer one stays
+    longest = F.floor(F.log2(F.col("b") - F.col("a") + 1)).cast("int")
+    levels = spans.select("*", F.explode(F.sequence(F.lit(0), longest)).alias("k"))
+    lo, hi = -F.expr("shiftright(-a, k)"), F.expr("shiftright(b + 1, k)") - 1
+    ends = levels.select("id", "k", lo.alias("lo"), hi.alias("hi")).filter("lo <= hi").select("id", "k", F.explode(F.array_compact(F.array(
+        F.when(F.pmod("lo", F.lit(2)) == 1, F.col("lo")), F.when(F.pmod("hi", F.lit(2)) == 0, F.col("hi"))))).alias("node"))
+    nodes = stage_table(ends.groupBy("k", "node").agg(F.min("id").alias("id")), "dyadic")
+    deepest = nodes.agg(F.coalesce(F.max("k"), F.lit(0))).scalar()
+    asked = ticks.select("t", "n_held", F.explode(F.sequence(F.lit(0), deepest)).alias("k")).withColumn("node", F.expr("shiftright(t, k)"))
     epoch = F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'")
-    ticks = df.withColumn("_first", first.cast("long")).withColumn("_last", last.cast("long")).filter(F.col("_first") <= F.col("_last"))
-    ticks = ticks.withColumn("_t", F.explode(F.sequence(F.col("_first"), F.col("_last"), F.lit(step).cast("long"))))
-    ticks = ticks.withColumn("tick", F.timestamp_add("MICROSECOND", F.col("_t"), epoch))
-    return ticks.groupBy("tick").agg(F.count(F.lit(1)).alias("n_held"), F.min(id_col).alias("first_id"))
+    return asked.join(nodes, ["k", "node"]).groupBy("t").agg(F.max("n_held").alias("n_held"), F.min("id").alias("first_id")).select(
+        F.timestamp_add("MICROSECOND", F.col("t") * step, epoch).alias("tick"), "n_held", "first_id")

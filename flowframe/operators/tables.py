@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowframe.operators.sequence import keyed_scan
+from flowframe.session import stage_table
 
 
 def _c(x) -> Column:
@@ -130,12 +131,19 @@ def _versioned(target: DataFrame, changes: DataFrame, id_col: str, version_col:
     several such changes the first in ``order``; the others find the version
     already moved on and are ``stale``."""
     t = target.select(F.col(id_col).alias("_id"), F.col(version_col).alias("_v"), *[F.col(c).alias(f"_old_{c}") for c in stored])
-    rank = [*order, *[c for c in changes.columns if c not in order]]
-    num = keyed_scan(changes, [id_col, expected_col], rank, rn="_turn")
-    j = num.join(t, num[id_col] == t["_id"], "left")
-    wins = (F.col("_v") == F.col(expected_col)) & (F.col("_turn") == 1)
-    outcome = F.when(F.col("_id").isNull(), F.lit("missing")).when(wins, F.lit(done)).otherwise(F.lit("stale"))
-    return j.withColumn("outcome", outcome).withColumn("affected", (F.col("outcome") == done).cast("int")).drop("_id", "_turn")
+    rank = F.struct(*order, *[c for c in changes.columns if c not in order])
+    j = changes.join(t, changes[id_col] == t["_id"], "left").withColumn("_fits", F.coalesce(F.col("_v") == F.col(expected_col), F.lit(False)))
+    best = j.filter("_fits").groupBy(F.col("_id").alias("_b")).agg(F.min(rank).alias("_best"))
+    j = j.join(best, F.col("_id") == F.col("_b"), "left").withColumn(
+        "_first", F.col("_fits") & F.coalesce(rank == F.col("_best"), rank.eqNullSafe(F.col("_best")))).drop("_b", "_best", "_fits")
+    lost = F.when(F.col("_id").isNull(), F.lit("missing")).otherwise(F.lit("stale"))
+    others = j.filter(~F.col("_first")).withColumn("outcome", lost)
+    # changes that agree in every column are told apart by their number: one of them wins
+    same = j.filter("_first").groupBy(*j.columns).agg(F.count(F.lit(1)).alias("_n")).withColumn(
+        "_turn", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))))
+    firsts = same.withColumn("outcome", F.when(F.col("_turn") == 1, F.lit(done)).otherwise(F.lit("stale")))
+    out = others.unionByName(firsts.drop("_n", "_turn"))
+    return out.withColumn("affected", (F.col("outcome") == done).cast("int")).drop("_id", "_first")
 
 
 def versioned_update(target: DataFrame, changes: DataFrame, id_col: str, version_col: str, expected_col: str,
@@ -184,18 +192,39 @@ def keyed_delete(target: DataFrame, ids: DataFrame, key: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ P18 / T2
-def page_with_total(df: DataFrame, order: Sequence[str | Column], page: int, size: int,
-                    with_total: bool = True) -> DataFrame:
-    """Page ``page`` (0-based) of ``size`` rows in ``order``; ``total`` is the
-    row count before paging.
-
-    Rows are numbered by :func:`keyed_scan`, so a deep page costs no more
-    than the first one and no task sees the rows before it; ``total`` is a
-    scalar subquery."""
-    out = keyed_scan(df, [], order, rn="_row").filter(F.col("_row").between(page * size + 1, (page + 1) * size)).drop("_row")
-    if with_total:
-        out = out.withColumn("total", df.agg(F.count(F.lit(1))).scalar())
-    return out
+#: Rows sampled to bracket a page, on average.
+RANK_SAMPLE = 2000
+
+
+def page_with_total(df: DataFrame, order: Sequence[str], page: int, size: int, with_total: bool = True) -> DataFrame:
+    """Page ``page`` (0-based) of ``size`` rows in ``order`` (nulls first); ``total`` is the row count before paging.
+
+    The page is found by rank selection.  A small sample of the order keys
+    gives two keys between which the page's ranks should lie; one aggregate
+    counts the rows below and between them exactly, and the bracket is widened
+    until it holds the page.  Only the bracket is sorted, so a deep page costs
+    no more than the first one."""
+    kinds = {c: df.schema[c].dataType for c in order}
+    key = F.struct(*order)
+    total = df.count()
+    first = min(page * size, total)
+    last = min(first + size, total)
+    keys = df.select(*order).sample(min(1.0, RANK_SAMPLE / max(total, 1)), seed=7).orderBy(*order).collect()  # about RANK_SAMPLE rows
+
+    def bound(at: int):
+        return F.struct(*[F.lit(keys[at][c]).cast(kinds[c]).alias(c) for c in order])
+
+    margin = 3 * max(1, len(keys)) ** 0.5
+    while True:
+        lo, hi = int(first / max(total, 1) * len(keys) - margin), int(last / max(total, 1) * len(keys) + margin) + 1
+        above = key >= bound(lo) if 0 <= lo < len(keys) else F.lit(True)
+        under = key <= bound(hi) if 0 <= hi < len(keys) else F.lit(True)
+        below, inside = df.agg(F.count(F.when(~above, 1)), F.count(F.when(above & under, 1))).first()
+        if below <= first and last <= below + inside:
+            break
+        margin *= 4
+    out = df.filter(above & under).orderBy(*order).offset(first - below).limit(last - first)
+    return out.withColumn("total", F.lit(total).cast("long")) if with_total else out
 
 
 def ordered_read(df: DataFrame, order: Sequence[str | Column]) -> DataFrame:
@@ -274,6 +303,47 @@ def table_diff(expected: DataFrame, actual: DataFrame, include: Sequence[str] |
     return left.withColumn("side", side).withColumn("_n", F.explode(F.sequence(F.lit(1), F.abs("_n").cast("int")))).drop("_n")
 
 
+def table_diff_tree(expected: DataFrame, actual: DataFrame, include: Sequence[str] | None = None,
+                    exclude: Sequence[str] | None = None, null_token: str | None = NULL_TOKEN,
+                    level_bits: Sequence[int] = (12, 12)) -> DataFrame:
+    """:func:`table_diff` for large tables that differ little: only rows of unequal buckets are compared.
+
+    A row's bucket is taken from a hash of its compared columns, so equal rows
+    share one.  A bucket's checksum is its row count and the sums of two
+    independent 64-bit hashes, which do not depend on the order of rows.  Each
+    level looks at the buckets that differed on the level above, divided by
+    the next bits of the hash; what crosses the network is a checksum a bucket
+    and then the rows of the buckets that differ."""
+    cols = list(include) if include else [c for c in expected.columns if c not in set(exclude or ())]
+
+    def prep(df: DataFrame) -> DataFrame:
+        sel = [F.when(F.col(c) == F.lit(null_token), F.lit(None).cast("string")).otherwise(F.col(c)).alias(c)
+               if null_token is not None and df.schema[c].dataType.simpleString() == "string" else F.col(c) for c in cols]
+        # nulls leave a hash as it is, so which columns are null is hashed as well
+        empty = F.concat(*[F.when(F.col(c).isNull(), "1").otherwise("0") for c in cols])
+        return df.select(*sel).withColumns({"_h": F.xxhash64(*cols, empty), "_g": F.xxhash64(F.lit(7), empty, *cols)})
+
+    def halves(name: str, sign: int) -> list[Column]:
+        c, n = F.col(name), F.lit(sign)
+        return [F.sum(c.bitwiseAND(F.lit(0xFFFFFFFF)) * n), F.sum(F.shiftrightunsigned(c, 32) * n)]
+
+    sides = [prep(expected), prep(actual)]
+    known, depth = None, 0
+    for bits in level_bits:
+        if known is not None:  # the buckets that differ, of the level above: at most 2 ** depth numbers
+            above = F.shiftrightunsigned("_h", 64 - depth)
+            sides = [s.join(F.broadcast(known), above == F.col("_bucket"), "left_semi") for s in sides]
+        depth += bits
+        bucket = F.shiftrightunsigned("_h", 64 - depth).alias("_bucket")
+        sums = [s.groupBy(bucket).agg(F.sum(F.lit(sign)).alias("n"), *[
+            x.alias(f"s{k}") for k, x in enumerate([*halves("_h", sign), *halves("_g", sign)])]) for s, sign in zip(sides, (1, -1))]
+        both = sums[0].unionByName(sums[1]).groupBy("_bucket").agg(*[F.sum(c).alias(c) for c in ("n", "s0", "s1", "s2", "s3")])
+        known = stage_table(both.filter("n <> 0 or s0 <> 0 or s1 <> 0 or s2 <> 0 or s3 <> 0").select("_bucket"), "unequal")
+    last = F.shiftrightunsigned("_h", 64 - depth)
+    left, right = (s.join(known, last == F.col("_bucket"), "left_semi").drop("_h", "_g") for s in sides)
+    return table_diff(left, right, null_token=None)
+
+
 def fixture_load(spark: SparkSession, csv_dir: str, order: Sequence[str], schemas: dict[str, str],
                  out_dir: str, null_token: str = NULL_TOKEN) -> dict[str, DataFrame]:
     """Clean insert from a CSV directory: tables in ``order``, each target

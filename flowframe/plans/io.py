@@ -8,8 +8,10 @@ checkpoint folder.
 from __future__ import annotations
 
 import datetime as dt
+import functools
 import uuid
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowframe.functions.scalar import date_text, ends_with, seeded_pick
@@ -18,8 +20,9 @@ from flowframe.plans.bindings import EVENT_ORDER, events, url_lines, url_status
 from flowframe.plans.registry import register, table
 from flowframe.plans.transforms import FULL_NAMES, LCG_SQL
 from flowframe.plans.url_flow import URL_FLOW_SQL, url_flow
-from flowframe.session import scratch_path
+from flowframe.session import scratch_path, stage_table
 from flowframe.sinks import files as SK
+from flowframe.sinks.files import path_exists
 from flowframe.sinks.mail import mail_outbox
 from flowframe.sources import files as SF
 from flowframe.sources import mail as SM
@@ -297,18 +300,47 @@ select source, lang, case when lang = 'en' then 'deleted' else 'error' end as pl
 def q_disposition_applied(spark, d):
     """The files of a poll after their post-processing: handled ones are deleted, failed ones moved."""
     base, error = _tree(spark, d), _scratch(spark, "error")
+    rows = SF.file_poll_source(spark, base, "parquet", recursive=True, schema="doc_id long").select(
+        "doc_id", "file_path", _part("source"), _part("lang"))
     listing = SF.file_listing(spark, base, glob="*.parquet", recursive=True).select("file_path", _part("source"), _part("lang"))
-    seen = listing.select("source", "lang")
-    seen = spark.createDataFrame(seen.collect(), seen.schema)  # one row per file of the poll
-    decided = listing.withColumn("name", F.concat("source", F.lit("-"), "lang", F.lit(".parquet")))
-    target = F.concat(F.lit(error + "/"), "name")
-    SK.apply_disposition(SK.disposition(decided, "file_path", F.col("lang") == "en", error).withColumn(
-        "target_path", F.when(F.col("outcome") == "move_error", target)), "file_path")
-    moved = SF.file_listing(spark, error, glob="*.parquet").select(F.regexp_extract("file_name", r"(.*)-(.*)\.parquet", 1).alias("source"),
-                                                                   F.regexp_extract("file_name", r"(.*)-(.*)\.parquet", 2).alias("lang"))
-    left = SF.file_listing(spark, base, glob="*.parquet", recursive=True).select(_part("source"), _part("lang"))
+    # a listing's paths are as the file system names them, a row's are URIs
+    decided = stage_table(SK.disposition(listing.withColumn("file_path", F.regexp_replace("file_path", "^file:/+", "file:///")),
+                                         "file_path", F.col("lang") == "en", error), "decided")
+    rows = rows.withColumn("file_path", F.regexp_replace("file_path", "^file:/+", "file:///"))
+    SK.apply_disposition(rows, decided, "file_path", base, error, ["source", "lang"])
+    moved = SF.file_listing(spark, error, glob="*.parquet", recursive=True).select(_part("source"), _part("lang")).distinct()
+    left = decided.filter(F.lit(path_exists(spark, base))).select("source", "lang")
     places = moved.withColumn("place", F.lit("error")).unionByName(left.withColumn("place", F.lit("left")))
-    return seen.join(places, ["source", "lang"], "left").withColumn("place", F.coalesce("place", F.lit("deleted")))
+    return decided.select("source", "lang").join(places, ["source", "lang"], "left").withColumn(
+        "place", F.coalesce("place", F.lit("deleted")))
+
+
+@register("intake_changed", """
+with f as (select distinct source, lang from documents),
+r as (select source, lang, row_number() over (order by source, lang) as n from f)
+select 'once' as accept, 1 as poll, source, lang from f
+union all select 'once', 2, 'new', 'xx'
+union all select 'changed', 1, source, lang from f
+union all select 'changed', 2, source, lang from r where n = 1 union all select 'changed', 2, 'new', 'xx'
+union all select 'create', 1, source, lang from f
+union all select 'create', 2, 'new', 'xx'
+union all select 'all', 1, source, lang from f
+union all select 'all', 2, source, lang from f union all select 'all', 2, 'new', 'xx'
+""")
+def q_intake_changed(spark, d):
+    """Two polls of a directory; between them one file changes and one is new."""
+    base, ledgers = _tree(spark, d), _scratch(spark, "ledger")
+    kinds = ("once", "changed", "create", "all")
+
+    def poll(n):
+        return [SF.intake_changed(spark, base, f"{ledgers}/{a}", a, glob="*.parquet").select(
+            F.lit(a).alias("accept"), F.lit(n).alias("poll"), _part("source"), _part("lang")) for a in kinds]
+
+    first = poll(1)
+    listing = SF.file_listing(spark, base, glob="*.parquet", recursive=True).withColumns({"s": _part("source"), "l": _part("lang")})
+    SF.touch(spark, listing.orderBy("s", "l").first()["file_path"])
+    spark.range(1).select(F.col("id").alias("doc_id")).coalesce(1).write.parquet(f"{base}/source=new/lang=xx")
+    return functools.reduce(DataFrame.unionByName, [*first, *poll(2)])
 
 
 # The stage directories an upload passes through.

@@ -18,6 +18,7 @@ from flowframe.session import scratch_path
 from flowframe.streaming.delayer import stream_delayer
 from flowframe.streaming.group_release import stream_group_release
 from flowframe.streaming.group_state import group_state, run_group_state
+from flowframe.streaming.status_join import run_status_join, split_late, status_join
 from flowframe.streaming.jobs import copy_orders_batch, stream_accept_once, stream_tick_window
 from flowframe.streaming.runner import read_batches, run_available_now, run_batches, stage_in_order
 
@@ -66,6 +67,32 @@ def q_stream_group_state(spark, d):
     return run_group_state(out, f"{base}/run")
 
 
+@register("stream_status_join", """
+with l as (select event_id, user_id, ts from events where event_type in ('view', 'click')),
+r as (select event_id, user_id, ts from events where event_type in ('signup', 'purchase', 'error'))
+select l.event_id as line_id, r.event_id as result_id
+from l left join r on l.user_id = r.user_id and r.ts between l.ts and l.ts + interval 1 day
+""")
+def q_stream_status_join(spark, d):
+    """Views and clicks as lines, the user's other events within a day as their results."""
+    ev = events(spark, d).select("event_id", "user_id", "ts", "event_type")
+    asks = F.col("event_type").isin("view", "click")
+    base = scratch_path(spark, f"status-join-{uuid.uuid4().hex}")
+    # a beat far behind the last event, of nobody, on both streams: lines at the end do not wait for another one
+    # (not of a null user: such rows are filtered before the watermark sees them)
+    beat = ev.agg((F.max("ts") + F.expr("INTERVAL 10 DAYS")).alias("ts")).select(
+        F.lit(None).cast(ev.schema["event_id"].dataType).alias("event_id"), F.lit(-1).cast(ev.schema["user_id"].dataType).alias("user_id"),
+        "ts", F.lit("beat").alias("event_type"))
+    sides = []
+    for name, rows in (("lines", ev.filter(asks)), ("results", ev.filter(~asks))):
+        stream = stage_in_order(rows.unionByName(beat), ["ts", "event_id"], f"{base}/{name}", files=4)
+        in_time, _ = split_late(stream.drop("event_type", "arrival_no"), f"{base}/{name}/taken", ntz_as_utc_instant("ts"), "1 day")
+        sides.append(in_time)
+    joined = status_join(*sides, "user_id", ntz_as_utc_instant("ts"), ntz_as_utc_instant("ts"), "1 day", "1 day")
+    out, _ = run_status_join(joined, f"{base}/run")
+    return out.filter(F.col("event_id").isNotNull()).select(F.col("event_id").alias("line_id"), F.col("result_event_id").alias("result_id"))
+
+
 @register("stream_delayer", f"""
 select event_id as msg_id, cast(user_id as varchar) as key,
        ts + to_milliseconds(coalesce(try_cast(trim({PAYLOAD_SQL}) as bigint), 8000)) as release_ts

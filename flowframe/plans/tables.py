@@ -223,19 +223,29 @@ def q_sheet_until_blank(spark, d):
     return TB.sheet_until_blank(rows, "row_idx", "text", header_rows=1)
 
 
-@register("table_diff", f"""
+TABLE_DIFF_SQL = f"""
 with after as (select o_orderkey, case when o_orderstatus = '{NEW}' then '{CLAIMED}' else o_orderstatus end as o_orderstatus from orders),
 before as (select o_orderkey, o_orderstatus from orders)
 select *, 'expected' as side from (select * from before except all select * from after)
 union all
 select *, 'actual' as side from (select * from after except all select * from before)
-""")
+"""
+
+
+@register("table_diff", TABLE_DIFF_SQL)
 def q_table_diff(spark, d):
     o = table(spark, d, "orders")
     _, after = TB.status_claim(o, "o_orderkey", "o_orderstatus", NEW, CLAIMED)
     return TB.table_diff(o, after, include=["o_orderkey", "o_orderstatus"])
 
 
+@register("table_diff_tree", TABLE_DIFF_SQL)
+def q_table_diff_tree(spark, d):
+    o = table(spark, d, "orders")
+    _, after = TB.status_claim(o, "o_orderkey", "o_orderstatus", NEW, CLAIMED)
+    return TB.table_diff_tree(o, after, include=["o_orderkey", "o_orderstatus"])
+
+
 @register("fixture_load", """
 select 'region' as tbl, r_regionkey as k, r_name as name from region
 union all select 'nation', n_nationkey, n_name from nation

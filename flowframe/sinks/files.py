@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from flowframe.session import drop_path
+
 
 def per_file_sink(df: DataFrame, out_dir: str, file_col: str, seq_col: str, line_col: str,
                   num_partitions: int | None = None) -> None:
@@ -87,25 +89,25 @@ def disposition(df: DataFrame, path: str, ok: Column, error_dir: str, success_di
              .withColumn("target_path", F.when(okc, succ_target).otherwise(F.concat(F.lit(error_dir.rstrip("/") + "/"), name)))
 
 
-def apply_disposition(decided: DataFrame, path: str) -> int:
-    """Carry out ``disposition``: delete or move the files of one poll; returns how many.
-
-    The rows are those of one poll, whose intake limits their number; they
-    pass through the driver one by one.  A file that is gone already counts
-    as done, so a repeat after a failure is harmless."""
-    spark, n = decided.sparkSession, 0
-    for r in decided.select(path, "outcome", "target_path").toLocalIterator():
-        fs, source = _fs(spark, r[path])
-        if not fs.exists(source):
-            continue
-        if r["outcome"] == "delete":
-            fs.delete(source, False)
-        else:
-            target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(r["target_path"])
-            fs.mkdirs(target.getParent())
-            fs.rename(source, target)
-        n += 1
-    return n
+def apply_disposition(rows: DataFrame, decided: DataFrame, path: str, input_dir: str, error_dir: str,
+                      parts: Sequence[str], success_dir: str | None = None) -> bool:
+    """Carry out ``disposition`` for all files of ``input_dir``; returns whether there was anything to do.
+
+    ``rows`` are the files' rows with their ``path``.  Rows of failed files
+    are written below ``error_dir``, those of handled ones below
+    ``success_dir`` (or nowhere), both partitioned by ``parts``; then the
+    input folder is dropped as a whole.  A repeat after a failure writes the
+    same rows over; once the input is gone it does nothing."""
+    spark = rows.sparkSession
+    if not path_exists(spark, input_dir):
+        return False
+    judged = rows.join(decided.select(path, "outcome").distinct(), path).drop(path)
+    for outcome, target in (("move_error", error_dir), ("move_success", success_dir)):
+        if target is not None:
+            judged.filter(F.col("outcome") == outcome).drop("outcome").repartition(*parts).write.mode("overwrite").partitionBy(
+                *parts).parquet(target)
+    drop_path(spark, input_dir)
+    return True
 
 
 def stage_progress(df: DataFrame, path: str, stages: Sequence[str]) -> DataFrame:

@@ -13,6 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from flowframe.session import stage_table
+from flowframe.streaming.runner import batch_dir, last_batch_before, read_batches
+
 
 def _reader(spark: SparkSession, fmt: str, glob: str | None, recursive: bool, streaming: bool,
             max_files_per_trigger: int | None, schema: T.StructType | str | None, options: dict | None):
@@ -73,6 +76,41 @@ def accept_all(listings: DataFrame, path: str = "file_path", ignore_hidden: bool
     return listings
 
 
+def intake_changed(spark: SparkSession, path: str, ledger: str, accept: str = "changed", *, glob: str | None = None) -> DataFrame:
+    """One poll of a directory against the ledger of what earlier polls handed over: (file_path, file_modification_time).
+
+    ``accept`` is ``once`` (a path is handed over once for good), ``changed``
+    (again whenever its modification time or size has changed), ``create``
+    (when it was not there at the poll before, so also when it has come back)
+    or ``all``.  The ledger holds the handed-over rows of each poll; a poll
+    joins the new listing with it and appends, so a restart goes on where the
+    last poll ended."""
+    listing = file_listing(spark, path, glob=glob, recursive=True).filter(
+        ~F.col("file_name").rlike(r"^[._]")).select("file_path", "file_modification_time", "file_size")
+    listing = stage_table(listing, "listing")  # both the answer and the ledger are of one listing
+    last = last_batch_before(spark, ledger, "listed", 1 << 62)
+    poll = 0 if last is None else last + 1
+    handed = read_batches(spark, ledger, "handed", listing.schema)
+    new = {
+        "all": lambda: listing,
+        "once": lambda: listing.join(handed, "file_path", "left_anti"),
+        "changed": lambda: listing.join(handed, ["file_path", "file_modification_time", "file_size"], "left_anti"),
+        "create": lambda: listing.join(read_batches(spark, ledger, "listed", listing.schema).filter(
+            F.col("batch_id") == poll - 1), "file_path", "left_anti"),
+    }[accept]()
+    new.write.mode("overwrite").parquet(batch_dir(ledger, "handed", poll))
+    there = listing if accept == "create" else listing.limit(0)
+    there.write.mode("overwrite").parquet(batch_dir(ledger, "listed", poll))
+    return spark.read.schema(listing.schema).parquet(batch_dir(ledger, "handed", poll)).drop("file_size")
+
+
+def touch(spark: SparkSession, path: str, seconds: int = 60) -> None:
+    """Give a file a later modification time, as writing it anew would."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.setTimes(p, fs.getFileStatus(p).getModificationTime() + seconds * 1000, -1)
+
+
 def first_object(listing: DataFrame, key: str = "file_path") -> DataFrame:
     """First key in listing order (one per poll): a top-1, planned as
     TakeOrderedAndProject."""

@@ -205,3 +205,39 @@ def test_messages_behind_the_lateness_fail_the_run(spark, tmp_path):
         [("A", 1, 2, "A1", 1000)], [("B", 2, 2, "B1", 2000)], [("A", 3, 2, "A2", 5)])], GROUPS)
     with pytest.raises(ValueError, match="further behind"):
         _group_run(spark, base, str(tmp_path / "run"))
+
+
+# ------------------------------------------------------------------ lines and results as two streams
+LINE = "id int, k int, at timestamp"
+
+
+def _join_run(spark, tmp_path, lines, results, name):
+    from pyspark.sql import functions as F
+
+    from flowframe.streaming.status_join import run_status_join, split_late, status_join
+
+    sides, late = [], []
+    for side, batches in (("lines", lines), ("results", results)):
+        base = str(tmp_path / f"{name}-{side}")
+        _write_batches(spark, base, batches, LINE)
+        kept, gone = split_late(_stream(spark, base, LINE), f"{base}-taken", F.col("at"), "10 seconds")
+        sides.append(kept)
+        late += sorted(r["id"] for r in gone.collect())
+    out, held = run_status_join(status_join(*sides, "k", F.col("at"), F.col("at"), "5 seconds", "10 seconds"), str(tmp_path / f"{name}-run"))
+    return sorted(((r["id"], r["result_id"]) for r in out.collect() if r["id"] < 900), key=str), late, held
+
+
+@pytest.mark.parametrize("cut", ["given", "one"])
+def test_status_join_in_any_cut(spark, tmp_path, cut):
+    lines = [[(1, 1, _at(0)), (2, 2, _at(1))], [(3, 1, _at(6)), (4, None, _at(7))], [(5, 3, _at(30))], [(900, -1, _at(1000))]]
+    results = [[(10, 1, _at(5)), (11, 2, _at(0))], [(12, 1, _at(11)), (13, 1, _at(12))], [(14, 3, _at(30)), (15, 3, _at(35))], [(901, -1, _at(1000))]]
+    got, late, held = _join_run(spark, tmp_path, _cuts(lines)[cut], _cuts(results)[cut], cut)
+    assert got == sorted([(1, 10), (2, None), (3, 12), (4, None), (5, 14), (5, 15)], key=str)
+    assert late == [] and held <= 4  # what lies behind the watermark has left the state store
+
+
+def test_late_lines_and_results_are_kept_aside(spark, tmp_path):
+    lines = [[(1, 1, _at(100))], [(2, 1, _at(50)), (3, 1, _at(95))], [(900, -1, _at(1000))]]
+    results = [[(10, 1, _at(101))], [(11, 1, _at(99)), (12, 1, _at(2)), (13, 1, None)], [(901, -1, _at(1000))]]
+    got, late, _ = _join_run(spark, tmp_path, lines, results, "late")
+    assert got == sorted([(1, 10), (3, 11)], key=str) and late == [2, 12, 13]
