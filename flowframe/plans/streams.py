@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from flowframe.operators import delay as D
 from flowframe.plans.bindings import LINEITEM_ARRIVAL, events, grouped_messages
 from flowframe.plans.flows import PAYLOAD_SQL
-from flowframe.plans.groups import RANKED_SQL, RELEASE_TIMEOUT_SQL, SEQ_AGG_SQL
+from flowframe.plans.groups import LINES_SQL, RANKED_SQL, RELEASE_TIMEOUT_SQL, SEQ_AGG_SQL, doc_lines
 from flowframe.plans.io import LISTING_PATH_SQL, _listings
 from flowframe.plans.registry import register, table
 from flowframe.functions.scalar import ntz_as_utc_instant, ntz_literal
@@ -18,6 +18,8 @@ from flowframe.session import scratch_path
 from flowframe.streaming.delayer import stream_delayer
 from flowframe.streaming.group_release import stream_group_release
 from flowframe.streaming.group_state import group_state, run_group_state
+from flowframe.sources.files import file_poll_source
+from flowframe.streaming.resequence import run_resequence, stream_resequence
 from flowframe.streaming.status_join import run_status_join, split_late, status_join
 from flowframe.streaming.jobs import copy_orders_batch, stream_accept_once, stream_tick_window
 from flowframe.streaming.runner import read_batches, run_available_now, run_batches, stage_in_order
@@ -93,6 +95,29 @@ def q_stream_status_join(spark, d):
     return out.filter(F.col("event_id").isNotNull()).select(F.col("event_id").alias("line_id"), F.col("result_event_id").alias("result_id"))
 
 
+@register("stream_resequence", f"select corr_id::varchar as corr_id, seq_no, seq_size, line as payload from ({LINES_SQL}) where corr_id is not null")
+def q_stream_resequence(spark, d):
+    """Lines of documents that come in the order of a hash leave in the order of their numbers."""
+    lines = doc_lines(spark, d).filter(F.col("corr_id").isNotNull()).withColumn("mixed", F.xxhash64("corr_id", "seq_no"))
+    base = scratch_path(spark, f"resequence-{uuid.uuid4().hex}")
+    stream = stage_in_order(lines, ["mixed"], base, files=4)
+    return run_resequence(stream_resequence(stream, "corr_id", "seq_no", "seq_size", "line"), f"{base}/run")
+
+
+@register("file_poll_stream", "select event_type, count(*) as n_records, 6 as n_files from events group by event_type")
+def q_file_poll_stream(spark, d):
+    """A directory polled two files at a time, then again after a restart when more files have come."""
+    base = scratch_path(spark, f"poll-{uuid.uuid4().hex}")
+    ev = events(spark, d).select("event_type")
+    for part in (0, 1):
+        ev.withColumn("part", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(6))).filter(
+            (F.col("part") < 3) if part == 0 else (F.col("part") >= 3)).repartition(3).drop("part").write.mode("append").parquet(f"{base}/in")
+        poll = file_poll_source(spark, f"{base}/in", "parquet", streaming=True, max_files_per_trigger=2, schema=ev.schema)
+        taken = run_available_now(poll.select("event_type", "file_name"), "poll", base=f"{base}/run")
+    files = taken.agg(F.countDistinct("file_name").cast("int")).scalar()
+    return taken.groupBy("event_type").agg(F.count(F.lit(1)).alias("n_records")).withColumn("n_files", files)
+
+
 @register("stream_delayer", f"""
 select event_id as msg_id, cast(user_id as varchar) as key,
        ts + to_milliseconds(coalesce(try_cast(trim({PAYLOAD_SQL}) as bigint), 8000)) as release_ts

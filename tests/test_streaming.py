@@ -241,3 +241,32 @@ def test_late_lines_and_results_are_kept_aside(spark, tmp_path):
     results = [[(10, 1, _at(101))], [(11, 1, _at(99)), (12, 1, _at(2)), (13, 1, None)], [(901, -1, _at(1000))]]
     got, late, _ = _join_run(spark, tmp_path, lines, results, "late")
     assert got == sorted([(1, 10), (3, 11)], key=str) and late == [2, 12, 13]
+
+
+# ------------------------------------------------------------------ resequencing while messages come
+SEQ = "corr_id string, seq_no int, seq_size int, line string"
+
+
+@pytest.mark.parametrize("whole", [False, True])
+def test_resequence_over_batches_and_a_restart(spark, tmp_path, whole):
+    from flowframe.streaming.resequence import run_resequence, stream_resequence
+
+    base, run = str(tmp_path / "in"), str(tmp_path / "run")
+
+    def go():
+        out = run_resequence(stream_resequence(_stream(spark, base, SEQ), "corr_id", "seq_no", "seq_size", "line", whole), run)
+        return sorted((r["corr_id"], r["seq_no"], r["payload"]) for r in out.collect())
+
+    rows = lambda key, size, *numbers: [(key, n, size, f"{key}{n}") for n in numbers]
+    _write_batches(spark, base, [rows("A", 4, 3, 2), rows("B", 2, 2, 1) + rows("C", 3, 1, 3)], SEQ)
+    first = go()
+    assert first == ([("B", 1, "B1"), ("B", 2, "B2")] if whole else [("B", 1, "B1"), ("B", 2, "B2"), ("C", 1, "C1")])
+    more = str(tmp_path / "more")
+    _write_batches(spark, more, [rows("A", 4, 1, 2)[:1] + rows("D", 1, 1), rows("A", 4, 4)], SEQ)
+    for name in os.listdir(more):
+        os.rename(f"{more}/{name}", f"{base}/later-{name}")
+    left = go()
+    assert left == sorted([*first, *[("A", n, f"A{n}") for n in range(1, 5)], ("D", 1, "D1")])
+    state = spark.read.format("statestore").option("stateVarName", "waiting").load(f"{run}/_checkpoint").collect()
+    assert {(r["key"]["corr_id"], r["value"]["next"], tuple(r["value"]["numbers"])) for r in state} == {
+        ("C", 1, (1, 3)) if whole else ("C", 2, (3,))}
