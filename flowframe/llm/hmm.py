@@ -20,7 +20,13 @@ partition adds up its expected counts, Spark sums them, and the next tables
 scaled forward recursion, an exact likelihood.
 
 Documents of a block advance together, one token at a time, as rows of a
-matrix; a long document continues alone.
+matrix.  A document longer than ``PIECE`` tokens is cut into pieces that
+advance beside the others: what a piece does to a distribution over the
+states is a matrix, found for all pieces at once; these are chained from the
+front and from the back of the document, and with what enters each piece its
+own recursion is the same as if the document had been walked in one go.  So
+the steps of a block are bounded by ``PIECE``; the memory of a step grows with
+the tokens of a document, of which a block holds at least one whole.
 """
 
 from __future__ import annotations
@@ -41,8 +47,12 @@ from flowframe.session import shuffle_partitions
 BLOCK_TOKENS = 1 << 20
 #: Words that meet in one segment, on average.
 SEGMENT_WORDS = 1 << 18
-STATES, ROUNDS = 6, 3
-FREQUENT, SHAPES = 4096, 1024
+STATES = 6
+FREQUENT, SHAPES = 16384, 4096
+#: Rounds end when one raises the log10 likelihood of a token by less than this.
+SETTLED = 0.01
+#: Tokens that are walked one after another.
+PIECE = 1024
 SMOOTH = 0.1
 #: The end of a text, a word that no text can hold.
 END = b" "
@@ -131,46 +141,94 @@ class Chain:
         return cls(start / start.sum(), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=1, keepdims=True))
 
 
-def _steps(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Documents by falling size, where each starts, and how many are still running at each step."""
-    order = np.argsort(-sizes, kind="stable")
-    starts = (np.cumsum(sizes) - sizes)[order]
-    running = np.searchsorted(-sizes[order], -np.arange(int(sizes.max(initial=0))), side="left")
-    return order, starts, running
+class _Pieces:
+    """The pieces of documents of given sizes, laid end to end."""
+
+    def __init__(self, sizes: np.ndarray):
+        self.first_token = np.cumsum(sizes) - sizes
+        self.count = -(-sizes // PIECE)
+        self.doc = np.repeat(np.arange(len(sizes)), self.count)
+        self.base = np.cumsum(self.count) - self.count  # the first piece of each document
+        self.number = np.arange(len(self.doc)) - self.base[self.doc]
+        self.start = self.first_token[self.doc] + self.number * PIECE
+        self.length = np.minimum(PIECE, sizes[self.doc] - self.number * PIECE)
+
+
+def _steps(length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pieces by falling length, and how many are still running at each step."""
+    order = np.argsort(-length, kind="stable")
+    return order, np.searchsorted(-length[order], -np.arange(int(length.max(initial=0))), side="left")
+
+
+def _transfers(chain: Chain, emit: np.ndarray, classes: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Of each piece, up to a factor: from the state at its first token, the state at its last one and all its tokens."""
+    order, running = _steps(length)
+    start, m = start[order], np.broadcast_to(np.eye(STATES), (len(order), STATES, STATES)).copy()
+    for t, n in enumerate(running):
+        ahead = m[:n] if t == 0 else m[:n] @ chain.move
+        ahead = ahead * emit[classes[start[:n] + t]][:, None, :]
+        m[:n] = ahead / ahead.sum(axis=(1, 2), keepdims=True)
+    out = np.empty_like(m)
+    out[order] = m
+    return out
+
+
+def _entering(chain: Chain, emit: np.ndarray, classes: np.ndarray, p: _Pieces, backward: bool) -> tuple[np.ndarray, np.ndarray]:
+    """What is known of the state at each piece's first token from the tokens before it, and, if asked for, of the
+    state at its last token from those after it (up to a factor)."""
+    ahead = np.broadcast_to(chain.start, (len(p.doc), STATES)).copy()
+    beyond = np.ones((len(p.doc), STATES))
+    last = p.number == p.count[p.doc] - 1
+    cut = np.flatnonzero(p.count[p.doc] > 1) if backward else np.flatnonzero(~last)
+    if len(cut):
+        place = np.full(len(p.doc), -1)
+        place[cut] = np.arange(len(cut))
+        through = _transfers(chain, emit, classes, p.start[cut], p.length[cut])
+        most = int(p.count.max())
+        for k in range(most - 1):
+            at = p.base[p.count > k + 1] + k
+            v = np.einsum("ns,nst->nt", ahead[at], through[place[at]])
+            ahead[at + 1] = (v / v.sum(axis=1, keepdims=True)) @ chain.move
+        for k in range(most - 1, 0, -1) if backward else ():
+            at = p.base[p.count > k] + k
+            v = np.einsum("nst,nt->ns", through[place[at]], beyond[at]) @ chain.move.T
+            beyond[at - 1] = v / v.sum(axis=1, keepdims=True)
+    return ahead, beyond
 
 
 def forward(chain: Chain, classes: np.ndarray, sizes: np.ndarray, keep: bool = False):
     """log10 likelihood of the class sequence of each document; with ``keep`` also what the backward pass needs."""
-    order, starts, running = _steps(sizes)
-    emit = np.ascontiguousarray(chain.emit.T)
-    logs, alpha = np.zeros(len(sizes)), None
+    p, emit = _Pieces(sizes), np.ascontiguousarray(chain.emit.T)
+    entering, beyond = _entering(chain, emit, classes, p, keep)
+    order, running = _steps(p.length)
+    start, entering = p.start[order], entering[order]
+    alpha, scales = None, np.ones(len(classes))
     alphas = np.zeros((len(classes), STATES)) if keep else None
-    scales = np.zeros(len(classes)) if keep else None
     for t, n in enumerate(running):
-        at = starts[:n] + t
-        ahead = np.broadcast_to(chain.start, (n, STATES)) if t == 0 else alpha[:n] @ chain.move
-        alpha = ahead * emit[classes[at]]
+        at = start[:n] + t
+        alpha = (entering[:n] if t == 0 else alpha[:n] @ chain.move) * emit[classes[at]]
         total = alpha.sum(axis=1)
         alpha = alpha / total[:, None]
-        logs[:n] += np.log10(total)
+        scales[at] = total
         if keep:
-            alphas[at], scales[at] = alpha, total
-    out = np.zeros(len(sizes))
-    out[order] = logs
-    return (out, alphas, scales) if keep else out
+            alphas[at] = alpha
+    logs = np.add.reduceat(np.log10(scales), p.first_token) if len(sizes) else np.zeros(0)
+    return (logs, alphas, scales, p, beyond) if keep else logs
 
 
 def expected_counts(chain: Chain, classes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, ...]:
     """Expected starts, moves and emissions of whole documents, and their log10 likelihood."""
-    logs, alphas, scales = forward(chain, classes, sizes, keep=True)
-    order, starts, running = _steps(sizes)
-    emit = np.ascontiguousarray(chain.emit.T)
-    move, emitted, start = np.zeros((STATES, STATES)), np.zeros((len(emit), STATES)), np.zeros(STATES)
+    logs, alphas, scales, p, beyond = forward(chain, classes, sizes, keep=True)
+    order, running = _steps(p.length)
+    emit, start = np.ascontiguousarray(chain.emit.T), p.start[order]
+    move, emitted = np.zeros((STATES, STATES)), np.zeros((len(emit), STATES))
     gammas = np.empty_like(alphas)
-    beta = np.ones((len(sizes), STATES))
+    # at a piece's last token the state's odds by all tokens have to add up to one
+    beta = beyond[order]
+    beta = beta / (alphas[start + p.length[order] - 1] * beta).sum(axis=1, keepdims=True)
     for t in range(len(running) - 1, -1, -1):
         n = running[t]
-        at = starts[:n] + t
+        at = start[:n] + t
         following = running[t + 1] if t + 1 < len(running) else 0
         if following:
             after = at[:following] + 1
@@ -178,11 +236,12 @@ def expected_counts(chain: Chain, classes: np.ndarray, sizes: np.ndarray) -> tup
             move += alphas[at[:following]].T @ ahead
             beta[:following] = ahead @ chain.move.T
         gammas[at] = alphas[at] * beta[:n]
-        if t == 0:
-            start += gammas[at].sum(axis=0)
+    later = p.number[order] > 0  # the moves from one piece into the next
+    at = start[later]
+    move += alphas[at - 1].T @ (emit[classes[at]] * beta[later] / scales[at][:, None])
     for k in range(STATES):
         emitted[:, k] = np.bincount(classes, gammas[:, k], len(emit))
-    return start, move * chain.move, emitted.T, logs
+    return gammas[p.first_token].sum(axis=0), move * chain.move, emitted.T, logs
 
 
 def _segment_order(hashes: np.ndarray, segments: int) -> tuple[np.ndarray, np.ndarray]:
@@ -344,20 +403,20 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
 
 
-def train(coded: DataFrame, chain: Chain, rounds: int = ROUNDS) -> Chain:
-    """Baum-Welch over all training documents of the coded blocks."""
-    schema = "cell int, expected double"
-    for _ in range(rounds):
+def train(coded: DataFrame, chain: Chain, settled: float = SETTLED) -> Chain:
+    """Baum-Welch over all training documents of the coded blocks, until the likelihood settles."""
+    schema, before = "cell int, expected double", -np.inf
+    while True:
         def count(batches, chain=chain) -> Iterator[pa.RecordBatch]:
-            sums = [np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros(chain.emit.shape)]
+            sums = [np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros(chain.emit.shape), np.zeros(2)]
             for b in batches:
                 for i in range(b.num_rows):
                     sizes = np.array(b.column("sizes")[i].as_py(), np.int64)
                     chosen = np.array(b.column("training")[i].as_py(), bool)
                     classes = np.frombuffer(b.column("classes")[i].as_py(), "<u2").astype(np.int64)
                     if chosen.any():
-                        own = expected_counts(chain, classes[np.repeat(chosen, sizes)], sizes[chosen])
-                        for total, x in zip(sums, own):
+                        *own, logs = expected_counts(chain, classes[np.repeat(chosen, sizes)], sizes[chosen])
+                        for total, x in zip(sums, [*own, np.array([logs.sum(), sizes[chosen].sum()])]):
                             total += x
             flat = np.concatenate([x.ravel() for x in sums])
             cells = np.flatnonzero(flat)
@@ -366,9 +425,12 @@ def train(coded: DataFrame, chain: Chain, rounds: int = ROUNDS) -> Chain:
 
         summed = coded.select("training", "sizes", "classes").mapInArrow(count, schema).groupBy("cell").agg(
             F.sum("expected").alias("expected"))
-        flat = np.zeros(STATES + STATES ** 2 + chain.emit.size)
+        flat = np.zeros(STATES + STATES ** 2 + chain.emit.size + 2)
         for r in summed.collect():  # as many rows as the model has numbers
             flat[r["cell"]] = r["expected"]
         a, b = STATES, STATES + STATES ** 2
-        chain = Chain.from_counts(flat[:a], flat[a:b].reshape(STATES, STATES), flat[b:].reshape(chain.emit.shape))
-    return chain
+        chain = Chain.from_counts(flat[:a], flat[a:b].reshape(STATES, STATES), flat[b:-2].reshape(chain.emit.shape))
+        now = flat[-2] / max(flat[-1], 1)
+        if now - before < settled:
+            return chain
+        before = now

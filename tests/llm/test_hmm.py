@@ -66,6 +66,75 @@ def test_expected_counts_are_those_of_all_paths():
     assert all(np.allclose(a, b) for a, b in zip((start, move, emit), want))
 
 
+def walked(chain, classes):
+    """One document, token by token: its log10 likelihood, and expected starts, moves and emissions."""
+    a, scales = [], []
+    for t, c in enumerate(classes):
+        v = (chain.start if t == 0 else a[-1] @ chain.move) * chain.emit[:, c]
+        scales.append(v.sum())
+        a.append(v / v.sum())
+    beta, move, emit = np.ones(hmm.STATES), np.zeros_like(chain.move), np.zeros_like(chain.emit)
+    for t in range(len(classes) - 1, -1, -1):
+        emit[:, classes[t]] += a[t] * beta
+        if t:
+            ahead = chain.emit[:, classes[t]] * beta / scales[t]
+            move += np.outer(a[t - 1], ahead) * chain.move
+            beta = chain.move @ ahead
+    return sum(math.log10(x) for x in scales), a[0] * beta, move, emit
+
+
+def test_pieces_change_nothing(monkeypatch):
+    draw, chain = np.random.default_rng(4), small_chain(3, 9)
+    docs = [draw.integers(0, 9, n) for n in (1, 4, 5, 6, 23, 5, 200, 1, 10)]
+    want = [walked(chain, d) for d in docs]
+    for piece in (1, 5, 7, 1000):
+        monkeypatch.setattr(hmm, "PIECE", piece)
+        flat, sizes = np.concatenate(docs), np.array([len(d) for d in docs])
+        assert np.allclose(hmm.forward(chain, flat, sizes), [w[0] for w in want])
+        *got, logs = hmm.expected_counts(chain, flat, sizes)
+        assert np.allclose(logs, [w[0] for w in want])
+        for x, parts in zip(got, zip(*[w[1:] for w in want])):
+            assert np.allclose(x, sum(parts))
+
+
+def plain_scores(tokens, held):
+    """The whole model in one process: classes, Baum-Welch until it settles, scores of all documents."""
+    c = collections.Counter(t for i, ts in tokens.items() if not held[i] for t in ts)
+    code = lambda t: (t if t == " " else t).encode()
+    by_count = sorted(c, key=lambda t: (-c[t], np.uint64(hmm.xxhash.xxh3_64_intdigest(code(t))).astype(np.int64)))
+    own = {t: k for k, t in enumerate(by_count[:hmm.FREQUENT])}
+    cls = lambda t: own.get(t, hmm.FREQUENT + hmm.shape_class(code(t)))
+    n = hmm.FREQUENT + hmm.SHAPES
+    tokens_of, words_of = np.zeros(n), np.zeros(n)
+    for t, k in c.items():
+        tokens_of[cls(t)] += k
+        words_of[cls(t)] += 1
+    chain, before = hmm.Chain.initial(tokens_of), -math.inf
+    coded = {i: np.array([cls(t) for t in ts]) for i, ts in tokens.items()}
+    while True:
+        sums, log, length = None, 0.0, 0
+        for i, x in coded.items():
+            if not held[i]:
+                own_log, *parts = walked(chain, x)
+                log, length = log + own_log, length + len(x)
+                sums = parts if sums is None else [a + b for a, b in zip(sums, parts)]
+        chain = hmm.Chain.from_counts(*sums)
+        if log / length - before < hmm.SETTLED:
+            break
+        before = log / length
+    inside = lambda t: math.log10((c[t] + 0.1) / (tokens_of[cls(t)] + 0.1 * (words_of[cls(t)] + 1)))
+    return {i: walked(chain, coded[i])[0] + sum(map(inside, ts)) for i, ts in tokens.items()}
+
+
+def test_scores_are_those_of_a_plain_model(documents):
+    some = documents.where("doc_id < 60")
+    tokens = {r["doc_id"]: WORD.findall(fold(r["text"])) + [" "] for r in some.collect()}
+    held = {i: zlib.crc32(str(i).encode()) % 10 == 0 for i in tokens}
+    want = plain_scores(tokens, held)
+    got = {r["doc_id"]: r["score"] for r in hmm.score_documents(some).collect()}
+    assert got.keys() == want.keys() and all(abs(got[i] - want[i]) < 1e-6 * abs(want[i]) for i in want)
+
+
 def test_rounds_raise_the_likelihood():
     draw = np.random.default_rng(3)
     classes = np.concatenate([(draw.integers(0, 3, 40) + 4 * (k % 2)) for k in range(30)])
