@@ -196,52 +196,74 @@ def _entering(chain: Chain, emit: np.ndarray, classes: np.ndarray, p: _Pieces, b
     return ahead, beyond
 
 
+class _Walk:
+    """All pieces side by side: ``at`` lists the tokens step by step, those of step t from ``begin[t]`` on."""
+
+    def __init__(self, p: _Pieces):
+        self.order, self.running = _steps(p.length)
+        start = p.start[self.order]
+        self.begin = np.concatenate([[0], np.cumsum(self.running)])
+        step = np.repeat(np.arange(len(self.running)), self.running)
+        row = np.arange(self.begin[-1]) - self.begin[step]
+        self.at = start[row] + step
+        self.last = self.begin[p.length[self.order] - 1] + np.arange(len(start))  # where each piece's last token is listed
+
+
 def forward(chain: Chain, classes: np.ndarray, sizes: np.ndarray, keep: bool = False):
     """log10 likelihood of the class sequence of each document; with ``keep`` also what the backward pass needs."""
     p, emit = _Pieces(sizes), np.ascontiguousarray(chain.emit.T)
     entering, beyond = _entering(chain, emit, classes, p, keep)
-    order, running = _steps(p.length)
-    start, entering = p.start[order], entering[order]
-    alpha, scales = None, np.ones(len(classes))
-    alphas = np.zeros((len(classes), STATES)) if keep else None
-    for t, n in enumerate(running):
-        at = start[:n] + t
-        alpha = (entering[:n] if t == 0 else alpha[:n] @ chain.move) * emit[classes[at]]
-        total = alpha.sum(axis=1)
-        alpha = alpha / total[:, None]
-        scales[at] = total
-        if keep:
-            alphas[at] = alpha
+    w = _Walk(p)
+    own = classes[w.at]
+    odds = np.empty((STATES, len(own)))  # a row for each state, a column for each token
+    for k in range(STATES):
+        np.take(chain.emit[k], own, out=odds[k])
+    alphas = np.empty_like(odds) if keep else odds
+    totals = np.ones(len(own))
+    ahead, turn = np.ascontiguousarray(entering[w.order].T), np.ascontiguousarray(chain.move.T)
+    for t, n in enumerate(w.running):
+        a, b = w.begin[t], w.begin[t] + n
+        alpha = alphas[:, a:b]
+        np.multiply(odds[:, a:b], ahead[:, :n], out=alpha)
+        total = totals[a:b]
+        np.sum(alpha, axis=0, out=total)
+        alpha /= total
+        ahead = turn @ alpha
+    scales = np.empty_like(totals)
+    scales[w.at] = totals
     logs = np.add.reduceat(np.log10(scales), p.first_token) if len(sizes) else np.zeros(0)
-    return (logs, alphas, scales, p, beyond) if keep else logs
+    return (logs, alphas, odds, totals, own, w, p, beyond) if keep else logs
 
 
 def expected_counts(chain: Chain, classes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, ...]:
     """Expected starts, moves and emissions of whole documents, and their log10 likelihood."""
-    logs, alphas, scales, p, beyond = forward(chain, classes, sizes, keep=True)
-    order, running = _steps(p.length)
-    emit, start = np.ascontiguousarray(chain.emit.T), p.start[order]
-    move, emitted = np.zeros((STATES, STATES)), np.zeros((len(emit), STATES))
-    gammas = np.empty_like(alphas)
+    logs, alphas, odds, totals, own, w, p, beyond = forward(chain, classes, sizes, keep=True)
+    odds /= totals
     # at a piece's last token the state's odds by all tokens have to add up to one
-    beta = beyond[order]
-    beta = beta / (alphas[start + p.length[order] - 1] * beta).sum(axis=1, keepdims=True)
-    for t in range(len(running) - 1, -1, -1):
-        n = running[t]
-        at = start[:n] + t
-        following = running[t + 1] if t + 1 < len(running) else 0
-        if following:
-            after = at[:following] + 1
-            ahead = emit[classes[after]] * beta[:following] / scales[after][:, None]
-            move += alphas[at[:following]].T @ ahead
-            beta[:following] = ahead @ chain.move.T
-        gammas[at] = alphas[at] * beta[:n]
-    later = p.number[order] > 0  # the moves from one piece into the next
-    at = start[later]
-    move += alphas[at - 1].T @ (emit[classes[at]] * beta[later] / scales[at][:, None])
-    for k in range(STATES):
-        emitted[:, k] = np.bincount(classes, gammas[:, k], len(emit))
-    return gammas[p.first_token].sum(axis=0), move * chain.move, emitted.T, logs
+    ending = np.ascontiguousarray(beyond[w.order].T)
+    ending /= (alphas[:, w.last] * ending).sum(axis=0)
+    move = np.zeros((STATES, STATES))
+    chosen = np.zeros((STATES, 0))
+    for t in range(len(w.running) - 1, -1, -1):
+        n, a = w.running[t], w.begin[t]
+        beta = ending[:, :n]
+        if chosen.shape[1]:  # the pieces that go on: what they hold next decides
+            beta = np.concatenate([chain.move @ chosen, ending[:, chosen.shape[1]:n]], axis=1)
+            move += alphas[:, a:a + chosen.shape[1]] @ chosen.T
+        chosen = odds[:, a:a + n]
+        chosen *= beta  # each token's part of a move into its state
+        alphas[:, a:a + n] *= beta
+    # and the moves from one piece into the next
+    later = np.flatnonzero(p.number[w.order] > 0)
+    if len(later):
+        listed = np.empty(len(p.doc), np.int64)
+        listed[w.order] = w.last
+        before = listed[w.order[later] - 1]
+        ends = np.empty(len(p.doc), np.int64)
+        ends[w.order] = np.arange(len(p.doc))
+        move += (alphas[:, before] / ending[:, ends[w.order[later] - 1]]) @ odds[:, later].T
+    emitted = np.stack([np.bincount(own, alphas[k], chain.emit.shape[1]) for k in range(STATES)])
+    return alphas[:, np.flatnonzero(p.number[w.order] == 0)].sum(axis=1), move * chain.move, emitted, logs
 
 
 def _segment_order(hashes: np.ndarray, segments: int) -> tuple[np.ndarray, np.ndarray]:
