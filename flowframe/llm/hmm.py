@@ -31,6 +31,7 @@ the tokens of a document, of which a block holds at least one whole.
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -98,13 +99,13 @@ class _Gathered:
 
     def __init__(self):
         self.ids, self.training, self.sizes, self.tokens = [], [], [], []
-        self.places: dict[bytes, int] = {}
+        self.places: defaultdict[bytes, int] = defaultdict()
+        self.places.default_factory = self.places.__len__  # a new word gets the next place
         self.total = 0
 
     def add(self, doc_id: int | None, training: bool, text: bytes) -> None:
-        places = self.places
-        row = [places.setdefault(w, len(places)) for w in words(fold_case(text))]
-        row.append(places.setdefault(END, len(places)))
+        row = list(map(self.places.__getitem__, words(fold_case(text))))
+        row.append(self.places[END])
         self.ids.append(doc_id)
         self.training.append(training)
         self.sizes.append(len(row))
