@@ -170,6 +170,7 @@ placed as (
          row_number() over (partition by c.source order by c.class, c.h, c.doc_id nulls first) as k,
          case when t.source_size > 0 then t.target / t.source_size else 0.0::double end as rate
   from classed c join targets t on c.source is not distinct from t.source),
-drawn as (select *, ('0x' || substr(md5('mix:' || coalesce(source, '')), 1, 8))::bigint / 4294967296.0::double as shift from placed)
-select doc_id, size, source_size, target, (floor(k * rate + shift) - floor((k - 1) * rate + shift))::bigint * size as taken from drawn
+drawn as (select *, ('0x' || substr(md5('mix:' || coalesce(source, '')), 1, 8))::bigint / 4294967296.0::double as shift from placed),
+sampled as (select *, (floor(k * rate + shift) - floor((k - 1) * rate + shift))::bigint as copies from drawn)
+select s.doc_id, s.size, s.source_size, s.target, s.copies * s.size as taken from sampled s
 """
