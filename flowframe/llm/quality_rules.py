@@ -17,16 +17,17 @@ It is rejected when its squared distance is above the chi-square quantile
 
 Variances carry a floor per statistic (a regularised MCD): most clean texts
 have no symbols and no repeated lines at all, and without it the first symbol
-would be infinitely far.  All sums and quantiles are map-side combined
-aggregates; the Cholesky factor of a group is spelled out in column
-expressions over the table of groups.
+would be infinitely far.  All sums are map-side combined; quantiles are read off
+histograms of fixed bins (``_quantiles``), whose counts are spread over tasks by
+bin, so that no task merges what a whole group sends; the Cholesky factor of a
+group is spelled out in column expressions over the table of groups.
 """
 
 from __future__ import annotations
 
 from statistics import NormalDist
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowframe.llm.common import stage, word_array
@@ -39,13 +40,16 @@ NAMES = list(STATISTICS)
 P = len(NAMES)
 #: The half-sample: of all shares it withstands the most outliers, just under half of a group's rows.
 COVERAGE = 0.5
-#: A log determinant that falls by less has settled; the quantile sketches are no finer.
+#: A log determinant that falls by less has settled.
 SETTLED = 1e-3
 #: Rows beyond the first P at which the scatter of a group counts as much as that of the group above it.
 SHRINK = 5 * P
 #: Chi-square probabilities of the re-weighting and of the verdict.
 REWEIGHT, CUT = 0.975, 1 - 1e-6
-ACCURACY = 2000
+#: Bins of a histogram: of a statistic to the floor of its deviation, of a distance to the factor 2.
+BINS = 64
+#: Smaller squared distances share a bin.
+NEAREST = 2.0 ** -20
 #: Parts into which the rows of a group are dealt.
 SALTS = 64
 
@@ -190,18 +194,49 @@ def _with_group(rows: DataFrame, groups: DataFrame) -> DataFrame:
     return rows.join(salted, ["key", "salt"])
 
 
+def _quantiles(rows: DataFrame, by: list[str], value: str, bin: Column, share: float) -> DataFrame:
+    """Per ``by`` its rows ``n`` and ``at``, the value of rank ceil(share * n).
+
+    ``bin`` grows with the value and takes a bounded number of values.  Rows
+    are counted by bin first, map-side and then over tasks by (``by``, bin);
+    only the counts of the bins of one ``by`` meet in one task.  Inside its bin
+    the rank is placed evenly between the smallest and the largest value
+    there, which is exact where a bin holds at most two rows or one value.
+    """
+    counts = rows.withColumn("bin", bin).groupBy(*by, "bin").agg(
+        F.count(F.lit(1)).alias("c"), F.min(value).alias("low"), F.max(value).alias("high"))
+    whole = Window.partitionBy(*by)
+    counts = counts.withColumns({"upto": F.sum("c").over(whole.orderBy("bin")), "n": F.sum("c").over(whole)})
+    place = F.ceil(F.col("n") * share) - (F.col("upto") - F.col("c"))
+    step = (F.col("high") - F.col("low")) / F.greatest(F.col("c") - 1, F.lit(1))
+    return counts.where((place >= 1) & (place <= F.col("c"))).select(*by, "n", (F.col("low") + (place - 1) * step).alias("at"))
+
+
+def _medians(rows: DataFrame, values: list[Column], out: str) -> DataFrame:
+    """Per key its ``rows`` and the medians of the values of every statistic, as columns out0.. ."""
+    floors = F.array(*[F.lit(f / BINS) for f in STATISTICS.values()])
+    long = rows.select("key", F.posexplode(F.array(*values)).alias("i", "x"))
+    found = _quantiles(long, ["key", "i"], "x", F.floor(F.col("x") / F.get(floors, F.col("i"))), 0.5)
+    return found.groupBy("key").agg(F.max("n").alias("rows"), *[
+        F.max(F.when(F.col("i") == i, F.col("at"))).alias(f"{out}{i}") for i in range(P)])
+
+
+def _distance_quantile(rows: DataFrame, by: list[str], distance: Column, share: float, out: str) -> DataFrame:
+    """Per ``by`` the quantile of the squared distances."""
+    bin = F.floor(F.log2(F.greatest(F.col("d"), F.lit(NEAREST))) * BINS)
+    return _quantiles(rows.select(*by, distance.alias("d")), by, "d", bin, share).select(*by, F.col("at").alias(out))
+
+
 def fit_groups(vectors: DataFrame) -> DataFrame:
     """``vectors`` (key, the statistics; any others) -> per key its rows, scale and robust estimate.
 
     Result: (key, rows, mid_at, unit, mu, scatter, inverse arrays, grown).
     """
     floors = list(STATISTICS.values())
-    half = [F.percentile_approx(n, 0.5, ACCURACY).alias(f"a{i}") for i, n in enumerate(NAMES)]
     vectors = vectors.withColumn("salt", (F.monotonically_increasing_id() % SALTS).cast("int"))
-    mids = vectors.groupBy("key").agg(F.count("*").alias("rows"), *half)
-    spread = [F.percentile_approx(F.abs(F.col(n) - F.col(f"a{i}")), 0.5, ACCURACY).alias(f"b{i}") for i, n in enumerate(NAMES)]
-    mads = _with_group(vectors, mids).groupBy("key").agg(F.first("rows").alias("rows"), *[
-        F.first(f"a{i}").alias(f"a{i}") for i in range(P)], *spread)
+    mids = stage(_medians(vectors, [F.col(n) for n in NAMES], "a"), "mids")
+    spread = _medians(_with_group(vectors, mids), [F.abs(F.col(n) - F.col(f"a{i}")) for i, n in enumerate(NAMES)], "b")
+    mads = mids.join(spread.drop("rows"), "key")
     unit = {f"b{i}": F.sqrt(F.col(f"b{i}") * F.col(f"b{i}") * 1.4826 ** 2 + F.lit(floors[i] ** 2)) for i in range(P)}
     scales = stage(mads.withColumns(unit).withColumns({f"f{i}": F.lit(floors[i]) / F.col(f"b{i}") for i in range(P)}), "scales")
     scaled = stage(_with_group(vectors, scales).select(
@@ -225,13 +260,13 @@ def fit_groups(vectors: DataFrame) -> DataFrame:
     best = (moving if settled is None else settled).groupBy("key").agg(F.min_by(F.struct("mu", "inverse"), F.struct("log_det", "start")).alias("e")).select(
         "key", "e.mu", "e.inverse", F.lit("best").alias("start"), F.lit(0.0).alias("log_det"))
     distance = _distance(z)
-    scale = _with_group(scaled, stage(best, "estimates")).groupBy("key").agg(
-        F.percentile_approx(distance, 0.5, ACCURACY).alias("mid"))
+    best = stage(best, "estimates")
+    scale = _distance_quantile(_with_group(scaled, best), ["key"], distance, 0.5, "mid")
     best = stage(best.join(scale, "key").withColumn("limit", F.col("mid") / chi_square(0.5) * chi_square(REWEIGHT)), "estimates")
     sums = _with_group(scaled, best).where(distance <= F.col("limit")).groupBy("key").agg(*_moments())
     final = stage(_estimate(sums.join(floor, "key"), "key"), "estimates")
     # the floor is part of the scatter, so the distances are only ever stretched to the chi-square median, never shrunk
-    scale = _with_group(scaled, final).groupBy("key").agg(F.percentile_approx(distance, 0.5, ACCURACY).alias("mid"))
+    scale = _distance_quantile(_with_group(scaled, final), ["key"], distance, 0.5, "mid")
     grown = F.greatest(F.lit(1.0), F.col("mid") / chi_square(0.5))
     return scales.select("key", "rows", F.array(*[F.col(f"a{i}") for i in range(P)]).alias("mid_at"),
                          F.array(*[F.col(f"b{i}") for i in range(P)]).alias("unit")).join(
@@ -271,8 +306,7 @@ def shrunk(groups: DataFrame, paths: DataFrame) -> DataFrame:
 def _concentrated(scaled: DataFrame, current: DataFrame, floor: DataFrame, z: list[Column]) -> DataFrame:
     """One concentration step of every group and start."""
     distance = _distance(z)
-    near = _with_group(scaled, current).groupBy("key", "start").agg(
-        F.percentile_approx(distance, COVERAGE, ACCURACY).alias("limit"))
+    near = _distance_quantile(_with_group(scaled, current), ["key", "start"], distance, COVERAGE, "limit")
     chosen = current.join(near, ["key", "start"])
     sums = _with_group(scaled, chosen).where(distance <= F.col("limit")).groupBy("key", "start").agg(*_moments())
     return _estimate(sums.join(floor, "key"), "key", "start")
