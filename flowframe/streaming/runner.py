@@ -88,11 +88,16 @@ def read_batches(spark: SparkSession, base: str, table: str, schema: StructType)
     return spark.read.schema(full).option("basePath", f"{base}/{table}").parquet(f"{base}/{table}")
 
 
+def child_names(spark: SparkSession, folder: str, pattern: str) -> list[str]:
+    """Names in a folder of any file system Spark can reach; none where it does not exist."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/{pattern}")
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
+    return [str(f.getPath().getName()) for f in found or []]
+
+
 def last_batch_before(spark: SparkSession, base: str, table: str, batch_id: int) -> int | None:
     """The newest written batch of a table before ``batch_id``, from the directory names."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{base}/{table}/batch_id=*")
-    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
-    ids = [int(str(f.getPath().getName()).split("=")[1]) for f in found or []]
+    ids = [int(n.split("=")[1]) for n in child_names(spark, f"{base}/{table}", "batch_id=*")]
     return max((i for i in ids if i < batch_id), default=None)
 
 

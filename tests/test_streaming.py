@@ -7,7 +7,7 @@ import time
 import pytest
 
 from flowframe.functions.scalar import ntz_literal
-from flowframe.streaming.delayer import stream_delayer
+from flowframe.streaming.delayer import delay_batch, stream_delayer
 from flowframe.streaming.group_release import stream_group_release
 from flowframe.streaming.jobs import copy_orders_batch, stream_accept_once, stream_tick_window
 from flowframe.streaming.runner import read_batches, run_available_now
@@ -104,6 +104,37 @@ def test_every_delayed_message_leaves_once(spark, tmp_path, cut):
     assert sorted(r["id"] for r in out.collect()) == [1, 2, 3, 4, 6]
 
 
+def test_held_messages_are_written_once_and_past_slots_go(spark, tmp_path):
+    base, run = str(tmp_path / "in"), str(tmp_path / "run")
+    # one message a batch; message i is held for 250 s, that is over the next two batches, in slots of 100 s
+    _write_batches(spark, base, [[(i, "a", _at(100 * i), _at(100 * i + 250))] for i in range(6)], DELAYED)
+    out = stream_delayer(_stream(spark, base, DELAYED), run, "ts", "release_ts", slot_seconds=100)
+    assert sorted(r["id"] for r in out.collect()) == [0, 1, 2]
+    by_batch = read_batches(spark, run, "out", out.schema).collect()
+    assert sorted((r["batch_id"], r["id"]) for r in by_batch) == [(3, 0), (4, 1), (5, 2)]
+    held = spark.read.schema(f"{DELAYED}, _slot long, batch_id long").parquet(f"{run}/held").collect()
+    assert sorted((r["id"], r["batch_id"]) for r in held) == [(2, 2), (3, 3), (4, 4), (5, 5)]  # slots up to 400 s are gone
+    # a restart goes on at the clock, and what it releases has been held by the run before
+    spark.createDataFrame([(9, "a", _at(640), _at(700))], DELAYED).coalesce(1).write.mode("append").parquet(base)
+    out = stream_delayer(_stream(spark, base, DELAYED), run, "ts", "release_ts", slot_seconds=100)
+    assert sorted(r["id"] for r in out.collect()) == [0, 1, 2, 3]
+    out = stream_delayer(_stream(spark, base, DELAYED), run, "ts", "release_ts", as_of=ntz_literal(_at(740)), slot_seconds=100)
+    assert sorted(r["id"] for r in out.collect()) == [0, 1, 2, 3, 4, 9]
+
+
+def test_a_delayer_batch_that_runs_again_replaces_its_own_rows(spark, tmp_path):
+    base = str(tmp_path)
+    body = delay_batch(base, "ts", "release_ts", 100)
+    first = spark.createDataFrame([(1, "a", _at(0), _at(150)), (2, "a", _at(0), None)], DELAYED)
+    second = spark.createDataFrame([(3, "a", _at(160), _at(170)), (4, "a", _at(160), _at(100))], DELAYED)
+    for batch, number in ((first, 0), (second, 1), (second, 1)):
+        body(batch, number)
+    out = read_batches(spark, base, "out", first.schema).collect()
+    assert sorted((r["batch_id"], r["id"]) for r in out) == [(1, 1), (1, 4)]
+    held = spark.read.schema(f"{DELAYED}, _slot long, batch_id long").parquet(f"{base}/held").collect()
+    assert sorted((r["id"], r["batch_id"]) for r in held) == [(1, 0), (2, 0), (3, 1)]
+
+
 @pytest.mark.parametrize("cut", ["given", "reversed", "one"])
 def test_windows_count_late_rows(spark, tmp_path, cut):
     base, schema = str(tmp_path / "in"), "id long, ts timestamp_ntz"
