@@ -13,12 +13,14 @@ from flowframe.plans.flows import PAYLOAD_SQL
 from flowframe.plans.groups import LINES_SQL, RANKED_SQL, RELEASE_TIMEOUT_SQL, SEQ_AGG_SQL, doc_lines
 from flowframe.plans.io import LISTING_PATH_SQL, _listings
 from flowframe.plans.registry import register, table
-from flowframe.functions.scalar import ntz_as_utc_instant, ntz_literal
+from flowframe.functions.scalar import date_text, ntz_as_utc_instant, ntz_literal
 from flowframe.session import scratch_path
 from flowframe.streaming.delayer import stream_delayer
 from flowframe.streaming.group_release import stream_group_release
 from flowframe.streaming.group_state import group_state, run_group_state
 from flowframe.sources.files import file_poll_source
+from flowframe.sources.queue import append_envelopes, read_envelopes
+from flowframe.sources.records import envelope_unwrap, envelope_wrap
 from flowframe.streaming.resequence import run_resequence, stream_resequence
 from flowframe.streaming.status_join import run_status_join, split_late, status_join
 from flowframe.streaming.jobs import copy_orders_batch, stream_accept_once, stream_tick_window
@@ -118,6 +120,21 @@ def q_file_poll_stream(spark, d):
     return taken.groupBy("event_type").agg(F.count(F.lit(1)).alias("n_records")).withColumn("n_files", files)
 
 
+@register("datasource_envelopes", """
+select event_id as id, strftime(ts, '%Y/%m/%d %H:%M:%S') as created, event_type, value, (event_id % 3)::bigint as append from events
+""")
+def q_datasource_envelopes(spark, d):
+    """Events as envelopes of a queue, taken by a source of our own: two appends, a restart, the third."""
+    ev = events(spark, d).select(F.col("event_id").alias("id"), date_text("ts").alias("created"), "event_type", "value")
+    wrapped = envelope_wrap(ev, ["id", "created"], ["event_type", "value"])
+    base = scratch_path(spark, f"queue-{uuid.uuid4().hex}")
+    for part in (0, 1, 2):
+        append_envelopes(wrapped.filter(F.pmod("id", F.lit(3)) == part), f"{base}/queue")
+        if part:
+            taken = run_available_now(read_envelopes(spark, f"{base}/queue", streaming=True), "queue", base=f"{base}/run")
+    return envelope_unwrap(taken, "value", "id bigint, created string", "event_type string, value double")
+
+
 @register("stream_delayer", f"""
 select event_id as msg_id, cast(user_id as varchar) as key,
        ts + to_milliseconds(coalesce(try_cast(trim({PAYLOAD_SQL}) as bigint), 8000)) as release_ts
