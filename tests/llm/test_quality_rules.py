@@ -36,6 +36,94 @@ def test_documents(spark, sf_dir, documents):
     assert not any(r["kept"] for r in judged if not good[r["doc_id"]])
 
 
+def statistics_of(text):
+    """The transformed statistics of a text, from the plain counts."""
+    n, chars, symbols, dup, twice, _ = brute(text)
+    lines = sum(bool(WORD.search(line)) for line in text.split("\n"))
+    upper = sum("A" <= c <= "Z" for c in text)
+    root = lambda part, whole: (part / max(whole, 1)) ** 0.5
+    return [np.log1p(n), np.log1p(chars / max(n, 1)), root(symbols, chars), root(dup, lines), root(twice, n), root(upper, chars)]
+
+
+def ranked(values, share):
+    return np.sort(values, axis=0)[int(np.ceil(share * len(values))) - 1]
+
+
+def squared(z, mu, scatter):
+    d = z - mu
+    return np.einsum("ij,ij->i", d @ np.linalg.inv(scatter), d)
+
+
+def plain_mcd(x):
+    """The estimate of one group with sorted quantiles: (rows, location, scatter)."""
+    floors, p, chi = np.array(list(quality_rules.STATISTICS.values())), quality_rules.P, quality_rules.chi_square
+    middle = ranked(x, 0.5)
+    unit = np.sqrt((1.4826 * ranked(np.abs(x - middle), 0.5)) ** 2 + floors ** 2)
+    z, ridge = (x - middle) / unit, np.diag((floors / unit) ** 2)
+
+    def estimate(rows):
+        return rows.mean(axis=0), np.cov(rows.T, bias=True).reshape(p, p) + ridge
+
+    def concentrated(mu, scatter):
+        d = squared(z, mu, scatter)
+        return estimate(z[d <= ranked(d, quality_rules.COVERAGE)])
+
+    log_det = lambda e: np.linalg.slogdet(e[1])[1]
+    ends = []
+    for start in (np.tanh(z), z / np.sqrt((z * z).sum(axis=1, keepdims=True) + 1e-12) * p ** 0.5):
+        now = concentrated(np.zeros(p), start.T @ start / len(z) + ridge)
+        while log_det(after := concentrated(*now)) < log_det(now) - quality_rules.SETTLED:
+            now = after
+        ends.append(after)
+    d = squared(z, *min(ends, key=log_det))
+    mu, scatter = estimate(z[d <= ranked(d, 0.5) / chi(0.5) * chi(quality_rules.REWEIGHT)])
+    grown = max(1.0, ranked(squared(z, mu, scatter), 0.5) / chi(0.5))
+    return len(x), middle + unit * mu, scatter * np.outer(unit, unit) * grown
+
+
+def plain_distances(rows):
+    """Squared distances of (language, source, statistics) rows, each under its own group's shrunk estimate."""
+    x = np.array([r[2] for r in rows])
+    levels = [[(r[0], r[1]) for r in rows], [r[0] for r in rows], [None] * len(rows)]
+    fits = [{k: plain_mcd(x[[q == k for q in keys]]) for k in set(keys)} for keys in levels]
+    out = []
+    for i in range(len(rows)):
+        _, mu, scatter = fits[2][None]
+        for level in (1, 0):
+            n, own_mu, own = fits[level][levels[level][i]]
+            beyond = max(n - quality_rules.P, 0)
+            w, v = beyond / (beyond + quality_rules.SHRINK), min(1.0, beyond / quality_rules.P)
+            gap = own_mu - mu
+            mu, scatter = mu + v * gap, w * own + (1 - w) * scatter + v * (1 - v) * np.outer(gap, gap)
+        out.append(squared(x[i:i + 1], mu, scatter)[0])
+    return out
+
+
+def test_distances_are_those_of_a_plain_mcd(spark, documents):
+    """Every document's distance and verdict against numpy; histograms place a rank within 1/64 of its value."""
+    texts = {r["doc_id"]: (r["lang"], r["source"], r["text"]) for r in documents.collect()}
+    out = [r for r in quality_rules.judge(documents).collect() if not r["base_failed"]]
+    want = plain_distances([(*texts[r["doc_id"]][:2], statistics_of(texts[r["doc_id"]][2])) for r in out])
+    got = np.array([r["distance"] for r in out])
+    assert len(out) > 100 and np.allclose(got, want, rtol=0.05, atol=0.01)
+    assert np.median(np.abs(got / want - 1)) < 0.01
+    assert [r["kept"] for r in out] == [w <= quality_rules.chi_square(quality_rules.CUT) for w in want]
+
+
+def test_quantiles_by_histogram(spark):
+    """Exact where a bin holds one value or two rows, within the bin elsewhere; per group, with a hot one."""
+    draw = random.Random(2)
+    rows = [("hot", draw.lognormvariate(0, 2)) for _ in range(3000)] + [("one", 5.0)] + [("two", 1.0), ("two", 1.001)] + [("same", 0.0)] * 9
+    df = spark.createDataFrame(rows, "key string, x double")
+    for share in (0.01, 0.5, 1.0):
+        got = {r["key"]: (r["n"], r["at"]) for r in quality_rules._quantiles(
+            df, ["key"], "x", F.floor(F.log2(F.greatest("x", F.lit(1e-6))) * 64), share).collect()}
+        for key in ("hot", "one", "two", "same"):
+            values = np.array([v for k, v in rows if k == key])
+            assert got[key][0] == len(values)
+            assert got[key][1] == pytest.approx(ranked(values, share), rel=2 ** (1 / 64) - 1 if key == "hot" else 1e-12)
+
+
 def test_odd_rows(odd_documents, odd_rows, no_documents):
     out = quality_rules.judge(odd_documents).collect()
     key = lambda x: (x[0] is None, x[0] or 0, *x[1:])
