@@ -307,7 +307,8 @@ def _concentrated(scaled: DataFrame, current: DataFrame, floor: DataFrame, z: li
     """One concentration step of every group and start."""
     distance = _distance(z)
     near = _distance_quantile(_with_group(scaled, current), ["key", "start"], distance, COVERAGE, "limit")
-    chosen = current.join(near, ["key", "start"])
+    # written first: the planner then knows how few figures these are and leaves the rows where they lie
+    chosen = stage(current.join(near, ["key", "start"]), "chosen")
     sums = _with_group(scaled, chosen).where(distance <= F.col("limit")).groupBy("key", "start").agg(*_moments())
     return _estimate(sums.join(floor, "key"), "key", "start")
 
