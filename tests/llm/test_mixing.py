@@ -84,3 +84,22 @@ def test_rows_without_an_id_spread(spark):
     target = mixing.mix_plan(docs).where("source = 's'").first()["target"]
     assert all(abs(3 * n - target / 2) < 0.02 * target for n in got.values()) and len(got) == 2
     assert abs(3 * sum(got.values()) - target) <= 6
+
+
+def test_of_sixteen_offsets_the_closest_is_used(spark):
+    """Few documents and one long: what is taken is as close to the target as any of the drawn offsets comes."""
+    import hashlib
+    import math
+
+    docs = spark.createDataFrame([(s * 100 + i, " ".join(["w"] * n), f"s{s}") for s in range(6)
+                                  for i, n in enumerate([1, 2, 3, 5, 8, 90 + s])], "doc_id long, text string, source string")
+    rows = mixing.mix_plan(docs).collect()
+    for source in {r["source"] for r in rows}:
+        own = sorted((r for r in rows if r["source"] == source), key=lambda r: r["size"])  # each size is a class, in order
+        rate = own[0]["target"] / own[0]["source_size"]
+        offs = []
+        for j in range(16):
+            u = int(hashlib.md5(f"mix:{j}:{source}".encode()).hexdigest()[:8], 16) / 2.0 ** 32
+            offs.append(abs(sum((math.floor(k * rate + u) - math.floor((k - 1) * rate + u)) * r["size"]
+                                for k, r in enumerate(own, 1)) - own[0]["target"]))
+        assert abs(sum(r["copies"] * r["size"] for r in own) - own[0]["target"]) == min(offs)
