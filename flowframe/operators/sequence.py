@@ -117,3 +117,25 @@ def _sessions(s: DataFrame, gap: tuple[str, float], rn: str, by: list[Column]) -
     return local.join(carried, [_KEY, _CHUNK]).withColumns({
         "session_no": F.col("__k") + F.col("__k_here"),
         "session_rn": F.col(rn) - F.greatest("__at", F.coalesce("__at_here", F.lit(0))) + 1})
+
+
+#: Rows of one hash bucket of keys that a single task may hold; the keys of fuller ones are cut into chunks.
+TASK_ROWS = 200_000
+_HASHES = 1 << 16
+
+
+def split_heavy(df: DataFrame, key: str, task_rows: int | None = None) -> tuple[DataFrame, DataFrame | None]:
+    """(rows of keys that one task can hold, rows of the others or None), by the row counts of hash buckets of the keys.
+
+    One pass over the key counts the buckets; only the numbers of the full
+    ones, at most one for every ``task_rows`` rows, come to the driver.  Where
+    all buckets are fuller than that, a full one has 8 times the mean.
+    """
+    bucket = F.pmod(F.xxhash64(key), F.lit(_HASHES))
+    counts = df.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("n"))
+    most = F.greatest(F.lit(task_rows or TASK_ROWS), 8 * F.col("all") / _HASHES)
+    total = counts.agg(F.sum("n").alias("all"))
+    full = [r["b"] for r in counts.crossJoin(F.broadcast(total)).filter(F.col("n") > most).select("b").collect()]
+    if not full:
+        return df, None
+    return df.filter(~bucket.isin(full)), df.filter(bucket.isin(full))

@@ -18,11 +18,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from flowframe.operators.sequence import keyed_scan
+from flowframe.operators.sequence import keyed_scan, split_heavy
 from flowframe.session import stage_table
 from flowframe.streaming.runner import keyed_recompute, newest_results, run_batches
 
@@ -31,38 +31,82 @@ OUTCOME_SCHEMA = "corr_id string, outcome string, seq long, payloads string"
 
 def group_outcomes(rows: DataFrame, key: str, order: Sequence[str | Column], size_col: str, payload: str, arrival_ts: str,
                    timeout_seconds: float | None = None, as_of: Column | None = None) -> DataFrame:
-    """(corr_id, outcome, seq, payloads): a row per released list, and per late, discarded or pending message."""
+    """(corr_id, outcome, seq, payloads): a row per released list, and per late, discarded or pending message.
+
+    Ids whose rows one task can hold are dealt by id once and settled there; only the others, if any, are cut into chunks.
+    ``rows`` is read twice, first to count the ids' rows."""
     narrow = rows.select(
-        F.col(key).cast("string").alias("corr_id"), F.col(payload).cast("string").alias("payload"),
+        # a null id is a group like any other
+        F.struct(F.lit(0), F.col(key).cast("string").alias("corr_id")).alias("k"), F.col(payload).cast("string").alias("payload"),
         F.col(size_col).cast("long").alias("size"), F.col(arrival_ts).alias("arrival"),
         *[F.col(o).alias(f"o{i}") if isinstance(o, str) else o.alias(f"o{i}") for i, o in enumerate(order)])
     by = [f"o{i}" for i in range(len(order))]
+    light, heavy = split_heavy(narrow, "k")
+    out = _lists(_settled(light, by, timeout_seconds, as_of))
+    return out if heavy is None else out.unionByName(_lists(_settled_chunks(heavy, by, timeout_seconds, as_of)))
+
+
+def _gap(timeout_seconds: float) -> Column:
+    return F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(timeout_seconds).cast("decimal(18,6)"))
+
+
+def _settled(s: DataFrame, by: list[str], timeout_seconds: float | None, as_of: Column | None) -> DataFrame:
+    """The outcome of every row, each id's rows in one task: all windows lie on one exchange by id."""
+    along = Window.partitionBy("k").orderBy(*by)
+    s = s.withColumn("rn", F.row_number().over(along).cast("long"))
     if timeout_seconds is None:
-        s = keyed_scan(narrow, ["corr_id"], by, rn="pos").withColumn("session", F.lit(1).cast("long"))
+        s = s.select("k", "payload", "size", "arrival", "rn", F.lit(1).cast("long").alias("session"))
     else:
-        s = keyed_scan(narrow, ["corr_id"], by, gap=("arrival", timeout_seconds)).withColumnsRenamed(
+        prev = F.lag("arrival").over(along)
+        new = prev.isNull() | F.coalesce(F.col("arrival") > prev + _gap(timeout_seconds), F.lit(False))
+        so_far = Window.partitionBy("k").orderBy("rn").rowsBetween(Window.unboundedPreceding, 0)
+        s = s.withColumn("new", new.cast("long")).select("k", "payload", "size", "arrival", "rn", F.sum("new").over(so_far).alias("session"))
+    run = Window.partitionBy("k", "session")
+    inside = run.orderBy("rn")
+    whole = inside.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    s = s.withColumns({"pos": F.row_number().over(inside).cast("long"), "n": F.count(F.lit(1)).over(whole),
+                       "wanted": F.first("size").over(whole), "last": F.max("arrival").over(whole)})
+    ids = Window.partitionBy("k").orderBy("session", "rn").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    s = s.withColumns({"done": F.min(F.when(F.col("n") >= F.col("wanted"), F.col("session"))).over(ids),
+                       "newest": F.max("session").over(ids)})
+    return s.select("k", "session", "pos", "wanted", "payload", _state(timeout_seconds, as_of).alias("outcome"))
+
+
+def _settled_chunks(s: DataFrame, by: list[str], timeout_seconds: float | None, as_of: Column | None) -> DataFrame:
+    """The same for ids with many rows: numbered in chunks, what a run and an id add up to is joined back."""
+    if timeout_seconds is None:
+        s = keyed_scan(s, ["k"], by, rn="pos").withColumn("session", F.lit(1).cast("long"))
+    else:
+        s = keyed_scan(s, ["k"], by, gap=("arrival", timeout_seconds)).withColumnsRenamed(
             {"session_no": "session", "session_rn": "pos"})
-    # a null id is a group like any other; the numbers are written once, as three steps read them
-    s = stage_table(s.select(F.struct(F.lit(0), "corr_id").alias("k"), "session", "pos", "size", "arrival", "payload"), "outcomes")
+    # the numbers are written once, as three steps read them
+    s = stage_table(s.select("k", "session", "pos", "size", "arrival", "payload"), "outcomes")
     runs = s.groupBy("k", "session").agg(
         F.count(F.lit(1)).alias("n"), F.min_by("size", "pos").alias("wanted"), F.max("arrival").alias("last"))
     ids = runs.groupBy("k").agg(
         F.min(F.when(F.col("n") >= F.col("wanted"), F.col("session"))).alias("done"), F.max("session").alias("newest"))
     s = s.join(runs.select("k", "session", "wanted", "last"), ["k", "session"]).join(ids, "k")
+    return s.select("k", "session", "pos", "wanted", "payload", _state(timeout_seconds, as_of).alias("outcome"))
+
+
+def _state(timeout_seconds: float | None, as_of: Column | None) -> Column:
     inside = (F.col("session") == F.col("done")) & (F.col("pos") <= F.col("wanted"))
     given_up = F.col("done").isNull() & (F.col("session") < F.col("newest"))
     if timeout_seconds is not None and as_of is not None:
-        over = F.col("last") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(timeout_seconds).cast("decimal(18,6)"))
-        given_up |= F.col("done").isNull() & (over < as_of)
-    state = (F.when(inside, F.lit("released")).when(F.col("session") < F.col("done"), F.lit("discarded"))
-             .when(F.col("done").isNotNull(), F.lit("late")).when(given_up, F.lit("discarded")).otherwise(F.lit("pending")))
-    s = s.withColumn("outcome", state)
+        given_up |= F.col("done").isNull() & (F.col("last") + _gap(timeout_seconds) < as_of)
+    return (F.when(inside, F.lit("released")).when(F.col("session") < F.col("done"), F.lit("discarded"))
+            .when(F.col("done").isNotNull(), F.lit("late")).when(given_up, F.lit("discarded")).otherwise(F.lit("pending")))
+
+
+def _lists(s: DataFrame) -> DataFrame:
+    """A row per released list and per other message: one aggregate, in which a message that is not released stands alone."""
+    released = F.col("outcome") == "released"
+    at = F.when(~released, F.struct("session", "pos"))
     items = F.array_sort(F.collect_list(F.struct("pos", "payload")))
-    lists = s.filter("outcome = 'released'").groupBy("k").agg(F.max("wanted").alias("seq"), items.alias("items")).select(
-        F.col("k.corr_id").alias("corr_id"), F.lit("released").alias("outcome"), "seq",
-        F.concat_ws(" ", F.transform("items", lambda x: F.coalesce(x["payload"], F.lit("None")))).alias("payloads"))
-    others = s.filter("outcome <> 'released'").select(F.col("k.corr_id").alias("corr_id"), "outcome", F.lit(None).cast("long").alias("seq"), F.col("payload").alias("payloads"))
-    return lists.unionByName(others)
+    text = F.concat_ws(" ", F.transform("items", lambda x: F.coalesce(x["payload"], F.lit("None"))))
+    return s.groupBy("k", "outcome", at.alias("at")).agg(F.max("wanted").alias("wanted"), items.alias("items")).select(
+        F.col("k.corr_id").alias("corr_id"), "outcome", F.when(released, F.col("wanted")).alias("seq"),
+        F.when(released, text).otherwise(F.col("items")[0]["payload"]).alias("payloads"))
 
 
 def stream_group_release(stream: DataFrame, base: str, key: str, order: Sequence[str], size_col: str, payload: str,
