@@ -14,10 +14,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import ArrayType, LongType, StructType
 
-from flowframe.operators.sequence import keyed_scan
+from flowframe.operators.sequence import keyed_scan, split_heavy
 from flowframe.session import stage_table
 
 
@@ -126,7 +130,16 @@ def release_declared(df: DataFrame, key: str, order: Sequence[str | Column], siz
 
     A group holds as many messages as its first one declares (at least one);
     the next message opens the next group.  The incomplete last group is not
-    output."""
+    output.  Keys whose rows one task can hold are walked there, in order;
+    only the others, if any, go by jumps."""
+    size = F.greatest(F.coalesce(F.col(size_col), F.lit(1)), F.lit(1)).cast("long")
+    light, heavy = split_heavy(needed(df, key, order, size_col, payload), key)
+    out = _walked_groups(light, key, order, F.lit(1).cast("long"), size, payload, sep)
+    return out if heavy is None else out.unionByName(_declared_by_jumps(heavy, key, order, size_col, payload, sep))
+
+
+def _declared_by_jumps(df: DataFrame, key: str, order: Sequence[str | Column], size_col: str, payload: str,
+                       sep: str | None) -> DataFrame:
     s = stage_table(keyed_scan(needed(df, key, order, size_col, payload), [key], order).select(
         F.struct(F.lit(0), key).alias("k"), "rn", F.greatest(F.coalesce(F.col(size_col), F.lit(1)), F.lit(1)).cast("long").alias("size"),
         F.col(payload).alias("v")), "declared")
@@ -139,10 +152,19 @@ def release_sum(df: DataFrame, key: str, order: Sequence[str | Column], value_co
 
     A group is released by the message with which the sum of its values
     reaches ``least``; the next message opens the next group.  Values are
-    not negative (null counts as 0), so running sums only grow, and where a
-    group that starts at a row would end is an as-of question: the first row
-    whose running sum is not below the sum before the start plus ``least``.
-    One ordered scan over sums and questions together answers it."""
+    not negative (null counts as 0).  Keys whose rows one task can hold are
+    walked there, in order; only the others, if any, go by jumps."""
+    light, heavy = split_heavy(needed(df, key, order, value_col, payload), key)
+    out = _walked_groups(light, key, order, F.coalesce(F.col(value_col), F.lit(0)), F.lit(least), payload, sep)
+    return out if heavy is None else out.unionByName(_sums_by_jumps(heavy, key, order, value_col, least, payload, sep))
+
+
+def _sums_by_jumps(df: DataFrame, key: str, order: Sequence[str | Column], value_col: str, least: float, payload: str,
+                   sep: str | None) -> DataFrame:
+    """Running sums only grow, so where a group that starts at a row would end
+    is an as-of question: the first row whose running sum is not below the sum
+    before the start plus ``least``.  One ordered scan over sums and questions
+    together answers it."""
     value = F.coalesce(F.col(value_col), F.lit(0))
     narrow = needed(df, key, order, value_col, payload).withColumn("_value", value)
     s = stage_table(keyed_scan(narrow, [key], order, sums={"total": "_value"}).select(
@@ -156,6 +178,54 @@ def release_sum(df: DataFrame, key: str, order: Sequence[str | Column], value_co
     return _released_runs(s, below.select("k", "rn", F.greatest("rn", F.col("below") + 1).alias("end")), key, sep)
 
 
+def _walked_groups(df: DataFrame, key: str, order: Sequence[str | Column], adds: Column, wants: Column, payload: str,
+                   sep: str | None) -> DataFrame:
+    """Groups that follow one another in each key: a group is full when what its rows add reaches what its first row wants.
+
+    Rows are dealt by key and sorted within tasks; a task walks them batch by
+    batch and holds no more than the group that is still open."""
+    by = [F.col(o) if isinstance(o, str) else o for o in order]
+    rows = df.select(F.col(key).alias("key"), adds.alias("adds"), wants.alias("wants"), F.col(payload).alias("v"),
+                     *[c.alias(f"o{i}") for i, c in enumerate(by)])
+    dealt = rows.repartition("key").sortWithinPartitions("key", *[f"o{i}" for i in range(len(by))]).select("key", "adds", "wants", "v")
+    shape = StructType().add("key", dealt.schema["key"].dataType).add("group_no", LongType()).add("group_size", LongType()).add(
+        "items", ArrayType(dealt.schema["v"].dataType))
+    arrow = to_arrow_schema(shape)
+
+    def walk(batches):
+        key, open_, want, total, number, held, first = None, 0, None, 0, 0, [], True
+        for b in batches:
+            starts, sizes, numbers, kept, begun = [], [], [], np.zeros(open_ + b.num_rows, bool), 0
+            at = open_
+            for k, add, wanted in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()):
+                if first or k != key:
+                    key, want, number, begun, first = k, None, 0, at, False
+                if want is None:
+                    want, total, begun = wanted, 0, at
+                total += add
+                at += 1
+                if total >= want:
+                    starts.append(begun)
+                    sizes.append(at - begun)
+                    numbers.append(number)
+                    kept[begun:at] = True
+                    want, number, begun = None, number + 1, at
+            table = pa.Table.from_batches([*held, b.select([0, 3])])
+            if starts:
+                values = table.column(1).filter(pa.array(kept)).combine_chunks()
+                offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+                found = pa.Table.from_arrays(
+                    [table.column(0).take(pa.array(starts)).combine_chunks(), pa.array(numbers, pa.int64()), pa.array(sizes, pa.int64()),
+                     pa.ListArray.from_arrays(pa.array(offsets), values)], names=["key", "group_no", "group_size", "items"])
+                yield from found.cast(arrow).to_batches()
+            open_ = at - begun if want is not None else 0
+            held = table.slice(at - open_).to_batches() if open_ else []
+
+    found = dealt.mapInArrow(walk, shape)
+    payloads = F.concat_ws(sep, "items") if sep is not None else F.col("items")
+    return found.select(F.col("key").alias(key), "group_no", "group_size", payloads.alias("payloads"))
+
+
 def _released_runs(s: DataFrame, ends: DataFrame, key: str, sep: str | None) -> DataFrame:
     """Groups that follow one another in each key, from where a group that starts at a row would end.
 
