@@ -24,7 +24,7 @@ from flowframe.sources.records import envelope_unwrap, envelope_wrap
 from flowframe.streaming.resequence import run_resequence, stream_resequence
 from flowframe.streaming.status_join import run_status_join, split_late, status_join
 from flowframe.streaming.jobs import copy_orders_batch, stream_accept_once, stream_tick_window
-from flowframe.streaming.runner import read_batches, run_available_now, run_batches, stage_in_order
+from flowframe.streaming.runner import child_names, read_batches, run_available_now, run_batches, stage_in_order
 
 #: After every release time of the test events.
 AFTER_ALL = dt.datetime(2100, 1, 1)
@@ -36,9 +36,14 @@ def _stage(df, name):
     return base
 
 
+#: Micro-batches that a staged table is taken in with; more rows make larger ones, not more.
+MICRO_BATCHES = 8
+
+
 def _stream(df, base):
-    """The staged rows as a file stream, one file per micro-batch."""
-    return df.sparkSession.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+    """The staged rows as a file stream, one file per micro-batch, or more where there are more files than ``MICRO_BATCHES``."""
+    files = len(child_names(df.sparkSession, f"{base}/in", "*.parquet"))
+    return df.sparkSession.readStream.schema(df.schema).option("maxFilesPerTrigger", max(1, -(-files // MICRO_BATCHES))).parquet(f"{base}/in")
 
 
 @register("stream_group_release", f"""

@@ -113,15 +113,20 @@ def keyed_recompute(base: str, keys: Sequence[str], compute: Callable[[DataFrame
     def body(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         bucket = F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
-        batch.withColumn("_bucket", bucket).write.mode("overwrite").partitionBy("_bucket").parquet(batch_dir(base, "log", batch_id))
+        # a bucket is a file, or several where it is large: not one from every task
+        batch.withColumn("_bucket", bucket).hint("rebalance", "_bucket").write.mode("overwrite").partitionBy("_bucket").parquet(
+            batch_dir(base, "log", batch_id))
         own = read_batches(spark, base, "log", batch.schema.add("_bucket", IntegerType()))
         mine = own.filter(F.col("batch_id") == batch_id)
         parts = [r[0] for r in mine.select("_bucket").distinct().collect()]  # at most BUCKETS numbers
-        touched = mine.select(F.struct(F.lit(0), *keys).alias("_key")).distinct()
-        known = own.filter((F.col("batch_id") <= batch_id) & F.col("_bucket").isin(parts)).withColumn("_key", F.struct(F.lit(0), *keys))
-        rows = known.join(touched, "_key", "left_semi").drop("_key", "batch_id", "_bucket")
+        mine.select(*keys).distinct().write.mode("overwrite").parquet(batch_dir(base, "touched", batch_id))
+        key = F.struct(F.lit(0), *keys)
+        seen = read_batches(spark, base, "touched", mine.select(*keys).schema).withColumn("_key", key)
+        # the log before is looked up by the keys that come again; rows of this batch are all of touched keys
+        again = seen.filter(F.col("batch_id") == batch_id).join(seen.filter(F.col("batch_id") < batch_id), "_key", "left_semi").select("_key")
+        known = own.filter((F.col("batch_id") < batch_id) & F.col("_bucket").isin(parts)).withColumn("_key", key)
+        rows = mine.select(*batch.columns).unionByName(known.join(again, "_key", "left_semi").select(*batch.columns))
         compute(rows).write.mode("overwrite").parquet(batch_dir(base, "out", batch_id))
-        touched.select(*[F.col(f"_key.{k}").alias(k) for k in keys]).write.mode("overwrite").parquet(batch_dir(base, "touched", batch_id))
 
     return body
 
