@@ -24,7 +24,7 @@ from flowframe.sources.records import envelope_unwrap, envelope_wrap
 from flowframe.streaming.resequence import run_resequence, stream_resequence
 from flowframe.streaming.status_join import run_status_join, split_late, status_join
 from flowframe.streaming.jobs import copy_orders_batch, stream_accept_once, stream_tick_window
-from flowframe.streaming.runner import child_names, read_batches, run_available_now, run_batches, stage_in_order
+from flowframe.streaming.runner import BUCKETS, child_names, read_batches, run_available_now, run_batches, stage_in_order
 
 #: After every release time of the test events.
 AFTER_ALL = dt.datetime(2100, 1, 1)
@@ -72,7 +72,7 @@ def q_stream_group_state(spark, d):
     base = scratch_path(spark, f"group-state-{uuid.uuid4().hex}")
     stream = stage_in_order(src, LINEITEM_ARRIVAL, base)
     out = group_state(stream, "corr_id", "arrival_no", "seq_size", "payload", ntz_as_utc_instant("l_shipdate"), "1 day",
-                      timeout_ms=30 * 86_400_000)
+                      timeout_ms=30 * 86_400_000, buckets=BUCKETS)
     return run_group_state(out, f"{base}/run")
 
 

@@ -14,13 +14,14 @@ import uuid
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructType
 
 from flowframe.session import scratch_path
 
-#: Parts of the intake log by key, fixed so that a restart finds every key again.
+#: Parts of the intake log, or of keyed state, by key; fixed so that a restart finds every key again.
 BUCKETS = 256
 
 
@@ -58,21 +59,34 @@ def rocksdb_state(spark: SparkSession) -> Iterator[None]:
 
 
 def stage_in_order(df: DataFrame, order: Sequence[str], base: str, files: int = 8, rows_a_file: int = 1_000_000) -> DataFrame:
-    """Write the rows under ``base`` as files that a stream takes one after another in ``order``.
+    """Write the rows under ``base`` as ``files`` portions that a stream takes one after another in ``order``.
 
-    Adds ``arrival_no``, which grows along the order.  Files are written one
-    after another, since a file stream goes by modification times.
+    Adds ``arrival_no``, which grows along the order.  Portions are written
+    one after another, since a file stream goes by modification times.  More
+    rows than ``rows_a_file`` a portion make more files in each, written side
+    by side and taken as one micro-batch, not more micro-batches.
     """
     spark = df.sparkSession
-    n = max(files, df.count() // rows_a_file + 1)
-    cut = df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumns(
-        {"arrival_no": F.monotonically_increasing_id(), "_cut": F.spark_partition_id()})
+    each = df.count() // (files * rows_a_file) + 1
+    cut = df.repartitionByRange(files * each, *order).sortWithinPartitions(*order).withColumns(
+        {"arrival_no": F.monotonically_increasing_id(), "_cut": F.floor(F.spark_partition_id() / each).cast("int")})
     cut.write.partitionBy("_cut").parquet(f"{base}/cuts")
     schema = cut.drop("_cut").schema
-    for k in range(n):
+    for k in range(files):
         part = spark.read.schema(cut.schema).parquet(f"{base}/cuts").filter(F.col("_cut") == k).drop("_cut")
-        part.coalesce(1).sortWithinPartitions("arrival_no").write.mode("append").parquet(f"{base}/in")
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+        part = part.coalesce(1) if each == 1 else part.repartition(each)
+        part.sortWithinPartitions("arrival_no").write.mode("append").parquet(f"{base}/in")
+        # every portion has the same number of files, empty ones where its rows did not fill them
+        for _ in range((k + 1) * each - len(child_names(spark, f"{base}/in", "*.parquet"))):
+            spark.createDataFrame([], schema).coalesce(1).write.mode("append").parquet(f"{base}/in")
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", each).parquet(f"{base}/in")
+
+
+def plain(column: pd.Series) -> list:
+    """A column's values as Python's own, nulls as None and whole numbers as ints though pandas made them floats."""
+    if column.dtype.kind == "f":
+        return [None if v != v else int(v) for v in column.tolist()]
+    return column.astype(object).where(column.notna(), None).tolist()
 
 
 def batch_dir(base: str, table: str, batch_id: int) -> str:
