@@ -108,7 +108,7 @@ def q_stream_resequence(spark, d):
     lines = doc_lines(spark, d).filter(F.col("corr_id").isNotNull()).withColumn("mixed", F.xxhash64("corr_id", "seq_no"))
     base = scratch_path(spark, f"resequence-{uuid.uuid4().hex}")
     stream = stage_in_order(lines, ["mixed"], base, files=4)
-    return run_resequence(stream_resequence(stream, "corr_id", "seq_no", "seq_size", "line"), f"{base}/run")
+    return run_resequence(stream_resequence(stream, "corr_id", "seq_no", "seq_size", "line", buckets=4 * BUCKETS), f"{base}/run")
 
 
 @register("file_poll_stream", "select event_type, count(*) as n_records, 6 as n_files from events group by event_type")
